@@ -11,7 +11,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.functions.dates import parse_timestamp
 from tidemark.operators.ordering import as_list
 
 JOIN_TYPES = {"inner", "left", "right", "outer"}
@@ -63,8 +62,8 @@ def safe_merge(
         raise ValueError(f"how must be one of {sorted(JOIN_TYPES)}")
     left, right = df1, align_keys(df1, df2, keys)
     if parse_dates:
-        left = left.withColumns({k: parse_timestamp(F.col(k).cast("string")) for k in keys})
-        right = right.withColumns({k: parse_timestamp(F.col(k).cast("string")) for k in keys})
+        parsed = {k: F.col(k).try_cast("timestamp") for k in keys}
+        left, right = left.withColumns(parsed), right.withColumns(parsed)
 
     shared = (set(left.columns) & set(right.columns)) - set(keys)
     left_names = {c: c + suffixes[0] if c in shared else c for c in left.columns}

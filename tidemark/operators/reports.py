@@ -56,10 +56,10 @@ def box_stats(df: DataFrame, value: str, by: str | Sequence[str]) -> DataFrame:
 def value_share(df: DataFrame, column: str) -> DataFrame:
     """Count and percentage of each non-NULL value.
 
-    The total comes from a scalar subquery over the small count table.
+    The total is a scalar subquery over the same counts, whose shuffle Spark reuses.
     """
     counts = value_counts(df, column)
-    total = df.select(F.count(column).alias("__all"))
+    total = counts.agg(F.sum("count"))
     return counts.withColumn("percent", F.col("count") / total.scalar() * 100)
 
 
