@@ -7,7 +7,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidemark import functions as fn
 from tidemark.catalog.base import over, register, round_columns, sql_normalize, sql_rounded as r, sql_trim
 from tidemark.operators import cleaning, filters, profile
+from tidemark.operators.aggregation import named_summary
 from tidemark.plans.views import activity, sales, table
+from tidemark.session import materialize
 
 
 @register("F1", "SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'F' AND o_totalprice < 200000")
@@ -60,22 +62,37 @@ def drop_null_rows(spark: SparkSession, path: str) -> DataFrame:
 
 
 
-@register("F8", over("sales", f"""
-    , q AS (SELECT quantile_cont(profit, 0.25) AS q1, quantile_cont(profit, 0.75) AS q3 FROM sales)
-    SELECT order_id, line_number, {r('profit', 4)} AS profit FROM sales, q
-    WHERE profit < q1 - 1.5 * (q3 - q1) OR profit > q3 + 1.5 * (q3 - q1)"""))
+@register("F8", """
+    SELECT event_id, event_type, value FROM events, (SELECT quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.75) AS q3 FROM events)
+    WHERE value < q1 - 1.5 * (q3 - q1) OR value > q3 + 1.5 * (q3 - q1)""")
 def outlier_rows(spark: SparkSession, path: str) -> DataFrame:
+    return filters.detect_outliers_iqr(table(spark, path, "events").select("event_id", "event_type", "value"), "value")
+
+
+@register("F8", over("sales", """
+    SELECT order_id, line_number FROM sales, (SELECT quantile_cont(profit, 0.25) AS q1, quantile_cont(profit, 0.75) AS q3 FROM sales)
+    WHERE profit < q1 - 1.5 * (q3 - q1) OR profit > q3 + 1.5 * (q3 - q1)"""))
+def profit_outliers(spark: SparkSession, path: str) -> DataFrame:
+    """No line lies outside the fences: an empty table."""
     df = filters.detect_outliers_iqr(sales(spark, path, ["order_id", "line_number", "profit"]), "profit")
-    return round_columns(df, profit=4)
+    return df.select("order_id", "line_number")
 
 
-@register("F9", over("sales", " UNION ALL ".join(f"""
-    SELECT '{c}' AS "column", (SELECT count(*) FROM sales, (SELECT quantile_cont({c}, 0.25) AS q1, quantile_cont({c}, 0.75) AS q3 FROM sales)
-        WHERE {c} < q1 - 1.5 * (q3 - q1) OR {c} > q3 + 1.5 * (q3 - q1)) AS outliers"""
-    for c in ("sales", "profit", "quantity", "discount"))))
+CUSTOMERS = """, c AS (SELECT customer_id, sum(quantity) AS quantity, CAST(count(*) AS DOUBLE) AS lines, max(quantity) AS largest
+    FROM sales GROUP BY customer_id)"""
+
+
+@register("F9", over("sales", CUSTOMERS + " UNION ALL ".join(f"""
+    SELECT '{c}' AS "column", count_if({c} < q1 - 1.5 * (q3 - q1) OR {c} > q3 + 1.5 * (q3 - q1)) AS outliers
+    FROM c, (SELECT quantile_cont({c}, 0.25) AS q1, quantile_cont({c}, 0.75) AS q3 FROM c)"""
+    for c in ("quantity", "lines", "largest"))))
 def outlier_counts(spark: SparkSession, path: str) -> DataFrame:
-    names = ["sales", "profit", "quantity", "discount"]
-    return filters.count_outliers_iqr(sales(spark, path, names), names)
+    """Per customer: total quantity, number of lines, largest quantity."""
+    customers = named_summary(
+        sales(spark, path, ["customer_id", "quantity"]), "customer_id",
+        quantity=("quantity", "sum"), lines=("quantity", "count"), largest=("quantity", "max"),
+    )
+    return filters.count_outliers_iqr(materialize(customers), ["quantity", "lines", "largest"])
 
 
 @register("C1", f"""

@@ -9,6 +9,9 @@ from pyspark.sql import DataFrame, DataFrameReader, SparkSession, functions as F
 
 from tidemark.functions.numbers import nan_to_null
 
+# Fixed value: the last underscore-separated part of a CSV file or folder name.
+REGION_IN_PATH = r"_([^_/]+)\.csv(?:/[^/]*)?$"
+
 Schema = "T.StructType | str | None"
 
 
@@ -79,11 +82,11 @@ def load_regional_csv(
 ) -> DataFrame:
     """All files ``…_<region>.csv`` of a pattern as one table.
 
-    The region comes from each row's own file name where the files lack the
-    column, so files may differ in length.
+    The region comes from each row's own file name (or the folder of that
+    name, as Spark writes) where the files lack the column, so files may
+    differ in length.
     """
     df = load_csv(pattern, schema, spark, **options)
     if region_col in df.columns:
         return df
-    name = F.col("_metadata.file_name")
-    return df.withColumn(region_col, F.regexp_extract(name, r"_([^_]+)\.csv$", 1))
+    return df.withColumn(region_col, F.regexp_extract("_metadata.file_path", REGION_IN_PATH, 1))
