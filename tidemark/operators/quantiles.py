@@ -13,9 +13,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.operators.ordering import BLOCK, CARRY, as_list, block_window, range_blocks
+from tidemark.session import if_small_broadcast
 
 QUARTILES = (0.25, 0.5, 0.75)
 
+# Distinct (group, value) rows, counted beforehand, that one task may hold.
+ONE_TASK_VALUES = 1_000_000
+
 
 def with_keys(df: DataFrame, groups: Sequence[str]) -> DataFrame:
     return df.dropna(subset=list(groups)) if groups else df
@@ -23,13 +27,10 @@ def with_keys(df: DataFrame, groups: Sequence[str]) -> DataFrame:
 
 def _long(df: DataFrame, columns: Sequence[str], groups: Sequence[str]) -> DataFrame:
     """One row per (group, column, value); NULL groups, NULL and NaN are left out."""
-    cells = F.explode(
-        F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns])
-    )
     return (
         with_keys(df, groups)
-        .select(*groups, cells.alias("__cell"))
-        .select(*groups, "__cell.column", "__cell.value")
+        .select(*groups, *[F.col(c).cast("double").alias(c) for c in columns])
+        .unpivot(list(groups), list(columns), "column", "value")
         .filter(F.col("value").isNotNull() & ~F.isnan("value"))
     )
 
@@ -52,11 +53,23 @@ def quantiles(
     keys = [*groups, "column"]
     if approximate:
         sketch = cells.groupBy(*keys).agg(F.percentile_approx("value", wanted, accuracy).alias("__q"))
-        pairs = F.arrays_zip(F.array(*[F.lit(p) for p in wanted]).alias("probability"), F.col("__q").alias("value"))
-        return sketch.select(*keys, F.inline(pairs))
+        return sketch.select(*keys, F.inline(_pairs(wanted)))
 
     counts = cells.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("__n"))
     blocks = range_blocks(counts, keys, ["value"])
+    if blocks.count() <= ONE_TASK_VALUES:
+        # Few distinct values by count: the built-in aggregate is exact on them and bounded.
+        picked = blocks.groupBy(*keys).agg(F.percentile("value", wanted, F.col("__n")).alias("__q"))
+        return picked.select(*keys, F.inline(_pairs(wanted)))
+    return _from_blocks(blocks, keys, wanted)
+
+
+def _pairs(wanted: Sequence[float]) -> Column:
+    return F.arrays_zip(F.array(*[F.lit(p) for p in wanted]).alias("probability"), F.col("__q").alias("value"))
+
+
+def _from_blocks(blocks: DataFrame, keys: Sequence[str], wanted: Sequence[float]) -> DataFrame:
+    """Find the values at the wanted positions, opening only the blocks that hold one."""
     totals = blocks.groupBy(*keys, BLOCK).agg(F.sum("__n").alias("__block_n"))
     # Block tables: one row per block, and one more per group boundary.
     whole = Window.partitionBy(*keys)
@@ -72,7 +85,8 @@ def quantiles(
         F.flatten(F.transform(targets, lambda h: F.array(F.floor(h).cast("long"), F.ceil(h).cast("long"))))
     )
     here = F.filter(positions, lambda at: (at >= F.col(CARRY)) & (at < F.col(CARRY) + F.col("__block_n")))
-    sought = located.withColumn("__sought", here).filter(F.size("__sought") > 0).drop("__block_n")
+    # At most two rows per probability and group; broadcast only if that is checked to be few.
+    sought = if_small_broadcast(located.withColumn("__sought", here).filter(F.size("__sought") > 0).drop("__block_n"))
 
     within = (
         Window.partitionBy(*keys, BLOCK).orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)

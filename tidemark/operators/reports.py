@@ -12,6 +12,7 @@ from tidemark.operators.filters import FENCE
 from tidemark.operators.ordering import as_list
 from tidemark.operators.profile import numeric_columns, value_counts
 from tidemark.operators.quantiles import quantile_columns, with_keys
+from tidemark.session import materialize
 
 
 def histogram(df: DataFrame, column: str, bins: int = 20) -> DataFrame:
@@ -64,28 +65,35 @@ def value_share(df: DataFrame, column: str) -> DataFrame:
 
 
 def highlight_max(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Add ``is_max_<column>`` flags; the maxima are one row, read as scalar subqueries."""
+    """Add ``is_max_<column>`` flags to a report.
+
+    The report is computed once and kept: a float sum computed a second time
+    may differ in its last digit and miss its own maximum. The maxima are one
+    row, read as a scalar subquery.
+    """
     names = list(columns) if columns else df.columns
-    best = df.agg(*[F.max(c).alias(c) for c in names])
-    return df.withColumns({
-        f"is_max_{c}": F.coalesce(F.col(c) == best.select(c).scalar(), F.lit(False)) for c in names
+    rows = materialize(df)
+    best = rows.agg(*[F.max(c).alias(c) for c in names]).select(F.struct(*names)).scalar()
+    return rows.withColumns({
+        f"is_max_{c}": F.coalesce(F.col(c) == best.getField(c), F.lit(False)) for c in names
     })
 
 
 def gradient(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Add ``<column>_intensity``: place between minimum (0) and maximum (1)."""
+    """Add ``<column>_intensity``: place between minimum (0) and maximum (1).
+
+    Both ends of all columns come from one scalar subquery. Materialise ``df``
+    first where it is expensive: it is read twice.
+    """
     names = list(columns) if columns else numeric_columns(df)
-    ends = df.agg(*[f(c).alias(f"{c}_{n}") for c in names for n, f in (("low", F.min), ("high", F.max))])
+    ends = [f(c).cast("double").alias(f"{c}_{n}") for c in names for n, f in (("low", F.min), ("high", F.max))]
+    found = df.agg(F.struct(*ends)).scalar()
 
-    def end(c: str, which: str):
-        return ends.select(f"{c}_{which}").scalar()
+    def intensity(c: str):
+        low, high = found.getField(f"{c}_low"), found.getField(f"{c}_high")
+        return F.try_divide(F.col(c).cast("double") - low, high - low)
 
-    return df.withColumns({
-        f"{c}_intensity": F.try_divide(
-            (F.col(c) - end(c, "low")).cast("double"), (end(c, "high") - end(c, "low")).cast("double")
-        )
-        for c in names
-    })
+    return df.withColumns({f"{c}_intensity": intensity(c) for c in names})
 
 
 def format_money(df: DataFrame, columns: Sequence[str], digits: int = 2) -> DataFrame:

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.functions import evaluate, map_values, month_label, parse_date, parse_number, query
+from tidemark.functions import evaluate, map_values, month_label, month_start, parse_date, parse_number, query
 from tidemark.operators.aggregation import (
     binned_summary,
     compute_approval_rate,
@@ -34,6 +34,7 @@ from tidemark.operators.reports import format_money, highlight_max
 from tidemark.operators.reshape import pivot_table_summary, stacked_groupby_unstack
 from tidemark.operators.selection import head, sort_values
 from tidemark.operators.windows import cumulative_sum, pct_change, rolling_mean
+from tidemark.session import materialize
 from tidemark.sources.writers import export_formats, save_by_region, save_csv
 
 
@@ -80,20 +81,52 @@ def clean_job(
     return CleaningReport(cleaned, missing_values(df), count_outliers_iqr(cleaned, list(outlier_cols)))
 
 
+CUBE_KEYS = ("region", "segment", "category", "sub_category", "month")
+CUBE_SUMS = ("sales", "profit", "quantity", "discount")
+
+
+def sales_cube(sales: DataFrame) -> DataFrame:
+    """Sums and counts per region, segment, category, sub-category and month, kept.
+
+    All sales summaries roll up from this one pass over the order lines. Its
+    size is the number of key combinations, not of lines.
+    """
+    sums = [F.sum(c).alias(c) for c in CUBE_SUMS]
+    counts = [F.count(c).alias(f"{c}_n") for c in CUBE_SUMS]
+    return materialize(sales.withColumn("month", month_start("order_date")).groupBy(*CUBE_KEYS).agg(*sums, *counts))
+
+
+def _mean(cube_column: str):
+    """Mean of the lines behind a cube column."""
+    return F.try_divide(F.sum(cube_column), F.sum(f"{cube_column}_n"))
+
+
 def sales_aggregates(sales: DataFrame) -> dict[str, DataFrame]:
     """The sales summaries: by region and segment, by category, by month, pivots."""
+    cube = sales_cube(sales)
+    by_category = cube.dropna(subset=["category"]).groupBy("category")
     return {
         "region_segment": sort_values(
-            groupby_summary(sales, ["region", "segment"], {"sales": "sum", "profit": "mean"}), "sales", False
+            cube.dropna(subset=["region", "segment"]).groupBy("region", "segment").agg(
+                F.coalesce(F.sum("sales"), F.lit(0.0)).alias("sales"), _mean("profit").alias("profit")
+            ),
+            "sales", False,
         ),
         "category_stats": sort_values(
-            groupby_summary(sales, "category", {"sales": ["count", "sum"], "discount": "mean"}), "sales_sum", False
+            by_category.agg(
+                F.sum("sales_n").alias("sales_count"),
+                F.coalesce(F.sum("sales"), F.lit(0.0)).alias("sales_sum"),
+                _mean("discount").alias("discount_mean"),
+            ),
+            "sales_sum", False,
         ),
-        "category_totals": grouped_totals(sales, "category", ["sales", "profit", "quantity"]),
-        "monthly": resample_monthly(sales, "order_date", {"sales": "sum", "profit": "sum"}),
-        "region_by_category": pivot_table_summary(sales, "region", "category", "sales", "sum").fillna(0),
-        "segment_by_sub_category": pivot_table_summary(sales, "segment", "sub_category", "sales", "sum"),
-        "stacked": stacked_groupby_unstack(sales, ["region", "segment", "category"], "sales", "category"),
+        "category_totals": grouped_totals(cube, "category", ["sales", "profit", "quantity"]),
+        "monthly": resample_monthly(cube, "month", {"sales": "sum", "profit": "sum"}).withColumnRenamed(
+            "month", "order_date"
+        ),
+        "region_by_category": pivot_table_summary(cube, "region", "category", "sales", "sum").fillna(0),
+        "segment_by_sub_category": pivot_table_summary(cube, "segment", "sub_category", "sales", "sum"),
+        "stacked": stacked_groupby_unstack(cube, ["region", "segment", "category"], "sales", "category"),
     }
 
 
@@ -147,9 +180,10 @@ def final_report(sales: DataFrame, outside: DataFrame) -> DataFrame:
 
 def formatted_report(report: DataFrame, base_path: str | None = None) -> DataFrame:
     """Report with maximum flags and money text; also exported as CSV and Parquet if a path is given."""
+    kept = materialize(report)
     if base_path:
-        export_formats(report, base_path)
-    return format_money(highlight_max(report), ["sales", "profit"])
+        export_formats(kept, base_path)
+    return format_money(highlight_max(kept), ["sales", "profit"])
 
 
 @dataclass
@@ -162,6 +196,7 @@ class Dashboard:
 
 def dashboard(report: DataFrame, month: str, keyword: str, rows: int = 100) -> Dashboard:
     """KPIs and trends over all months; rows of one month; rows matching a keyword."""
+    report = materialize(report)  # one small table behind all four results
     kpis = table_summary(
         rename_columns(report, {"hospitalized": "avg_hospitalized"}),
         {"sales": "sum", "profit": "sum", "new_cases": "sum", "avg_hospitalized": "mean"},
@@ -184,7 +219,11 @@ class OptimizedTables:
 
 
 def optimize_job(sales: DataFrame, loans: DataFrame, threshold: float = 500, output_path: str | None = None) -> OptimizedTables:
-    """Narrow both tables, filter high sales, add the loan ratio, average profit by region."""
+    """Narrow both tables, filter high sales, add the loan ratio, average profit by region.
+
+    Narrowing reads a table once before its first use, so the tables are best
+    stored ones.
+    """
     narrow_sales = optimize_dataframe(sales, ["segment", "region", "category", "sub_category"], verbose=False)
     narrow_loans = optimize_dataframe(loans, verbose=False)
     with_ratio = evaluate(narrow_loans, "loan_to_income_ratio = loan_amount / income")

@@ -66,10 +66,10 @@ def load_json(
 
 
 def load_parquet(
-    path: str, spark: SparkSession | None = None, nan_as_null: bool = False, **options
+    path: str, spark: SparkSession | None = None, nan_as_null: bool = False, schema: Schema = None, **options
 ) -> DataFrame:
     """Parquet. ``nan_as_null`` is off so that filters still reach the scan."""
-    df = _read(lambda: _reader(spark, None, options).parquet(str(path)), path)
+    df = _read(lambda: _reader(spark, schema, options).parquet(str(path)), path)
     return nan_to_null(df) if nan_as_null else df
 
 
