@@ -29,7 +29,13 @@ def frame(spark):
 
     def make(data, schema=None) -> DataFrame:
         pdf = data if isinstance(data, pd.DataFrame) else pd.DataFrame(data)
-        rows = [tuple(None if v is None or v != v else v for v in row) for row in pdf.astype(object).itertuples(index=False)]
+
+        def plain(v):
+            if v is None or v != v:
+                return None
+            return v.to_pydatetime() if isinstance(v, pd.Timestamp) else v
+
+        rows = [tuple(plain(v) for v in row) for row in pdf.astype(object).itertuples(index=False)]
         if schema is None:
             kinds = {"i": "long", "f": "double", "b": "boolean", "M": "timestamp"}
             schema = ", ".join(f"`{c}` {kinds.get(pdf[c].dtype.kind, 'string')}" for c in pdf.columns)

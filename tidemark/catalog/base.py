@@ -96,7 +96,7 @@ def first_of_month(expression: str) -> str:
 
 
 # White space as Unicode defines it, as an SQL regular expression class.
-SPACE = r"[\t-\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+SPACE = r"[\t-\r\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 
 
 def sql_trim(expression: str) -> str:

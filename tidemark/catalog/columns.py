@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark import functions as fn
-from tidemark.catalog.base import over, register, round_columns, sql_rounded as r, sql_trim
+from tidemark.catalog.base import SPACE, over, register, round_columns, sql_rounded as r, sql_trim
 from tidemark.operators import columns as ops
 from tidemark.operators.aggregation import groupby_summary
 from tidemark.operators.narrowing import optimize_dataframe, schema_table
@@ -228,9 +228,8 @@ def change_case(spark: SparkSession, path: str) -> DataFrame:
     return table(spark, path, "part").select("p_partkey", fn.lower("p_name").alias("low"), fn.upper("p_name").alias("up"))
 
 
-@register("X3", r"""
-    SELECT conv_id, turn, regexp_replace(text, '[\t-\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+', ' ', 'g') AS text
-    FROM conversations""")
+@register("X3", f"""
+    SELECT conv_id, turn, regexp_replace(text, '{SPACE}+', ' ', 'g') AS text FROM conversations""")
 def collapse_white_space(spark: SparkSession, path: str) -> DataFrame:
     return table(spark, path, "conversations").select("conv_id", "turn", fn.collapse_spaces("text").alias("text"))
 

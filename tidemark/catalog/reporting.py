@@ -84,7 +84,8 @@ def monthly_sales_of_one_region(spark: SparkSession, path: str) -> DataFrame:
     FROM sales"""))
 def sales_scatter(spark: SparkSession, path: str) -> DataFrame:
     points = sales(spark, path, ["order_date", "category", "region", "sub_category", "sales", "profit"])
-    return round_columns(points.withColumn("size", fn.absolute("profit")), sales=4, profit=4, size=4)
+    points = points.withColumns({"order_date": F.col("order_date").cast("date"), "size": fn.absolute("profit")})
+    return round_columns(points, sales=4, profit=4, size=4)
 
 
 @register("V8", over("sales", f"""

@@ -6,9 +6,13 @@ import re
 
 from pyspark.sql import Column, functions as F
 
-# Unicode-aware white space, as a Java pattern.
-EDGE_SPACE = r"(?U)^\s+|\s+$"
-SPACE_RUN = r"(?U)\s+"
+# White space as Unicode defines it, with the four separator
+# control characters; as characters and as a Java pattern for a run of them.
+WHITE_SPACE = (
+    "\t\n\v\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+SPACE_RUN = r"(?U)[\s\x1c-\x1f]+"
 
 
 def _col(column: Column | str) -> Column:
@@ -16,8 +20,8 @@ def _col(column: Column | str) -> Column:
 
 
 def trim(column: Column | str) -> Column:
-    """Strip all white space at both ends (tabs and no-break spaces too)."""
-    return F.regexp_replace(_col(column), EDGE_SPACE, "")
+    """Strip all white space at both ends (tabs and no-break spaces too); only the ends are looked at."""
+    return F.btrim(_col(column), F.lit(WHITE_SPACE))
 
 
 def lower(column: Column | str) -> Column:

@@ -69,8 +69,9 @@ def _sales_columns() -> dict[str, Column]:
     return {
         "order_id": F.col("l_orderkey"),
         "line_number": F.col("l_linenumber").cast("long"),
-        "order_date": F.col("o_orderdate").cast("date"),
-        "ship_date": F.col("l_shipdate").cast("date"),
+        # kept as stored: a cast would stop date filters from reaching the scan
+        "order_date": F.col("o_orderdate"),
+        "ship_date": F.col("l_shipdate"),
         "customer_id": F.col("o_custkey"),
         "customer_name": F.col("c_name"),
         "segment": F.col("c_mktsegment"),
