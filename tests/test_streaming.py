@@ -5,6 +5,10 @@ from tidemark.operators.cleaning import clean_dataframe
 from tidemark.streaming import ingest_files, read_files, summarize_files
 
 
+def clean_dataframe_rows(df):
+    return clean_dataframe(df, dedupe=False)
+
+
 def write(folder, name, rows):
     folder.mkdir(exist_ok=True)
     (folder / name).write_text("k,v\n" + "".join(f"{k},{v}\n" for k, v in rows))
@@ -31,8 +35,8 @@ def test_running_summary_over_batches(spark, tmp_path):
         write(source, f"{i}.csv", [("a", 1), ("b", 10)] if i else [("a", 1)])
     args = (str(tmp_path / "out"), str(tmp_path / "progress"), "k", {"v": ["sum", "count"]})
     stream = lambda: read_files(spark, str(source), "k string, v long", files_per_batch=1)
-    first = summarize_files(stream(), *args).orderBy("k")
+    first = summarize_files(stream(), *args, transform=clean_dataframe_rows).orderBy("k")
     assert values(first, "k", "v_sum", "v_count") == [("a", 4, 4), ("b", 30, 3)]
     write(source, "late.csv", [("b", 5)])
-    second = summarize_files(stream(), *args).orderBy("k")
+    second = summarize_files(stream(), *args, transform=clean_dataframe_rows).orderBy("k")
     assert values(second, "k", "v_sum", "v_count") == [("a", 4, 4), ("b", 35, 4)]

@@ -83,7 +83,7 @@ CUSTOMERS = """, c AS (SELECT customer_id, sum(quantity) AS quantity, CAST(count
 
 
 @register("F9", over("sales", CUSTOMERS + " UNION ALL ".join(f"""
-    SELECT '{c}' AS "column", count_if({c} < q1 - 1.5 * (q3 - q1) OR {c} > q3 + 1.5 * (q3 - q1)) AS outliers
+    SELECT '{c}' AS "column", CAST(count_if({c} < q1 - 1.5 * (q3 - q1) OR {c} > q3 + 1.5 * (q3 - q1)) AS BIGINT) AS outliers
     FROM c, (SELECT quantile_cont({c}, 0.25) AS q1, quantile_cont({c}, 0.75) AS q3 FROM c)"""
     for c in ("quantity", "lines", "largest"))))
 def outlier_counts(spark: SparkSession, path: str) -> DataFrame:

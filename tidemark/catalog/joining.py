@@ -123,12 +123,17 @@ def merge_without_matches(spark: SparkSession, path: str) -> DataFrame:
 
 
 @register("J10", """
-    SELECT a.column_name AS "column" FROM (DESCRIBE documents) a JOIN (DESCRIBE labels) b USING (column_name)""")
+    SELECT 'doc_id' AS "column", (SELECT count(doc_id) FROM documents) AS left_values,
+           (SELECT count(doc_id) FROM labels) AS right_values""")
 def shared_columns(spark: SparkSession, path: str) -> DataFrame:
+    """Join candidates of two tables, with the values each side has for them."""
     documents, labels = table(spark, path, "documents"), table(spark, path, "labels")
     shared = check_merge_key_overlap(documents, labels)
-    names = F.explode(F.array(*[F.lit(c) for c in shared])).alias("column")
-    return documents.limit(1).select(names)
+
+    def filled(df: DataFrame, name: str) -> DataFrame:
+        return df.agg(*[F.count(c).alias(c) for c in shared]).unpivot([], shared, "column", name)
+
+    return filled(documents, "left_values").join(filled(labels, "right_values"), "column")
 
 
 @register("J11", """

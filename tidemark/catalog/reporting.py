@@ -30,7 +30,7 @@ def histogram_of_values(spark: SparkSession, path: str) -> DataFrame:
     SELECT category, {r('q1', 3)} AS q1, {r('median', 3)} AS median, {r('q3', 3)} AS q3,
            {r('min(CASE WHEN profit BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1) THEN profit END)', 4)} AS lower_whisker,
            {r('max(CASE WHEN profit BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1) THEN profit END)', 4)} AS upper_whisker,
-           count_if(profit < q1 - 1.5 * (q3 - q1) OR profit > q3 + 1.5 * (q3 - q1)) AS outliers
+           CAST(count_if(profit < q1 - 1.5 * (q3 - q1) OR profit > q3 + 1.5 * (q3 - q1)) AS BIGINT) AS outliers
     FROM sales JOIN q USING (category) GROUP BY category, q1, median, q3"""))
 def box_of_profit(spark: SparkSession, path: str) -> DataFrame:
     df = reports.box_stats(sales(spark, path, ["category", "profit"]), "profit", "category")
@@ -43,7 +43,7 @@ def box_of_profit(spark: SparkSession, path: str) -> DataFrame:
     SELECT event_type, """ + f"{r('q1', 3)} AS q1, {r('median', 3)} AS median, {r('q3', 3)} AS q3," + """
            min(CASE WHEN value BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1) THEN value END) AS lower_whisker,
            max(CASE WHEN value BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1) THEN value END) AS upper_whisker,
-           count_if(value < q1 - 1.5 * (q3 - q1) OR value > q3 + 1.5 * (q3 - q1)) AS outliers
+           CAST(count_if(value < q1 - 1.5 * (q3 - q1) OR value > q3 + 1.5 * (q3 - q1)) AS BIGINT) AS outliers
     FROM events JOIN q USING (event_type) GROUP BY event_type, q1, median, q3""")
 def box_of_event_values(spark: SparkSession, path: str) -> DataFrame:
     """Skewed values, so there are outliers."""

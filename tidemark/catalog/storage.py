@@ -103,7 +103,7 @@ def chunked_ingest(spark: SparkSession, path: str) -> DataFrame:
     SELECT event_type, count(value) AS value_count, max(value) AS value_max, CAST(sum(user_id) AS BIGINT) AS user_id_sum
     FROM events GROUP BY event_type""")
 def running_summary(spark: SparkSession, path: str) -> DataFrame:
-    """Grouped totals kept in the state store while files arrive."""
+    """Grouped totals of all files taken in so far."""
     source = scratch_path(spark, "event-files")
     events = table(spark, path, "events").select("event_type", "value", "user_id")
     save_parquet(events.repartition(12), source)

@@ -116,7 +116,7 @@ def rank_suppliers(spark: SparkSession, path: str) -> DataFrame:
 def rank_lines_with_ties(spark: SparkSession, path: str) -> DataFrame:
     """Fifty distinct quantities: ties share the average rank."""
     df = table(spark, path, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
-    return rank_values(df, "l_quantity", ascending=False, new_col="quantity_rank").drop("l_quantity")
+    return rank_values(df, "l_quantity", ascending=False, new_col="quantity_rank", stored=True).drop("l_quantity")
 
 
 @register("W6", over("sales", """

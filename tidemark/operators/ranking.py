@@ -45,15 +45,21 @@ def rank_values(
     method: str = "average",
     new_col: str = "rank",
     small_groups: bool = False,
+    stored: bool = False,
 ) -> DataFrame:
-    """Rank of each value in the table or its group; NULL stays unranked."""
+    """Rank of each value in the table or its group; NULL stays unranked.
+
+    ``stored=True`` says that ``df`` is a stored table, or a filter or
+    selection of one: it gives the same values whenever it is read, so it need
+    not be written first.
+    """
     groups = as_list(partition_by)
     if small_groups:
         return _rank_by_window(df, value, groups, ascending, method, new_col)
 
     # Both sides of the join back must see the same values: float sums may
     # differ in the last digit when computed twice.
-    rows = materialize(df)
+    rows = df if stored else materialize(df)
     ranked_rows = present(rows, value)
     for g in groups:
         ranked_rows = ranked_rows & F.col(g).isNotNull()

@@ -68,5 +68,7 @@ def slice_rows(
     near one.
     """
     end = stop + 1 if inclusive else stop
-    placed = row_positions(df, sort_keys(order_by)).filter((F.col(POSITION) >= start) & (F.col(POSITION) < end))
-    return placed.select(*(columns or df.columns))
+    kept = list(columns or df.columns)
+    narrow = df.select(*dict.fromkeys([*kept, *as_list(order_by)]))
+    placed = row_positions(narrow, sort_keys(order_by)).filter((F.col(POSITION) >= start) & (F.col(POSITION) < end))
+    return placed.select(*kept)

@@ -1,5 +1,5 @@
 """Incremental file jobs."""
 
-from tidemark.streaming.ingest import ingest_files, latest_summary, read_files, summarize_files
+from tidemark.streaming.ingest import ingest_files, read_files, summarize_files
 
-__all__ = ["ingest_files", "latest_summary", "read_files", "summarize_files"]
+__all__ = ["ingest_files", "read_files", "summarize_files"]

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, types as T
 
 from tidemark.operators.aggregation import groupby_summary
 from tidemark.operators.ordering import as_list
@@ -57,33 +57,11 @@ def summarize_files(
     checkpoint_path: str,
     group_col: str | Sequence[str],
     agg_dict: Mapping,
+    transform: Callable[[DataFrame], DataFrame] = lambda df: df,
 ) -> DataFrame:
-    """Grouped aggregate kept up to date across batches; return its current rows.
+    """Take in the new files, then group all rows taken in so far.
 
-    The running aggregates live in Spark's state store. Each batch writes only
-    the groups it changed, to a folder of its own, so a repeated batch
-    overwrites itself.
+    Only new files are parsed; the grouping reads just the columns it needs
+    from the Parquet table and combines before its shuffle.
     """
-    keys = as_list(group_col)
-    result = groupby_summary(stream, keys, agg_dict)
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{output_path}/batch={batch_id}")
-
-    query = (
-        result.writeStream.outputMode("update")
-        .option("checkpointLocation", checkpoint_path)
-        .foreachBatch(write)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    return latest_summary(stream.sparkSession, output_path, keys, result.schema)
-
-
-def latest_summary(spark: SparkSession, output_path: str, keys: Sequence[str], schema: T.StructType) -> DataFrame:
-    """Newest row of each group among all batches."""
-    batches = spark.read.schema(T.StructType([*schema.fields, T.StructField("batch", T.LongType())])).parquet(output_path)
-    values = [f.name for f in schema.fields if f.name not in keys]
-    newest = F.max_by(F.struct(*values), "batch").alias("__row")
-    return batches.groupBy(*keys).agg(newest).select(*keys, "__row.*")
+    return groupby_summary(ingest_files(stream, output_path, checkpoint_path, transform), group_col, agg_dict)
