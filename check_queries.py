@@ -48,8 +48,7 @@ def compare(columns, rows, sql_columns, sql_rows) -> str | None:
     return None
 
 
-def check(spark, db, entry, folder: str) -> tuple[str, int]:
-    df = entry.run(spark, folder)
+def check(db, entry, df) -> tuple[str, int]:
     rows = df.collect()
     if entry.sql is None:
         return "no SQL", len(rows)
@@ -71,7 +70,7 @@ def main(names: list[str]) -> int:
             continue
         start = time.time()
         try:
-            verdict, count = check(spark, db, entry, folder)
+            verdict, count = check(db, entry, entry.run(spark, folder))
         except Exception as error:  # report every query, then fail
             verdict, count = f"error {type(error).__name__}: {str(error)[:600]}", 0
         failed += verdict not in ("ok", "no SQL")
