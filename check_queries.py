@@ -59,7 +59,7 @@ def check(db, entry, df) -> tuple[str, int]:
 def main(names: list[str]) -> int:
     folder = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.01")
     spark = get_session("check", **{
-        "spark.master": "local[8]", "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false",
+        "spark.master": "local[8]", "spark.sql.shuffle.partitions": os.environ.get("CHECK_PARTITIONS", "8"), "spark.ui.enabled": "false",
         "spark.driver.memory": "8g",
     })
     spark.sparkContext.setLogLevel("ERROR")

@@ -12,6 +12,8 @@ def spark(tmp_path_factory) -> SparkSession:
     session = get_session("tests", **{
         "spark.master": "local[4]",
         "spark.sql.shuffle.partitions": "4",
+        # keep several blocks even on small tables
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "4g",

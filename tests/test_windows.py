@@ -130,6 +130,11 @@ def test_small_tiles_give_the_same_rows(rows, data):
         same(got, "x", s.groupby("g").v.transform(lambda x: x.rolling(reach + 1, min_periods=1).sum()))
 
 
+def test_a_hot_group_spans_several_blocks(rows):
+    blocks = ordering.range_blocks(rows, ["g"], ["t"]).filter("g = 'hot'").select(ordering.BLOCK).distinct()
+    assert blocks.count() >= 2
+
+
 def test_positions_are_dense(rows, data):
     got = ordering.row_positions(rows, ["t"]).orderBy("t")
     assert values(got, ordering.POSITION) == list(range(len(data)))

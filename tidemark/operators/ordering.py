@@ -5,8 +5,9 @@ task. The operators here split the order itself: rows are range-partitioned by
 (group, order key) into blocks, each block is summarised, and the few block
 summaries carry the running state from one block to the next.
 
-The number of blocks is the session's shuffle partition count, so block tables
-stay that small however large the data is.
+Adaptive execution merges small neighbouring blocks, and there are never more
+than the session's shuffle partitions, so block tables stay small however large
+the data is.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
-from tidemark.session import materialize, shuffle_partitions
+from tidemark.session import materialize
 
 BLOCK = "__block"
 ROW = "__row"
@@ -48,8 +49,7 @@ def range_blocks(df: DataFrame, partition_by: OrderKeys, order_by: OrderKeys) ->
     checkpoint: every later read must see the same blocks.
     """
     keys = [*as_columns(partition_by), *as_columns(order_by)]
-    blocks = shuffle_partitions(df.sparkSession)
-    return materialize(df.repartitionByRange(blocks, *keys).withColumn(BLOCK, F.spark_partition_id()))
+    return materialize(df.repartitionByRange(*keys).withColumn(BLOCK, F.spark_partition_id()))
 
 
 def block_window(partition_by: OrderKeys) -> WindowSpec:
@@ -120,9 +120,8 @@ def row_positions(
     partitions makes it dense. The size table has one row per partition.
     """
     keys = [*as_columns(partition_by), *as_columns(order_by)]
-    blocks = shuffle_partitions(df.sparkSession)
     ranged = materialize(
-        df.repartitionByRange(blocks, *keys)
+        df.repartitionByRange(*keys)
         .sortWithinPartitions(*keys)
         .withColumn("__id", F.monotonically_increasing_id())
         .withColumn(BLOCK, F.shiftright(F.col("__id"), 33))

@@ -17,6 +17,8 @@ from tidemark.session import if_small_broadcast
 
 QUARTILES = (0.25, 0.5, 0.75)
 
+COLUMN = "__column"
+
 # Distinct (group, value) rows, counted beforehand, that one task may hold.
 ONE_TASK_VALUES = 1_000_000
 
@@ -26,15 +28,23 @@ def with_keys(df: DataFrame, groups: Sequence[str]) -> DataFrame:
 
 
 def _long(df: DataFrame, columns: Sequence[str], groups: Sequence[str]) -> DataFrame:
-    """One row per (group, column, value); NULL groups, NULL and NaN are left out."""
+    """One row per (group, column number, value); NULL groups, NULL and NaN are left out.
+
+    The number is what gets shuffled; names are put back on the few results.
+    """
+    cells = [x for i, c in enumerate(columns) for x in (F.lit(i), F.col(c).cast("double"))]
     return (
         with_keys(df, groups)
-        .select(*groups, *[F.col(c).cast("double").alias(c) for c in columns])
-        .unpivot(list(groups), list(columns), "column", "value")
+        .select(*groups, F.stack(F.lit(len(columns)), *cells).alias(COLUMN, "value"))
         .filter(F.col("value").isNotNull() & ~F.isnan("value"))
     )
 
 
+def _named(found: DataFrame, columns: Sequence[str], groups: Sequence[str]) -> DataFrame:
+    names = F.array(*[F.lit(c) for c in columns])
+    return found.select(*groups, F.element_at(names, F.col(COLUMN) + 1).alias("column"), "probability", "value")
+
+
 def quantiles(
     df: DataFrame,
     columns: str | Sequence[str],
@@ -49,19 +59,20 @@ def quantiles(
     a rank error of at most 1/accuracy.
     """
     groups, wanted = as_list(partition_by), [float(p) for p in probabilities]
-    cells = _long(df, as_list(columns), groups)
-    keys = [*groups, "column"]
+    names = as_list(columns)
+    cells = _long(df, names, groups)
+    keys = [*groups, COLUMN]
     if approximate:
         sketch = cells.groupBy(*keys).agg(F.percentile_approx("value", wanted, accuracy).alias("__q"))
-        return sketch.select(*keys, F.inline(_pairs(wanted)))
+        return _named(sketch.select(*keys, F.inline(_pairs(wanted))), names, groups)
 
     counts = cells.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("__n"))
     blocks = range_blocks(counts, keys, ["value"])
     if blocks.count() <= ONE_TASK_VALUES:
         # Few distinct values by count: the built-in aggregate is exact on them and bounded.
         picked = blocks.groupBy(*keys).agg(F.percentile("value", wanted, F.col("__n")).alias("__q"))
-        return picked.select(*keys, F.inline(_pairs(wanted)))
-    return _from_blocks(blocks, keys, wanted)
+        return _named(picked.select(*keys, F.inline(_pairs(wanted))), names, groups)
+    return _named(_from_blocks(blocks, keys, wanted), names, groups)
 
 
 def _pairs(wanted: Sequence[float]) -> Column:

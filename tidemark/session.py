@@ -80,7 +80,3 @@ def if_small_broadcast(df: DataFrame) -> DataFrame:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path for an intermediate table under the shared folder."""
     return os.path.join(shared_folder(spark), "tidemark-scratch", f"{name}-{uuid.uuid4().hex}")
-
-
-def shuffle_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
