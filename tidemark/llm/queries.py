@@ -5,15 +5,18 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tidemark.llm import bpe, html, language, lattice, lz, planes
 from tidemark.llm.packing import cut_documents, pack
 from tidemark.llm.tokens import encode_documents
+from tidemark.session import delete_at_exit, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
 
 
@@ -31,3 +34,48 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = encode_documents(table(spark, sf_dir, "documents"), VOCABULARY, PATTERN, end=2)
     pieces = cut_documents(encoded, 1024).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
     return pack(pieces, 1024)
+
+
+@query
+def op3_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    both = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), RANKS, PATTERN), RANKS)
+    return both.select(
+        "doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@query
+def op6_bit_plane_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ordered = planes.sorted_documents(table(spark, sf_dir, "documents"))
+    path = scratch_path(spark, "planes")
+    planes.write_files(encode_documents(ordered, VOCABULARY, PATTERN, end=0), path)
+    delete_at_exit(spark, path)
+    return planes.read_files(spark, path, (F.length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
+
+
+@query
+def op4_lz_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    compared = lz.compare_with_edits(table(spark, sf_dir, "documents"))
+    return compared.withColumn("edited", F.sha2("edited", 256)).withColumnRenamed("edited", "edited_sha256")
+
+
+@query
+def op8_lattice_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice.near_duplicates(table(spark, sf_dir, "embeddings"), 0.93)
+
+
+@query
+def op9_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
+def remainder() -> Column:
+    return F.crc32(F.col("doc_id").cast("string")) % 5
+
+
+@query
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(remainder() == 0, F.lit(False))
+    return language.predict(docs, language.learn(docs.where(~held_out)), "doc_id", held_out.alias("held_out"))
