@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidemark.llm import bpe, html, language, lattice, lz, planes
+from tidemark.llm import bpe, html, language, lattice, lz, minhash, planes
 from tidemark.llm.packing import cut_documents, pack
 from tidemark.llm.tokens import encode_documents
 from tidemark.session import delete_at_exit, scratch_path
@@ -79,3 +79,8 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = F.coalesce(remainder() == 0, F.lit(False))
     return language.predict(docs, language.learn(docs.where(~held_out)), "doc_id", held_out.alias("held_out"))
+
+
+@query
+def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=2, percent=80)
