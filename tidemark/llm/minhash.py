@@ -16,24 +16,21 @@ all, so the components are those of all found pairs.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import itertools
 import math
+from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.llm.graph import components
+from tidemark.llm.members import likely_members
 from tidemark.llm.words import mixed, shingles, word_hashes
 from tidemark.session import materialize
 
 POSITIONS, MISSED, SEED = 96, 0.00001, 7
-#: Bits of the filter that spares most documents a join; its size is fixed, wrong hits only cost time.
-FILTER_BITS = 1 << 23
 
 
 def most_differences(likeness: float, positions: int = POSITIONS, missed: float = MISSED) -> int:
@@ -119,25 +116,15 @@ def similar_signatures(pairs: DataFrame, nodes: DataFrame, positions: int, most:
 
 def sets_of(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
     """``node`` and its ``hashes`` (binary) for the documents in ``ids`` (``node``)."""
-    place = lambda c: F.pmod(F.xxhash64(F.col(c).cast("long")), F.lit(FILTER_BITS)) + 1  # noqa: E731  bitmaps count from 1
-    rows = ids.select(place("node").alias("p")).groupBy(F.bitmap_bucket_number("p").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("bits")).collect()
-    bits = np.zeros((FILTER_BITS // 32_768, 4096), np.uint8)
-    for r in rows:
-        bits[r["bucket"] - 1] = np.frombuffer(r["bits"], np.uint8)
-    flags = bits.ravel()
-
-    @F.pandas_udf("boolean")
-    def wanted(p: pd.Series) -> pd.Series:
-        at = p.to_numpy(np.int64) - 1
-        return pd.Series((flags[at >> 3] >> (at & 7) & 1).astype(bool))
+    likely = likely_members(ids, "node")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [shingles(word_hashes().of(t), words).tobytes() for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sets, pa.binary())], ["node", "hashes"])
 
-    likely = docs.select(F.col("doc_id").cast("long").alias("node"), "text").where(F.col("node").isNotNull()).where(wanted(place("node")))
-    return likely.join(ids, "node", "left_semi").mapInArrow(run, "node long, hashes binary").dropDuplicates(["node"])
+    some = docs.select(F.col("doc_id").cast("long").alias("node"), "text").where(likely(F.col("node")))
+    return some.join(ids, "node", "left_semi").mapInArrow(run, "node long, hashes binary").dropDuplicates(["node"])
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
