@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidemark.llm import bpe, html, language, lattice, lines, lz, minhash, planes
+from tidemark.llm import bpe, html, katz, language, lattice, lines, lz, minhash, planes
 from tidemark.llm.packing import cut_documents, pack
 from tidemark.llm.tokens import encode_documents
 from tidemark.session import delete_at_exit, scratch_path
@@ -89,3 +89,9 @@ def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.remove_repeated_lines(table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_removed", "text")
+
+
+@query
+def op2_katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.coalesce(remainder() == 1, F.lit(False))
+    return katz.score(table(spark, sf_dir, "documents").withColumn("held_out", held_out))
