@@ -190,8 +190,10 @@ def make_plan(counts: dict[int, int], capacity: int, small: int, groups: int = G
 # ---- placing the pieces ----
 
 def ranked(pieces: DataFrame, total: int) -> DataFrame:
-    """``rank`` from 0 among the pieces of the same length, without one task per length."""
-    others = [c for c in pieces.columns]
+    """``rank`` from 0 among the pieces of the same length, without one task per length.
+
+    Ties are broken by all columns but binary ones, which are only carried along."""
+    others = [c for c, kind in pieces.dtypes if kind != "binary"]
     blocks = max(1, total // BLOCK)
     dealt = pieces.withColumn("_block", F.pmod(F.xxhash64(*others), F.lit(blocks)))
     sizes = dealt.groupBy("length", "_block").agg(F.count("*").alias("_n"))
