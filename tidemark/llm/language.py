@@ -161,5 +161,6 @@ def predict(docs: DataFrame, model: Model | None, *keep: str | Column, far: floa
 
 def keep_known_languages(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """Rows of ``docs``, all columns, without those that are rejected; learns from their labels."""
-    judged = predict(docs, learn(docs, sample), *docs.columns)
-    return judged.where("not rejected").select(*docs.columns)
+    numbered = [F.col(c).alias(f"_{i}") for i, c in enumerate(docs.columns)]  # whatever their names
+    judged = predict(docs, learn(docs, sample), *numbered).where("not rejected")
+    return judged.select(*(F.col(f"_{i}").alias(c) for i, c in enumerate(docs.columns)))
