@@ -6,6 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import values
+from tidemark.operators.reports import gradient, histogram
+from tidemark.operators.filters import detect_outliers_iqr
 from tidemark.operators.aggregation import (
     binned_summary, compute_approval_rate, groupby_summary, grouped_totals, named_summary, rate_of, table_summary,
 )
@@ -150,3 +152,14 @@ def test_pivot_refuses_too_many_columns(spark):
 def test_unstack_fills(cells):
     df = stacked_groupby_unstack(cells, ["Region", "Seg", "Product"], "Sales", "Product").orderBy("Region", "Seg")
     assert values(df, "Region", "Seg", "P", "Q") == [("E", "x", 100.0, 150.0), ("W", "x", 200.0, 0.0), ("W", "y", 0.0, 300.0)]
+
+
+def test_nan_is_read_as_null(spark):
+    df = spark.createDataFrame([("a", 1.0), ("a", float("nan")), ("b", float("nan")), ("b", None), ("a", 3.0)], "g string, v double")
+    got = groupby_summary(df, "g", {"v": ["sum", "mean", "max", "count"]}).orderBy("g").collect()
+    assert [tuple(r) for r in got] == [("a", 4.0, 2.0, 3.0, 2), ("b", 0.0, None, None, 0)]
+    assert tuple(table_summary(df, {"v": "sum"}).first()) == (4.0,)
+    assert {r.bin: r["count"] for r in histogram(df, "v", 4).collect()} == {0: 1, 1: 0, 2: 0, 3: 1}
+    assert sorted((r.v_intensity for r in gradient(df, ["v"]).collect()), key=str) == [0.0, 1.0, None, None, None]
+    many = spark.createDataFrame([(float(i),) for i in range(9)] + [(100.0,), (float("nan"),)], "v double")
+    assert [r.v for r in detect_outliers_iqr(many, "v").collect()] == [100.0]

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F, types as T
 
 from tests.conftest import values
 from tidemark import functions as fn
-from tidemark.functions.expressions import null_on_zero_divisor
+from tidemark.functions.expressions import spark_text
 from tidemark.operators import columns as ops
 from tidemark.operators.narrowing import narrow_types, optimize_dataframe
 
@@ -51,17 +51,29 @@ def test_pandas_function_on_elements(frame):
     ("a / b", "a / nullif(b, 0)"),
     ("a / (b - c) * 2", "a / nullif((b - c), 0) * 2"),
     ("a / abs(b) + 1", "a / nullif(abs(b), 0) + 1"),
-    ("s == 'a/b' and x/y > 1", "s == 'a/b' and x/nullif(y, 0) > 1"),
+    ("s == 'a/b' and x/y > 1", "s == 'a/b' and x/ nullif(y, 0) > 1"),
+    ("x / 1e-3", "x / nullif(1e-3, 0)"),
+    ("x / case when a > 1 then 2 else 3 end + 1", "x / nullif(case when a > 1 then 2 else 3 end, 0) + 1"),
+    ("k % z", "k % nullif(z, 0)"),
+    ("a * b // c + 1", "floor(a * b / nullif(c, 0)) + 1"),
+    ("f(a, b) // g(c)[1]", "floor(f(a, b) / nullif(g(c)[1], 0))"),
+    ("a ** 2 + `b/c` / -m['k']", "power(a, 2) + `b/c` / nullif(-m['k'], 0)"),
+    ("(a > 1) & (b in ['x', 'y']) | (c == 'p&q')", "(a > 1)  AND  (b in ('x', 'y'))  OR  (c == 'p&q')"),
+    ("a || b", "a || b"),
     ("a / (b / c)", "a / nullif((b / nullif(c, 0)), 0)"),
 ])
 def test_divisor_rewrite(text, want):
-    assert null_on_zero_divisor(text) == want
+    assert spark_text(text) == want
 
 
 def test_string_expressions(frame):
     df = frame({"A": [11, 12, 5], "B": [0, 4, 1], "C": ["value", "value", "x"]})
     assert values(fn.query(df, 'A > 10 and B < 20 and C == "value"'), "A") == [11, 12]
     assert values(fn.evaluate(df, "r = A / B"), "r") == [None, 3.0, 5.0]
+    assert values(fn.evaluate(df, "r = A / 1e-1"), "r") == [110.0, 120.0, 50.0]
+    assert values(fn.evaluate(df, "r = A % B"), "r") == [None, 0, 0]
+    assert values(fn.evaluate(df, "r = A // B"), "r") == [None, 3, 5]
+    assert values(fn.query(df, '(C in ["x", "y"]) | (A ** 2 > 130) & (B < 9)'), "A") == [12, 5]
     with pytest.raises(ValueError):
         fn.evaluate(df, "A == B")
 

@@ -49,12 +49,11 @@ def test_right_key_takes_left_type(frame):
     assert values(got, "k", "b") == [(2, "x")] and got.schema["k"].dataType.simpleString() == "bigint"
 
 
-def test_dates_parsed_bad_ones_null(frame):
+def test_dates_parsed_bad_ones_match_nothing(frame):
     left = frame({"d": ["2024-01-01", "bad"], "a": [1, 2]})
     right = frame({"d": ["2024-01-01", "worse"], "b": [3, 4]})
     got = safe_merge(left, right, "d", parse_dates=True)
-    assert sorted(values(got, "a", "b")) == [(1, 3), (2, 4)]
-    assert {d for d in values(got, "d")} == {dt.datetime(2024, 1, 1), None}
+    assert values(got, "d", "a", "b") == [(dt.datetime(2024, 1, 1), 1, 3)]
 
 
 def test_two_keys_suffixes_and_no_match(frame, capsys):
@@ -120,3 +119,12 @@ def test_head_is_a_top_k_plan(frame):
 def test_detail_of_top_groups(frame):
     df = frame({"g": ["a", "b", "c", "a"], "v": [1, 5, 3, 1]})
     assert sorted(values(top_groups_detail(df, "g", "v", 2), "g")) == ["b", "c"]
+
+
+@pytest.mark.parametrize("how, n", [("inner", 1), ("left", 201), ("right", 201), ("outer", 401)])
+def test_unreadable_keys_match_nothing(spark, how, n):
+    left = spark.createDataFrame([(f"bad {i}", i) for i in range(200)] + [(None, 7)], "k string, a int")
+    right = spark.createDataFrame([(f"worse {i}", i) for i in range(200)] + [(None, 8)], "k string, b int")
+    merged = safe_merge(left, right, "k", how, parse_dates=True)
+    assert merged.columns == ["k", "a", "b"] and merged.count() == n
+    assert safe_merge(left, right, "k", how, parse_dates=True, null_safe=False).count() == n - 1 + (how == "outer") * 2 + (how in ("left", "right"))

@@ -13,9 +13,9 @@ from tidemark.sources import load_csv, load_parquet
 def test_histogram(frame):
     df = frame({"q": [1, 1, 2, 5, 9, 11]})
     assert values(reports.histogram(df, "q", 5).orderBy("bin"), "bin", "bin_start", "count") == [
-        (0, 1.0, 3), (2, 5.0, 1), (4, 9.0, 2)
+        (0, 1.0, 3), (1, 3.0, 0), (2, 5.0, 1), (3, 7.0, 0), (4, 9.0, 2)
     ]
-    assert values(reports.histogram(frame({"q": [3, 3]}), "q", 4), "bin", "count") == [(0, 2)]
+    assert values(reports.histogram(frame({"q": [3, 3]}), "q", 4).orderBy("bin"), "bin", "count") == [(0, 2), (1, 0), (2, 0), (3, 0)]
     assert reports.histogram(frame({"q": [None]}, "q double"), "q").count() == 0
 
 
@@ -119,7 +119,7 @@ def test_clean_and_optimize_jobs(sales, frame, spark, tmp_path):
     assert report.cleaned.count() == 1 and dict(values(report.missing, "column", "missing")) == {"s": 1, "v": 1}
     assert values(report.outliers, "outliers") == [0] and load_csv(str(tmp_path / "clean"), spark=spark).count() == 1
     loans = frame({"loan_amount": [10.0, 5.0], "income": [4.0, 0.0]})
-    out = jobs.optimize_job(sales, loans, 200, str(tmp_path / "opt"))
+    out = jobs.optimize_job(sales, loans, 200, str(tmp_path / "opt"), ["region"])
     assert out.high_sales.count() == 2 and values(out.loans, "loan_to_income_ratio") == [2.5, None]
     assert load_csv(str(tmp_path / "opt" / "loan_optimized"), spark=spark).count() == 2
 

@@ -5,7 +5,7 @@ from types import SimpleNamespace
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.session import if_small_broadcast, materialize, scratch_path, shared_folder
+from tidemark.session import materialize, scratch_path, shared_folder
 
 
 def test_shared_folder_is_the_configured_one(spark):
@@ -33,13 +33,3 @@ def test_materialized_rows_are_fixed(spark):
     assert df.join(df.withColumnRenamed("r", "s"), "id").filter("r <> s").count() == 0
     plan = df.select("id")._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<id:bigint>" in plan  # only the columns asked for
-
-
-def test_broadcast_is_size_checked(spark, monkeypatch):
-    from tidemark import session
-
-    small = if_small_broadcast(spark.range(10))
-    assert "ResolvedHint" in small._jdf.queryExecution().analyzed().toString()
-    monkeypatch.setattr(session, "BROADCAST_ROWS", 5)
-    large = if_small_broadcast(spark.range(10))
-    assert "ResolvedHint" not in large._jdf.queryExecution().analyzed().toString()

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import values
-from tidemark.operators import ordering, quantiles as quantile_module
+from tidemark.operators import ordering
 from tidemark.operators.quantiles import quantile_columns, quantiles
 from tidemark.operators.ranking import rank_values
 from tidemark.operators.windows import (
@@ -149,10 +149,7 @@ def test_grouped_eval_and_nested_windows(frame):
     assert values(centred.orderBy("g", "m"), "c")[:3] == [-10.0, 0.0, 10.0]
 
 
-@pytest.mark.parametrize("one_task", [1_000_000, 0])
-def test_quantiles(rows, data, monkeypatch, one_task):
-    """By the built-in aggregate on counted values, and by range blocks."""
-    monkeypatch.setattr(quantile_module, "ONE_TASK_VALUES", one_task)
+def test_quantiles(rows, data):
     wanted = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
     got = quantiles(rows, ["v", "t"], wanted).toPandas().pivot(index="probability", columns="column", values="value")
     want = data[["v", "t"]].quantile(wanted)
@@ -186,3 +183,12 @@ def test_no_window_holds_a_whole_group(rows):
 def test_plain_window_on_calendar_series(rows):
     plan = rolling_mean(rows, "v", 3, "t", "g", small_groups=True)._jdf.queryExecution().optimizedPlan().toString()
     assert "__tile" not in plan
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_growth_keeps_rows_without_order_key_last(spark, small):
+    df = spark.createDataFrame([(None, 10.0), (1, None), (2, 20.0), (3, 40.0)], "t long, v double")
+    grown = pct_change(df, "v", "t", small_groups=small)
+    assert sorted(values(grown, "t", "v_pct_change"), key=lambda r: (r[0] is None, r[0])) == [(1, None), (2, None), (3, 1.0), (None, -0.75)]
+    filled = forward_fill(df, "v", "t", small_groups=small)
+    assert sorted(values(filled, "t", "v"), key=lambda r: (r[0] is None, r[0])) == [(1, None), (2, 20.0), (3, 40.0), (None, 10.0)]

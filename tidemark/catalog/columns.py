@@ -295,3 +295,15 @@ def money_text(spark: SparkSession, path: str) -> DataFrame:
     return table(spark, path, "orders").select(
         "o_orderkey", fn.currency("o_totalprice").alias("price"), fn.thousands("o_orderkey").alias("number")
     )
+
+
+@register("R15 F1", """
+    SELECT l_orderkey AS order_id, CAST(l_linenumber AS BIGINT) AS line, CAST(l_quantity % nullif(l_linenumber - 3, 0) AS DOUBLE) AS rest,
+           CAST(floor(l_quantity * 2 / nullif(l_linenumber - 3, 0)) AS BIGINT) AS whole
+    FROM lineitem WHERE (l_returnflag IN ('A', 'R') OR l_tax / 1e-3 > 70) AND l_quantity * l_quantity > 100""")
+def evaluate_string_operators(spark: SparkSession, path: str) -> DataFrame:
+    """Membership lists, ``&``, ``|``, exponents in numbers, ``**``, ``//`` and ``%`` with zero divisors."""
+    lines = table(spark, path, "lineitem").withColumn("step", F.col("l_linenumber") - 3)
+    kept = fn.query(lines, "(l_returnflag in ['A', 'R'] | l_tax / 1e-3 > 70) & l_quantity ** 2 > 100")
+    made = fn.evaluate(fn.evaluate(kept, "rest = l_quantity % step"), "whole = l_quantity * 2 // step")
+    return made.select(F.col("l_orderkey").alias("order_id"), F.col("l_linenumber").cast("long").alias("line"), "rest", F.col("whole").cast("long").alias("whole"))

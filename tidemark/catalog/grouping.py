@@ -262,3 +262,17 @@ def group_without_sort(spark: SparkSession, path: str) -> DataFrame:
     FROM loans GROUP BY loan_purpose"""))
 def loan_purpose_summary(spark: SparkSession, path: str) -> DataFrame:
     return round_columns(loan_summary(loans(spark, path)), total_loan=2, avg_income=4, approval_rate=6)
+
+
+NAN_LINES = "SELECT l_returnflag AS flag, CASE WHEN l_linenumber = 1 THEN NULL WHEN l_linenumber = 2 THEN NULL ELSE l_quantity END AS quantity FROM lineitem"
+
+
+@register("G1 G2", f"""
+    SELECT flag, coalesce(sum(quantity), 0) AS total, max(quantity) AS most, count(quantity) AS n FROM ({NAN_LINES}) GROUP BY flag""")
+def group_with_nan_and_null(spark: SparkSession, path: str) -> DataFrame:
+    """NaN counts as missing, as NULL does."""
+    lines = table(spark, path, "lineitem").select(
+        F.col("l_returnflag").alias("flag"),
+        F.expr("CASE WHEN l_linenumber = 1 THEN NULL WHEN l_linenumber = 2 THEN double('NaN') ELSE l_quantity END").alias("quantity"),
+    )
+    return groupby_summary(lines, "flag", {"quantity": ["sum", "max", "count"]}).toDF("flag", "total", "most", "n")

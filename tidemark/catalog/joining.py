@@ -147,14 +147,19 @@ def join_by_index(spark: SparkSession, path: str) -> DataFrame:
 
 @register("G9 J5", over("activity", """
     , m AS (SELECT last_day(CAST(l_shipdate AS DATE)) AS date, sum(l_quantity) AS quantity FROM lineitem GROUP BY 1),
-      o AS (SELECT last_day(CAST(o_orderdate AS DATE)) AS date, count(*) AS orders FROM orders GROUP BY 1)
-    SELECT date, quantity, orders FROM m JOIN o USING (date)"""))
+      o AS (SELECT last_day(CAST(o_orderdate AS DATE)) AS date, count(*) AS orders FROM orders GROUP BY 1),
+      ms AS (SELECT last_day(CAST(d AS DATE)) AS date FROM (SELECT unnest(generate_series(
+             date_trunc('month', min(l_shipdate)), max(l_shipdate), INTERVAL 1 MONTH)) AS d FROM lineitem)),
+      os AS (SELECT last_day(CAST(d AS DATE)) AS date FROM (SELECT unnest(generate_series(
+             date_trunc('month', min(o_orderdate)), max(o_orderdate), INTERVAL 1 MONTH)) AS d FROM orders))
+    SELECT date, coalesce(quantity, 0.0) AS quantity, coalesce(orders, 0) AS orders
+    FROM ms JOIN os USING (date) LEFT JOIN m USING (date) LEFT JOIN o USING (date)"""))
 def merge_monthly_trends(spark: SparkSession, path: str) -> DataFrame:
     shipped = table(spark, path, "lineitem").select(F.col("l_shipdate").alias("date"), F.col("l_quantity").alias("quantity"))
     ordered = table(spark, path, "orders").select(F.col("o_orderdate").alias("date"), F.col("o_orderkey").alias("orders"))
     return safe_merge(
         resample_monthly(shipped, "date", {"quantity": "sum"}), resample_monthly(ordered, "date", {"orders": "count"}), "date"
-    ).filter("orders > 0 and quantity > 0")
+    )
 
 
 @register("U1", """
@@ -201,3 +206,18 @@ def stack_list_of_tables(spark: SparkSession, path: str) -> DataFrame:
         table(spark, path, t).select(F.col(c).alias("name"), F.lit(t).alias("kind"))
         for t, c in (("region", "r_name"), ("nation", "n_name"), ("supplier", "s_name"))
     ])
+
+
+@register("J3 J5", """
+    SELECT day, orders, lines
+    FROM (SELECT CAST(o_orderdate AS DATE) AS day, count(*) AS orders FROM orders WHERE o_orderkey % 5 <> 0 GROUP BY 1)
+    JOIN (SELECT CAST(l_shipdate AS DATE) AS day, count(*) AS lines FROM lineitem WHERE l_orderkey % 3 <> 0 GROUP BY 1) USING (day)""")
+def merge_unreadable_dates(spark: SparkSession, path: str) -> DataFrame:
+    """A fifth of the keys on one side and a third on the other cannot be read as dates: they match nothing."""
+    def per_day(name: str, date: str, key: str, every: int, count: str) -> DataFrame:
+        readable = F.col(date).cast("date").cast("string")
+        day = F.when(F.col(key) % every != 0, readable).otherwise(F.concat(F.lit("no date "), F.col(key).cast("string")))
+        return table(spark, path, name).groupBy(day.alias("day")).agg(F.count(F.lit(1)).alias(count))
+
+    orders, lines = per_day("orders", "o_orderdate", "o_orderkey", 5, "orders"), per_day("lineitem", "l_shipdate", "l_orderkey", 3, "lines")
+    return safe_merge(orders, lines, "day", parse_dates=True).withColumn("day", F.col("day").cast("date"))

@@ -17,9 +17,9 @@ from tidemark.plans.views import loans, sales, shipments, table
 
 @register("V1", f"""
     WITH e AS (SELECT min(value) AS lo, max(value) AS hi FROM events)
-    SELECT bin, {r('lo + bin * ((hi - lo) / 20)', 4)} AS bin_start, count(*) AS "count"
-    FROM (SELECT CAST(least(floor((value - lo) / ((hi - lo) / 20)), 19) AS BIGINT) AS bin, lo, hi FROM events, e)
-    GROUP BY bin, lo, hi""")
+    SELECT bin, {r('lo + bin * ((hi - lo) / 20)', 4)} AS bin_start, coalesce(n, 0) AS "count"
+    FROM (SELECT range AS bin FROM range(20)) CROSS JOIN e LEFT JOIN (SELECT bin, count(*) AS n FROM (
+    SELECT CAST(least(floor((value - lo) / ((hi - lo) / 20)), 19) AS BIGINT) AS bin FROM events, e WHERE value IS NOT NULL) GROUP BY bin) USING (bin)""")
 def histogram_of_values(spark: SparkSession, path: str) -> DataFrame:
     return round_columns(reports.histogram(table(spark, path, "events"), "value", 20), bin_start=4)
 
@@ -281,3 +281,14 @@ def optimized_loan_ratio(spark: SparkSession, path: str) -> DataFrame:
 def optimized_profit_by_region(spark: SparkSession, path: str) -> DataFrame:
     tables = jobs.optimize_job(sales(spark, path, ["region", "profit", "sales"]), loans(spark, path))
     return round_columns(tables.profit_by_region, profit=3)
+
+
+@register("Q9 F5", over("sales", f"""
+    SELECT CAST(order_date AS VARCHAR) AS month, {r('sum(sales)', 2)} AS sales FROM sales
+    WHERE strftime(order_date, '%Y') = '1999' GROUP BY order_date"""))
+def dashboard_daily_search(spark: SparkSession, path: str) -> DataFrame:
+    """A daily report: a search matches hundreds of rows, and all of them are returned."""
+    daily = sales(spark, path, ["order_date", "sales", "profit"]).groupBy(F.col("order_date").cast("date").cast("string").alias("month")).agg(
+        F.sum("sales").alias("sales"), F.sum("profit").alias("profit"), F.count(F.lit(1)).alias("new_cases"), F.lit(0.0).alias("hospitalized"),
+    )
+    return round_columns(jobs.dashboard(daily, "1999-03-01", "^1999").matches.select("month", "sales"), sales=2)

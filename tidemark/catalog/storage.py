@@ -81,7 +81,7 @@ def regional_files(spark: SparkSession, path: str) -> DataFrame:
 
 
 @register("S5", """
-    SELECT CAST(o_orderdate AS DATE) AS order_date, sum(o_totalprice) > 0 AS has_sales, count(*) AS orders
+    SELECT CAST(o_orderdate AS DATE) AS order_date, CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS BIGINT) AS cents, count(*) AS orders
     FROM orders GROUP BY 1""")
 def chunked_ingest(spark: SparkSession, path: str) -> DataFrame:
     """CSV files taken a few at a time, typed and appended, then grouped."""
@@ -95,7 +95,7 @@ def chunked_ingest(spark: SparkSession, path: str) -> DataFrame:
         stream, out, scratch_path(spark, "progress"), lambda df: clean_dataframe(df, ["o_orderdate"], dedupe=False)
     )
     return ingested.groupBy(F.col("o_orderdate").alias("order_date")).agg(
-        (F.sum("o_totalprice") > 0).alias("has_sales"), F.count(F.lit(1)).alias("orders")
+        F.sum(F.round(F.col("o_totalprice") * 100).cast("long")).alias("cents"), F.count(F.lit(1)).alias("orders")
     )
 
 

@@ -15,7 +15,7 @@ from tidemark.operators.ordering import as_list
 
 Aggregate = "str | Callable[[Column], Column]"
 
-# NULL is skipped by all of these; the sum of no values is 0.
+# NULL and NaN are skipped by all of these; the sum of no values is 0.
 AGGREGATES: dict[str, Callable[[Column], Column]] = {
     "sum": lambda c: F.coalesce(F.sum(c), F.lit(0)),
     "mean": F.avg,
@@ -38,6 +38,12 @@ def require_columns(df: DataFrame, columns: Sequence[str]) -> None:
         raise KeyError(f"columns not found: {missing}")
 
 
+def nan_as_null(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``df`` with NaN read as NULL in those of ``columns`` that are floating-point; others are untouched."""
+    floats = {f.name for f in df.schema.fields if f.dataType.typeName() in ("double", "float")}
+    return df.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in columns if c in floats})
+
+
 def aggregate_column(column: str, how: Aggregate) -> Column:
     if callable(how):
         return how(F.col(column))
@@ -74,7 +80,7 @@ def groupby_summary(
     """
     keys = as_list(group_col)
     require_columns(df, [*keys, *agg_dict])
-    return df.dropna(subset=keys).groupBy(*keys).agg(
+    return nan_as_null(df, [*keys, *agg_dict]).dropna(subset=keys).groupBy(*keys).agg(
         *[aggregate_column(column, how).alias(name) for name, column, how in aggregate_plan(agg_dict)]
     )
 
@@ -82,8 +88,9 @@ def groupby_summary(
 def named_summary(df: DataFrame, group_col: str | Sequence[str], **named: tuple[str, Aggregate]) -> DataFrame:
     """Group with named results: ``total=("sales", "sum")``."""
     keys = as_list(group_col)
-    require_columns(df, [*keys, *[column for column, _ in named.values()]])
-    return df.dropna(subset=keys).groupBy(*keys).agg(
+    used = [*keys, *[column for column, _ in named.values()]]
+    require_columns(df, used)
+    return nan_as_null(df, used).dropna(subset=keys).groupBy(*keys).agg(
         *[aggregate_column(column, how).alias(name) for name, (column, how) in named.items()]
     )
 
@@ -91,7 +98,7 @@ def named_summary(df: DataFrame, group_col: str | Sequence[str], **named: tuple[
 def table_summary(df: DataFrame, agg_dict: Mapping[str, Aggregate | Sequence[Aggregate]]) -> DataFrame:
     """The same aggregates over the whole table, as one row."""
     require_columns(df, list(agg_dict))
-    return df.agg(*[aggregate_column(column, how).alias(name) for name, column, how in aggregate_plan(agg_dict)])
+    return nan_as_null(df, list(agg_dict)).agg(*[aggregate_column(column, how).alias(name) for name, column, how in aggregate_plan(agg_dict)])
 
 
 def grouped_totals(

@@ -52,9 +52,11 @@ def safe_merge(
     """Equi-join on shared keys.
 
     Keys must exist on both sides; right keys take the left keys' types;
-    ``parse_dates`` reads keys as timestamps first, bad ones becoming NULL.
-    Other columns both sides have get the suffixes. NULL keys match each
-    other unless ``null_safe=False``.
+    ``parse_dates`` reads keys as timestamps first; unreadable ones become
+    NULL and match nothing. Other columns both sides have get the suffixes.
+    NULL keys match each other unless ``null_safe=False``: n of them on the
+    left and m on the right give n * m rows, so turn that off where both can
+    be many.
     """
     keys = as_list(on)
     check_keys(df1, df2, keys)
@@ -63,7 +65,10 @@ def safe_merge(
     left, right = df1, align_keys(df1, df2, keys)
     if parse_dates:
         parsed = {k: F.col(k).try_cast("timestamp") for k in keys}
-        left, right = left.withColumns(parsed), right.withColumns(parsed)
+        unreadable = [F.col(k).isNotNull() & F.col(k).try_cast("timestamp").isNull() for k in keys]
+        # a different mark on each side, compared as one more key
+        left = left.withColumn("__l_bad", F.when(F.greatest(F.lit(False), *unreadable), "left")).withColumns(parsed)
+        right = right.withColumn("__r_bad", F.when(F.greatest(F.lit(False), *unreadable), "right")).withColumns(parsed)
 
     shared = (set(left.columns) & set(right.columns)) - set(keys)
     left_names = {c: c + suffixes[0] if c in shared else c for c in left.columns}
@@ -74,12 +79,14 @@ def safe_merge(
     for k in keys:
         l, r = F.col(k), F.col(f"__r_{k}")
         same = same & (l.eqNullSafe(r) if null_safe else l == r)
+    if parse_dates:
+        same = same & F.col("__l_bad").eqNullSafe(F.col("__r_bad"))
     joined = left.join(right, same, how)
     if how in ("right", "outer"):
         joined = joined.withColumns({k: F.coalesce(F.col(k), F.col(f"__r_{k}")) for k in keys})
     if verbose:
-        print(f"{how} join on {keys}: columns {[c for c in joined.columns if not c.startswith('__r_')]}")
-    return joined.drop(*[f"__r_{k}" for k in keys])
+        print(f"{how} join on {keys}: columns {[c for c in joined.columns if not c.startswith(('__r_', '__l_'))]}")
+    return joined.drop("__l_bad", "__r_bad", *[f"__r_{k}" for k in keys])
 
 
 def join_on_index(df1: DataFrame, df2: DataFrame, key: str | Sequence[str], how: str = "left") -> DataFrame:

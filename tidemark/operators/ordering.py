@@ -42,6 +42,10 @@ def as_list(keys) -> list:
     return [keys] if isinstance(keys, (str, Column)) else list(keys)
 
 
+def nulls_last(keys: OrderKeys) -> list[Column]:
+    return [F.col(k).asc_nulls_last() if isinstance(k, str) else k for k in keys]
+
+
 def range_blocks(df: DataFrame, partition_by: OrderKeys, order_by: OrderKeys) -> DataFrame:
     """Rows with the number of the range block they fall in, written once.
 
@@ -97,15 +101,16 @@ def running_total(
 def carry_forward(
     df: DataFrame, value: str, order_by: Sequence[str], partition_by: Sequence[str] = (), new_col: str | None = None
 ) -> DataFrame:
-    """Fill NULL with the last earlier value of the group, in any group size."""
-    blocks = range_blocks(df, partition_by, order_by).withColumn(CARRY, F.col(value))
-    latest = F.max_by(F.col(CARRY), F.when(F.col(CARRY).isNotNull(), F.struct(*order_by)))
+    """Fill NULL with the last earlier value of the group, in any group size; NULL keys come last."""
+    blocks = range_blocks(df, partition_by, nulls_last(order_by)).withColumn(CARRY, F.col(value))
+    place = F.struct(*[x for k in order_by for x in (F.col(k).isNull(), F.col(k))])
+    latest = F.max_by(F.col(CARRY), F.when(F.col(CARRY).isNotNull(), place))
     summary = blocks.groupBy(*partition_by, BLOCK).agg(latest.alias("__last"))
     # A block of NULLs only hands on what it received.
     carried = summary.select(
         *partition_by, BLOCK, F.last("__last", ignorenulls=True).over(block_window(partition_by)).alias(CARRY)
     )
-    rows, window = continue_blocks(blocks, carried, partition_by, order_by)
+    rows, window = continue_blocks(blocks, carried, partition_by, nulls_last(order_by))
     filled = rows.withColumn(CARRY, F.last(CARRY, ignorenulls=True).over(window)).filter(F.col(LEAD) == 0)
     return filled.withColumn(new_col or value, F.col(CARRY)).drop(CARRY, BLOCK, LEAD)
 

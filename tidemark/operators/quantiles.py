@@ -13,16 +13,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.operators.ordering import BLOCK, CARRY, as_list, block_window, range_blocks
-from tidemark.session import if_small_broadcast
+from tidemark.session import materialize
 
 QUARTILES = (0.25, 0.5, 0.75)
 
 COLUMN = "__column"
 
-# Distinct (group, value) rows, counted beforehand, that one task may hold.
-ONE_TASK_VALUES = 1_000_000
-
-
 def with_keys(df: DataFrame, groups: Sequence[str]) -> DataFrame:
     return df.dropna(subset=list(groups)) if groups else df
 
@@ -68,10 +64,6 @@ def quantiles(
 
     counts = cells.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("__n"))
     blocks = range_blocks(counts, keys, ["value"])
-    if blocks.count() <= ONE_TASK_VALUES:
-        # Few distinct values by count: the built-in aggregate is exact on them and bounded.
-        picked = blocks.groupBy(*keys).agg(F.percentile("value", wanted, F.col("__n")).alias("__q"))
-        return _named(picked.select(*keys, F.inline(_pairs(wanted))), names, groups)
     return _named(_from_blocks(blocks, keys, wanted), names, groups)
 
 
@@ -96,8 +88,8 @@ def _from_blocks(blocks: DataFrame, keys: Sequence[str], wanted: Sequence[float]
         F.flatten(F.transform(targets, lambda h: F.array(F.floor(h).cast("long"), F.ceil(h).cast("long"))))
     )
     here = F.filter(positions, lambda at: (at >= F.col(CARRY)) & (at < F.col(CARRY) + F.col("__block_n")))
-    # At most two rows per probability and group; broadcast only if that is checked to be few.
-    sought = if_small_broadcast(located.withColumn("__sought", here).filter(F.size("__sought") > 0).drop("__block_n"))
+    # At most two rows per probability and group, stored, so the join is chosen by their size in bytes.
+    sought = materialize(located.withColumn("__sought", here).filter(F.size("__sought") > 0).drop("__block_n"))
 
     within = (
         Window.partitionBy(*keys, BLOCK).orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)

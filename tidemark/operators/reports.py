@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions.numbers import currency
-from tidemark.operators.aggregation import require_columns
+from tidemark.operators.aggregation import nan_as_null, require_columns
 from tidemark.operators.filters import FENCE
 from tidemark.operators.ordering import as_list
 from tidemark.operators.profile import numeric_columns, value_counts
@@ -16,22 +16,22 @@ from tidemark.session import materialize
 
 
 def histogram(df: DataFrame, column: str, bins: int = 20) -> DataFrame:
-    """Counts per equal-width bin between minimum and maximum; empty bins left out.
+    """Counts per equal-width bin between minimum and maximum; NULL and NaN are left out, empty bins are not.
 
     The driver sees the two ends only.
     """
     require_columns(df, [column])
+    df = nan_as_null(df, [column])
     value = F.col(column).cast("double")
     low, high = df.agg(F.min(value), F.max(value)).first()
     if low is None:
         return df.select(F.lit(0).cast("long").alias("bin"), F.lit(0.0).alias("bin_start"), F.lit(0).cast("long").alias("count")).limit(0)
     width = (high - low) / bins or 1.0
     number = F.least(F.floor((value - low) / width), F.lit(bins - 1))
-    return (
-        df.filter(value.isNotNull())
-        .groupBy(number.cast("long").alias("bin"))
-        .agg(F.count(F.lit(1)).alias("count"))
-        .select("bin", (F.lit(low) + F.col("bin") * F.lit(width)).alias("bin_start"), "count")
+    counts = df.filter(value.isNotNull()).groupBy(number.cast("long").alias("bin")).agg(F.count(F.lit(1)).alias("count"))
+    every = df.sparkSession.range(bins).select(F.col("id").alias("bin"))
+    return every.join(counts, "bin", "left").select(
+        "bin", (F.lit(low) + F.col("bin") * F.lit(width)).alias("bin_start"), F.coalesce("count", F.lit(0)).alias("count")
     )
 
 
@@ -86,14 +86,15 @@ def gradient(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     first where it is expensive: it is read twice.
     """
     names = list(columns) if columns else numeric_columns(df)
+    clean = nan_as_null(df, names)
     ends = [f(c).cast("double").alias(f"{c}_{n}") for c in names for n, f in (("low", F.min), ("high", F.max))]
-    found = df.agg(F.struct(*ends)).scalar()
+    found = clean.agg(F.struct(*ends)).scalar()
 
     def intensity(c: str):
         low, high = found.getField(f"{c}_low"), found.getField(f"{c}_high")
         return F.try_divide(F.col(c).cast("double") - low, high - low)
 
-    return df.withColumns({f"{c}_intensity": intensity(c) for c in names})
+    return df.withColumns({f"{c}_intensity": F.nanvl(intensity(c), F.lit(None)) for c in names})
 
 
 def format_money(df: DataFrame, columns: Sequence[str], digits: int = 2) -> DataFrame:

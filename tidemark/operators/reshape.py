@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.operators.aggregation import Aggregate, aggregate_column, require_columns
+from tidemark.operators.aggregation import Aggregate, aggregate_column, nan_as_null, require_columns
 from tidemark.operators.ordering import as_list
 
 
@@ -36,7 +36,7 @@ def pivot_table_summary(
     require_columns(df, [*keys, columns, values])
     names = list(column_values) if column_values is not None else pivot_values(df, columns)
     cells = (
-        df.dropna(subset=[*keys, columns])
+        nan_as_null(df, [*keys, columns, values]).dropna(subset=[*keys, columns])
         .groupBy(*keys, columns)
         .agg(aggregate_column(values, aggfunc).alias("__cell"))
     )

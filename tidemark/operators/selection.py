@@ -53,8 +53,7 @@ def top_groups_detail(
     """All rows of the ``n`` groups with the largest sums; the semi join side has ``n`` rows."""
     totals = df.dropna(subset=[group_col]).groupBy(group_col).agg(F.sum(value_col).alias("__total"))
     best = nlargest(totals, n, "__total", group_col).select(group_col)
-    # n rows by construction; beyond a screenful let Spark choose the join.
-    return df.join(F.broadcast(best) if n <= 1000 else best, group_col, "left_semi")
+    return df.join(best, group_col, "left_semi")
 
 
 def slice_rows(

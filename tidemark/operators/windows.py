@@ -13,11 +13,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
-from tidemark.operators.ordering import as_columns, as_list, carry_forward, over_tiles, running_total
-
-
-def nulls_last(keys: Sequence[str | Column]) -> list[Column]:
-    return [F.col(k).asc_nulls_last() if isinstance(k, str) else k for k in keys]
+from tidemark.operators.ordering import as_list, carry_forward, nulls_last, over_tiles, running_total
 
 
 def _add(df, order_by, partition_by, reach, build, small_groups):
@@ -87,7 +83,7 @@ def forward_fill(
         return carry_forward(df, value, order, groups, new_col)
     frame = (
         Window.partitionBy(*groups)
-        .orderBy(*as_columns(order))
+        .orderBy(*nulls_last(order))
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     return df.withColumn(new_col or value, F.last(value, ignorenulls=True).over(frame))

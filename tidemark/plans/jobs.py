@@ -194,8 +194,11 @@ class Dashboard:
     matches: DataFrame
 
 
-def dashboard(report: DataFrame, month: str, keyword: str, rows: int = 100) -> Dashboard:
-    """KPIs and trends over all months; rows of one month; rows matching a keyword."""
+def dashboard(report: DataFrame, month: str, keyword: str) -> Dashboard:
+    """KPIs and trends over all months; all rows of one month; all rows matching a keyword.
+
+    A preview is :func:`head` of a result.
+    """
     report = materialize(report)  # one small table behind all four results
     kpis = table_summary(
         rename_columns(report, {"hospitalized": "avg_hospitalized"}),
@@ -205,8 +208,8 @@ def dashboard(report: DataFrame, month: str, keyword: str, rows: int = 100) -> D
         report.select("month", month_label(parse_date("month", "yyyy-MM")).alias("label"), "sales", "profit"), "month"
     )
     return Dashboard(
-        kpis, trend, head(equals(report, "month", month), rows, "month"),
-        head(search_text(report, keyword), rows, "month"),
+        kpis, trend, sort_values(equals(report, "month", month), "month"),
+        sort_values(search_text(report, keyword), "month"),
     )
 
 
@@ -218,13 +221,15 @@ class OptimizedTables:
     profit_by_region: DataFrame
 
 
-def optimize_job(sales: DataFrame, loans: DataFrame, threshold: float = 500, output_path: str | None = None) -> OptimizedTables:
+def optimize_job(
+    sales: DataFrame, loans: DataFrame, threshold: float = 500, output_path: str | None = None, categories: Sequence[str] = (),
+) -> OptimizedTables:
     """Narrow both tables, filter high sales, add the loan ratio, average profit by region.
 
-    Narrowing reads a table once before its first use, so the tables are best
-    stored ones.
+    ``categories`` names text columns of ``sales`` with few values. Narrowing
+    reads a table once before its first use, so the tables are best stored ones.
     """
-    narrow_sales = optimize_dataframe(sales, ["segment", "region", "category", "sub_category"], verbose=False)
+    narrow_sales = optimize_dataframe(sales, list(categories), verbose=False)
     narrow_loans = optimize_dataframe(loans, verbose=False)
     with_ratio = evaluate(narrow_loans, "loan_to_income_ratio = loan_amount / income")
     if output_path:

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job here relies on. Sizes (executors, shuffle partitions,
 # memory) belong to the cluster's own configuration and are left alone.
@@ -30,7 +30,8 @@ def get_session(app_name: str = "tidemark", **conf: str) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach: the one named in ``spark.checkpoint.dir``.
 
-    Only a local-mode session without that setting gets a temporary folder.
+    Only a session of one machine (``local`` and ``local[n]``, not ``local-cluster``) without that
+    setting gets a temporary folder.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -39,7 +40,7 @@ def shared_folder(spark: SparkSession) -> str:
     current = context.getCheckpointDir()
     if current:
         return current
-    if not context.master.startswith("local"):
+    if context.master != "local" and not context.master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     folder = tempfile.mkdtemp(prefix="tidemark-")
     context.setCheckpointDir(folder)
@@ -67,16 +68,6 @@ def delete_at_exit(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
 
 
-# Rows a table may have to be broadcast; meant for narrow helper tables.
-BROADCAST_ROWS = 50_000
-
-
-def if_small_broadcast(df: DataFrame) -> DataFrame:
-    """Materialise a narrow helper table; mark it for broadcast if its counted rows are few."""
-    kept = materialize(df)
-    return F.broadcast(kept) if kept.count() <= BROADCAST_ROWS else kept
-
-
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path for an intermediate table under the shared folder."""
     return os.path.join(shared_folder(spark), "tidemark-scratch", f"{name}-{uuid.uuid4().hex}")
