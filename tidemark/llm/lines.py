@@ -33,7 +33,9 @@ INVERSE = pow(BASE, -1, 1 << 64)
 
 def all_lines(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``tie``, ``number``, ``line`` (without blanks around it) of every line of ``MIN_CHARS`` or more."""
-    split = docs.select("doc_id", F.xxhash64("text").alias("tie"), F.posexplode(F.split("text", "\n")).alias("number", "raw"))
+    # what is made from the text first, or every line would carry the whole text along
+    named = docs.select("doc_id", "text", F.xxhash64("text").alias("tie"))
+    split = named.select("doc_id", "tie", F.posexplode(F.split("text", "\n")).alias("number", "raw"))
     trimmed = split.select("doc_id", "tie", "number", F.trim("raw").alias("line"))
     return trimmed.where(F.length("line") >= MIN_CHARS)
 
@@ -71,7 +73,7 @@ def variants(lines: DataFrame) -> DataFrame:
                 points = np.frombuffer(line.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64) + np.uint64(1)
                 n = len(points)
                 if len(powers) < n:
-                    powers = np.cumprod(np.concatenate([[1], np.full(2 * n, BASE, np.uint64)]).astype(np.uint64), dtype=np.uint64)
+                    powers = np.cumprod(np.append(np.ones(1, np.uint64), np.full(2 * n, BASE, np.uint64)), dtype=np.uint64)
                 terms = (points * np.uint64(0xD6E8FEB86659FD93) ^ (points << np.uint64(29))) * powers[:n]
                 upto = np.concatenate([np.zeros(1, np.uint64), np.cumsum(terms, dtype=np.uint64)])
                 # what stands behind the deletion moves one place forward
@@ -99,7 +101,7 @@ def variants(lines: DataFrame) -> DataFrame:
 
 def near_repeats(docs: DataFrame) -> DataFrame:
     """``h``, ``g`` of the distinct lines that are within one edit of an earlier, different line."""
-    spread = all_lines(docs).select(*line_id(), F.explode(half_keys(F.col("line"), F.length("line"))).alias("half"))
+    spread = all_lines(docs).select(line_id()[0], half_keys(F.col("line"), F.length("line")).alias("halves")).select("h", F.explode("halves").alias("half"))
     shared = materialize(spread.groupBy("half").agg(F.min("h").alias("low"), F.max("h").alias("high")).where("low < high").select("half"))
     likely = likely_members(shared, "half")
     candidates = materialize(spread.where(likely(F.col("half"))).join(shared, "half", "left_semi").select("h").distinct())
