@@ -163,3 +163,11 @@ def test_nan_is_read_as_null(spark):
     assert sorted((r.v_intensity for r in gradient(df, ["v"]).collect()), key=str) == [0.0, 1.0, None, None, None]
     many = spark.createDataFrame([(float(i),) for i in range(9)] + [(100.0,), (float("nan"),)], "v double")
     assert [r.v for r in detect_outliers_iqr(many, "v").collect()] == [100.0]
+
+
+def test_more_aggregates_and_dotted_names(spark):
+    df = spark.createDataFrame([("a", 2.0, "x.y"), ("a", 0.0, "z"), ("b", 3.0, "x.y")], "g string, `v.w` double, k string")
+    got = groupby_summary(df, "g", {"v.w": ["prod", "any", "all"]}).orderBy("g").collect()
+    assert [tuple(r) for r in got] == [("a", 0.0, True, False), ("b", 3.0, True, True)]
+    wide = stacked_groupby_unstack(df, ["g", "k"], "v.w", "k").orderBy("g")
+    assert wide.columns == ["g", "x.y", "z"] and [tuple(r) for r in wide.collect()] == [("a", 2.0, 0.0), ("b", 3.0, 0.0)]

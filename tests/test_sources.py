@@ -55,7 +55,8 @@ def test_json_array_and_lines(spark, tmp_path):
     rows = [{"name": "Ann", "age": 30}, {"name": "Bo", "age": 25}]
     (tmp_path / "a.json").write_text(json.dumps(rows, indent=2))
     (tmp_path / "l.json").write_text("\n".join(json.dumps(r) for r in rows))
-    for name, lines in (("a.json", False), ("l.json", True)):
+    (tmp_path / "m.json").write_text(json.dumps(rows[:1]) + "\n" + json.dumps(rows[1:]))
+    for name, lines in (("a.json", False), ("l.json", True), ("m.json", True)):
         df = load_json(str(tmp_path / name), "name string, age int", lines=lines, spark=spark)
         assert values(df, "name", "age") == [("Ann", 30), ("Bo", 25)]
 

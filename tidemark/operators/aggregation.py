@@ -26,10 +26,18 @@ AGGREGATES: dict[str, Callable[[Column], Column]] = {
     "var": F.var_samp,
     "nunique": F.count_distinct,
     "size": lambda c: F.count(F.lit(1)),
+    "prod": lambda c: F.coalesce(F.product(c), F.lit(1.0)),
+    "any": lambda c: F.coalesce(F.bool_or(c.cast("boolean")), F.lit(False)),
+    "all": lambda c: F.coalesce(F.bool_and(c.cast("boolean")), F.lit(True)),
 }
 
 # Result of an aggregate over no rows, where that is not NULL.
-EMPTY_RESULT = {"sum": 0, "count": 0, "nunique": 0, "size": 0}
+EMPTY_RESULT = {"sum": 0, "count": 0, "nunique": 0, "size": 0, "prod": 1.0, "any": False, "all": True}
+
+
+def named(column: str) -> Column:
+    """A column by its whole name, dots and all."""
+    return F.col("`" + column.replace("`", "``") + "`")
 
 
 def require_columns(df: DataFrame, columns: Sequence[str]) -> None:
@@ -41,15 +49,15 @@ def require_columns(df: DataFrame, columns: Sequence[str]) -> None:
 def nan_as_null(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``df`` with NaN read as NULL in those of ``columns`` that are floating-point; others are untouched."""
     floats = {f.name for f in df.schema.fields if f.dataType.typeName() in ("double", "float")}
-    return df.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in columns if c in floats})
+    return df.withColumns({c: F.when(~F.isnan(named(c)), named(c)) for c in columns if c in floats})
 
 
 def aggregate_column(column: str, how: Aggregate) -> Column:
     if callable(how):
-        return how(F.col(column))
+        return how(named(column))
     if how not in AGGREGATES:
         raise ValueError(f"unknown aggregate {how!r}; known: {sorted(AGGREGATES)}")
-    return AGGREGATES[how](F.col(column))
+    return AGGREGATES[how](named(column))
 
 
 def aggregate_name(how: Aggregate) -> str:

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from tidemark.operators.aggregation import named
 from tidemark.operators.quantiles import quantile_columns
 
 
@@ -33,15 +34,15 @@ def shape(df: DataFrame) -> DataFrame:
 def column_info(df: DataFrame) -> DataFrame:
     """Per column: position, type, non-NULL and NULL counts, in one scan."""
     total = df.agg(
-        F.count(F.lit(1)).alias("__rows"), *[F.count(F.col(c)).alias(c) for c in df.columns]
+        F.count(F.lit(1)).alias("__rows"), *[F.count(named(c)).alias(c) for c in df.columns]
     )
     facts = F.array(*[
         F.struct(
             F.lit(i).alias("position"),
             F.lit(f.name).alias("column"),
             F.lit(f.dataType.simpleString()).alias("dtype"),
-            F.col(f.name).alias("non_null"),
-            (F.col("__rows") - F.col(f.name)).alias("nulls"),
+            named(f.name).alias("non_null"),
+            (F.col("__rows") - named(f.name)).alias("nulls"),
         )
         for i, f in enumerate(df.schema.fields)
     ])
@@ -51,7 +52,7 @@ def column_info(df: DataFrame) -> DataFrame:
 def missing_values(df: DataFrame) -> DataFrame:
     """Columns that have NULLs, with count and percentage."""
     nulls = df.agg(
-        F.count(F.lit(1)).alias("__rows"), *[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns]
+        F.count(F.lit(1)).alias("__rows"), *[F.count_if(named(c).isNull()).alias(c) for c in df.columns]
     )
     return (
         nulls.unpivot(["__rows"], df.columns, "column", "missing")
@@ -71,9 +72,9 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Per numeric column: count, mean, std, min, exact quartiles, max."""
     names = list(columns) if columns else numeric_columns(df)
     measures = {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
-    wide = df.agg(*[f(F.col(c).cast("double")).alias(f"{c}__{m}") for c in names for m, f in measures.items()])
+    wide = df.agg(*[f(named(c).cast("double")).alias(f"{c}__{m}") for c in names for m, f in measures.items()])
     rows = F.array(*[
-        F.struct(F.lit(c).alias("column"), *[F.col(f"{c}__{m}").alias(m) for m in measures]) for c in names
+        F.struct(F.lit(c).alias("column"), *[named(f"{c}__{m}").alias(m) for m in measures]) for c in names
     ])
     quartiles = quantile_columns(df, names, {"q25": 0.25, "q50": 0.5, "q75": 0.75})
     # One row per column on both sides.
@@ -102,7 +103,7 @@ def distinct_counts(df: DataFrame, columns: Sequence[str] | None = None, approxi
     if approximate:
         return _unpivot_counts(df.agg(*[F.approx_count_distinct(c).alias(c) for c in names]), names, "distinct")
     counted = [
-        df.agg(F.count_distinct(F.col(c)).alias("distinct")).select(F.lit(c).alias("column"), "distinct")
+        df.agg(F.count_distinct(named(c)).alias("distinct")).select(F.lit(c).alias("column"), "distinct")
         for c in names
     ]
     result = counted[0]

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.operators.aggregation import Aggregate, aggregate_column, nan_as_null, require_columns
+from tidemark.operators.aggregation import Aggregate, aggregate_column, named, nan_as_null, require_columns
 from tidemark.operators.ordering import as_list
 
 
@@ -54,8 +54,8 @@ def stacked_groupby_unstack(
     """Sum per group, one group key moved to columns, gaps filled."""
     index = [c for c in group_cols if c != unstack_col]
     wide = pivot_table_summary(df, index, unstack_col, value_col, "sum", column_values)
-    cells = [c for c in wide.columns if c not in index]
-    return wide.fillna(fill_value, subset=cells)
+    gaps = F.lit(fill_value)
+    return wide.select(*index, *[F.coalesce(named(c), gaps).alias(c) for c in wide.columns if c not in index])
 
 
 def melt_summary(

@@ -56,10 +56,10 @@ def load_typed_csv(
 def load_json(
     path: str, schema: Schema = None, lines: bool = False, spark: SparkSession | None = None, **options
 ) -> DataFrame:
-    """JSON array files, or one object per line.
+    """JSON array files, or with ``lines`` one object, or one array of objects, on each line.
 
-    An array file is read by one task, so large data should come as many array
-    files or as lines, which Spark can split.
+    A file that is one array over many lines is read by one task, so large
+    data should come as lines, which Spark can split.
     """
     settings = {"multiLine": not lines, **options}
     return nan_to_null(_read(lambda: _reader(spark, schema, settings).json(str(path)), path))
