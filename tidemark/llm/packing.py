@@ -187,6 +187,22 @@ def make_plan(counts: dict[int, int], capacity: int, small: int, groups: int = G
     return rows, total
 
 
+def best_plan(counts: dict[int, int], capacity: int, groups: int = GROUPS) -> tuple[list[tuple], int]:
+    """The plan with the fewest sequences over a few bounds of what is small, from a half of the capacity down.
+
+    With many kinds of pieces, leaving more of them to best fit wastes less on rounding; with few
+    kinds, configurations win. Stops at the lower bound.
+    """
+    least = max(-(-sum(n * x for x, n in counts.items()) // capacity), sum(n for x, n in counts.items() if 2 * x > capacity))
+    best: tuple[list[tuple], int] | None = None
+    for small in (capacity // 2 + 1, 2 * capacity // 5, capacity // 4, capacity // 8):
+        plan = make_plan(counts, capacity, max(2, small), groups)
+        best = plan if best is None or plan[1] < best[1] else best
+        if best[1] <= least:
+            break
+    return best
+
+
 # ---- placing the pieces ----
 
 def ranked(pieces: DataFrame, total: int) -> DataFrame:
@@ -210,15 +226,15 @@ def pack(pieces: DataFrame, capacity: int, small: int | None = None, groups: int
     """Every row of ``pieces`` with ``sequence_id`` and ``offset``, sequences gapless from 0.
 
     ``pieces`` needs ``length`` (1 to ``capacity``); its other columns are carried along and only
-    break ties, so repeated rows each get a place. Pieces below ``small`` tokens (an eighth of the
-    capacity) stay out of the configurations. An empty table gives an empty result.
+    break ties, so repeated rows each get a place. Pieces below ``small`` tokens stay out of the
+    configurations; by default several bounds are tried. An empty table gives an empty result.
     """
     spark = pieces.sparkSession
     kept = materialize(pieces)
     counts = {r["length"]: r["n"] for r in kept.groupBy("length").agg(F.count("*").alias("n")).collect()}
     if any(not x or x < 1 or x > capacity for x in counts):
         raise ValueError(f"lengths must lie between 1 and {capacity}")
-    rows, _ = make_plan(counts, capacity, small or max(2, capacity // 8), groups)
+    rows, _ = make_plan(counts, capacity, small, groups) if small else best_plan(counts, capacity, groups)
     plan = spark.createDataFrame(rows, "length long, _low long, _high long, _sequence long, _each long, _offset long")
     step = F.col("rank") - F.col("_low")
     # the plan is made from at most `capacity` counts, so it may be sent to every task
