@@ -5,13 +5,14 @@ from the minimum of the set under another hash function; two sets with likeness
 about (1 - J) of them. Signatures that differ in at most ``most`` positions are found without
 loss: cut into ``chunks`` pieces, two of them differ in at most ``most // chunks`` positions of
 some piece, so every signature is indexed under each piece with every choice of that many
-positions left out. ``most`` leaves a pair at the threshold out with probability 0.00001.
+positions left out. ``most`` leaves a pair at the threshold out with probability 0.0001.
 Found pairs are confirmed on the full sets.
 
-Groups of copies cost no pairs: equal sets are one node; the members of a bucket are first
-compared with its smallest member only, and what is then connected is not compared again.
-After that, pairs of a bucket that are in different components, and only those, are compared
-all, so the components are those of all found pairs.
+Groups of copies cost no rows for their pairs: equal sets are one node, and the members of a bucket
+are first compared with its smallest member only. What that leaves in different components is then
+compared all with all, inside the bucket's task and in chunks; a pair that meets in several buckets
+counts in the first of them. Candidates travel as lists, one for each document and block of partners,
+to the task that holds the sets of that block, and only confirmed links become rows.
 """
 
 from __future__ import annotations
@@ -30,7 +31,9 @@ from tidemark.llm.members import likely_members
 from tidemark.llm.words import mixed, shingles, word_hashes
 from tidemark.session import materialize
 
-POSITIONS, MISSED, SEED = 96, 0.00001, 7
+POSITIONS, MISSED, SEED = 128, 0.0001, 7
+#: Members of a bucket that are compared at a time, and sets of partners that a task holds, about.
+BLOCK, PARTNERS = 1000, 250
 
 
 def most_differences(likeness: float, positions: int = POSITIONS, missed: float = MISSED) -> int:
@@ -50,6 +53,15 @@ def pieces(positions: int, most: int) -> list[tuple[list[int], int]]:
     return [(p.tolist(), most // chunks) for p in parts]
 
 
+def all_choices(positions: int, most: int) -> list[tuple[int, list[int], int]]:
+    """Piece, positions kept and position left out (-1: none) of every index key of a signature."""
+    return [
+        (number, [p for p in piece if p != left_out], left_out)
+        for number, (piece, errors) in enumerate(pieces(positions, most))
+        for left_out in (piece if errors else [-1])
+    ]
+
+
 def signature(hashes: np.ndarray, positions: int = POSITIONS) -> bytes:
     rng = np.random.default_rng(SEED)
     factors = rng.integers(1, 2**63, positions, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -78,12 +90,8 @@ def described(docs: DataFrame, words: int, positions: int) -> DataFrame:
 
 
 def index_keys(nodes: DataFrame, positions: int, most: int) -> DataFrame:
-    """``key``, ``node``: each piece of the signature with every allowed choice of positions left out."""
-    choices = [
-        (number, [p for p in piece if p not in left_out])
-        for number, (piece, errors) in enumerate(pieces(positions, most))
-        for left_out in itertools.combinations(piece, min(errors, len(piece)))
-    ]
+    """``key``, ``choice`` (its number), ``node``: each piece of the signature with every allowed choice of positions left out."""
+    choices = all_choices(positions, most)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -91,27 +99,125 @@ def index_keys(nodes: DataFrame, positions: int, most: int) -> DataFrame:
                 continue
             values = np.frombuffer(b"".join(batch.column("signature").to_pylist()), np.uint8).reshape(batch.num_rows, positions).astype(np.uint64)
             node = batch.column("node")
-            for number, (_, kept) in enumerate(choices):
+            for number, (_, kept, _) in enumerate(choices):
                 h = np.full(batch.num_rows, number + 1, np.uint64)
                 for p in kept:
                     h = mixed(h * np.uint64(257) + values[:, p])
-                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), node], ["key", "node"])
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(np.full(len(h), number, np.int32)), node], ["key", "choice", "node"])
+
+    return nodes.select("node", "signature").mapInArrow(run, "key long, choice int, node long")
+
+
+class Buckets:
+    """Compares signatures inside buckets; a pair counts in the first bucket that it shares."""
+
+    def __init__(self, positions: int, most: int):
+        self.positions, self.most = positions, most
+        parts = [piece for piece, _ in pieces(positions, most)]
+        self.piece_starts = np.array([p[0] for p in parts])
+        self.choices = all_choices(positions, most)
+        self.first_choice = np.array([next(i for i, c in enumerate(self.choices) if c[0] == n) for n in range(len(parts))])
+        self.choice_of_position = np.full(positions, -1)
+        for i, (_, _, left_out) in enumerate(self.choices):
+            if left_out >= 0:
+                self.choice_of_position[left_out] = i
+
+    def near(self, left: np.ndarray, right: np.ndarray, choice: int) -> tuple[np.ndarray, np.ndarray]:
+        """Index pairs of rows within the bound whose first common key is of this choice."""
+        found = []
+        step = max(1, 4_000_000 // max(1, right.size))
+        for at in range(0, len(left), step):
+            differ = left[at:at + step, None, :] != right[None, :, :]
+            x, y = np.nonzero(differ.sum(axis=2, dtype=np.uint16) <= self.most)
+            if len(x):
+                rows = differ[x, y]
+                in_piece = np.add.reduceat(rows, self.piece_starts, axis=1, dtype=np.uint16)
+                piece = (in_piece <= 1).argmax(axis=1)  # of pairs within the bound, some piece has at most one difference
+                clean = in_piece[np.arange(len(x)), piece] == 0
+                # the one difference in the piece: the first at or behind its start
+                behind = rows & (np.arange(self.positions) >= self.piece_starts[piece][:, None])
+                first = np.where(clean, self.first_choice[piece], self.choice_of_position[behind.argmax(axis=1)])
+                keep = first == choice
+                found.append((x[keep] + at, y[keep]))
+        if not found:
+            return np.zeros(0, int), np.zeros(0, int)
+        return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
+
+
+def matrix(column: pa.Array, positions: int) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, positions)
+
+
+def by_bucket(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[tuple[tuple, pa.RecordBatch]]:
+    """Groups of two rows or more of batches sorted by ``names`` (whole numbers)."""
+    parts: list[pa.RecordBatch] = []
+    name: tuple | None = None
+
+    def whole() -> Iterator[tuple[tuple, pa.RecordBatch]]:
+        if sum(p.num_rows for p in parts) > 1:
+            yield name, pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
+
+    for batch in batches:
+        keys = np.stack([batch.column(c).to_numpy() for c in names], axis=1)
+        edges = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist(), len(keys)]
+        for low, high in zip(edges[:-1], edges[1:]):
+            if high > low:
+                if (key := tuple(keys[low].tolist())) != name:
+                    yield from whole()
+                    parts, name = [], key
+                parts.append(batch.slice(low, high - low))
+    yield from whole()
+
+
+def with_heads(pairs: DataFrame, positions: int, most: int) -> DataFrame:
+    """``a`` (head), ``b``: pairs of a node and the smallest of a bucket, with signatures, within the bound."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own, head = batch.column("node").to_numpy(), batch.column("head").to_numpy()
+            x, y = matrix(batch.column("signature"), positions), matrix(batch.column("head_signature"), positions)
+            near = [np.zeros(0, int)]
+            for at in range(0, len(own), 4096):
+                part = slice(at, at + 4096)
+                near.append(at + np.flatnonzero((x[part] != y[part]).sum(axis=1) <= most))
+            keep = np.concatenate(near)
+            yield pa.RecordBatch.from_arrays([pa.array(head[keep]), pa.array(own[keep])], ["a", "b"])
 
-    return nodes.select("node", "signature").mapInArrow(run, "key long, node long")
+    return pairs.mapInArrow(run, "a long, b long")
 
 
-def similar_signatures(pairs: DataFrame, nodes: DataFrame, positions: int, most: int) -> DataFrame:
-    """Pairs ``a``, ``b`` whose signatures differ in at most ``most`` positions."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, positions) for c in ("x", "y"))
-                near = pa.array((x != y).sum(axis=1) <= most)
-                yield pa.RecordBatch.from_arrays([pc.filter(batch.column(c), near) for c in ("a", "b")], ["a", "b"])
+def across_components(members: DataFrame, positions: int, most: int) -> DataFrame:
+    """``o``, ``family``, ``sub``, ``partners`` (packed): nodes outside a bucket's main component, and
+    all members of the bucket in other components that are within the bound.
 
-    side = nodes.select("node", "signature")
-    both = pairs.join(side.toDF("a", "x"), "a").join(side.toDF("b", "y"), "b")
-    return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+    ``members``: ``key``, ``choice``, ``node``, ``label``, ``main``, ``family``, ``sub``, ``signature``, and ``own``, ``i``, ``j``
+    (the member's chunk and the pair of chunks compared).
+    """
+    schema = pa.schema([("o", pa.int64()), ("family", pa.int64()), ("sub", pa.int32()), ("partners", pa.binary())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        buckets = Buckets(positions, most)
+        for (_, i, j), group in by_bucket(batches, ["key", "i", "j"]):
+            node, label, main, own, family, sub = (group.column(c).to_numpy() for c in ("node", "label", "main", "own", "family", "sub"))
+            signatures, choice = matrix(group.column("signature"), positions), int(group.column("choice")[0].as_py())
+            rows = []
+            for this, that in {(i, j), (j, i)}:
+                o, y = np.flatnonzero((own == this) & (label != main)), np.flatnonzero(own == that)
+                if len(o) and len(y):
+                    a, b = buckets.near(signatures[o], signatures[y], choice)
+                    a, b = o[a], y[b]
+                    # two outsiders meet once
+                    keep = (label[a] != label[b]) & ((label[b] == main[b]) | (node[a] < node[b]))
+                    a, b = a[keep], b[keep]
+                    place = np.lexsort([node[b], sub[b], family[b], a])
+                    a, b = a[place], b[place]
+                    edges = np.flatnonzero(np.diff(a, prepend=-1) | np.diff(family[b], prepend=-1) | np.diff(sub[b], prepend=-1))
+                    for low, high in zip(edges, [*edges[1:], len(a)]):
+                        at = b[low]
+                        rows.append({"o": node[a[low]], "family": family[at], "sub": sub[at], "partners": node[b[low:high]].astype("<i8").tobytes()})
+            if rows:
+                yield pa.RecordBatch.from_pylist(rows, schema)
+
+    return members.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(run, "o long, family long, sub int, partners binary")
 
 
 def sets_of(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
@@ -127,21 +233,60 @@ def sets_of(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
     return some.join(ids, "node", "left_semi").mapInArrow(run, "node long, hashes binary").dropDuplicates(["node"])
 
 
+def similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * both >= percent * (len(x) + len(y) - both)
+
+
+def part_similar(x: np.ndarray, others: list[np.ndarray], percent: int) -> np.ndarray:
+    """:func:`similar` of one set to each of several, none empty."""
+    sizes = np.array([len(y) for y in others])
+    every = np.concatenate(others)
+    at = np.minimum(np.searchsorted(x, every), len(x) - 1)
+    both = np.add.reduceat((x[at] == every).astype(np.int64), np.cumsum(sizes) - sizes)
+    return 100 * both >= percent * (len(x) + sizes - both)
+
+
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs with 100 * intersection >= percent * union of their full sets."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            near = []
-            for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist()):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                near.append(100 * both >= percent * (len(x) + len(y) - both))
-            yield pa.RecordBatch.from_arrays([pc.filter(batch.column(c), pa.array(near, pa.bool_())) for c in ("a", "b")], ["a", "b"])
+            both = zip(batch.column("x").to_pylist(), batch.column("y").to_pylist())
+            near = pa.array([similar(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent) for x, y in both], pa.bool_())
+            yield pa.RecordBatch.from_arrays([pc.filter(batch.column(c), near) for c in ("a", "b")], ["a", "b"])
 
     both = pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b")
     return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
+def confirmed_lists(lists: DataFrame, places: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Confirmed pairs of ``lists`` (see :func:`across_components`); a block of partners holds about ``PARTNERS`` sets."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+        name, held = None, {}
+        for batch in batches:
+            found = []
+            for row in batch.to_pylist():
+                if name != (row["family"], row["sub"]):
+                    name, held = (row["family"], row["sub"]), {}
+                hashes = np.frombuffer(row["hashes"], np.uint64)
+                if row["partners"] is None:  # sets of the block come first
+                    held[row["node"]] = hashes
+                    continue
+                others = np.frombuffer(row["partners"], "<i8").tolist()
+                for low in range(0, len(others), 100):  # bounded memory for large sets
+                    part = others[low:low + 100]
+                    near = part_similar(hashes, [held[o] for o in part], percent)
+                    found += [{"a": min(row["node"], o), "b": max(row["node"], o)} for o, yes in zip(part, near) if yes]
+            yield pa.RecordBatch.from_pylist(found, schema)
+
+    asked = lists.join(sets.withColumnRenamed("node", "o"), "o").select(F.col("o").alias("node"), "family", "sub", "partners", "hashes")
+    blocks = lists.select("family", "sub").distinct()
+    there = places.join(blocks, ["family", "sub"]).join(sets, "node").select("node", "family", "sub", F.lit(None).cast("binary").alias("partners"), "hashes")
+    laid = there.unionByName(asked).repartition("family", "sub").sortWithinPartitions("family", "sub", F.col("partners").isNotNull())
+    return laid.mapInArrow(run, "a long, b long").distinct()
+
+
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, positions: int = POSITIONS) -> DataFrame:
     """Per row: ``doc_id``, ``n_shingles``, ``component_id``, ``kept``.
 
@@ -158,24 +303,34 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, position
 
     # buckets with two members or more, each with its smallest member
     keys = index_keys(nodes, positions, most)
-    shared = keys.groupBy("key").agg(F.min("node").alias("head"), F.max("node").alias("last")).where("head < last").select("key", "head")
+    shared = keys.groupBy("key").agg(F.min("node").alias("head"), F.max("node").alias("last"), F.count("*").alias("n")).where("head < last").select("key", "head", "n")
     members = materialize(keys.join(shared, "key"))
-    first = members.where("node <> head").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct()
-    tried = materialize(similar_signatures(first, nodes, positions, most))
+    side = nodes.select("node", "signature")
+    # one row for each pair of a node and a smallest member, however many buckets they share
+    to_heads = members.where("node <> head").select("node", "head").distinct()
+    to_heads = to_heads.join(side, "node").join(side.toDF("head", "head_signature"), "head").select("node", "head", "signature", "head_signature")
+    tried = materialize(with_heads(to_heads, positions, most))
     sets = materialize(sets_of(docs, members.select("node").distinct(), words))
     links = materialize(confirmed(tried, sets, percent))
 
     # what is left: pairs of a bucket across components
     labels = components(links)
-    labelled = members.select("key", "node").join(labels, "node", "left").select("key", "node", F.coalesce("component", "node").alias("label"))
-    mixed_keys = labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("key")
-    labelled = materialize(labelled.join(mixed_keys, "key"))
-    main = labelled.groupBy("key", "label").agg(F.count("*").alias("n")).groupBy("key").agg(F.max_by("label", F.struct("n", "label")).alias("main"))
-    others = labelled.join(main, "key").where("label <> main").select("key", F.col("node").alias("o"), F.col("label").alias("own"))
-    across = others.join(labelled, "key").where("own <> label").select(F.least("o", "node").alias("a"), F.greatest("o", "node").alias("b")).distinct()
-    open_pairs = similar_signatures(across.join(tried, ["a", "b"], "left_anti"), nodes, positions, most)
-    more = confirmed(open_pairs, sets, percent)
-    whole = components(links.union(more))
+    labelled = members.join(labels, "node", "left").select("key", "choice", "node", "head", "n", F.coalesce("component", "node").alias("label"))
+    sizes = labelled.groupBy("key", "label").agg(F.count("*").alias("m"))
+    main = sizes.groupBy("key").agg(F.max_by("label", F.struct("m", "label")).alias("main"), F.count("*").alias("labels")).where("labels > 1").select("key", "main")
+    # partners are kept in blocks of nodes that share buckets: those with the same smallest head
+    family = members.groupBy("node").agg(F.min("head").alias("family"))
+    many = family.groupBy("family").agg(F.ceil(F.count("*") / PARTNERS).cast("int").alias("subs"))
+    places = materialize(family.join(many, "family").select("node", "family", F.pmod(F.xxhash64("node"), F.col("subs")).cast("int").alias("sub")))
+    open_members = labelled.join(main, "key").join(places, "node").join(side, "node")
+    chunks = F.ceil(F.col("n") / BLOCK).cast("int")
+    spread = (
+        open_members.withColumn("own", F.pmod(F.xxhash64("node"), chunks).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), chunks - 1)))
+        .withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other")).drop("other", "head", "n")
+    )
+    lists = materialize(across_components(spread, positions, most))
+    whole = components(links.union(confirmed_lists(lists, places, sets, percent)))
 
     classes = nodes.select("set_id", "node").join(whole, "node", "left").select("set_id", F.coalesce("component", "node").alias("component"))
     usable_id = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("set_id"))
