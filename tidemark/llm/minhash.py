@@ -220,6 +220,21 @@ def across_components(members: DataFrame, positions: int, most: int) -> DataFram
     return members.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(run, "o long, family long, sub int, partners binary")
 
 
+def listed_nodes(lists: DataFrame) -> DataFrame:
+    """``node``: everything named in lists (see :func:`across_components`)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = np.zeros(0, np.int64)
+        for batch in batches:
+            parts = [np.frombuffer(x, "<i8") for x in batch.column("partners").to_pylist()]
+            found = np.unique(np.concatenate([found, batch.column("o").to_numpy(), *parts]))
+            if len(found) > 1_000_000:
+                yield pa.RecordBatch.from_arrays([pa.array(found)], ["node"])
+                found = found[:0]
+        yield pa.RecordBatch.from_arrays([pa.array(found)], ["node"])
+
+    return lists.select("o", "partners").mapInArrow(run, "node long").distinct()
+
+
 def sets_of(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
     """``node`` and its ``hashes`` (binary) for the documents in ``ids`` (``node``)."""
     likely = likely_members(ids, "node")
@@ -304,13 +319,16 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, position
     # buckets with two members or more, each with its smallest member
     keys = index_keys(nodes, positions, most)
     shared = keys.groupBy("key").agg(F.min("node").alias("head"), F.max("node").alias("last"), F.count("*").alias("n")).where("head < last").select("key", "head", "n")
-    members = materialize(keys.join(shared, "key"))
+    shared = materialize(shared)
+    likely = likely_members(shared, "key")
+    members = materialize(keys.where(likely(F.col("key"))).join(shared, "key"))
     side = nodes.select("node", "signature")
     # one row for each pair of a node and a smallest member, however many buckets they share
     to_heads = members.where("node <> head").select("node", "head").distinct()
     to_heads = to_heads.join(side, "node").join(side.toDF("head", "head_signature"), "head").select("node", "head", "signature", "head_signature")
     tried = materialize(with_heads(to_heads, positions, most))
-    sets = materialize(sets_of(docs, members.select("node").distinct(), words))
+    ends = tried.select(F.col("a").alias("node")).union(tried.select("b")).distinct()
+    sets = materialize(sets_of(docs, ends, words))
     links = materialize(confirmed(tried, sets, percent))
 
     # what is left: pairs of a bucket across components
@@ -330,6 +348,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, position
         .withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other")).drop("other", "head", "n")
     )
     lists = materialize(across_components(spread, positions, most))
+    missing = listed_nodes(lists).join(sets.select("node"), "node", "left_anti")
+    sets = sets.union(materialize(sets_of(docs, missing, words)))
     whole = components(links.union(confirmed_lists(lists, places, sets, percent)))
 
     classes = nodes.select("set_id", "node").join(whole, "node", "left").select("set_id", F.coalesce("component", "node").alias("component"))
