@@ -10,13 +10,13 @@ takes O(n log n) steps, however long it is.
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tidemark.llm.tokens import Memory, _encoders, encode_batches
+from tidemark.llm.tokens import Batches, Memory, _encoders, encode_batches
 
 NOTHING = 1 << 96
 SHIFT, MASK = 32, (1 << 32) - 1
@@ -112,9 +112,9 @@ def encode(docs: DataFrame, path: str, pattern: str, keep: tuple[str, ...] = ("d
     return encode_batches(docs, lambda: rank_encoder(path, pattern), None, keep)
 
 
-def decode(encoded: DataFrame, path: str) -> DataFrame:
-    """All columns and ``decoded`` (binary): the bytes that ``ids`` stand for; NULL ids stay NULL."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def decoder(path: str) -> Callable[[Batches], Batches]:
+    """Adds ``decoded`` to batches with ``ids``."""
+    def run(batches: Batches) -> Batches:
         token = {rank: word for word, rank in read_ranks(path).items()}.__getitem__
 
         def plain(ids: bytes | None) -> bytes | None:
@@ -124,5 +124,17 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
             done = pa.array([plain(x) for x in batch.column("ids").to_pylist()], pa.binary())
             yield pa.RecordBatch.from_arrays([*batch.columns, done], [*batch.schema.names, "decoded"])
 
+    return run
+
+
+def decode(encoded: DataFrame, path: str) -> DataFrame:
+    """All columns and ``decoded`` (binary): the bytes that ``ids`` stand for; NULL ids stay NULL."""
     source = encoded.drop("decoded")
-    return source.mapInArrow(run, ", ".join([*(f"`{c}` {kind}" for c, kind in source.dtypes), "decoded binary"]))
+    return source.mapInArrow(decoder(path), ", ".join([*(f"`{c}` {kind}" for c, kind in source.dtypes), "decoded binary"]))
+
+
+def encode_and_decode(docs: DataFrame, path: str, pattern: str, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """:func:`encode` and :func:`decode` in one pass: ``keep`` columns, ``ids`` and ``decoded``."""
+    kinds = dict(docs.dtypes)
+    schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in keep), "ids binary", "decoded binary"])
+    return encode_batches(docs, lambda: rank_encoder(path, pattern), None, keep, decoder(path), schema)

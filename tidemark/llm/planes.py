@@ -18,7 +18,7 @@ are lost; ``content`` is the complete file, and readers need nothing else.
 from __future__ import annotations
 
 import struct
-from collections.abc import Iterator
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +26,8 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from tidemark.llm.tokens import Batches, Memory, encode_batches
+
 HEADER = struct.Struct("<8sQIII")
 MAGIC = b"IDPLANE1"
 BLOCK_IDS, FILE_IDS, LEVEL = 16_384, 1_000_000, 3
@@ -97,13 +99,13 @@ def sorted_documents(docs: DataFrame) -> DataFrame:
     return keyed.repartitionByRange("doc_id", "_tie").sortWithinPartitions("doc_id", "_tie").drop("_tie")
 
 
-def write_files(encoded: DataFrame, path: str, block: int = BLOCK_IDS, file_ids: int = FILE_IDS, bits: bool = False) -> None:
-    """Write ``ids`` (binary) of rows keyed by ``doc_id`` (integer or NULL) in their present order.
+def file_writer(block: int = BLOCK_IDS, file_ids: int = FILE_IDS, bits: bool = False) -> Callable[[Batches], Batches]:
+    """Turns batches of ``doc_id`` (integer or NULL) and ``ids`` into rows of :data:`FILES`, one for each file.
 
     Each partition becomes a shard of files of about ``file_ids`` ids; a longer document gets a
     file of its own. Documents without ids are kept. Memory: one file at a time.
     """
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Batches) -> Batches:
         shard, number = TaskContext.get().partitionId(), 0
         keys: list[int | None] = []
         parts: list[bytes] = []
@@ -126,10 +128,27 @@ def write_files(encoded: DataFrame, path: str, block: int = BLOCK_IDS, file_ids:
         if keys:
             yield flush()
 
-    files = encoded.select(F.col("doc_id").cast("long"), "ids").mapInArrow(run, "shard int, file int, ids long, content binary")
+    return run
+
+
+FILES = "shard int, file int, ids long, content binary"
+
+
+def store(files: DataFrame, path: str) -> None:
     files.write.option("compression", "uncompressed").parquet(path)
 
 
+def write_files(encoded: DataFrame, path: str, block: int = BLOCK_IDS, file_ids: int = FILE_IDS, bits: bool = False) -> None:
+    """Write ``ids`` (binary) of rows keyed by ``doc_id`` in their present order."""
+    store(encoded.select(F.col("doc_id").cast("long"), "ids").mapInArrow(file_writer(block, file_ids, bits), FILES), path)
+
+
+def write_texts(docs: DataFrame, path: str, encoder: Callable[[], Memory], end: int | None) -> None:
+    """Encode every whole ``text`` and write the ids in ascending ``doc_id``, in one pass."""
+    ordered = sorted_documents(docs.select(F.col("doc_id").cast("long"), "text"))
+    store(encode_batches(ordered, encoder, end, ("doc_id",), file_writer(), FILES), path)
+
+
 def read_files(spark: SparkSession, path: str, *derive: Column) -> DataFrame:
     """Per document: ``doc_id``, ``start`` (ids of all documents before it), ``ids`` (binary).
 
@@ -138,7 +157,7 @@ def read_files(spark: SparkSession, path: str, *derive: Column) -> DataFrame:
     """
     files = spark.read.parquet(path)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Batches) -> Batches:
         schema = pa.schema([("doc_id", pa.int64()), ("_inside", pa.int64()), ("ids", pa.binary()), ("_shard", pa.int32()), ("_file", pa.int32())])
         for batch in batches:
             for shard, number, content in zip(*(batch.column(c).to_pylist() for c in ("shard", "file", "content"))):

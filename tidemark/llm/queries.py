@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.llm import bpe, html, katz, language, lattice, lines, lz, minhash, planes
 from tidemark.llm.packing import cut_documents, pack
-from tidemark.llm.tokens import encode_documents
+from tidemark.llm.tokens import encode_documents, vocabulary_encoder
 from tidemark.session import delete_at_exit, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,7 +38,7 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op3_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    both = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), RANKS, PATTERN), RANKS)
+    both = bpe.encode_and_decode(table(spark, sf_dir, "documents"), RANKS, PATTERN)
     return both.select(
         "doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
@@ -47,9 +47,8 @@ def op3_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op6_bit_plane_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ordered = planes.sorted_documents(table(spark, sf_dir, "documents"))
     path = scratch_path(spark, "planes")
-    planes.write_files(encode_documents(ordered, VOCABULARY, PATTERN, end=0), path)
+    planes.write_texts(table(spark, sf_dir, "documents"), path, lambda: vocabulary_encoder(VOCABULARY, PATTERN), end=0)
     delete_at_exit(spark, path)
     return planes.read_files(spark, path, (F.length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
 

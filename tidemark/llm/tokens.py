@@ -17,7 +17,9 @@ import regex
 from pyspark.sql import DataFrame
 
 #: Entries a worker remembers (about 250 bytes each); full, it starts anew.
-REMEMBERED = 1_000_000
+REMEMBERED = 600_000
+#: Texts handed on at a time.
+ROWS = 500
 #: White space that no single space between two visible characters explains.
 ODD_SPACE = re.compile(r"\s\s|\A\s|\s\Z")
 #: ASCII signs: behind a word, any number of them form one match.
@@ -103,19 +105,34 @@ def vocabulary_encoder(path: str, pattern: str) -> Memory:
     return _encoders["tokenizers", path, pattern]
 
 
-def encode_batches(docs: DataFrame, encoder: Callable[[], Memory], end: int | None, keep: tuple[str, ...]) -> DataFrame:
-    """``keep`` columns and ``ids`` (binary) of ``text``; ``end`` is added behind each text."""
+Batches = Iterator[pa.RecordBatch]
+
+
+def encode_batches(
+    docs: DataFrame, encoder: Callable[[], Memory], end: int | None, keep: tuple[str, ...],
+    then: Callable[[Batches], Batches] | None = None, schema: str | None = None,
+) -> DataFrame:
+    """``keep`` columns and ``ids`` (binary) of ``text``; ``end`` is added behind each text.
+
+    ``then`` goes on with these batches in the same worker, so ids that only it needs are not sent
+    from process to process; ``schema`` says what it returns.
+    """
     tail = b"" if end is None else end.to_bytes(4, "little")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def encoded(batches: Batches) -> Batches:
         encode = encoder().encode
-        for batch in batches:
-            ids = pa.array([encode(t) + tail for t in batch.column("text").to_pylist()], pa.binary())
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), ids], [*keep, "ids"])
+        for whole in batches:
+            for at in range(0, whole.num_rows, ROWS):
+                batch = whole.slice(at, ROWS)
+                ids = pa.array([encode(t) + tail for t in batch.column("text").to_pylist()], pa.binary())
+                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), ids], [*keep, "ids"])
+
+    def run(batches: Batches) -> Batches:
+        return then(encoded(batches)) if then else encoded(batches)
 
     source = docs.select(*keep, "text")
     kinds = dict(source.dtypes)
-    return source.mapInArrow(run, ", ".join([*(f"`{c}` {kinds[c]}" for c in keep), "ids binary"]))
+    return source.mapInArrow(run, schema or ", ".join([*(f"`{c}` {kinds[c]}" for c in keep), "ids binary"]))
 
 
 def encode_documents(docs: DataFrame, path: str, pattern: str, end: int | None = None, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
