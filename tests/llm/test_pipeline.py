@@ -30,6 +30,8 @@ def corpus():
             text = "\n".join(x + " xy zz" for x in text.split("\n"))
         rows.append([i, text, lang, "s", 0])
     rows += [[90, None, "en", "s", None], [91, "", None, "s", 0], [92, "12345 --- 67890", "en", "s", 15], [93, "the house and the cat " * 900, None, "s", 1], [94, "und", None, None, 3]]
+    long = draw.choices(words["en"], k=80)
+    rows += [[95, " ".join(long), "en", "s", 0], [96, " ".join([*long[:-1], "altogether", "different"]), "en", "s", 0]]
     return [tuple(r) for r in rows]
 
 
