@@ -17,7 +17,7 @@ import regex
 from pyspark.sql import DataFrame
 
 #: Entries a worker remembers (about 250 bytes each); full, it starts anew.
-REMEMBERED = 600_000
+REMEMBERED = 300_000
 #: Texts handed on at a time.
 ROWS = 500
 #: White space that no single space between two visible characters explains.

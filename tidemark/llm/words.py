@@ -9,7 +9,7 @@ import xxhash
 class WordHashes(dict):
     """Remembers the hash of each word; full, it starts anew."""
 
-    def __init__(self, limit: int = 400_000):
+    def __init__(self, limit: int = 150_000):
         super().__init__()
         self.limit = limit
 
