@@ -207,3 +207,14 @@ def test_line_dedup_stage_cases(spark):
     assert kept.columns == docs.columns
     assert sorted(map(tuple, kept.collect()), key=str) == sorted([(1, long, 9), (2, "keep", 4), (3, "short", 5), (4, None, None), (5, "", 0)], key=str)
     assert lines.without_repeated_lines(docs.limit(0)).collect() == []
+
+
+def test_short_lines_are_lines(spark):
+    rows = [
+        (1, "Read more\nShare this\nx\n\n- 1 -"), (2, "own words of the second\nRead more\n\nShare  this\n\t\n\r"),
+        (3, "Read more.\nhi\n- 2 -\ny\n\t\n\r"), (4, "hi\nho\nxy\nabc"),
+    ]
+    found = lines.remove_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r.doc_id: (r.text, r.n_removed) for r in found.collect()} == {
+        1: (rows[0][1], 0), 2: ("own words of the second\n\n\t\n\r", 2), 3: ("hi\n\t\n\r", 3), 4: ("abc", 3),
+    }

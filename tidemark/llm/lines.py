@@ -25,19 +25,21 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tidemark.llm.members import likely_members
 from tidemark.session import materialize
 
-#: Shorter lines are no evidence of copying and are always kept.
-MIN_CHARS = 20
+#: Characters of a line, blanks around it aside. Only blank lines have fewer and are no repeats.
+MIN_CHARS = 1
+#: White space of any kind is no text, so a lone tab or carriage return makes no line either.
+VISIBLE = r"(?U)\S"
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
 
 
 def all_lines(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``tie``, ``number``, ``line`` (without blanks around it) of every line of ``MIN_CHARS`` or more."""
+    """``doc_id``, ``tie``, ``number``, ``line`` (without blanks around it) of every line with visible text."""
     # what is made from the text first, or every line would carry the whole text along
     named = docs.select("doc_id", "text", F.xxhash64("text").alias("tie"))
     split = named.select("doc_id", "tie", F.posexplode(F.split("text", "\n")).alias("number", "raw"))
     trimmed = split.select("doc_id", "tie", "number", F.trim("raw").alias("line"))
-    return trimmed.where(F.length("line") >= MIN_CHARS)
+    return trimmed.where((F.length("line") >= MIN_CHARS) & F.col("line").rlike(VISIBLE))
 
 
 def line_id() -> list[Column]:
@@ -106,8 +108,10 @@ def near_repeats(docs: DataFrame) -> DataFrame:
     likely = likely_members(shared, "half")
     candidates = materialize(spread.where(likely(F.col("half"))).join(shared, "half", "left_semi").select("h").distinct())
     likely = likely_members(candidates, "h")
-    texts = all_lines(docs).select(*line_id(), place(), "line").where(likely(F.col("h"))).join(candidates, "h", "left_semi")
-    lines = materialize(texts.groupBy("h", "g").agg(F.min("at").alias("at"), F.first("line").alias("line")))
+    texts = all_lines(docs).select(*line_id(), place(), "line").where(likely(F.col("h")))
+    # one row a distinct line before the join: short lines are candidates as a rule, and some stand in most documents
+    distinct = texts.groupBy("h", "g").agg(F.min("at").alias("at"), F.first("line").alias("line"))
+    lines = materialize(distinct.join(candidates, "h", "left_semi"))
 
     same_place, same_key = Window.partitionBy("key", "cut"), Window.partitionBy("key")
     several = variants(lines).withColumn("low", F.min("h").over(same_key)).withColumn("high", F.max("h").over(same_key))
@@ -138,8 +142,8 @@ def repeats(docs: DataFrame) -> DataFrame:
 def remove_repeated_lines(docs: DataFrame) -> DataFrame:
     """All rows and columns of ``docs``, ``text`` without repeated lines, ``n_lines`` and ``n_removed`` added.
 
-    A line of ``MIN_CHARS`` characters or more goes if an equal line, or one within edit distance 1, stands
-    earlier in the corpus; the others keep their order. NULL texts stay NULL (0 lines), '' has one line.
+    A line with visible text, however short, goes if an equal line, or one within edit distance 1, stands
+    earlier in the corpus; the others and blank lines keep their order. NULL texts stay NULL (0 lines), '' has one line.
     Repeated rows (equal id and text) become one.
     """
     keyed = docs.withColumn("_tie", F.xxhash64("text"))
