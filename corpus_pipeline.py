@@ -3,7 +3,7 @@
 1. ``language_id``: documents whose language is none of those learned from the labels go, as do
    those without a letter.
 2. ``line_dedup``: lines that repeat an earlier line, exactly or within one edit, go; so do documents
-   of which no line is left.
+   that lose lines and have only blank ones left.
 3. ``near_dedup``: of documents with at least 80 percent of their five-word shingles in common, one stays.
 4. ``packing``: the texts left, as token ids, fill sequences of 1024; the result is one row per piece.
 """

@@ -60,6 +60,19 @@ def test_pipeline_equals_plain_python(spark, tmp_path):
         assert at <= corpus_pipeline.CAPACITY
 
 
+def test_copies_with_blank_and_short_lines_go(spark, tmp_path):
+    texts = ["the house and the cat in the garden\n\nthat cat with the big house", "which house into that cat\nRead more\nwhen the cat was in", "  \n\t"]
+    rows = [(3 * copy + i, t, "en", "s", len(t)) for copy in range(4) for i, t in enumerate(texts)]
+    rows.append((50, texts[0] + "\n\t\n \n\r\n" + texts[1], "en", "s", 0))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    left = corpus_pipeline.line_dedup(spark, docs, "").collect()
+    # documents that never had any visible text lose no line here
+    assert sorted((r.doc_id, r.text, r.n_chars) for r in left if r.text.strip()) == [(i, t, len(t)) for i, t in enumerate(texts[:2])]
+    assert {r.doc_id for r in left if not r.text.strip()} == {2, 5, 8, 11}
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    assert {r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).collect()} == {0, 1}
+
+
 def test_stages_keep_the_columns(spark):
     docs = spark.createDataFrame(corpus()[:20], "doc_id long, text string, lang string, source string, n_chars long")
     for _, stage in corpus_pipeline.STAGES[:-1]:

@@ -170,8 +170,8 @@ def remove_repeated_lines(docs: DataFrame) -> DataFrame:
 
 
 def without_repeated_lines(docs: DataFrame) -> DataFrame:
-    """Columns of ``docs``; documents of which no line is left go, ``n_chars`` is counted anew if present."""
-    done = remove_repeated_lines(docs).where("text is null or n_removed < n_lines")
+    """Columns of ``docs``; documents that lose lines go if no visible text is left, ``n_chars`` is counted anew if present."""
+    done = remove_repeated_lines(docs).where(F.col("text").isNull() | (F.col("n_removed") == 0) | F.col("text").rlike(VISIBLE))
     if "n_chars" in docs.columns:
         done = done.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast(dict(docs.dtypes)["n_chars"])).otherwise(F.col("n_chars")))
     return done.select(*docs.columns)
