@@ -41,7 +41,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id``, ``piece``, ``start``, ``length``, ``ids``, ``ids_crc32``, ``sequence_id``, ``offset``."""
-    encoded = encode_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN, end=END)
+    encoded = encode_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN, end=END, added=True)
     return pack(cut_documents(encoded, CAPACITY).withColumn("ids_crc32", F.crc32("ids")), CAPACITY)
 
 

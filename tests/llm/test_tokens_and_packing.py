@@ -12,7 +12,8 @@ import tiktoken
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tidemark.llm import bpe, planes
+import corpus_pipeline
+from tidemark.llm import bpe, planes, queries
 from tidemark.llm.packing import cut_documents, group_lengths, make_plan, optimise, pack
 from tidemark.llm.tokens import Memory, encode_documents, vocabulary_encoder
 
@@ -49,6 +50,27 @@ def test_ids_are_those_of_the_tokenizers_library(spark):
     assert {r.doc_id: r.ids for r in rows} == {i: packed([*ids_of(t), 2]) for i, t in enumerate(ODD)}
 
 
+def test_queries_give_added_tokens_their_ids(spark, tmp_path):
+    library = Tokenizer.from_file(VOCABULARY)
+    texts = [*ODD, "a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>\n y", "<|endoftext|", "ab<|endoftext|>  <|endoftext|>c" * 300]
+    want = {i: library.encode(t or "", add_special_tokens=False).ids for i, t in enumerate(texts)}
+    assert want[len(ODD)] == [64, 220, 50256, 275]
+    rows = encode_documents(documents(spark, texts), VOCABULARY, PATTERN, end=2, added=True).collect()
+    assert {r.doc_id: r.ids for r in rows} == {i: packed([*ids, 2]) for i, ids in want.items()}
+
+    spark.createDataFrame([(i, t, "en", "s", 0) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
+    pieces = queries.op1_best_fit_packing(spark, str(tmp_path)).collect()
+    cuts = {i: [0, *range(n % 1024 or 1024, n + 1, 1024)] for i, ids in want.items() for n in [len(ids) + 1]}
+    assert {(r.doc_id, r.start): (r.length, r.ids_crc32) for r in pieces} == {
+        (i, a): (b - a, zlib.crc32(packed([*want[i], 2][a:b]))) for i, at in cuts.items() for a, b in zip(at, at[1:])
+    }
+    files = queries.op6_bit_plane_files(spark, str(tmp_path)).collect()
+    assert {r.doc_id: (r.n_tokens, r.ids_crc32) for r in files} == {i: (len(ids) + 1, zlib.crc32(packed([*ids, 0]))) for i, ids in want.items()}
+    docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    packing = corpus_pipeline.packing(spark, docs, str(tmp_path)).collect()
+    assert {(r.doc_id, r.start): r.ids_crc32 for r in packing} == {(r.doc_id, r.start): r.ids_crc32 for r in pieces}
+
+
 def test_memory_is_bounded_and_forgetting_changes_nothing():
     whole, small = vocabulary_encoder(VOCABULARY, PATTERN), None
     small = Memory(whole.encode_match, PATTERN, limit=5)

@@ -26,7 +26,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from tidemark.llm.tokens import Batches, Memory, encode_batches
+from tidemark.llm.tokens import AddedTokens, Batches, encode_batches
 
 HEADER = struct.Struct("<8sQIII")
 MAGIC = b"IDPLANE1"
@@ -143,7 +143,7 @@ def write_files(encoded: DataFrame, path: str, block: int = BLOCK_IDS, file_ids:
     store(encoded.select(F.col("doc_id").cast("long"), "ids").mapInArrow(file_writer(block, file_ids, bits), FILES), path)
 
 
-def write_texts(docs: DataFrame, path: str, encoder: Callable[[], Memory], end: int | None) -> None:
+def write_texts(docs: DataFrame, path: str, encoder: Callable[[], Memory | AddedTokens], end: int | None) -> None:
     """Encode every whole ``text`` and write the ids in ascending ``doc_id``, in one pass."""
     ordered = sorted_documents(docs.select(F.col("doc_id").cast("long"), "text"))
     store(encode_batches(ordered, encoder, end, ("doc_id",), file_writer(), FILES), path)

@@ -31,7 +31,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 @query
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encoded = encode_documents(table(spark, sf_dir, "documents"), VOCABULARY, PATTERN, end=2)
+    encoded = encode_documents(table(spark, sf_dir, "documents"), VOCABULARY, PATTERN, end=2, added=True)
     pieces = cut_documents(encoded, 1024).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
     return pack(pieces, 1024)
 
@@ -48,7 +48,7 @@ def op3_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_bit_plane_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "planes")
-    planes.write_texts(table(spark, sf_dir, "documents"), path, lambda: vocabulary_encoder(VOCABULARY, PATTERN), end=0)
+    planes.write_texts(table(spark, sf_dir, "documents"), path, lambda: vocabulary_encoder(VOCABULARY, PATTERN, added=True), end=0)
     delete_at_exit(spark, path)
     return planes.read_files(spark, path, (F.length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
 

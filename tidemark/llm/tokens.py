@@ -11,11 +11,15 @@ from __future__ import annotations
 import re
 import struct
 from collections.abc import Callable, Iterator
+from typing import TYPE_CHECKING
 
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+if TYPE_CHECKING:
+    from tokenizers import Tokenizer
+
 #: Entries a worker remembers (about 250 bytes each); full, it starts anew.
 REMEMBERED = 300_000
 #: Texts handed on at a time.
@@ -84,11 +88,39 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
-_encoders: dict[tuple, Memory] = {}  # a worker keeps its memory from task to task
+class AddedTokens:
+    """``memory`` for ordinary texts; texts that hold an added token of the file go through the whole library.
+
+    Only the library knows all rules of added tokens (single words, stripped sides, overlaps).
+    """
+
+    def __init__(self, memory: Memory, tokenizer: Tokenizer):
+        self.memory, self.whole = memory, tokenizer.encode
+        contents = sorted(t.content for t in tokenizer.get_added_tokens_decoder().values())
+        self.search = re.compile("|".join(map(re.escape, contents))).search if contents else None
+
+    def encode(self, text: str | None) -> bytes:
+        if not text or not self.search or not self.search(text):
+            return self.memory.encode(text)
+        ids = self.whole(text, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+
+_encoders: dict[tuple, Memory | AddedTokens] = {}  # a worker keeps its memory from task to task
+
 
+def vocabulary_encoder(path: str, pattern: str, added: bool = False) -> Memory | AddedTokens:
+    """Encoder by a ``tokenizers`` file.
 
-def vocabulary_encoder(path: str, pattern: str) -> Memory:
-    """Encoder by the model of a ``tokenizers`` file; special tokens in a text are ordinary text."""
+    ``added``: the file's added tokens get their ids where they stand in a text, as the library does it;
+    if not, they are ordinary text.
+    """
+    if added:
+        if ("added", path, pattern) not in _encoders:
+            from tokenizers import Tokenizer
+
+            _encoders["added", path, pattern] = AddedTokens(vocabulary_encoder(path, pattern), Tokenizer.from_file(path))
+        return _encoders["added", path, pattern]
     if ("tokenizers", path, pattern) not in _encoders:
         from tokenizers import Tokenizer
 
@@ -109,7 +141,7 @@ Batches = Iterator[pa.RecordBatch]
 
 
 def encode_batches(
-    docs: DataFrame, encoder: Callable[[], Memory], end: int | None, keep: tuple[str, ...],
+    docs: DataFrame, encoder: Callable[[], Memory | AddedTokens], end: int | None, keep: tuple[str, ...],
     then: Callable[[Batches], Batches] | None = None, schema: str | None = None,
 ) -> DataFrame:
     """``keep`` columns and ``ids`` (binary) of ``text``; ``end`` is added behind each text.
@@ -135,9 +167,12 @@ def encode_batches(
     return source.mapInArrow(run, schema or ", ".join([*(f"`{c}` {kinds[c]}" for c in keep), "ids binary"]))
 
 
-def encode_documents(docs: DataFrame, path: str, pattern: str, end: int | None = None, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def encode_documents(
+    docs: DataFrame, path: str, pattern: str, end: int | None = None, keep: tuple[str, ...] = ("doc_id",), added: bool = False,
+) -> DataFrame:
     """Ids of every whole ``text`` by the tokenizer file at ``path`` (readable on every executor).
 
-    NULL and empty texts have no ids but ``end``; rows are neither merged nor dropped.
+    NULL and empty texts have no ids but ``end``; rows are neither merged nor dropped. ``added`` as in
+    :func:`vocabulary_encoder`.
     """
-    return encode_batches(docs, lambda: vocabulary_encoder(path, pattern), end, keep)
+    return encode_batches(docs, lambda: vocabulary_encoder(path, pattern, added), end, keep)
