@@ -92,6 +92,15 @@ def test_held_out_accuracy(spark):
     assert judged.where("rejected").count() == 0
 
 
+@pytest.mark.parametrize("lang", ["de", "fr", "es"])
+def test_rejects_a_language_held_out_of_learning(spark, lang):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("lang is not null")
+    judged = language.predict(docs, language.learn(docs.where(f"lang <> '{lang}'")), "doc_id", "lang").cache()
+    new, old = judged.where(f"lang = '{lang}'"), judged.where(f"lang <> '{lang}'")
+    assert new.where("rejected").count() >= 0.8 * new.count()
+    assert old.where("rejected").count() <= 0.01 * old.count()
+
+
 def test_counts_do_not_depend_on_case_or_signs():
     assert (language.gram_counts("Ab, cd!") == language.gram_counts("ab cd")).all()
     assert language.gram_counts("12 ,.") is None
