@@ -104,3 +104,12 @@ def test_rejects_a_language_held_out_of_learning(spark, lang):
 def test_counts_do_not_depend_on_case_or_signs():
     assert (language.gram_counts("Ab, cd!") == language.gram_counts("ab cd")).all()
     assert language.gram_counts("12 ,.") is None
+
+
+def test_headings_and_paragraphs_named_after_their_subject_stay():
+    page = (
+        f"<body><article><header class='top'><h1>Headline</h1><div>By someone</div></header><p>{LONG}</p><h2 id='related-work'>Related work</h2>"
+        f"<p class='comment'>{LONG}</p><h2 id='social-history'>Social history</h2><p>{LONG}</p>"
+        "<div id='related-posts'><h3>Other posts</h3></div><header class='banner'><h3>Buy this</h3></header></article></body>"
+    )
+    assert main_text(page) == "\n".join(["Headline", LONG.strip(), "Related work", LONG.strip(), "Social history", LONG.strip()])

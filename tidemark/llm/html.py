@@ -38,6 +38,9 @@ HINTS = frozenset(
     "notice notices alert popup modal overlay nav navbar navigation menu breadcrumb breadcrumbs sidebar aside widget header masthead "
     "footer subscribe subscription newsletter signup login share sharing social comment comments reply replies respond discussion "
     "disqus related recommended recommendations pagination pager skip".split())
+#: Inside an article the words of these don't count: generated ids of headings name their subject.
+TEXT = frozenset("h1 h2 h3 h4 h5 h6 hgroup p".split())
+HEADINGS = TEXT - {"p"}
 WORDS = re.compile(r"[a-z]+")
 SPLIT = re.compile(r"(?<=[a-z0-9])(?=[A-Z])")
 
@@ -63,7 +66,7 @@ def is_outside(tag: str, attributes: list[tuple[str, str | None]], nested: bool)
             return True
         if name == "role" and (value or "").lower() in ROLES:
             return True
-        if name in ("class", "id") and value and not HINTS.isdisjoint(WORDS.findall(SPLIT.sub(" ", value).lower())):
+        if name in ("class", "id") and value and not (nested and tag in TEXT) and not HINTS.isdisjoint(WORDS.findall(SPLIT.sub(" ", value).lower())):
             return True
     return False
 
@@ -76,6 +79,8 @@ class LineReader(HTMLParser):
         self.lines: list[Line] = []
         #: open elements: name, outside, number of the region
         self.stack: list[tuple[str, bool, int]] = [("", False, 0)]
+        #: of each open element, whether it is left out; of headers, whether their attributes say so
+        self.hinted: list[bool] = [False]
         self.regions = 0
         self.articles: set[int] = set()
         self.fresh()
@@ -84,6 +89,15 @@ class LineReader(HTMLParser):
         _, outside, region = self.stack[-1]
         self.lines.append(Line(outside, region))
 
+    def own_header(self) -> bool:
+        """In a header of the outermost article or main that is in nothing else outside."""
+        names = [name for name, *_ in self.stack]
+        first = next((i for i, name in enumerate(names) if name in REGIONS), len(names))
+        header = next((i for i in range(first, len(names)) if names[i] == "header"), len(names))
+        if header == len(names) or self.stack[header - 1][1] or self.hinted[header]:
+            return False
+        return not any(self.hinted[header + 1:len(names)])
+
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag in VOID:
             if tag in BLOCKS:
@@ -104,6 +118,9 @@ class LineReader(HTMLParser):
             if tag in REGIONS:
                 self.articles.add(region)
         begins = is_outside(tag, attrs, inside_region)
+        if tag in HEADINGS and self.own_header():  # the headline, whatever else the header holds
+            outside = False
+        self.hinted[len(self.stack):] = [is_outside("div", attrs, inside_region) if tag == "header" else begins]
         self.stack.append((tag, outside or begins, region))
         if tag in BLOCKS or begins:
             self.fresh()
