@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 import re
 from collections import Counter
@@ -218,3 +219,11 @@ def test_short_lines_are_lines(spark):
     assert {r.doc_id: (r.text, r.n_removed) for r in found.collect()} == {
         1: (rows[0][1], 0), 2: ("own words of the second\n\n\t\n\r", 2), 3: ("hi\n\t\n\r", 3), 4: ("abc", 3),
     }
+
+
+@pytest.mark.parametrize("likeness, lost", [(0.80, "93"), (0.81, "26"), (0.82, "6"), (0.85, "0.04")])
+def test_docstring_gives_the_lost_links(likeness, lost):
+    q, n, most = (1 - likeness) * 255 / 256, minhash.POSITIONS, minhash.most_differences(0.8)
+    expected = 1e6 * sum(math.comb(n, k) * q**k * (1 - q) ** (n - k) for k in range(most + 1, n + 1))
+    assert f"{expected:.{2 * ('.' in lost)}f}" == lost
+    assert re.search(rf"\b{re.escape(lost)}\b[^,]* at\s+(exactly\s+)?{likeness:.2f}", minhash.near_duplicates.__doc__)

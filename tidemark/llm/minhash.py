@@ -310,6 +310,10 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, position
     words than ``words`` count as one shingle. NULL, empty and white texts have an empty set, link with
     nothing and are kept, as are rows without an id (``component_id`` NULL). ``doc_id`` is a whole number and
     unique but for repeated rows, which give repeated rows.
+
+    Pairs whose signatures differ in more positions than the bound are not tried. By the binomial
+    distribution, with 128 positions and 80 percent, that loses about 93 links of a million pairs at exactly
+    0.80, 26 at 0.81, 6 at 0.82 and 0.04 at 0.85; a lost link matters only if no other path joins the two.
     """
     most = most_differences(percent / 100, positions)
     rows = materialize(described(docs, words, positions))
