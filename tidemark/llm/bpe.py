@@ -16,7 +16,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tidemark.llm.tokens import Batches, Memory, _encoders, encode_batches
+from tidemark.llm.memory import only
+from tidemark.llm.tokens import Batches, Memory, encode_batches
 
 NOTHING = 1 << 96
 SHIFT, MASK = 32, (1 << 32) - 1
@@ -97,10 +98,11 @@ class Merger:
 
 def rank_encoder(path: str, pattern: str) -> Memory:
     """A worker's encoder for a rank file."""
-    if ("ranks", path, pattern) not in _encoders:
+    def build() -> Memory:
         ids = Merger(read_ranks(path)).ids
-        _encoders["ranks", path, pattern] = Memory(lambda match: np.array(ids(match.encode()), "<u4").tobytes(), pattern)
-    return _encoders["ranks", path, pattern]
+        return Memory(lambda match: np.array(ids(match.encode()), "<u4").tobytes(), pattern)
+
+    return only(("ranks", path, pattern), build)
 
 
 def encode(docs: DataFrame, path: str, pattern: str, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:

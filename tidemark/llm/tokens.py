@@ -17,68 +17,70 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from tidemark.llm.memory import BYTES, ENTRIES, Remembered, only
+
 if TYPE_CHECKING:
     from tokenizers import Tokenizer
 
-#: Entries a worker remembers (about 250 bytes each); full, it starts anew.
-REMEMBERED = 300_000
 #: Texts handed on at a time.
 ROWS = 500
 #: White space that no single space between two visible characters explains.
 ODD_SPACE = re.compile(r"\s\s|\A\s|\s\Z")
+OTHER_SPACE = re.compile(r"[^\S \n]")
 #: ASCII signs: behind a word, any number of them form one match.
 SIGNS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
-class Memory(dict):
-    """Ids of the space and the chunk behind it, computed when first asked for."""
+def odd_space(text: str) -> bool:
+    """Whether the (not empty) text has white space other than single characters of it between visible ones."""
+    if "  " in text or "\n\n" in text or " \n" in text or "\n " in text or text[0] in " \n" or text[-1] in " \n":
+        return True
+    # the slow search only where there is other white space
+    return bool(OTHER_SPACE.search(text) and ODD_SPACE.search(text))
+
+
+class Memory(Remembered):
+    """Ids of the space and the chunk behind it; chunks that come again are remembered."""
 
-    def __init__(self, encode_match: Callable[[str], bytes], pattern: str, limit: int = REMEMBERED):
-        super().__init__()
-        self.encode_match, self.limit = encode_match, limit
-        self.kept: dict[str, bytes] = {}  # by match
+    def __init__(self, encode_match: Callable[[str], bytes], pattern: str, limit: int = ENTRIES):
+        super().__init__(self.ids_of, limit)
+        self.encode_match = encode_match
+        self.kept = Remembered(encode_match, limit, BYTES // 2)  # by match
         self.matches = regex.compile(pattern).findall
 
-    def __missing__(self, chunk: str) -> bytes:
-        """Ids of " " + chunk; of "\\n" and what follows if the chunk starts with a line end."""
-        if len(self) >= self.limit:
-            self.clear()
+    def ids_of(self, chunk: str) -> bytes:
+        """Ids of " " + chunk; of "\n" and what follows if the chunk starts with a line end."""
         start, word = ("", chunk[1:]) if chunk[0] == "\n" else (" ", chunk)
         core = word.rstrip(SIGNS)
         if core.isalpha():
             if not start:
-                ids = self.signs("\n") + self.encode_match(core)
+                ids = self.kept["\n"] + self.encode_match(core)
             else:
                 ids = self.encode_match(" " + core) if core == word else self[core]
-            if core != word:
-                ids += self.signs(word[len(core):])
-        elif start and "\n" in word:
+            return ids if core == word else ids + self.kept[word[len(core):]]
+        if start and "\n" in word:
             line, _, rest = word.partition("\n")
-            ids = self[line] + self["\n" + rest]
-        else:
-            ids = self.split(start + word if start else chunk)
-        self[chunk] = ids
-        return ids
-
-    def signs(self, match: str) -> bytes:
-        if (ids := self.kept.get(match)) is None:
-            if len(self.kept) >= self.limit:
-                self.kept.clear()
-            ids = self.kept[match] = self.encode_match(match)
-        return ids
+            return self[line] + self["\n" + rest]
+        return self.split(start + word if start else chunk)
 
     def split(self, text: str) -> bytes:
-        return b"".join([self.signs(match) for match in self.matches(text)])
+        return b"".join(map(self.kept.__getitem__, self.matches(text)))
 
     def encode(self, text: str | None) -> bytes:
         """Ids of a whole text as little-endian unsigned 32-bit integers; none for NULL or ''."""
         if not text:
             return b""
-        if ODD_SPACE.search(text):
+        if odd_space(text):
             return self.split(text)
         first, *chunks = text.split(" ")
         return self.split(first) + b"".join(map(self.__getitem__, chunks))
 
+    def encode_behind_space(self, text: str) -> bytes:
+        """Ids of a space and a text that isn't empty."""
+        if odd_space(text):
+            return self.split(" " + text)
+        return b"".join(map(self.__getitem__, text.split(" ")))
+
 
 def byte_letters() -> dict[int, str]:
     """The letter that stands for each byte in byte-level vocabularies: printable bytes
@@ -106,35 +108,29 @@ class AddedTokens:
         return struct.pack(f"<{len(ids)}I", *ids)
 
 
-_encoders: dict[tuple, Memory | AddedTokens] = {}  # a worker keeps its memory from task to task
-
-
 def vocabulary_encoder(path: str, pattern: str, added: bool = False) -> Memory | AddedTokens:
     """Encoder by a ``tokenizers`` file.
 
     ``added``: the file's added tokens get their ids where they stand in a text, as the library does it;
     if not, they are ordinary text.
     """
-    if added:
-        if ("added", path, pattern) not in _encoders:
-            from tokenizers import Tokenizer
-
-            _encoders["added", path, pattern] = AddedTokens(vocabulary_encoder(path, pattern), Tokenizer.from_file(path))
-        return _encoders["added", path, pattern]
-    if ("tokenizers", path, pattern) not in _encoders:
-        from tokenizers import Tokenizer
-
-        model, letters = Tokenizer.from_file(path).model, byte_letters()
-        tokenize = model.tokenize
-        pack_into = [struct.Struct(f"<{n}I").pack for n in range(16)]
-
-        def encode_match(match: str) -> bytes:
-            word = match.encode().decode("latin-1").translate(letters)
-            ids = [t.id for t in tokenize(word)]
-            return pack_into[len(ids)](*ids) if len(ids) < 16 else struct.pack(f"<{len(ids)}I", *ids)
-
-        _encoders["tokenizers", path, pattern] = Memory(encode_match, pattern)
-    return _encoders["tokenizers", path, pattern]
+    return only(("tokenizers", path, pattern, added), lambda: new_encoder(path, pattern, added))
+
+
+def new_encoder(path: str, pattern: str, added: bool = False) -> Memory | AddedTokens:
+    from tokenizers import Tokenizer
+
+    tokenizer, letters = Tokenizer.from_file(path), byte_letters()
+    tokenize = tokenizer.model.tokenize
+    pack_into = [struct.Struct(f"<{n}I").pack for n in range(16)]
+
+    def encode_match(match: str) -> bytes:
+        word = match.encode().decode("latin-1").translate(letters)
+        ids = [t.id for t in tokenize(word)]
+        return pack_into[len(ids)](*ids) if len(ids) < 16 else struct.pack(f"<{len(ids)}I", *ids)
+
+    memory = Memory(encode_match, pattern)
+    return AddedTokens(memory, tokenizer) if added else memory
 
 
 Batches = Iterator[pa.RecordBatch]

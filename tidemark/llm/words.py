@@ -5,19 +5,14 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
+from tidemark.llm.memory import Remembered, only
 
-class WordHashes(dict):
-    """Remembers the hash of each word; full, it starts anew."""
 
-    def __init__(self, limit: int = 150_000):
-        super().__init__()
-        self.limit = limit
+class WordHashes(Remembered):
+    """Remembers the hash of each word that comes again."""
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.limit:
-            self.clear()
-        self[word] = found = xxhash.xxh64_intdigest(word)
-        return found
+    def __init__(self, limit: int = 400_000):
+        super().__init__(xxhash.xxh64_intdigest, limit, 64 << 20)
 
     def of(self, text: str | None) -> np.ndarray:
         # bytes.lower() and bytes.split() know ASCII letters and ASCII white space only
@@ -25,14 +20,9 @@ class WordHashes(dict):
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
-_hashes: list[WordHashes] = []
-
-
 def word_hashes() -> WordHashes:
-    """The memory a worker keeps from task to task."""
-    if not _hashes:
-        _hashes.append(WordHashes())
-    return _hashes[0]
+    """The memory a worker keeps from task to task of a stage."""
+    return only("words", WordHashes)
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
