@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidemark.llm import bpe, html, katz, language, lattice, lines, lz, minhash, planes
+from tidemark.llm import align, bpe, forest, html, katz, language, lattice, lines, lz, minhash, phrases, planes
 from tidemark.llm.packing import cut_documents, pack
 from tidemark.llm.tokens import encode_documents, vocabulary_encoder
 from tidemark.session import delete_at_exit, scratch_path
@@ -17,6 +17,7 @@ SQL: dict[str, str] = {}
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 PATTERN = public_tokenizers.PATTERN
 
 
@@ -94,3 +95,49 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.coalesce(remainder() == 1, F.lit(False))
     return katz.score(table(spark, sf_dir, "documents").withColumn("held_out", held_out))
+
+
+@query
+def op11_isolation_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return forest.judge(docs, forest.learn(docs, table(spark, sf_dir, "labels")), "doc_id")
+
+
+@query
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.alignment_summary(table(spark, sf_dir, "documents"), VOCABULARY, PATTERN, PIECES)
+
+
+@query
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"), top=2000)
+
+
+SQL["op13_collocations"] = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+split AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces),
+sizes AS (SELECT lang, sum(len(w))::BIGINT AS n FROM split GROUP BY lang),
+places AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM split WHERE len(w) > 0),
+grams AS (
+  SELECT lang, k AS size, array_to_string(w[i:i + k - 1], ' ') AS phrase
+  FROM places, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE i + k - 1 <= len(w)),
+f AS (SELECT lang, size, phrase, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 30),
+cand AS (SELECT lang, size, phrase, string_split(phrase, ' ') AS w, f AS a FROM f WHERE size >= 2),
+cuts AS (
+  SELECT c.lang, c.phrase, c.a, k, l.f AS l, r.f AS r, ((2000000::HUGEINT * c.a) // (l.f + r.f))::BIGINT AS score
+  FROM (SELECT *, unnest(range(1, size)) AS k FROM cand) c
+  JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[1:k], ' ')
+  JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[k + 1:], ' ')),
+worst AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inside AS (
+  SELECT lang, array_to_string(w[p:p + short - 1], ' ') AS phrase, max(a) AS holder
+  FROM (SELECT *, unnest(range(1, size - short + 2)) AS p FROM (SELECT *, unnest(range(2, size)) AS short FROM cand))
+  GROUP BY ALL),
+free AS (
+  SELECT s.* FROM worst s LEFT JOIN inside i USING (lang, phrase) WHERE i.holder IS NULL OR 100::HUGEINT * i.holder < 80::HUGEINT * s.a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase)::BIGINT AS rank, phrase, a, l, r, n, score
+FROM free JOIN sizes USING (lang) QUALIFY rank <= 2000
+"""
