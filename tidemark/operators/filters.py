@@ -58,8 +58,8 @@ def _outside(column: str, bounds: dict[str, tuple[float, float]]) -> Column:
     if column not in bounds:  # no values at all
         return F.lit(False)
     low, high = bounds[column]
-    # Spark holds NaN above all numbers
-    return (F.col(column) < low) | ((F.col(column) > high) & ~F.isnan(column))
+    # Spark holds NaN above all numbers, infinity included; comparisons reach the file scan, isnan doesn't
+    return (F.col(column) < low) | ((F.col(column) > high) & (F.col(column) <= float("inf")))
 
 
 def detect_outliers_iqr(df: DataFrame, col: str, approximate: bool = False) -> DataFrame:

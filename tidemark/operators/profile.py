@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from tidemark.operators.aggregation import named
-from tidemark.operators.quantiles import quantile_columns
+from tidemark.operators.quantiles import quantiles_and_measures
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -69,20 +69,19 @@ def count_duplicates(df: DataFrame, columns: Sequence[str] | None = None) -> Dat
 
 
 def describe(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Per numeric column: count, mean, std, min, exact quartiles, max."""
+    """Per numeric column: count, mean, std, min, exact quartiles, max, in two scans; NULL and NaN are left out."""
     names = list(columns) if columns else numeric_columns(df)
-    measures = {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
-    wide = df.agg(*[f(named(c).cast("double")).alias(f"{c}__{m}") for c in names for m, f in measures.items()])
-    rows = F.array(*[
-        F.struct(F.lit(c).alias("column"), *[named(f"{c}__{m}").alias(m) for m in measures]) for c in names
+    value = F.col("value")
+    measures = {"count": F.count(value), "mean": F.avg(value), "std": F.stddev_samp(value), "min": F.min(value), "max": F.max(value)}
+    quartiles = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
+    measured, found = quantiles_and_measures(df, names, list(quartiles.values()), measures)
+    side_by_side = found.groupBy("column").agg(*[
+        F.max(F.when(F.col("probability") == F.lit(p), F.col("value"))).alias(n) for n, p in quartiles.items()
     ])
-    quartiles = quantile_columns(df, names, {"q25": 0.25, "q50": 0.5, "q75": 0.75})
-    # One row per column on both sides.
-    return (
-        wide.select(F.inline(rows))
-        .join(quartiles, "column", "left")
-        .select("column", "count", "mean", "std", "min", "q25", "q50", "q75", "max")
-    )
+    # columns without values are there too; one row per column on all sides
+    every = df.sparkSession.range(1).select(F.explode(F.array(*[F.lit(c) for c in names])).alias("column"))
+    rows = every.join(measured, "column", "left").join(side_by_side, "column", "left")
+    return rows.withColumn("count", F.coalesce("count", F.lit(0))).select("column", "count", "mean", "std", "min", "q25", "q50", "q75", "max")
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:

@@ -1,9 +1,12 @@
-"""Exact quantiles with linear interpolation, without gathering a group in one task.
+"""Exact quantiles with linear interpolation, without sorting or gathering a group.
 
 The built-in exact percentile keeps every distinct value of a group in one
-task's map. Here the distinct values with their counts are spread over range
-blocks; block totals tell which block holds each wanted position, and only
-those blocks are looked into.
+task's map, and a sort moves every value. Here values are narrowed down instead.
+One scan sketches each group and gives, around every wanted position, two values
+that are sure to enclose it. A second scan counts: values between two such bounds
+by themselves, all others only as how many lie in the gap between bounds. Both
+scans combine before their shuffle, so a gap arrives as one row per input
+partition, and about one value in ``ACCURACY`` per position arrives at all.
 """
 
 from __future__ import annotations
@@ -17,7 +20,13 @@ from tidemark.session import materialize
 
 QUARTILES = (0.25, 0.5, 0.75)
 
-COLUMN = "__column"
+COLUMN, ALL = "__column", "__all"
+ORDER = ["value", "__gap"]
+#: Rank error of the sketch: one in so many. Groups with fewer values are counted value by value.
+ACCURACY = 10_000
+#: Counted rows of a group that one task may hold; more are spread over range blocks.
+MOST_ROWS = 65_536
+
 
 def with_keys(df: DataFrame, groups: Sequence[str]) -> DataFrame:
     return df.dropna(subset=list(groups)) if groups else df
@@ -59,18 +68,99 @@ def quantiles(
     cells = _long(df, names, groups)
     keys = [*groups, COLUMN]
     if approximate:
-        sketch = cells.groupBy(*keys).agg(F.percentile_approx("value", wanted, accuracy).alias("__q"))
-        return _named(sketch.select(*keys, F.inline(_pairs(wanted))), names, groups)
+        found = cells.groupBy(*keys).agg(F.percentile_approx("value", wanted, accuracy).alias("__q"))
+        return _named(found.select(*keys, F.inline(_pairs(wanted))), names, groups)
+
+    return _named(_narrowed(cells, sketch(cells, keys, wanted), keys, wanted), names, groups)
+
+
+def quantiles_and_measures(
+    df: DataFrame, columns: Sequence[str], wanted: Sequence[float], measures: dict[str, Column]
+) -> tuple[DataFrame, DataFrame]:
+    """Rows (column, measures…) and rows (column, probability, value); the measures, of ``value``, cost no scan."""
+    names = as_list(columns)
+    cells = _long(df, names, [])
+    bounds = sketch(cells, [COLUMN], wanted, measures)
+    label = F.element_at(F.array(*[F.lit(c) for c in names]), F.col(COLUMN) + 1).alias("column")
+    return bounds.select(label, *measures), _named(_narrowed(cells, bounds, [COLUMN], wanted), names, [])
 
-    counts = cells.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("__n"))
-    blocks = range_blocks(counts, keys, ["value"])
-    return _named(_from_blocks(blocks, keys, wanted), names, groups)
+
+def sketch(cells: DataFrame, keys: Sequence[str], wanted: Sequence[float], measures: dict[str, Column] | None = None) -> DataFrame:
+    """One row per group, stored: ``measures``, number of values, and bounds around each wanted position.
+
+    The bounds are values whose ranks are four times the sketch's rank error away from the position, or the
+    ends of the group.
+    """
+    reach = 4 / ACCURACY
+    asked = sorted({min(1.0, max(0.0, p + side)) for p in wanted for side in (-reach, reach)})
+    value = F.col("value")
+    found = cells.groupBy(*keys).agg(
+        F.count(value).alias(ALL), F.min(value).alias("__min"), F.max(value).alias("__max"),
+        F.percentile_approx(value, asked, ACCURACY).alias("__asked"), *[c.alias(n) for n, c in (measures or {}).items()],
+    )
+    few = F.col(ALL) <= ACCURACY
+
+    def bound(p: float, side: float) -> Column:
+        at = p + side
+        end = F.col("__min") if side < 0 else F.col("__max")
+        if not 0 < at < 1:
+            return end
+        return F.when(few, end).otherwise(F.col("__asked")[asked.index(at)])
+
+    lows, highs = (F.array(*[bound(p, side) for p in sorted(wanted)]) for side in (-reach, reach))
+    return materialize(found.select(*keys, ALL, lows.alias("__lows"), highs.alias("__highs"), *(measures or {})))
+
+
+def _narrowed(cells: DataFrame, bounds: DataFrame, keys: Sequence[str], wanted: Sequence[float]) -> DataFrame:
+    """Rows (keys, probability, value) from the values between the bounds and the sizes of the gaps."""
+    value, places = F.col("value"), range(len(wanted))
+    low, high = F.col("__lows"), F.col("__highs")
+    between = F.lit(False)
+    below = F.lit(None).cast("double")  # the highest upper bound below the value, or NULL
+    for i in places:
+        between = between | value.between(low[i], high[i])
+        below = F.when(value > high[i], high[i]).otherwise(below)
+    # a gap comes behind the values equal to the bound below it
+    narrowed = cells.join(bounds.select(*keys, "__lows", "__highs"), list(keys)).select(
+        *keys, F.when(between, value).otherwise(below).alias("value"), (~between).alias("__gap")
+    )
+    counts = materialize(narrowed.groupBy(*keys, "value", "__gap").agg(F.count(F.lit(1)).alias("__n")))
+    largest = counts.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows")).agg(F.max("__rows")).first()[0]
+    if (largest or 0) > MOST_ROWS:  # one task would hold too many: spread them
+        return _from_blocks(range_blocks(counts, keys, ORDER), keys, wanted)
+    within = Window.partitionBy(*keys).orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = counts.withColumn("__through", F.sum("__n").over(within))
+    targets = placed.join(bounds.select(*keys, F.col(ALL)), list(keys)).withColumn("__sought", _positions(wanted))
+    return _interpolated(targets, keys, wanted)
 
 
 def _pairs(wanted: Sequence[float]) -> Column:
     return F.arrays_zip(F.array(*[F.lit(p) for p in wanted]).alias("probability"), F.col("__q").alias("value"))
 
 
+def _positions(wanted: Sequence[float]) -> Column:
+    places = [f(_place(p)).cast("long") for p in wanted for f in (F.floor, F.ceil)]
+    return F.array_distinct(F.array(*places))
+
+
+def _interpolated(placed: DataFrame, keys: Sequence[str], wanted: Sequence[float]) -> DataFrame:
+    """From rows with ``__n`` values up to position ``__through`` and the positions ``__sought`` to the quantiles."""
+    covered = F.filter(
+        "__sought",
+        lambda at: (at < F.col("__through")) & (at >= F.col("__through") - F.col("__n")),
+    )
+    found = placed.select(*keys, "value", "__gap", ALL, F.explode(covered).alias("__at"))
+    # no position lies in a gap, or the bounds were wrong
+    value = F.when(~F.col("__gap"), F.col("value")).otherwise(F.raise_error(F.lit("a quantile lies outside its bounds")).cast("double"))
+    # At most two positions per probability and group.
+    per_group = found.groupBy(*keys).agg(
+        F.map_from_entries(F.collect_list(F.struct("__at", value.alias("value")))).alias("__values"),
+        F.max(ALL).alias(ALL),
+    )
+    rows = F.explode(F.array(*[F.struct(F.lit(p).alias("probability"), _interpolate(p).alias("value")) for p in wanted]))
+    return per_group.select(*keys, rows.alias("__row")).select(*keys, "__row.probability", "__row.value")
+
+
 def _from_blocks(blocks: DataFrame, keys: Sequence[str], wanted: Sequence[float]) -> DataFrame:
     """Find the values at the wanted positions, opening only the blocks that hold one."""
     totals = blocks.groupBy(*keys, BLOCK).agg(F.sum("__n").alias("__block_n"))
@@ -81,40 +171,20 @@ def _from_blocks(blocks: DataFrame, keys: Sequence[str], wanted: Sequence[float]
         BLOCK,
         "__block_n",
         F.coalesce(F.sum("__block_n").over(block_window(keys)), F.lit(0)).alias(CARRY),
-        F.sum("__block_n").over(whole).alias("__all"),
+        F.sum("__block_n").over(whole).alias(ALL),
     )
-    targets = F.array(*[_place(p) for p in wanted])
-    positions = F.array_distinct(
-        F.flatten(F.transform(targets, lambda h: F.array(F.floor(h).cast("long"), F.ceil(h).cast("long"))))
-    )
-    here = F.filter(positions, lambda at: (at >= F.col(CARRY)) & (at < F.col(CARRY) + F.col("__block_n")))
+    here = F.filter(_positions(wanted), lambda at: (at >= F.col(CARRY)) & (at < F.col(CARRY) + F.col("__block_n")))
     # At most two rows per probability and group, stored, so the join is chosen by their size in bytes.
     sought = materialize(located.withColumn("__sought", here).filter(F.size("__sought") > 0).drop("__block_n"))
-
     within = (
-        Window.partitionBy(*keys, BLOCK).orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        Window.partitionBy(*keys, BLOCK).orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     through = F.col(CARRY) + F.sum("__n").over(within)
-    candidates = (
-        blocks.join(sought, [*keys, BLOCK])
-        .withColumn("__through", through)
-    )
-    covered = F.filter(
-        "__sought",
-        lambda at: (at < F.col("__through")) & (at >= F.col("__through") - F.col("__n")),
-    )
-    found = candidates.select(*keys, "value", "__all", F.explode(covered).alias("__at"))
-    # At most two positions per probability and group.
-    per_group = found.groupBy(*keys).agg(
-        F.map_from_entries(F.collect_list(F.struct("__at", "value"))).alias("__values"),
-        F.max("__all").alias("__all"),
-    )
-    rows = F.explode(F.array(*[F.struct(F.lit(p).alias("probability"), _interpolate(p).alias("value")) for p in wanted]))
-    return per_group.select(*keys, rows.alias("__row")).select(*keys, "__row.probability", "__row.value")
+    return _interpolated(blocks.join(sought, [*keys, BLOCK]).withColumn("__through", through), keys, wanted)
 
 
 def _place(probability: float) -> Column:
-    return (F.col("__all") - 1).cast("double") * F.lit(probability)
+    return (F.col(ALL) - 1).cast("double") * F.lit(probability)
 
 
 def _interpolate(probability: float) -> Column:

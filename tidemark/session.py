@@ -71,3 +71,19 @@ def delete_at_exit(spark: SparkSession, path: str) -> None:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path for an intermediate table under the shared folder."""
     return os.path.join(shared_folder(spark), "tidemark-scratch", f"{name}-{uuid.uuid4().hex}")
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def completed_versions(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the subfolders of ``path`` that were written to their end, ascending."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    folder = hadoop.Path(path)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(folder):
+        return []
+    names = [entry.getPath().getName() for entry in system.listStatus(folder)]
+    return sorted(int(n) for n in names if n.isdigit() and system.exists(hadoop.Path(f"{path}/{n}/_SUCCESS")))
