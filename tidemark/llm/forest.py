@@ -113,7 +113,8 @@ def grow(rows: np.ndarray, rng: np.random.Generator, depth: int) -> tuple[np.nda
             path[node] = level + mean_path(len(here))
             continue
         feature[node] = f = int(rng.choice(free))
-        split[node] = at = high[f] - rng.uniform(0, high[f] - low[f])  # above the lowest value, so both sides have rows
+        at = high[f] - rng.uniform(0, high[f] - low[f])
+        split[node] = at = at if at > low[f] else high[f]  # above the lowest value, so both sides have rows
         right = rows[here, f] >= at
         todo += [(2 * node + 1, here[~right], level + 1), (2 * node + 2, here[right], level + 1)]
     return feature, split, path
