@@ -1,14 +1,17 @@
 from __future__ import annotations
 
 import datetime as dt
+import random
 
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from tests.conftest import values
 from tidemark.operators.joins import check_merge_key_overlap, join_on_index, safe_merge
 from tidemark.operators.selection import head, nlargest, slice_rows, sort_values, tail, top_groups_detail
 from tidemark.operators.stacking import concat_all, safe_concat
+from tidemark.sources import store_bucketed
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "right", "outer"])
@@ -128,3 +131,64 @@ def test_unreadable_keys_match_nothing(spark, how, n):
     merged = safe_merge(left, right, "k", how, parse_dates=True)
     assert merged.columns == ["k", "a", "b"] and merged.count() == n
     assert safe_merge(left, right, "k", how, parse_dates=True, null_safe=False).count() == n - 1 + (how == "outer") * 2 + (how in ("left", "right"))
+
+
+@pytest.fixture
+def many_partitions(spark):
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.autoBroadcastJoinThreshold")}
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    yield spark
+    for k, v in kept.items():
+        spark.conf.set(k, v)
+
+
+def skewed_pair():
+    draw = random.Random(4)
+    left = [(draw.choice([1, 1, 1, None, None, 9, 9, draw.randint(2, 60)]), i) for i in range(700)]
+    right = [(k, -k) for k in range(1, 50) if k != 9] + [(None, 0), (None, 1), (3, 5), (1, 6)] + [(77, i) for i in range(40)]
+    schema = "k int, v int"
+    return (left, schema), (right, "k int, w int")
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "right", "outer"])
+@pytest.mark.parametrize("null_safe", [True, False])
+def test_spread_merge_equals_the_plain_one(many_partitions, how, null_safe):
+    spark = many_partitions
+    left, right = (spark.createDataFrame(*x) for x in skewed_pair())
+    for a, b in ((left, right), (right.withColumnRenamed("w", "v"), left.withColumnRenamed("v", "w"))):
+        plain, spread = (safe_merge(a, b, "k", how, null_safe=null_safe, spread=s) for s in (False, True))
+        assert spread.columns == plain.columns
+        assert sorted(map(str, spread.collect())) == sorted(map(str, plain.collect()))
+
+
+def test_spread_merge_reads_dates_and_empty_tables(many_partitions):
+    spark = many_partitions
+    a = spark.createDataFrame([("2024-01-01", i) for i in range(50)] + [("soon", -1), (None, -2)], "d string, v int")
+    b = spark.createDataFrame([("2024-01-01 00:00:00", 1), ("never", 2), (None, 3)], "d string, w int")
+    for how in ("inner", "outer"):
+        plain, spread = (safe_merge(a, b, "d", how, parse_dates=True, spread=s) for s in (False, True))
+        assert sorted(map(str, spread.collect())) == sorted(map(str, plain.collect()))
+        assert safe_merge(a.limit(0), b, "d", how, spread=True).count() == (0 if how == "inner" else 3)
+        assert safe_merge(a.limit(0), b.limit(0), "d", how, spread=True).collect() == []
+
+
+def test_frequent_keys_do_not_meet_in_one_task(many_partitions):
+    spark = many_partitions
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    lines = spark.range(40_000).select(F.when(F.col("id") % 10 < 3, 0).otherwise(F.col("id")).alias("k"), F.col("id").alias("v"))
+    names = spark.range(40_000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
+    for spread, fair in ((False, False), (True, True)):
+        rows = safe_merge(lines, names, "k", "left", spread=spread).groupBy(F.spark_partition_id()).count().collect()
+        sizes = sorted(r["count"] for r in rows)
+        assert sum(sizes) == 40_000
+        assert (sizes[-1] <= 3 * sizes[len(sizes) // 2]) == fair
+
+
+def test_tables_stored_in_buckets_join_where_they_lie(spark):
+    a = store_bucketed(spark.range(1000).select("id", (F.col("id") * 3).alias("x")), "id", 4)
+    b = store_bucketed(spark.range(500).select((F.col("id") * 2).alias("id"), F.lit(1).alias("y")), "id", 4)
+    joined = join_on_index(a, b.hint("merge"), "id")
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "SortMergeJoin" in plan
+    assert joined.count() == 1000 and joined.where("y = 1").count() == 500
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("bucketed_")]

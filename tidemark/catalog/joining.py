@@ -10,6 +10,7 @@ from tidemark.operators.calendar import by_month_start, by_month_text, resample_
 from tidemark.operators.joins import check_merge_key_overlap, join_on_index, safe_merge
 from tidemark.operators.stacking import concat_all, safe_concat
 from tidemark.plans.views import loans, sales, shipments, table
+from tidemark.sources import store_bucketed
 
 
 @register("J1 J2 J3 J5", f"""
@@ -36,6 +37,22 @@ def merge_null_keys(spark: SparkSession, path: str) -> DataFrame:
     return safe_merge(flags, counts, "flag")
 
 
+SKEWED_KEY = "CASE WHEN l_orderkey % 10 < 3 THEN NULL WHEN l_orderkey % 10 < 6 THEN 7 ELSE l_suppkey END"
+
+
+@register("J1 J7", f"""
+    WITH a AS (SELECT {SKEWED_KEY} AS k, l_orderkey, l_linenumber FROM lineitem),
+         b AS (SELECT s_suppkey AS k, s_name FROM supplier UNION ALL SELECT NULL, 'nobody' UNION ALL SELECT -1, 'no lines')
+    SELECT coalesce(a.k, b.k) AS k, l_orderkey, CAST(l_linenumber AS INTEGER) AS l_linenumber, s_name
+    FROM a FULL JOIN b ON a.k IS NOT DISTINCT FROM b.k""")
+def merge_frequent_keys(spark: SparkSession, path: str) -> DataFrame:
+    """One key and NULL hold three tenths of the lines each; their rows are dealt over many tasks."""
+    lines = table(spark, path, "lineitem").select(F.expr(SKEWED_KEY).alias("k"), "l_orderkey", "l_linenumber")
+    supplier = table(spark, path, "supplier").select(F.col("s_suppkey").alias("k"), "s_name")
+    extra = spark.range(2).select(F.when(F.col("id") == 0, F.lit(-1).cast("long")).alias("k"), F.when(F.col("id") == 0, "no lines").otherwise("nobody").alias("s_name"))
+    return safe_merge(lines, supplier.union(extra), "k", "outer", spread=True)
+
+
 @register("J4", over("sales shipments", f"""
     , s AS (SELECT {first_of_month('order_date')} AS m, sum(sales) AS sales FROM sales GROUP BY 1),
       c AS (SELECT {first_of_month('date')} AS m, sum(new_cases) AS new_cases FROM shipments GROUP BY 1)
@@ -145,6 +162,17 @@ def join_by_index(spark: SparkSession, path: str) -> DataFrame:
     return join_on_index(orders, lines, "o_orderkey")
 
 
+@register("J11 K2", """
+    SELECT o_orderkey, o_totalprice, o_orderpriority, quantity, lines FROM orders LEFT JOIN
+    (SELECT l_orderkey AS k, sum(l_quantity) AS quantity, count(*) AS lines FROM lineitem GROUP BY 1) ON o_orderkey = k""")
+def join_where_stored(spark: SparkSession, path: str) -> DataFrame:
+    """Both tables are stored in buckets of the key: they are grouped and joined where they lie."""
+    orders = store_bucketed(table(spark, path, "orders").select("o_orderkey", "o_totalprice", "o_orderpriority"), "o_orderkey", 8)
+    lines = store_bucketed(table(spark, path, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_quantity"), "o_orderkey", 8)
+    totals = lines.groupBy("o_orderkey").agg(F.sum("l_quantity").alias("quantity"), F.count(F.lit(1)).alias("lines"))
+    return join_on_index(orders, totals.hint("merge"), "o_orderkey")
+
+
 @register("G9 J5", over("activity", """
     , m AS (SELECT last_day(CAST(l_shipdate AS DATE)) AS date, sum(l_quantity) AS quantity FROM lineitem GROUP BY 1),
       o AS (SELECT last_day(CAST(o_orderdate AS DATE)) AS date, count(*) AS orders FROM orders GROUP BY 1),
