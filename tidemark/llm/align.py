@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.llm.katz import expand, expand_sorted, squeeze, squeeze_sorted
-from tidemark.llm.memory import only
+from tidemark.llm.memory import Remembered, only
 from tidemark.llm.tokens import byte_letters, new_encoder
 from tidemark.session import materialize
 
@@ -58,18 +58,36 @@ def byte_level(path: str, pattern: str) -> Vocabulary:
 
 
 def sentence_pieces(path: str) -> Vocabulary:
-    """A SentencePiece model, over the text; it puts a space before it."""
+    """A SentencePiece model, over the text; it puts a space before it.
+
+    Words that come again are remembered. That needs pieces with spaces at their start only, so that no merge goes
+    over a single space; texts with other spaces, and models with other pieces, go through the library whole.
+    """
     from sentencepiece import SentencePieceProcessor
 
     model = SentencePieceProcessor(model_file=path)
-    pieces = []
+    pieces, apart = [], True
     for i in range(model.vocab_size()):
         piece = model.id_to_piece(i)
         if model.is_byte(i):
             pieces.append(bytes([int(piece[1:-1], 16)]))
         else:
             pieces.append(piece.replace("▁", " ").encode())
-    return Vocabulary(lambda text: np.array(model.encode(text, num_threads=1), np.int64), pieces, False)
+            apart &= "▁" not in piece.lstrip("▁") or model.is_control(i) or model.is_unknown(i)
+
+    def packed(text: str) -> bytes:
+        return np.array(model.encode(text, num_threads=1), "<u4").tobytes()
+
+    words = Remembered(packed)
+
+    def encode(text: str) -> np.ndarray:
+        if apart and "  " not in text and text[0] != " " and text[-1] != " ":
+            ids = b"".join(map(words.__getitem__, text.split(" ")))
+        else:
+            ids = packed(text)
+        return np.frombuffer(ids, "<u4").astype(np.int64)
+
+    return Vocabulary(encode, pieces, False)
 
 
 def vocabularies(byte_path: str, pattern: str, piece_path: str) -> tuple[Vocabulary, Vocabulary]:
@@ -222,15 +240,16 @@ def align(docs: DataFrame, byte_path: str, pattern: str, piece_path: str, *keep:
     return source.mapInArrow(run, ", ".join([*kinds, "links array<struct<a: int, b: int>>", "cuts array<struct<a: int, b: int>>"]))
 
 
+#: Columns of a text before the pairs are counted.
+COUNTED = ("doc_id", "n_a", "n_b", "n_groups", "n_links")
+
+
 def summarised(docs: DataFrame, byte_path: str, pattern: str, piece_path: str, chars: int) -> DataFrame:
-    """One row per block: its texts' ids, counts and group digests as lists, how often each of its id pairs is linked
-    in each text, and the block's distinct pairs."""
-    counts = pa.list_(pa.int64())
-    schema = pa.schema([
-        ("block", pa.int64()), ("doc_id", counts), ("n_a", counts), ("n_b", counts), ("n_groups", counts), ("n_links", counts),
-        ("groups_sha256", pa.list_(pa.string())), ("n_pairs", counts),
-        ("used", pa.binary()), ("uses", pa.binary()), ("pairs", pa.binary()), ("totals", pa.binary()),
-    ])
+    """One row per block: ``texts`` (its texts' ids, counts and group digests, and how often each of the block's id pairs
+    is linked in each text, as an Arrow stream), and the block's distinct ``pairs`` with their ``totals``, as packed arrays."""
+    schema = pa.schema([("block", pa.int64()), ("texts", pa.binary()), ("pairs", pa.binary()), ("totals", pa.binary())])
+    numbers = [(c, pa.list_(pa.int64())) for c in (*COUNTED, "n_pairs")]
+    layout = pa.schema([*numbers, ("groups_sha256", pa.list_(pa.string())), ("used", pa.binary()), ("uses", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first, second = vocabularies(byte_path, pattern, piece_path)
@@ -243,16 +262,20 @@ def summarised(docs: DataFrame, byte_path: str, pattern: str, piece_path: str, c
             bags, uses = np.unique(text << 32 | pair, return_counts=True)
             shas = [hashlib.sha256(t.encode()).hexdigest() if t else "" for t in block.group_texts()]
             cuts = np.concatenate([[0], np.cumsum(block.a_cut)])[block.a_start]
+            row = pa.RecordBatch.from_pylist([{
+                "doc_id": batch.column(0).to_pylist(), "n_a": np.diff(block.a_start), "n_b": np.diff(block.b_start),
+                "n_groups": np.diff(cuts), "n_links": np.diff(at), "n_pairs": np.bincount(bags >> 32, minlength=batch.num_rows),
+                "groups_sha256": shas, "used": squeeze((bags & 0xFFFFFFFF).astype("<u4")), "uses": squeeze(uses.astype("<u4")),
+            }], layout)
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, layout) as stream:
+                stream.write_batch(row)
             yield pa.RecordBatch.from_pylist([{
-                "block": task << 32 | number, "doc_id": batch.column(0).to_pylist(), "n_a": np.diff(block.a_start), "n_b": np.diff(block.b_start),
-                "n_groups": np.diff(cuts), "n_links": np.diff(at), "groups_sha256": shas, "n_pairs": np.bincount(bags >> 32, minlength=batch.num_rows),
-                "used": squeeze((bags & 0xFFFFFFFF).astype("<u4")), "uses": squeeze(uses.astype("<u4")),
+                "block": task << 32 | number, "texts": sink.getvalue().to_pybytes(),
                 "pairs": squeeze_sorted(pairs.astype("<u8")), "totals": squeeze(totals.astype("<u8")),
             }], schema)
 
-    kinds = "block long, doc_id array<long>, n_a array<long>, n_b array<long>, n_groups array<long>, n_links array<long>, groups_sha256 array<string>"
-    rows = docs.select(F.col("doc_id").cast("long"), "text")
-    return rows.mapInArrow(run, f"{kinds}, n_pairs array<long>, used binary, uses binary, pairs binary, totals binary")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "block long, texts binary, pairs binary, totals binary")
 
 
 def block_pairs(blocks: DataFrame) -> DataFrame:
@@ -287,34 +310,37 @@ def alignment_summary(docs: DataFrame, byte_path: str, pattern: str, piece_path:
     as digest. Repeated rows count each; ids may be NULL; an empty table gives an empty one.
     """
     blocks = materialize(summarised(docs, byte_path, pattern, piece_path, chars))
-    found = block_pairs(blocks).select("block", "place", "pair").join(pair_counts(blocks), "pair").select("block", "place", "total", "best")
+    # few narrow columns: there are many more of these rows than texts
+    total = F.when(F.col("best"), F.col("total")).otherwise(-F.col("total"))
+    found = block_pairs(blocks).select("block", "place", "pair").join(pair_counts(blocks), "pair").select("block", "place", total.alias("total"))
     # a block's totals, in the order of its pairs, and behind them the block
-    whole = blocks.drop("pairs", "totals").withColumn("place", F.lit(2**31 - 1))
+    whole = blocks.select("block", F.lit(LAST).alias("place"), "texts")
     laid = found.unionByName(whole, allowMissingColumns=True).repartition("block").sortWithinPartitions("block", "place")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        totals: list[np.ndarray] = []
-        best: list[np.ndarray] = []
+        held: list[np.ndarray] = []
         for batch in batches:
-            ends = np.flatnonzero(batch.column("place").to_numpy() == 2**31 - 1).tolist()
             low = 0
-            for at in [*ends, batch.num_rows]:
-                part = batch.slice(low, at - low)
-                totals.append(part.column("total").to_numpy())
-                best.append(part.column("best").to_numpy(zero_copy_only=False))
-                low = at + 1
-                if at == batch.num_rows:
-                    break
-                row = batch.slice(at, 1).to_pylist()[0]
-                total, is_best = np.concatenate(totals).astype(np.int64), np.concatenate(best).astype(bool)
-                totals, best = [], []
-                used, uses = expand(row["used"], "<u4"), expand(row["uses"], "<u4").astype(np.int64)
-                edges = np.concatenate([[0], np.cumsum(row["n_pairs"], dtype=np.int64)])
-                sums = np.concatenate([[0], np.cumsum(total[used] * uses)])[edges]
-                bests = np.concatenate([[0], np.cumsum(is_best[used] * uses)])[edges]
-                yield pa.RecordBatch.from_arrays([
-                    *(pa.array(row[c], pa.int64()) for c in ("doc_id", "n_a", "n_b", "n_groups", "n_links")),
-                    pa.array(np.diff(bests)), pa.array(np.diff(sums)), pa.array(row["groups_sha256"], pa.string()),
-                ], ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"])
-
-    return laid.mapInArrow(run, "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string")
+            for at in np.flatnonzero(batch.column("place").to_numpy() == LAST).tolist():
+                held.append(batch.column("total").slice(low, at - low).to_numpy(zero_copy_only=False))
+                yield with_totals(batch.column("texts")[at].as_py(), np.concatenate(held).astype(np.int64))
+                held, low = [], at + 1
+            held.append(batch.column("total").slice(low).to_numpy(zero_copy_only=False))
+
+    return laid.drop("block").mapInArrow(run, "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string")
+
+
+LAST = 2**31 - 1
+
+
+def with_totals(texts: bytes, totals: np.ndarray) -> pa.RecordBatch:
+    """The texts of a block with ``n_best`` and ``count_sum``; ``totals`` of its pairs are negative where not the best."""
+    row = pa.ipc.open_stream(texts).read_next_batch()
+    used, uses = expand(row.column("used")[0].as_py(), "<u4"), expand(row.column("uses")[0].as_py(), "<u4").astype(np.int64)
+    edges = np.concatenate([[0], np.cumsum(row.column("n_pairs").flatten().to_numpy())])
+    sums = np.concatenate([[0], np.cumsum(np.abs(totals)[used] * uses)])[edges]
+    bests = np.concatenate([[0], np.cumsum((totals > 0)[used] * uses)])[edges]
+    return pa.RecordBatch.from_arrays(
+        [*(row.column(c).flatten() for c in COUNTED), pa.array(np.diff(bests)), pa.array(np.diff(sums)), row.column("groups_sha256").flatten()],
+        [*COUNTED, "n_best", "count_sum", "groups_sha256"],
+    )
