@@ -12,7 +12,8 @@ from tidemark.operators.aggregation import (
     binned_summary, compute_approval_rate, groupby_summary, grouped_totals, named_summary, rate_of, table_summary,
 )
 from tidemark.operators.calendar import by_day, by_month_start, by_month_text, resample_daily, resample_monthly
-from tidemark.operators.reshape import melt_summary, pivot_table_summary, stacked_groupby_unstack
+from tidemark.operators.profile import describe
+from tidemark.operators.reshape import melt_summary, pivot_cells, pivot_table_summary, stacked_groupby_unstack
 
 
 @pytest.fixture
@@ -171,3 +172,82 @@ def test_more_aggregates_and_dotted_names(spark):
     assert [tuple(r) for r in got] == [("a", 0.0, True, False), ("b", 3.0, True, True)]
     wide = stacked_groupby_unstack(df, ["g", "k"], "v.w", "k").orderBy("g")
     assert wide.columns == ["g", "x.y", "z"] and [tuple(r) for r in wide.collect()] == [("a", 2.0, 0.0), ("b", 3.0, 0.0)]
+
+
+ORDER_STATISTICS = {"v": ["median", "first", "last", "sum"], "w": "median"}
+
+
+def test_order_statistics_beside_other_aggregates(frame):
+    pdf = pd.DataFrame({
+        "g": ["a", "a", "b", "b", "b", None, "c"], "o": [3, 1, 5, 4, None, 0, 9],
+        "v": [1.0, None, 7.0, 5.0, 2.0, 1.0, None], "w": [1, 2, 3, 4, 5, 6, 7],
+    })
+    got = groupby_summary(frame(pdf), "g", ORDER_STATISTICS, order_by="o").orderBy("g")
+    assert got.columns == ["g", "v_median", "v_first", "v_last", "v_sum", "w_median"]
+    # NULL order keys come last, NULL values are skipped
+    assert [tuple(r) for r in got.collect()] == [("a", 1.0, 1.0, 1.0, 1.0, 1.5), ("b", 5.0, 5.0, 2.0, 14.0, 4.0), ("c", None, None, None, 0.0, 7.0)]
+    whole = table_summary(frame(pdf), {"v": ["median", "max"], "w": ["first", "median"]}, order_by="o").collect()
+    assert [tuple(r) for r in whole] == [(2.0, 7.0, 6, 4.0)]
+    only = named_summary(frame(pdf), ["g"], middle=("w", "median")).orderBy("g").collect()
+    assert [tuple(r) for r in only] == [("a", 1.5), ("b", 4.0), ("c", 7.0)]
+    assert groupby_summary(frame(pdf).limit(0), "g", ORDER_STATISTICS, order_by="o").collect() == []
+    with pytest.raises(ValueError, match="order_by"):
+        groupby_summary(frame(pdf), "g", {"v": "first"})
+
+
+def test_pivot_across_two_columns(frame):
+    pdf = pd.DataFrame({"i": [1, 1, 2, 2, 2, None], "a": ["x", "x", "y", "x", None, "x"], "b": [1, 2, 1, 1, 1, 1], "v": [1.0, 2.0, 3.0, 4.0, 5.0, 6.0]})
+    got = pivot_table_summary(frame(pdf), "i", ["a", "b"], "v", "sum").orderBy("i")
+    assert got.columns == ["i", "x_1", "x_2", "y_1"]
+    assert [tuple(r) for r in got.collect()] == [(1, 1.0, 2.0, None), (2, 4.0, None, 3.0)]
+    fixed = pivot_table_summary(frame(pdf), "i", ["a", "b"], "v", "sum", column_values=["y_1", "z_9"]).orderBy("i")
+    assert [tuple(r) for r in fixed.collect()] == [(1, None, None), (2, 3.0, None)]
+    clash = pd.DataFrame({"i": [1, 1], "a": ["x_1", "x"], "b": ["2", "1_2"], "v": [1, 2]})
+    with pytest.raises(ValueError, match="x_1_2"):
+        pivot_table_summary(frame(clash), "i", ["a", "b"], "v", "sum")
+    cells = pivot_cells(frame(pdf), "i", ["a", "b"], "v", "max", "top")
+    assert cells.columns == ["i", "a", "b", "top"] and cells.count() == 4
+
+
+def test_pivot_reads_its_input_once(spark, frame, tmp_path):
+    reads = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            reads.add(len(batch))
+            yield batch
+
+    df = frame({"i": [1, 1, 2], "a": ["x", "y", "x"], "v": [1.0, 2.0, 3.0]})
+    pivot_table_summary(df.mapInPandas(seen, df.schema), "i", "a", "v", "sum").collect()
+    assert reads.value == 3
+
+
+def test_quantiles_narrow_any_distribution(spark, monkeypatch):
+    from tidemark.operators import quantiles as q
+
+    rng = np.random.default_rng(1)
+    n = 30_000
+    pdf = pd.DataFrame({
+        "g": rng.integers(0, 3, n), "wide": np.exp(rng.normal(0, 30, n)) * rng.choice([-1, 1], n),
+        "few": np.round(rng.normal(0, 2, n)), "tied": np.where(rng.random(n) < 0.4, 7.0, rng.random(n)),
+    })
+    pdf.loc[:100, "wide"] = np.nan
+    pdf.loc[5:9, "tied"] = [np.inf, -np.inf, -0.0, 0.0, 1e300]
+    df = spark.createDataFrame(pdf).repartition(5)
+    asked = [0.0, 0.01, 0.25, 0.5, 0.9, 0.999, 1.0]
+    monkeypatch.setattr(q, "ACCURACY", 500)  # so that bounds are needed
+    for most in (65_536, 20):
+        monkeypatch.setattr(q, "MOST_ROWS", most)
+        found = {(r.g, r.column, r.probability): r.value for r in q.quantiles(df, ["wide", "few", "tied"], asked, "g").collect()}
+        assert len(found) == 63
+        for (g, column, p), value in found.items():
+            have = pdf[pdf.g == g][column].dropna().sort_values().to_numpy()
+            place = (len(have) - 1) * p
+            low, high = have[int(np.floor(place))], have[int(np.ceil(place))]
+            assert value == low if low == high else value == pytest.approx(low + (high - low) * (place - np.floor(place)), rel=1e-12)
+
+
+def test_describe_has_columns_without_values(frame):
+    got = {r.column: r for r in describe(frame({"x": [1.0, 2.0, 4.0], "y": [None, None, None]}, "x double, y double")).collect()}
+    assert (got["x"]["count"], got["x"].q50, got["x"].max) == (3, 2.0, 4.0)
+    assert (got["y"]["count"], got["y"].q50, got["y"].mean) == (0, None, None)

@@ -9,7 +9,10 @@ from pyspark.sql import functions as F, types as T
 from tests.conftest import values
 from tidemark import functions as fn
 from tidemark.functions.expressions import spark_text
+from tidemark.functions import evaluate, query
 from tidemark.operators import columns as ops
+from tidemark.operators.profile import distinct_counts
+from tidemark.operators.selection import slice_rows
 from tidemark.operators.narrowing import narrow_types, optimize_dataframe
 
 
@@ -156,3 +159,38 @@ def test_narrowing_large_table_is_smaller(spark, tmp_path):
     size = lambda d: sum(width[f.dataType.simpleString()] for f in d.schema.fields)
     assert size(slim) < 0.9 * size(df)
     assert isinstance(slim.schema["n"].dataType, T.ByteType)
+
+
+def test_powers_group_from_the_right_and_negation(frame):
+    df = frame({"x": [2, 3], "flag": [True, False]})
+    assert values(evaluate(df, "y = 2 ** 3 ** 2"), "y") == [512.0, 512.0]
+    assert values(evaluate(df, "y = -x ** 2 + 1"), "y") == [-3.0, -8.0]
+    assert values(evaluate(df, "y = x ** -1 ** 2"), "y") == [0.5, pytest.approx(1 / 3)]
+    assert values(query(df, "~(x > 2)"), "x") == [2]
+    assert values(query(df, "~flag & x == 3"), "x") == [3]
+    assert values(query(df, "~~flag | ~(x < 10)"), "x") == [2]
+
+
+def test_slice_sorts_only_what_is_near(spark, frame, monkeypatch):
+    from tidemark.operators import selection
+
+    monkeypatch.setattr(selection, "LITTLE", 50)
+    sorted_rows = []
+    monkeypatch.setattr(selection, "row_positions", lambda rows, *a, keep=selection.row_positions: sorted_rows.append(rows.count()) or keep(rows, *a))
+    rows = [(None if i % 50 == 0 else float(i * 7919 % 1000), f"k{i:05d}" if i % 3 else None, i) for i in range(5000)]
+    df = spark.createDataFrame(rows, "x double, s string, i int")
+    want = sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1] is None, r[1] or "", r[2]))
+    for start, stop in ((0, 10), (2000, 2030), (4990, 5000), (4999, 9000), (100, 3000), (7000, 7001), (5, 5)):
+        got = slice_rows(df, start, stop, ["x", "s", "i"], ["i", "x"])
+        assert sorted(values(got, "i")) == sorted(r[2] for r in want[start:stop])
+    assert sorted_rows[1] < 500  # of 5,000
+    same = frame({"x": [1] * 300, "i": range(300)})
+    assert values(slice_rows(same, 299, 300, ["x", "i"], ["i"]), "i") == [299]
+
+
+def test_distinct_counts_read_once(spark, frame):
+    df = frame({"a": [1.0, 1.0, None, 2.0], "b": ["x", None, None, "x"], "c": [0.0, -0.0, 1.5, None], "d": [None] * 4}, "a double, b string, c double, d int")
+    found = distinct_counts(df)
+    assert {r.column: r.distinct for r in found.collect()} == {"a": 2, "b": 1, "c": 2, "d": 0}
+    assert {r.column: r.distinct for r in distinct_counts(df, ["b"]).collect()} == {"b": 1}
+    assert {r.distinct for r in distinct_counts(df.limit(0)).collect()} == {0}

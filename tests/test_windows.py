@@ -11,6 +11,7 @@ from tests.conftest import values
 from tidemark.operators import ordering
 from tidemark.operators.quantiles import quantile_columns, quantiles
 from tidemark.operators.ranking import rank_values
+from tidemark.operators.windows import grouped_transform, rolling_apply
 from tidemark.operators.windows import (
     cumulative_sum, forward_fill, grouped_eval, growth, pct_change, rolling_mean, rolling_rank,
 )
@@ -192,3 +193,59 @@ def test_growth_keeps_rows_without_order_key_last(spark, small):
     assert sorted(values(grown, "t", "v_pct_change"), key=lambda r: (r[0] is None, r[0])) == [(1, None), (2, None), (3, 1.0), (None, -0.75)]
     filled = forward_fill(df, "v", "t", small_groups=small)
     assert sorted(values(filled, "t", "v"), key=lambda r: (r[0] is None, r[0])) == [(1, None), (2, 20.0), (3, 40.0), (None, 10.0)]
+
+
+def test_growth_sorts_once(spark, frame, monkeypatch):
+    from tidemark.operators import ordering
+
+    written = []
+    monkeypatch.setattr(ordering, "materialize", lambda df, keep=ordering.materialize: written.append(1) or keep(df))
+    pdf = pd.DataFrame({"g": list("aab") * 30, "o": range(90), "v": [None if i % 4 == 0 else float(i * i % 17 + 1) for i in range(90)]})
+    got = pct_change(frame(pdf), "v", "o", "g").orderBy("o")
+    assert len(written) == 1
+    want = pdf.assign(f=pdf.groupby("g")["v"].ffill()).groupby("g")["f"].transform(lambda x: x / x.shift() - 1)
+    assert values(got, "v_pct_change") == [None if pd.isna(x) else pytest.approx(x) for x in want]
+    assert got.columns == ["g", "o", "v", "v_pct_change"]
+
+
+@pytest.mark.parametrize("groups", [None, "g"])
+@pytest.mark.parametrize("tile_rows", [7, 1000])
+def test_rolling_apply_crosses_tiles(frame, groups, tile_rows):
+    pdf = pd.DataFrame({"g": list("ab") * 40, "o": range(80), "v": [None if i % 9 == 5 else float(i * 7 % 23) for i in range(80)]})
+
+    def spread(x):
+        return F.array_max(x) - F.element_at(x, 1)  # oldest first
+
+    def by_hand(s):
+        out = []
+        for i in range(len(s)):
+            here = s.iloc[max(0, i - 3):i + 1].dropna()
+            out.append(here.max() - here.iloc[0] if len(here) >= 3 else None)
+        return pd.Series(out, s.index, dtype=float)
+
+    want = pdf.groupby("g")["v"].transform(by_hand) if groups else by_hand(pdf["v"])
+    got = rolling_apply(frame(pdf), "v", 4, spread, "o", groups, min_periods=3, new_col="x", tile_rows=tile_rows)
+    assert values(got.orderBy("o"), "x") == [None if pd.isna(x) else x for x in want]
+
+
+def test_transforms_of_large_groups(spark, frame):
+    pdf = pd.DataFrame({"g": ["all"] * 300 + ["b", None, None], "v": [float(i % 37) for i in range(303)]})
+    got = grouped_transform(frame(pdf), "g", "z", {"mean": F.avg("v"), "n": F.count("v")}, lambda s: (F.col("v") - s["mean"]) * s["n"])
+    assert got.columns == ["g", "v", "z"]
+    grouped = pdf.groupby("g", dropna=False)["v"]
+    want = ((pdf["v"] - grouped.transform("mean")) * grouped.transform("count")).tolist()
+    assert sorted(values(got, "v", "z")) == [(a, pytest.approx(b)) for a, b in sorted(zip(pdf["v"], want))]
+
+
+def test_rows_of_a_large_group_stay_apart(spark):
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.autoBroadcastJoinThreshold")}
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = spark.range(20_000).select(F.lit("all").alias("g"), F.col("id").cast("double").alias("v"))
+        got = grouped_transform(df, "g", "share", {"total": F.sum("v")}, lambda s: F.col("v") / s["total"])
+        sizes = sorted(r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect())
+        assert sum(sizes) == 20_000 and sizes[-1] <= 5_000
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)

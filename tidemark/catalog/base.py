@@ -25,6 +25,8 @@ def register(covers: str, sql: str | None = None) -> Callable[[Run], Run]:
     """Register a query under its function name; ``covers`` lists the inventory ids it shows."""
 
     def keep(run: Run) -> Run:
+        if run.__name__ in ENTRIES:
+            raise ValueError(f"two queries are named {run.__name__}")
         ENTRIES[run.__name__] = Entry(run.__name__, tuple(covers.split()), run, sql and " ".join(sql.split("\n")))
         return run
 

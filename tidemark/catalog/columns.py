@@ -70,6 +70,15 @@ def evaluate_arithmetic(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+@register("R6 F2 F3", """
+    SELECT l_orderkey, l_linenumber, CAST(pow(l_linenumber + 1, 4) AS DOUBLE) AS score FROM lineitem
+    WHERE NOT (l_quantity > 25) AND l_discount > 0.05""")
+def evaluate_powers_and_negation(spark: SparkSession, path: str) -> DataFrame:
+    """Powers group from the right, ``~`` negates a condition."""
+    lines = fn.query(table(spark, path, "lineitem"), "~(l_quantity > 25) & l_discount > 0.05")
+    return fn.evaluate(lines, "score = (l_linenumber + 1) ** 2 ** 2").select("l_orderkey", "l_linenumber", "score")
+
+
 @register("R7", """
     SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_totalprice AS BIGINT) AS o_totalprice,
            CAST(o_orderdate AS DATE) AS o_orderdate

@@ -219,6 +219,33 @@ def group_count_non_null(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+@register("G1 G2", f"""
+    SELECT l_returnflag, l_linestatus, {r('median(l_extendedprice)', 4)} AS l_extendedprice_median,
+           first(l_extendedprice ORDER BY l_shipdate, l_orderkey, l_linenumber) AS l_extendedprice_first,
+           last(l_extendedprice ORDER BY l_shipdate, l_orderkey, l_linenumber) AS l_extendedprice_last,
+           count(*) AS l_quantity_count, CAST(sum(l_quantity) AS BIGINT) AS l_quantity_sum, {r('median(l_quantity)', 4)} AS l_quantity_median
+    FROM lineitem GROUP BY 1, 2""")
+def group_order_statistics(spark: SparkSession, path: str) -> DataFrame:
+    """Medians, first and last values beside a sum and a count."""
+    df = groupby_summary(
+        table(spark, path, "lineitem"), ["l_returnflag", "l_linestatus"],
+        {"l_extendedprice": ["median", "first", "last"], "l_quantity": ["count", "sum", "median"]},
+        order_by=["l_shipdate", "l_orderkey", "l_linenumber"],
+    )
+    df = round_columns(df, l_extendedprice_median=4, l_quantity_median=4)
+    return df.withColumn("l_quantity_sum", F.col("l_quantity_sum").cast("long"))
+
+
+TWO_COLUMNS = [(status, number) for status in "FO" for number in range(1, 8)]
+
+
+@register("G17", "SELECT l_returnflag, " + ", ".join(
+    f"""sum(l_quantity) FILTER (l_linestatus = '{s}' AND l_linenumber = {n}) AS "{s}_{n}" """ for s, n in TWO_COLUMNS) + " FROM lineitem GROUP BY 1")
+def pivot_by_two_columns(spark: SparkSession, path: str) -> DataFrame:
+    """One column for every combination that occurs; the lines are read once."""
+    return pivot_table_summary(table(spark, path, "lineitem"), "l_returnflag", ["l_linestatus", "l_linenumber"], "l_quantity", "sum")
+
+
 @register("G17", over("sales", f"""
     SELECT region, {', '.join(f"{r(f"avg(CASE WHEN category = '{c}' THEN sales END)", 4)} AS {c}"
                               for c in ('ECONOMY', 'LARGE', 'MEDIUM', 'PROMO', 'SMALL', 'STANDARD'))}

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.catalog.base import first_of_month, month_of, over, register, round_columns, sql_rounded as r
 from tidemark.operators.aggregation import groupby_summary, named_summary
 from tidemark.operators.calendar import by_month_start, by_month_text, resample_daily
 from tidemark.operators.ranking import rank_values
 from tidemark.operators.selection import head, nlargest, sort_values, tail, top_groups_detail
-from tidemark.operators.windows import cumulative_sum, forward_fill, grouped_eval, growth, pct_change, rolling_mean, rolling_rank
+from tidemark.operators.windows import (
+    cumulative_sum, forward_fill, grouped_eval, grouped_transform, growth, pct_change, rolling_apply, rolling_mean, rolling_rank,
+)
 from tidemark.plans.views import sales, shipments, table
 
 MONTHLY = f""", m AS (SELECT {month_of('order_date')} AS month, sum(sales) AS sales, sum(profit) AS profit
@@ -63,7 +65,7 @@ def rolling_mean_by_region(spark: SparkSession, path: str) -> DataFrame:
 def rolling_mean_by_event_type(spark: SparkSession, path: str) -> DataFrame:
     """Few, large groups: tiles cut each of them."""
     events = table(spark, path, "events").select("event_id", "event_type", "ts", "value")
-    df = rolling_mean(events, "value", 10, ["ts", "event_id"], "event_type", min_periods=1)
+    df = rolling_mean(events, "value", 10, ["ts", "event_id"], "event_type", min_periods=1, tile_rows=1_000)
     return round_columns(df.select("event_id", "rolling_value"), rolling_value=4)
 
 
@@ -140,10 +142,37 @@ def rank_customers_in_region(spark: SparkSession, path: str) -> DataFrame:
     FROM f""")
 def rank_in_trailing_window(spark: SparkSession, path: str) -> DataFrame:
     events = table(spark, path, "events").select("event_id", "event_type", "ts", F.floor("value").cast("double").alias("value"))
-    df = rolling_rank(events, "event_type", "value", 5, order_col=["ts", "event_id"])
+    df = rolling_rank(events, "event_type", "value", 5, order_col=["ts", "event_id"], tile_rows=1_000)
     return df.select("event_id", "rolling_rank_value")
 
 
+@register("D3 W1", """
+    SELECT event_id, CASE WHEN count(value) OVER w >= 5 THEN """ + r("(sum(value) OVER w - min(value) OVER w - max(value) OVER w) / 3", 4) + """ END AS trimmed_mean
+    FROM events WINDOW w AS (ORDER BY ts, event_id ROWS 4 PRECEDING)""")
+def trimmed_mean_in_window(spark: SparkSession, path: str) -> DataFrame:
+    """A function of the last five values, all events in one order, over tiles of 1,000 rows."""
+    def trimmed(recent: Column) -> Column:
+        total = F.aggregate(recent, F.lit(0.0), lambda a, x: a + x)
+        return (total - F.array_min(recent) - F.array_max(recent)) / 3
+
+    events = table(spark, path, "events").select("event_id", "ts", "value")
+    df = rolling_apply(events, "value", 5, trimmed, ["ts", "event_id"], new_col="trimmed_mean", tile_rows=1_000)
+    return round_columns(df.select("event_id", "trimmed_mean"), trimmed_mean=4)
+
+
+@register("W11 D2", """
+    SELECT event_id, """ + r("(value - avg(value) OVER ()) / stddev_samp(value) OVER ()", 6) + """ AS score,
+           """ + r("value / max(value) OVER (PARTITION BY event_type)", 6) + """ AS share_of_best
+    FROM events""")
+def user_transform_in_large_groups(spark: SparkSession, path: str) -> DataFrame:
+    """Transforms made of group aggregates and a row part: all events as one group, then few large groups."""
+    events = table(spark, path, "events").select("event_id", "event_type", "value", F.lit("all").alias("everything"))
+    state = {"mean": F.avg("value"), "std": F.stddev_samp("value")}
+    df = grouped_transform(events, "everything", "score", state, lambda g: (F.col("value") - g["mean"]) / g["std"])
+    df = grouped_transform(df, "event_type", "share_of_best", {"best": F.max("value")}, lambda g: F.try_divide(F.col("value"), g["best"]))
+    return round_columns(df.select("event_id", "score", "share_of_best"), score=6, share_of_best=6)
+
+
 @register("W8", over("sales", MONTHLY + f"""
     SELECT month, {r('sales / lag(sales) OVER (ORDER BY month) - 1')} AS sales_pct_change FROM m"""))
 def monthly_growth(spark: SparkSession, path: str) -> DataFrame:

@@ -1,7 +1,7 @@
 """String predicates and string expressions, handed to Spark's own expression parser.
 
 Spark reads the text; only what its SQL writes otherwise is rewritten first: divisors
-(zero gives NULL), ``//``, ``**``, ``&``, ``|`` and ``in [..]``. Operands are taken as whole tokens.
+(zero gives NULL), ``//``, ``**`` (from the right), ``~``, ``&``, ``|`` and ``in [..]``. Operands are taken as whole tokens.
 """
 
 from __future__ import annotations
@@ -38,7 +38,7 @@ def _group_end(tokens: list[str], at: int) -> int:
 
 def _operand_end(tokens: list[str], at: int) -> int:
     """Index just past the operand that starts at ``at``: a value, call, subscript, bracket or case."""
-    while at < len(tokens) and (tokens[at].isspace() or tokens[at] in "+-"):
+    while at < len(tokens) and (tokens[at].isspace() or tokens[at] in "+-~"):
         at += 1
     if at == len(tokens):
         return at
@@ -48,6 +48,18 @@ def _operand_end(tokens: list[str], at: int) -> int:
     return at
 
 
+def _power_end(tokens: list[str], at: int) -> int:
+    """As :func:`_operand_end`, with the powers that the operand is raised to: these group from the right."""
+    at = _operand_end(tokens, at)
+    while True:
+        sign = at
+        while sign < len(tokens) and tokens[sign].isspace():
+            sign += 1
+        if sign == len(tokens) or tokens[sign] != "**":
+            return at
+        at = _operand_end(tokens, sign + 1)
+
+
 def _operand_start(tokens: list[str]) -> int:
     """Index of the start of the operand that ends the list."""
     at = len(tokens)
@@ -81,7 +93,7 @@ def _rewrite(tokens: list[str]) -> list[str]:
     while at < len(tokens):
         word = tokens[at]
         if word in ("/", "%", "//", "**"):
-            end = _operand_end(tokens, at + 1)
+            end = _power_end(tokens, at + 1)
             right = "".join(_rewrite(tokens[at + 1:end])).strip()
             if word in ("/", "%"):
                 out += [word, " ", f"nullif({right}, 0)"]
@@ -97,6 +109,10 @@ def _rewrite(tokens: list[str]) -> list[str]:
             end = _group_end(tokens, at)
             out += ["(", *_rewrite(tokens[at + 1:end - 1]), ")"]
             at = end
+        elif word == "~":
+            end = _operand_end(tokens, at + 1)
+            out.append(f"(NOT {''.join(_rewrite(tokens[at + 1:end])).strip()})")
+            at = end
         elif word in ("&", "&&", "|"):
             out.append(" OR " if word == "|" else " AND ")
             at += 1

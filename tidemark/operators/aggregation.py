@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.numbers import cut, cut_labels
 from tidemark.operators.ordering import as_list
+from tidemark.operators.quantiles import quantiles
 
 Aggregate = "str | Callable[[Column], Column]"
 
@@ -56,7 +57,7 @@ def aggregate_column(column: str, how: Aggregate) -> Column:
     if callable(how):
         return how(named(column))
     if how not in AGGREGATES:
-        raise ValueError(f"unknown aggregate {how!r}; known: {sorted(AGGREGATES)}")
+        raise ValueError(f"unknown aggregate {how!r}; known: {sorted([*AGGREGATES, 'first', 'last', 'median'])}")
     return AGGREGATES[how](named(column))
 
 
@@ -74,39 +75,75 @@ def aggregate_plan(agg_dict: Mapping[str, Aggregate | Sequence[Aggregate]]) -> l
     return plan
 
 
+def _summary(
+    df: DataFrame, keys: Sequence[str], plan: Sequence[tuple[str, str, Aggregate]], order_by: str | Sequence[str] | None
+) -> DataFrame:
+    """One row per group: aggregates that combine in one pass, and medians joined to them by group."""
+    used, order = [*keys, *[column for _, column, _ in plan]], as_list(order_by)
+    require_columns(df, [*used, *order])
+    rows = nan_as_null(df, used).dropna(subset=list(keys)) if keys else nan_as_null(df, used)
+    columns, medians = [], {}
+    for name, column, how in plan:
+        if how == "median":
+            medians[name] = column
+        elif how in ("first", "last"):
+            if not order:
+                raise ValueError(f"{how!r} of a table needs order_by: the columns that say which row comes first")
+            # NULL values are skipped, NULL order keys come last
+            place = F.struct(*[x for k in order for x in (F.col(k).isNull(), F.col(k))])
+            pick = F.min_by if how == "first" else F.max_by
+            columns.append(pick(named(column), F.when(named(column).isNotNull(), place)).alias(name))
+        else:
+            columns.append(aggregate_column(column, how).alias(name))
+    names = [name for name, _, _ in plan]
+    if not medians:
+        return rows.groupBy(*keys).agg(*columns)
+    group = [f"__g{i}" for i in range(len(keys))]
+    values = {c: f"__v{i}" for i, c in enumerate(dict.fromkeys(medians.values()))}
+    narrow = rows.select(*[named(k).alias(g) for k, g in zip(keys, group)], *[named(c).alias(v) for c, v in values.items()])
+    found = quantiles(narrow, list(values.values()), (0.5,), group)
+    wide = found.groupBy(*group).agg(*[
+        F.max(F.when(F.col("column") == values[c], F.col("value"))).alias(f"__m{i}") for i, c in enumerate(medians.values())
+    ])
+    # one row per group on both sides; a group without values has no median
+    every = rows.groupBy(*keys).agg(*(columns or [F.count(F.lit(1)).alias("__n")]))
+    if keys:
+        joined = every.join(wide, [named(k) == F.col(g) for k, g in zip(keys, group)], "left")
+    else:
+        joined = every.join(wide, F.lit(True), "left")
+    renamed = {name: F.col(f"__m{i}") for i, name in enumerate(medians)}
+    return joined.select(*[named(k) for k in keys], *[renamed[n].alias(n) if n in renamed else named(n) for n in names])
+
+
 def groupby_summary(
     df: DataFrame,
     group_col: str | Sequence[str],
     agg_dict: Mapping[str, Aggregate | Sequence[Aggregate]],
     reset: bool = True,
+    order_by: str | Sequence[str] | None = None,
 ) -> DataFrame:
     """Group and aggregate by a dictionary of column → aggregate or list of them.
 
     An aggregate is a name or a function from Column to Column (a grouped
-    pandas UDF also fits). Rows with a NULL key are left out. Keys stay
-    ordinary columns, so ``reset`` changes nothing.
+    pandas UDF also fits). ``first`` and ``last`` take the first and last value by
+    ``order_by``; ``median`` is exact in groups of any size (see ``quantiles``). Rows with
+    a NULL key are left out. Keys stay ordinary columns, so ``reset`` changes nothing.
     """
-    keys = as_list(group_col)
-    require_columns(df, [*keys, *agg_dict])
-    return nan_as_null(df, [*keys, *agg_dict]).dropna(subset=keys).groupBy(*keys).agg(
-        *[aggregate_column(column, how).alias(name) for name, column, how in aggregate_plan(agg_dict)]
-    )
+    return _summary(df, as_list(group_col), aggregate_plan(agg_dict), order_by)
 
 
-def named_summary(df: DataFrame, group_col: str | Sequence[str], **named: tuple[str, Aggregate]) -> DataFrame:
-    """Group with named results: ``total=("sales", "sum")``."""
-    keys = as_list(group_col)
-    used = [*keys, *[column for column, _ in named.values()]]
-    require_columns(df, used)
-    return nan_as_null(df, used).dropna(subset=keys).groupBy(*keys).agg(
-        *[aggregate_column(column, how).alias(name) for name, (column, how) in named.items()]
-    )
+def named_summary(
+    df: DataFrame, group_col: str | Sequence[str], order_by: str | Sequence[str] | None = None, **named: tuple[str, Aggregate]
+) -> DataFrame:
+    """Group with named results: ``total=("sales", "sum")``; ``order_by`` as in :func:`groupby_summary`."""
+    return _summary(df, as_list(group_col), [(name, column, how) for name, (column, how) in named.items()], order_by)
 
 
-def table_summary(df: DataFrame, agg_dict: Mapping[str, Aggregate | Sequence[Aggregate]]) -> DataFrame:
+def table_summary(
+    df: DataFrame, agg_dict: Mapping[str, Aggregate | Sequence[Aggregate]], order_by: str | Sequence[str] | None = None
+) -> DataFrame:
     """The same aggregates over the whole table, as one row."""
-    require_columns(df, list(agg_dict))
-    return nan_as_null(df, list(agg_dict)).agg(*[aggregate_column(column, how).alias(name) for name, column, how in aggregate_plan(agg_dict)])
+    return _summary(df, [], aggregate_plan(agg_dict), order_by)
 
 
 def grouped_totals(

@@ -98,21 +98,39 @@ def running_total(
     return rows.withColumn(new_col, F.sum(CARRY).over(window)).filter(F.col(LEAD) == 0).drop(CARRY, BLOCK, LEAD)
 
 
-def carry_forward(
-    df: DataFrame, value: str, order_by: Sequence[str], partition_by: Sequence[str] = (), new_col: str | None = None
-) -> DataFrame:
-    """Fill NULL with the last earlier value of the group, in any group size; NULL keys come last."""
-    blocks = range_blocks(df, partition_by, nulls_last(order_by)).withColumn(CARRY, F.col(value))
-    place = F.struct(*[x for k in order_by for x in (F.col(k).isNull(), F.col(k))])
+def filled_and_previous(
+    df: DataFrame, value: str, order_by: OrderKeys, partition_by: Sequence[str] = ()
+) -> tuple[DataFrame, Column, Column]:
+    """Rows, and for each the last value up to it and the last one before it, NULL skipped, in any group size.
+
+    One range sort: each block is written once, and what the blocks before it end with goes in front of its rows.
+    The rows must go through :func:`own_rows` once the two columns have been used.
+    """
+    order = as_list(order_by)
+    blocks = range_blocks(df, partition_by, nulls_last(order)).withColumn(CARRY, F.col(value))
+    place = F.struct(*[x for k in as_columns(order) for x in (k.isNull(), k)])
     latest = F.max_by(F.col(CARRY), F.when(F.col(CARRY).isNotNull(), place))
     summary = blocks.groupBy(*partition_by, BLOCK).agg(latest.alias("__last"))
     # A block of NULLs only hands on what it received.
     carried = summary.select(
         *partition_by, BLOCK, F.last("__last", ignorenulls=True).over(block_window(partition_by)).alias(CARRY)
     )
-    rows, window = continue_blocks(blocks, carried, partition_by, nulls_last(order_by))
-    filled = rows.withColumn(CARRY, F.last(CARRY, ignorenulls=True).over(window)).filter(F.col(LEAD) == 0)
-    return filled.withColumn(new_col or value, F.col(CARRY)).drop(CARRY, BLOCK, LEAD)
+    rows, window = continue_blocks(blocks, carried, partition_by, nulls_last(order))
+    before = window.rowsBetween(Window.unboundedPreceding, -1)
+    return rows, F.last(CARRY, ignorenulls=True).over(window), F.last(CARRY, ignorenulls=True).over(before)
+
+
+def own_rows(rows: DataFrame) -> DataFrame:
+    """Without the carried rows and the helper columns."""
+    return rows.filter(F.col(LEAD) == 0).drop(CARRY, BLOCK, LEAD)
+
+
+def carry_forward(
+    df: DataFrame, value: str, order_by: Sequence[str], partition_by: Sequence[str] = (), new_col: str | None = None
+) -> DataFrame:
+    """Fill NULL with the last earlier value of the group, in any group size; NULL keys come last."""
+    rows, filled, _ = filled_and_previous(df, value, order_by, partition_by)
+    return own_rows(rows.withColumn(new_col or value, filled))
 
 
 def row_positions(

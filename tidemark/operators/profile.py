@@ -95,20 +95,22 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
 def distinct_counts(df: DataFrame, columns: Sequence[str] | None = None, approximate: bool = False) -> DataFrame:
     """Distinct non-NULL values per column.
 
-    The exact form counts each column in its own branch, which keeps the
-    shuffle to one column at a time; ``approximate=True`` is one scan.
+    One scan: cells become rows (column number, 128-bit hash of the value), which combine before the shuffle, so
+    what is shuffled is as long as the distinct values are many, whatever their size. ``approximate=True`` shuffles
+    one sketch per column and input partition instead. Equal numbers count once (0.0 and -0.0, all NaN).
     """
     names = list(columns) if columns else df.columns
     if approximate:
-        return _unpivot_counts(df.agg(*[F.approx_count_distinct(c).alias(c) for c in names]), names, "distinct")
-    counted = [
-        df.agg(F.count_distinct(named(c)).alias("distinct")).select(F.lit(c).alias("column"), "distinct")
-        for c in names
-    ]
-    result = counted[0]
-    for part in counted[1:]:
-        result = result.unionAll(part)
-    return result
+        return _unpivot_counts(df.agg(*[F.approx_count_distinct(named(c)).alias(c) for c in names]), names, "distinct")
+    # two hashes of 64 bits with different starts
+    hashes = [F.when(named(c).isNotNull(), F.struct(F.xxhash64(named(c)).alias("h"), F.xxhash64(F.lit(1), named(c), F.lit(2)).alias("g"))) for c in names]
+    cells = df.select(F.stack(F.lit(len(names)), *[x for i, h in enumerate(hashes) for x in (F.lit(i), h)]).alias("__column", "__hash"))
+    values = cells.where(F.col("__hash").isNotNull()).select("__column", "__hash.h", "__hash.g").distinct()
+    counts = values.groupBy("__column").agg(F.count(F.lit(1)).alias("distinct"))
+    # columns without values are there too
+    every = df.sparkSession.range(len(names)).select(F.col("id").cast("int").alias("__column"))
+    label = F.element_at(F.array(*[F.lit(c) for c in names]), F.col("__column") + 1)
+    return every.join(counts, "__column", "left").select(label.alias("column"), F.coalesce("distinct", F.lit(0)).alias("distinct"))
 
 
 def distinct_values(df: DataFrame, column: str) -> DataFrame:

@@ -191,7 +191,8 @@ def _interpolate(probability: float) -> Column:
     place = _place(probability)
     low = F.element_at("__values", F.floor(place).cast("long"))
     high = F.element_at("__values", F.ceil(place).cast("long"))
-    return low + (high - low) * (place - F.floor(place))
+    # infinity minus itself is no number
+    return F.when(low == high, low).otherwise(low + (high - low) * (place - F.floor(place)))
 
 
 def quantile_columns(

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidemark.operators.aggregation import Aggregate, aggregate_column, named, nan_as_null, require_columns
 from tidemark.operators.ordering import as_list
+from tidemark.session import materialize
 
 
 def pivot_values(df: DataFrame, column: str) -> list:
@@ -15,32 +16,53 @@ def pivot_values(df: DataFrame, column: str) -> list:
     limit = int(df.sparkSession.conf.get("spark.sql.pivotMaxValues", "10000"))
     found = [r[0] for r in df.select(column).dropna().distinct().orderBy(column).limit(limit + 1).collect()]
     if len(found) > limit:
-        raise ValueError(f"{column} has more than {limit} values, too many columns")
+        raise ValueError(f"{column} has more than {limit} values, too many columns; use pivot_cells for the long form")
     return found
 
 
+def pivot_cells(
+    df: DataFrame, index: str | Sequence[str], columns: str | Sequence[str], values: str, aggfunc: Aggregate = "mean", name: str = "value"
+) -> DataFrame:
+    """The cells of a pivot in long form: one row per (index, columns) with its aggregate, for any number of values."""
+    keys, across = as_list(index), as_list(columns)
+    require_columns(df, [*keys, *across, values])
+    return (
+        nan_as_null(df, [*keys, *across, values]).dropna(subset=[*keys, *across])
+        .groupBy(*keys, *across)
+        .agg(aggregate_column(values, aggfunc).alias(name))
+    )
+
+
 def pivot_table_summary(
     df: DataFrame,
     index: str | Sequence[str],
-    columns: str,
+    columns: str | Sequence[str],
     values: str,
     aggfunc: Aggregate = "mean",
     column_values: Sequence | None = None,
 ) -> DataFrame:
     """Pivot ``columns`` across, aggregating ``values``; missing cells are NULL.
 
-    Rows are aggregated per (index, column) before the pivot. Give
-    ``column_values`` when they are known: it saves the pass that finds them.
+    The input is read once: rows are aggregated to cells per (index, columns), and the stored cells give the columns
+    and the rows. Several ``columns`` give one column per combination that occurs, named ``a_b``. ``column_values``
+    fixes the columns (texts ``a_b`` for several) and saves storing the cells.
     """
-    keys = as_list(index)
-    require_columns(df, [*keys, columns, values])
-    names = list(column_values) if column_values is not None else pivot_values(df, columns)
-    cells = (
-        nan_as_null(df, [*keys, columns, values]).dropna(subset=[*keys, columns])
-        .groupBy(*keys, columns)
-        .agg(aggregate_column(values, aggfunc).alias("__cell"))
-    )
-    return cells.groupBy(*keys).pivot(columns, names).agg(F.first("__cell", ignorenulls=True))
+    keys, across = as_list(index), as_list(columns)
+    cells = pivot_cells(df, keys, across, values, aggfunc, "__cell")
+    column = across[0]
+    if len(across) > 1:
+        column = "__across"
+        label = F.concat_ws("_", *[named(c).cast("string") for c in across])
+        cells = cells.select(*keys, *across, label.alias(column), "__cell")
+    if column_values is None:
+        cells = materialize(cells)
+    if len(across) > 1:
+        combinations = cells.select(*across, column).distinct().groupBy(column).agg(F.count(F.lit(1)).alias("__n"))
+        shared = combinations.where("__n > 1").first()
+        if shared:
+            raise ValueError(f"several combinations of {across} are named {shared[0]!r}")
+    names = list(column_values) if column_values is not None else pivot_values(cells, column)
+    return cells.groupBy(*keys).pivot(column, names).agg(F.first("__cell", ignorenulls=True))
 
 
 def stacked_groupby_unstack(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Row, functions as F
 
 from tidemark.operators.ordering import POSITION, as_list, row_positions
 
@@ -62,12 +62,64 @@ def slice_rows(
 ) -> DataFrame:
     """Rows ``start:stop`` by position in the given order, and a column subset.
 
-    ``inclusive=True`` keeps the end row, as label slices do. Positions are
-    computed over range partitions, so a far-off slice is no heavier than a
-    near one.
+    ``inclusive=True`` keeps the end row, as label slices do. Only rows near the slice are sorted: splitters from
+    a sample of the keys cut the order into blocks, one scan counts their rows, and the blocks that hold the slice
+    are cut again until little else is left. Rows before them count only by their number.
     """
     end = stop + 1 if inclusive else stop
     kept = list(columns or df.columns)
-    narrow = df.select(*dict.fromkeys([*kept, *as_list(order_by)]))
-    placed = row_positions(narrow, sort_keys(order_by)).filter((F.col(POSITION) >= start) & (F.col(POSITION) < end))
-    return placed.select(*kept)
+    keys = as_list(order_by)
+    narrow = df.select(*dict.fromkeys([*kept, *keys]))
+    ahead, rows, left = 0, narrow, narrow.count()
+    start, end = max(0, start), min(max(0, end), left)
+    if start >= end:
+        return narrow.limit(0).select(*kept)
+    while left > max(LITTLE, 2 * (end - start)):
+        block = _block_number(_splitters(rows, keys, left), keys)
+        sizes = sorted(rows.groupBy(block.alias("__block")).agg(F.count(F.lit(1)).alias("__n")).collect())
+        through, first, last, passed = ahead, None, None, ahead
+        for number, n in sizes:
+            if through + n > start and first is None:
+                first, passed = number, through
+            if through < end:
+                last = number
+            through += n
+        inside = sum(n for number, n in sizes if first <= number <= last)
+        if inside > 0.7 * left:  # many equal keys, or a slice across most blocks
+            break
+        rows, left, ahead = rows.filter(block.between(first, last)), inside, passed
+    placed = row_positions(rows, sort_keys(keys)).withColumn(POSITION, F.col(POSITION) + ahead)
+    return placed.filter((F.col(POSITION) >= start) & (F.col(POSITION) < end)).select(*kept)
+
+
+#: Rows that are sorted without being cut down first, blocks of a cut, and sampled keys per splitter.
+LITTLE, BLOCKS, SAMPLED = 100_000, 64, 50
+
+
+def _splitters(rows: DataFrame, keys: Sequence[str], n: int) -> list[Row]:
+    """At most ``BLOCKS`` - 1 distinct keys that cut the rows into blocks of about one size, in order."""
+    share = min(1.0, BLOCKS * SAMPLED / n)
+    sample = rows.select(*keys).sample(share, seed=23).orderBy(*sort_keys(keys)).collect()  # a fixed number, about
+    picks = [sample[i * len(sample) // BLOCKS] for i in range(1, BLOCKS)] if sample else []
+    return list(dict.fromkeys(picks))
+
+
+def _block_number(splitters: Sequence[Row], keys: Sequence[str]) -> Column:
+    """How many splitters come before or with a row, found by halving; NULL comes last, NaN before it."""
+    def reached(splitter: Row) -> Column:
+        found = F.lit(True)  # equal keys
+        for key, value in reversed(list(zip(keys, splitter))):
+            c = F.col(key)
+            if value is None:
+                found = c.isNull() & found
+            else:
+                found = c.isNull() | (c > F.lit(value)) | ((c == F.lit(value)) & found)
+        return F.coalesce(found, F.lit(False))
+
+    def number(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        return F.when(reached(splitters[middle]), number(middle + 1, high)).otherwise(number(low, middle))
+
+    return number(0, len(splitters))

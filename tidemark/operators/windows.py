@@ -9,18 +9,21 @@ partition key nor a hot one gathers a large group in one task.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
-from tidemark.operators.ordering import as_list, carry_forward, nulls_last, over_tiles, running_total
+from tidemark.operators.joins import spread_join
+from tidemark.operators.ordering import (
+    TILE_ROWS, as_list, carry_forward, filled_and_previous, nulls_last, over_tiles, own_rows, running_total,
+)
 
 
-def _add(df, order_by, partition_by, reach, build, small_groups):
+def _add(df, order_by, partition_by, reach, build, small_groups, tile_rows=TILE_ROWS):
     if small_groups:
         window = Window.partitionBy(*partition_by).orderBy(*nulls_last(order_by))
         return df.withColumns(build(window))
-    return over_tiles(df, nulls_last(order_by), partition_by, reach, build)
+    return over_tiles(df, nulls_last(order_by), partition_by, reach, build, tile_rows)
 
 
 def rolling_mean(
@@ -32,10 +35,11 @@ def rolling_mean(
     min_periods: int | None = None,
     new_col: str | None = None,
     small_groups: bool = False,
+    tile_rows: int = TILE_ROWS,
 ) -> DataFrame:
     """Mean of the last ``window`` rows; NULL until ``min_periods`` values are present.
 
-    ``min_periods`` defaults to the full window and counts non-NULL values.
+    ``min_periods`` defaults to the full window and counts non-NULL values. ``tile_rows``: rows per tile.
     """
     needed = window if min_periods is None else min_periods
 
@@ -44,7 +48,7 @@ def rolling_mean(
         mean = F.avg(value).over(frame)
         return {new_col or f"rolling_{value}": F.when(F.count(value).over(frame) >= needed, mean)}
 
-    return _add(df, as_list(order_by), as_list(partition_by), window - 1, build, small_groups)
+    return _add(df, as_list(order_by), as_list(partition_by), window - 1, build, small_groups, tile_rows)
 
 
 def cumulative_sum(
@@ -99,13 +103,63 @@ def pct_change(
 ) -> DataFrame:
     """Growth against the row before, after filling gaps forward; 0.2 means 20 percent."""
     order, groups, name = as_list(order_by), as_list(partition_by), new_col or f"{value}_pct_change"
+    if not small_groups:
+        rows, filled, previous = filled_and_previous(df, value, order, groups)
+        return own_rows(rows.withColumn(name, F.try_divide(filled.cast("double"), previous.cast("double")) - 1))
     filled = forward_fill(df, value, order, groups, "__pct_base", small_groups)
+    window, base = Window.partitionBy(*groups).orderBy(*nulls_last(order)), F.col("__pct_base").cast("double")
+    return filled.withColumn(name, F.try_divide(base, F.lag(base).over(window)) - 1).drop("__pct_base")
+
+
+def rolling_apply(
+    df: DataFrame,
+    value: str,
+    window: int,
+    func: Callable[[Column], Column],
+    order_by: str | Sequence,
+    partition_by: str | Sequence[str] | None = None,
+    min_periods: int | None = None,
+    new_col: str | None = None,
+    small_groups: bool = False,
+    tile_rows: int = TILE_ROWS,
+) -> DataFrame:
+    """Any function of the last ``window`` values.
+
+    ``func`` gets the values of the trailing frame as an array column, oldest first and without NULL, and returns a
+    column made with Spark's array functions, so it runs in the JVM: a trimmed mean, a weighted sum, a range.
+    NULL until ``min_periods`` values (by default the full window) are present. Groups of any size are cut into
+    tiles of ``tile_rows`` rows; the last rows of a tile lead in the next one. A total order gives one result.
+    """
+    needed = window if min_periods is None else min_periods
 
     def build(w: WindowSpec) -> dict[str, Column]:
-        base = F.col("__pct_base").cast("double")
-        return {name: F.try_divide(base, F.lag(base).over(w)) - 1}
+        recent = F.collect_list(value).over(w.rowsBetween(-(window - 1), Window.currentRow))
+        return {"__recent": recent}
 
-    return _add(filled, order, groups, 1, build, small_groups).drop("__pct_base")
+    rows = _add(df, as_list(order_by), as_list(partition_by), window - 1, build, small_groups, tile_rows)
+    recent = F.col("__recent")
+    return rows.withColumn(new_col or f"rolling_{value}", F.when(F.size(recent) >= needed, func(recent))).drop("__recent")
+
+
+def grouped_transform(
+    df: DataFrame,
+    group_cols: str | Sequence[str],
+    new_col: str,
+    state: Mapping[str, Column],
+    row: Callable[[Mapping[str, Column]], Column],
+) -> DataFrame:
+    """Add a column that depends on a row and on aggregates of its group, for groups of any size.
+
+    A user transform split in two: ``state`` names aggregates of the group (``{"mean": F.avg("x")}``), which combine
+    before their shuffle, and ``row`` gets them as columns and returns the new column of a row. States are joined
+    back with the rows of large groups dealt over many tasks, so no task holds a whole group. NULL groups are groups.
+    """
+    groups = as_list(group_cols)
+    names = {name: f"__state_{name}" for name in state}
+    keys = [f"__r_{i}" for i in range(len(groups))]
+    states = df.groupBy(*groups).agg(*[c.alias(names[n]) for n, c in state.items()]).withColumnsRenamed(dict(zip(groups, keys)))
+    joined = spread_join(df, states, list(zip(groups, keys)), "left")
+    return joined.withColumn(new_col, row({n: F.col(c) for n, c in names.items()})).drop(*keys, *names.values())
 
 
 def rolling_rank(
@@ -117,6 +171,7 @@ def rolling_rank(
     rank_method: str = "average",
     order_col: str | Sequence[str] = "order_date",
     small_groups: bool = False,
+    tile_rows: int = TILE_ROWS,
 ) -> DataFrame:
     """Rank of each value among the last ``window`` rows of its group.
 
@@ -143,7 +198,7 @@ def rolling_rank(
             raise ValueError(f"unknown rank method {rank_method!r}")
         return {name: F.when(value.isNotNull(), ranks[rank_method].cast("double"))}
 
-    return _add(df, as_list(order_col), as_list(group_col), window - 1, build, small_groups)
+    return _add(df, as_list(order_col), as_list(group_col), window - 1, build, small_groups, tile_rows)
 
 
 def grouped_eval(
@@ -159,7 +214,7 @@ def grouped_eval(
     ``func`` gets the target column and the group's ordered window and returns
     a column, so the work stays in Spark. Nested windows take two calls. It is
     meant for groups of bounded size (calendar series); for large groups use
-    the dedicated operators of this module and of ``ranking``.
+    :func:`grouped_transform`, the other operators of this module and those of ``ranking``.
     """
     window = Window.partitionBy(*as_list(group_cols))
     if order_by is not None:
