@@ -8,11 +8,13 @@ ROLLUP over the window's columns sums the counts of all shorter phrases, down to
 Most longest windows of a corpus are unique and would outweigh the text. A window that goes on over a
 pair of words too rare for any candidate is therefore padded from there on: pairs are first counted
 as 64-bit hashes, and a filter of the frequent ones, sized by their number, says where a window ends.
-It never cuts at a frequent pair, so the counts of all candidates and their parts stay exact.
+It never cuts at a frequent pair, so the counts of all candidates and their parts stay exact. Likewise
+windows that turn out rare once counted are padded before the ROLLUP, see :func:`common_windows`.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,8 +28,8 @@ from tidemark.llm.words import mixed
 from tidemark.session import materialize
 
 LONGEST, LEAST, SCALE, CONTAINED = 4, 30, 2_000_000, 80
-#: Characters handled at a time, about.
-BLOCK_CHARS = 2_000_000
+#: Characters handled at a time, about, and parts that the windows of one pair of first words are dealt in.
+BLOCK_CHARS, PARTS = 4_000_000, 16
 #: Bits of the filter of frequent pairs for each of them, and the most in all (64 MB); beyond that it lets
 #: more windows through, which costs shuffle, not correctness.
 BITS_EACH, MOST_BITS = 16, 1 << 29
@@ -108,7 +110,7 @@ def distinct_rows(columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def window_counts(docs: DataFrame, longest: int, frequent: Broadcast, bits: int) -> DataFrame:
-    """``lang``, ``w1`` ... (padded with NULL), ``n``, not yet summed over blocks."""
+    """``lang``, ``w1`` ... (padded with NULL), ``part`` (by the third word), ``n``, not yet summed over blocks."""
     names = [f"w{k}" for k in range(1, longest + 1)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -129,11 +131,32 @@ def window_counts(docs: DataFrame, longest: int, frequent: Broadcast, bits: int)
             first, n = distinct_rows([code[here], *(c[here] for c in columns)])
             first = here[first]
             text = pa.array([None, *words.words[1:]], pa.binary()).cast(pa.string())
+            part = np.fromiter((zlib.crc32(w) % PARTS for w in words.words), np.int32, len(words.words))
             yield pa.RecordBatch.from_arrays([
-                lang.dictionary.take(pa.array(code[first])), *(text.take(pa.array(c[first])) for c in columns), pa.array(n, pa.int64()),
-            ], ["lang", *names, "n"])
+                lang.dictionary.take(pa.array(code[first])), *(text.take(pa.array(c[first])) for c in columns),
+                pa.array(part[columns[min(2, longest - 1)][first]]), pa.array(n, pa.int64()),
+            ], ["lang", *names, "part", "n"])
 
-    return in_blocks(docs).mapInArrow(run, ", ".join(["lang string", *(f"{c} string" for c in names), "n long"]))
+    return in_blocks(docs).mapInArrow(run, ", ".join(["lang string", *(f"{c} string" for c in names), "part int", "n long"]))
+
+
+def common_windows(windows: DataFrame, longest: int, least: int) -> DataFrame:
+    """The windows summed up, and padded where their count is below ``least``.
+
+    Windows that begin with the same two words and are of the same part meet in one task, so those that begin with
+    the same three or more words do, and counts of such beginnings need no further shuffle. A last word goes where
+    the beginning up to it is rare; the windows that this makes equal are one. Sums of all shorter beginnings, and of
+    the common ones, stay as they are.
+    """
+    names = [f"w{k}" for k in range(1, longest + 1)]
+    keys = ["lang", "w1", "w2", "part", *names[2:]]
+    rows = windows.repartition("lang", "w1", "w2", "part").groupBy(*keys).agg(F.sum("n").alias("n"))
+    for k in range(longest, 2, -1):
+        here = F.col("n") if k == longest else F.sum("n").over(Window.partitionBy(*keys[:k + 2]))
+        rows = rows.withColumn("_common", here >= least)
+        rows = rows.withColumns({c: F.when(F.col("_common"), F.col(c)) for c in names[k - 1:]})
+        rows = rows.groupBy(*keys).agg(F.sum("n").alias("n"))
+    return rows
 
 
 def phrase_counts(docs: DataFrame, longest: int = LONGEST, least: int = LEAST) -> DataFrame:
@@ -141,7 +164,7 @@ def phrase_counts(docs: DataFrame, longest: int = LONGEST, least: int = LEAST) -
     the number of words of each language (``size`` 0, ``phrase`` '')."""
     frequent, bits = frequent_pairs(docs, least)
     names = [f"w{k}" for k in range(1, longest + 1)]
-    counted = window_counts(docs, longest, frequent, bits).groupBy("lang", *names).agg(F.sum("n").alias("n"))
+    counted = common_windows(window_counts(docs, longest, frequent, bits), longest, least)
     summed = counted.rollup("lang", *names).agg(F.sum("n").alias("f"), F.grouping_id().alias("_left"))
     # a prefix of k words leaves out the last columns, whose bits of the grouping id are set
     size = F.lit(longest) - F.bit_count("_left")
