@@ -113,3 +113,55 @@ def test_headings_and_paragraphs_named_after_their_subject_stay():
         "<div id='related-posts'><h3>Other posts</h3></div><header class='banner'><h3>Buy this</h3></header></article></body>"
     )
     assert main_text(page) == "\n".join(["Headline", LONG.strip(), "Related work", LONG.strip(), "Social history", LONG.strip()])
+
+
+LINES = [f"Sentence number {i} of a story that is told at some length, with commas, pauses and all the rest." for i in range(8)]
+
+
+def unmarked(*parts: str) -> str:
+    return "<html><head><title>T</title></head><body>" + "".join(parts) + "</body></html>"
+
+
+#: Pages without an article mark, and their texts, written by hand.
+UNMARKED = [
+    (  # menus and imprints that nothing names
+        unmarked("<div><a href='/'>Home</a> <a href='/n'>News</a></div>", f"<div><h1>Headline</h1><p>{LINES[0]}</p><p>Short one.</p><p>{LINES[1]}</p></div>",
+                 "<div><a href='/i'>Imprint</a><a href='/t'>Terms</a></div>"),
+        ["Headline", LINES[0], "Short one.", LINES[1]],
+    ),
+    (  # links inside the container
+        unmarked(f"<div><p><a href='/'>Home</a></p><p><a href='/x'>Up</a></p><h2>Story</h2><p>{LINES[0]}</p><p>{LINES[1]} <a href='#'>more</a></p>",
+                 "<ul><li><a href='1'>One</a></li><li><a href='2'>Two</a></li><li><a href='3'>Three</a></li><li><a href='4'>Four</a></li></ul></div>"),
+        ["Story", LINES[0], f"{LINES[1]} more"],
+    ),
+    (  # a list of links between paragraphs, and short text behind the last of them
+        unmarked(f"<div><p>{LINES[0]}</p><p>{LINES[1]}</p><p><a>a</a></p><p><a>b</a></p><p><a>c</a></p><p><a>d</a></p><p><a>e</a></p><p><a>f</a></p><p><a>g</a></p>",
+                 f"<p>{LINES[2]}</p><p>{LINES[3]}</p><p><a>x</a></p><p><a>y</a></p><p><a>z</a></p><p>c 1</p><p>c 2</p><p>c 3</p></div>"),
+        [LINES[0], LINES[1], LINES[2], LINES[3]],
+    ),
+    (  # a page inside one form, and a form inside a page
+        unmarked("<form action='/all'><input type='hidden' name='state' value='x'>", f"<div><h1>Headline</h1><p>{LINES[0]}</p><p>{LINES[1]}</p>" + "".join(f"<p>{x}</p>" for x in LINES[3:]),
+                 f"<fieldset><label>Your address</label><input name='m'><p>We never pass it on.</p><button>Send</button></fieldset><p>{LINES[2]}</p></div></form>"),
+        ["Headline", LINES[0], LINES[1], *LINES[3:], LINES[2]],
+    ),
+    (  # names of headings, paragraphs and containers that only sound like parts of a site
+        unmarked(f"<div class='alert-story'><h2 id='related-work'>Related work</h2><p>{LINES[0]}</p><p class='comment'>{LINES[1]}</p></div>",
+                 f"<div class='comment-list'><p>{LINES[2]}</p></div><div id='relatedPosts'><p>{LINES[3]}</p></div>"),
+        ["Related work", LINES[0], LINES[1]],
+    ),
+]
+
+
+@pytest.mark.parametrize("number", range(len(UNMARKED)))
+def test_pages_without_marks(number):
+    page, lines = UNMARKED[number]
+    assert main_text(page) == "\n".join(lines)
+
+
+def test_the_threshold_decides(monkeypatch):
+    """Without it, other lines come out, on pages with and without marks."""
+    pages = [page for page, _ in UNMARKED]
+    marked = f"<article><h1>H</h1><p>{LINES[0]}</p><p>{LINES[1]}</p><ul>" + "".join(f"<li><a>{c}</a></li>" for c in "abcdefg") + f"</ul><p>{LINES[2]}</p></article>"
+    assert main_text(marked) == "\n".join(["H", *LINES[:3]])
+    changed = [main_text(page, share=-1e9) != main_text(page) for page in [*pages, marked]]
+    assert sum(changed) >= 3 and changed[-1]
