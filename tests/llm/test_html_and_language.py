@@ -5,7 +5,7 @@ import re
 
 import pytest
 
-from tidemark.llm import language
+from tidemark.llm import html, language
 from tidemark.llm.html import extract, main_text
 
 FOLDER = "/root/testdata/sf0.001"
@@ -126,12 +126,12 @@ def unmarked(*parts: str) -> str:
 UNMARKED = [
     (  # menus and imprints that nothing names
         unmarked("<div><a href='/'>Home</a> <a href='/n'>News</a></div>", f"<div><h1>Headline</h1><p>{LINES[0]}</p><p>Short one.</p><p>{LINES[1]}</p></div>",
-                 "<div><a href='/i'>Imprint</a><a href='/t'>Terms</a></div>"),
+                 "<div><a href='/i'>Imprint</a><a href='/t'>Terms</a></div><div><p><a>x</a></p><p>Copyright 2024</p><p>Tel. 030 1</p></div>"),
         ["Headline", LINES[0], "Short one.", LINES[1]],
     ),
     (  # links inside the container
         unmarked(f"<div><p><a href='/'>Home</a></p><p><a href='/x'>Up</a></p><h2>Story</h2><p>{LINES[0]}</p><p>{LINES[1]} <a href='#'>more</a></p>",
-                 "<ul><li><a href='1'>One</a></li><li><a href='2'>Two</a></li><li><a href='3'>Three</a></li><li><a href='4'>Four</a></li></ul></div>"),
+                 "<ul><li><a href='1'>One</a></li><li><a href='2'>Two</a></li><li><a href='3'>Three</a></li><li><a href='4'>Four</a></li></ul><p>4 views</p><p>Seen today</p></div>"),
         ["Story", LINES[0], f"{LINES[1]} more"],
     ),
     (  # a list of links between paragraphs, and short text behind the last of them
@@ -163,5 +163,7 @@ def test_the_threshold_decides(monkeypatch):
     pages = [page for page, _ in UNMARKED]
     marked = f"<article><h1>H</h1><p>{LINES[0]}</p><p>{LINES[1]}</p><ul>" + "".join(f"<li><a>{c}</a></li>" for c in "abcdefg") + f"</ul><p>{LINES[2]}</p></article>"
     assert main_text(marked) == "\n".join(["H", *LINES[:3]])
-    changed = [main_text(page, share=-1e9) != main_text(page) for page in [*pages, marked]]
-    assert sum(changed) >= 3 and changed[-1]
+    before = [main_text(page) for page in [*pages, marked]]
+    monkeypatch.setattr(html, "LINKED", -1.0)
+    changed = [main_text(page, share=-1e9) != text for page, text in zip([*pages, marked], before)]
+    assert sum(changed) >= 4 and changed[-1]

@@ -215,7 +215,7 @@ def smoothed(ratios: np.ndarray, sigma: float) -> np.ndarray:
     return np.convolve(ratios, kernel / kernel.sum(), "same") if len(ratios) > 2 * reach else np.convolve(ratios, kernel / kernel.sum())[reach:reach + len(ratios)]
 
 
-def main_text(html: str | None, sigma: float = 1.0, share: float = 0.5) -> str:
+def main_text(html: str | None, sigma: float = 1.0, share: float = 1.0) -> str:
     """The content blocks of a page in page order, one to a line; '' if there are none."""
     if not html:
         return ""
@@ -256,7 +256,7 @@ def main_text(html: str | None, sigma: float = 1.0, share: float = 0.5) -> str:
     return "\n".join(text for (_, text), keep in zip(lines, kept) if keep)
 
 
-def extract(pages: DataFrame, keep: tuple[str, ...] = ("page_id", "url"), column: str = "html", sigma: float = 1.0, share: float = 0.5) -> DataFrame:
+def extract(pages: DataFrame, keep: tuple[str, ...] = ("page_id", "url"), column: str = "html", sigma: float = 1.0, share: float = 1.0) -> DataFrame:
     """``keep`` columns and ``text`` of every row, from the whole of ``column``.
 
     NULL and empty pages, and pages without content, give ''. Rows are independent: repeated pages
