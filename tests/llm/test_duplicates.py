@@ -168,7 +168,7 @@ def lines_by_hand(rows):
         kept = []
         for raw in [] if text is None else text.split("\n"):
             line = raw.strip(" ")
-            if len(line) >= lines.MIN_CHARS:
+            if re.search(r"\S", line):
                 cuts = [(line[:i] + line[i + 1:], i) for i in range(len(line))]
                 again = line in seen or any(c in shorter for c in cuts) or any(c in seen for c, _ in cuts) or (line, None) in shorter
                 seen.add(line)
@@ -227,3 +227,22 @@ def test_docstring_gives_the_lost_links(likeness, lost):
     expected = 1e6 * sum(math.comb(n, k) * q**k * (1 - q) ** (n - k) for k in range(most + 1, n + 1))
     assert f"{expected:.{2 * ('.' in lost)}f}" == lost
     assert re.search(rf"\b{re.escape(lost)}\b[^,]* at\s+(exactly\s+)?{likeness:.2f}", minhash.near_duplicates.__doc__)
+
+
+CLASHING = ["removed", "_lines", "_likely", "_tie", "_doc", "_t", "n_lines", "n_removed", "tie", "likely", "lines", "at_doc", "_0", "_1", "h", "g"]
+
+
+def test_columns_of_any_name(spark):
+    line = "a line that stands in two documents"
+    schema = "doc_id long, text string, " + ", ".join(f"`{c}` int" for c in CLASHING) + ", n_chars int"
+    rows = [(1, f"{line}\nown", *range(len(CLASHING)), 7), (2, f"{line}\nother one", *range(100, 100 + len(CLASHING)), 8), (3, line, *([None] * len(CLASHING)), 9)]
+    docs = spark.createDataFrame(rows, schema)
+    kept = lines.without_repeated_lines(docs)
+    assert kept.columns == docs.columns
+    assert sorted(map(tuple, kept.collect())) == [rows[0], (2, "other one", *rows[1][2:-1], 9)]
+    found = lines.remove_repeated_lines(docs)
+    assert found.columns == [*(c for c in docs.columns if c not in ("n_lines", "n_removed")), "n_lines", "n_removed"]
+    assert {r.doc_id: (r.text, r.n_lines, r.n_removed, r.removed, r["_tie"], r["_0"]) for r in found.collect()} == {
+        1: (f"{line}\nown", 2, 0, 0, 3, 12), 2: ("other one", 2, 1, 100, 103, 112), 3: ("", 1, 1, None, None, None),
+    }
+    assert lines.remove_repeated_lines(docs.limit(0)).collect() == []

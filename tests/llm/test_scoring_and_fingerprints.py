@@ -130,3 +130,10 @@ def test_fingerprint_cases(spark):
     found = lz.fingerprints(docs).collect()
     assert len(found) == 5 and {r.fingerprint for r in found if r.doc_id} == {""}
     assert len({r.fingerprint for r in lz.fingerprints(spark.createDataFrame([(1, "same text"), (2, "same text")], "doc_id long, text string")).collect()}) == 1
+
+
+def test_scoring_leaves_no_table_behind(spark):
+    docs = spark.createDataFrame([(1, "a b a b", False), (2, "a c", True)], "doc_id long, text string, held_out boolean")
+    before = {t.name for t in spark.catalog.listTables()}
+    assert katz.score(docs).count() == 2
+    assert {t.name for t in spark.catalog.listTables()} == before

@@ -18,7 +18,6 @@ the driver. Blocks are stored in a table bucketed by block, so answers are joine
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,6 +29,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm.words import mixed, word_hashes
 from tidemark.session import delete_at_exit, scratch_path
+from tidemark.sources import store_bucketed
 
 RARE = 5
 BLOCK_CHARS = 8_000_000
@@ -383,9 +383,7 @@ def score(docs: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     folder = scratch_path(spark, "katz")
     delete_at_exit(spark, folder)
-    name = f"katz_{uuid.uuid4().hex}"
-    text_blocks(docs, block_chars).write.bucketBy(buckets, "block").option("path", f"{folder}/blocks").saveAsTable(name)
-    blocks = spark.table(name)
+    blocks = store_bucketed(text_blocks(docs, block_chars), "block", buckets, f"{folder}/blocks")
     word_table(blocks, f"{folder}/words", buckets)
     n, distinct, *seen = totals_of(spark, f"{folder}/words")
     words = Words(n, distinct, seen)

@@ -139,39 +139,56 @@ def repeats(docs: DataFrame) -> DataFrame:
     return judged.groupBy("at.doc_id", "at.tie").agg(F.collect_set("at.number").alias("removed"))
 
 
+def _judged(docs: DataFrame) -> DataFrame:
+    """Columns of ``docs`` as ``_0``, ``_1`` ..., whatever their names, ``text`` without repeated lines, ``n_lines``, ``n_removed``."""
+    numbered = {c: f"_{i}" for i, c in enumerate(docs.columns)}
+    own = docs.select(*(F.col(c).alias(n) for c, n in numbered.items()))
+    id_, text_ = F.col(numbered["doc_id"]), F.col(numbered["text"])
+    keyed = own.withColumn("tie", F.xxhash64(text_))
+    plain = own.select(id_.alias("doc_id"), text_.alias("text"))
+    gone = materialize(repeats(plain)).select(F.col("doc_id").alias("at_doc"), F.col("tie").alias("at_tie"), "removed")
+    likely = likely_members(gone.select(F.xxhash64(F.coalesce(F.col("at_doc"), F.lit(-1)), "at_tie").alias("name")), "name")
+    flagged = keyed.withColumn("likely", likely(F.xxhash64(F.coalesce(id_, F.lit(-1)), "tie")))
+    lines = F.coalesce(F.size(F.split(text_, "\n")), F.lit(0))
+    counted = flagged.withColumn("n_lines", F.when(text_.isNull(), 0).otherwise(lines))
+    untouched = counted.where("not likely").withColumn("n_removed", F.lit(0)).withColumn("text", text_)
+    rest = counted.where("likely").join(gone, id_.eqNullSafe(F.col("at_doc")) & (F.col("tie") == F.col("at_tie")), "left").drop("at_doc", "at_tie")
+    numbers = F.array_except(F.sequence(F.lit(0), F.col("n_lines") - 1), F.col("removed"))
+    kept = F.array_join(F.transform(numbers, lambda i: F.element_at("lines", i + 1)), "\n")
+    changed = (
+        rest.withColumn("lines", F.split(text_, "\n"))
+        .withColumn("text", F.when(F.col("removed").isNull(), text_).otherwise(kept))
+        .withColumn("n_removed", F.coalesce(F.when(F.col("removed").isNotNull(), F.size("removed")), F.lit(0))).drop("lines", "removed")
+    )
+    both = untouched.unionByName(changed).drop("likely")
+    twice = keyed.groupBy(id_, "tie").agg(F.count("*").alias("n")).where("n > 1")
+    if not twice.isEmpty():
+        both = both.dropDuplicates([numbered["doc_id"], "tie"])
+    return both.drop("tie")
+
+
 def remove_repeated_lines(docs: DataFrame) -> DataFrame:
     """All rows and columns of ``docs``, ``text`` without repeated lines, ``n_lines`` and ``n_removed`` added.
 
     A line with visible text, however short, goes if an equal line, or one within edit distance 1, stands
     earlier in the corpus; the others and blank lines keep their order. NULL texts stay NULL (0 lines), '' has one line.
-    Repeated rows (equal id and text) become one.
+    Repeated rows (equal id and text) become one. Columns may have any names; those of the input named ``n_lines`` or
+    ``n_removed`` give way to the numbers counted here. An empty table gives an empty one.
     """
-    keyed = docs.withColumn("_tie", F.xxhash64("text"))
-    gone = materialize(repeats(docs)).select(F.col("doc_id").alias("_doc"), F.col("tie").alias("_t"), "removed")
-    name = F.xxhash64(F.coalesce(F.col("doc_id"), F.lit(-1)), "_tie")
-    likely = likely_members(gone.select(F.xxhash64(F.coalesce(F.col("_doc"), F.lit(-1)), "_t").alias("name")), "name")
-    flagged = keyed.withColumn("_likely", likely(name))
-    lines = F.coalesce(F.size(F.split("text", "\n")), F.lit(0))
-    counted = flagged.withColumn("n_lines", F.when(F.col("text").isNull(), 0).otherwise(lines))
-    untouched = counted.where("not _likely").withColumn("n_removed", F.lit(0))
-    rest = counted.where("_likely").join(gone, (F.col("doc_id").eqNullSafe(F.col("_doc"))) & (F.col("_tie") == F.col("_t")), "left").drop("_doc", "_t")
-    numbers = F.array_except(F.sequence(F.lit(0), F.col("n_lines") - 1), F.col("removed"))
-    kept = F.array_join(F.transform(numbers, lambda i: F.element_at("_lines", i + 1)), "\n")
-    changed = (
-        rest.withColumn("_lines", F.split("text", "\n"))
-        .withColumn("text", F.when(F.col("removed").isNull(), F.col("text")).otherwise(kept))
-        .withColumn("n_removed", F.coalesce(F.when(F.col("removed").isNotNull(), F.size("removed")), F.lit(0))).drop("_lines", "removed")
-    )
-    both = untouched.unionByName(changed).drop("_likely")
-    twice = keyed.groupBy("doc_id", "_tie").agg(F.count("*").alias("n")).where("n > 1")
-    if not twice.isEmpty():
-        both = both.dropDuplicates(["doc_id", "_tie"])
-    return both.drop("_tie")
+    done = _judged(docs)
+    added = ("n_lines", "n_removed")
+    columns = [("text" if c == "text" else f"_{i}", c) for i, c in enumerate(docs.columns) if c not in added]
+    return done.select(*(F.col(n).alias(c) for n, c in columns), *added)
 
 
 def without_repeated_lines(docs: DataFrame) -> DataFrame:
-    """Columns of ``docs``; documents that lose lines go if no visible text is left, ``n_chars`` is counted anew if present."""
-    done = remove_repeated_lines(docs).where(F.col("text").isNull() | (F.col("n_removed") == 0) | F.col("text").rlike(VISIBLE))
-    if "n_chars" in docs.columns:
-        done = done.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast(dict(docs.dtypes)["n_chars"])).otherwise(F.col("n_chars")))
-    return done.select(*docs.columns)
+    """Columns of ``docs``; documents that lose lines go if no visible text is left, ``n_chars`` is counted anew if present.
+
+    Other columns, whatever their names, keep their values; else as :func:`remove_repeated_lines`.
+    """
+    done = _judged(docs).where(F.col("text").isNull() | (F.col("n_removed") == 0) | F.col("text").rlike(VISIBLE))
+    columns = {c: F.col(f"_{i}") for i, c in enumerate(docs.columns)} | {"text": F.col("text")}
+    if "n_chars" in columns:
+        counted = F.length("text").cast(dict(docs.dtypes)["n_chars"])
+        columns["n_chars"] = F.when(F.col("n_removed") > 0, counted).otherwise(columns["n_chars"])
+    return done.select(*(columns[c].alias(c) for c in docs.columns))
