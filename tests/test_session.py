@@ -1,11 +1,12 @@
 from __future__ import annotations
 
+import os
 from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.session import materialize, scratch_path, shared_folder
+from tidemark.session import materialize, release, scratch_path, shared_folder
 
 
 def test_shared_folder_is_the_configured_one(spark):
@@ -33,3 +34,12 @@ def test_materialized_rows_are_fixed(spark):
     assert df.join(df.withColumnRenamed("r", "s"), "id").filter("r <> s").count() == 0
     plan = df.select("id")._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<id:bigint>" in plan  # only the columns asked for
+
+
+def test_stored_tables_can_be_released(spark):
+    table = materialize(spark.range(10))
+    path = table.inputFiles()[0].removeprefix("file://").rpartition("/")[0]
+    assert os.path.isdir(path) and table.count() == 10
+    release(table)
+    assert not os.path.exists(path)
+    release(spark.range(1))  # nothing stored, nothing to do

@@ -60,7 +60,15 @@ def materialize(df: DataFrame) -> DataFrame:
     path = scratch_path(spark, "table")
     df.write.parquet(path)
     delete_at_exit(spark, path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._stored_at = path
+    return table
+
+
+def release(table: DataFrame) -> None:
+    """Delete what :func:`materialize` stored, before the session ends; nothing may read it any more."""
+    if path := getattr(table, "_stored_at", None):
+        delete_path(table.sparkSession, path)
 
 
 def delete_at_exit(spark: SparkSession, path: str) -> None:
