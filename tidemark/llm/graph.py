@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.session import materialize
+from tidemark.session import materialize, release
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -17,7 +17,7 @@ def components(links: DataFrame) -> DataFrame:
     NULL ends and links of a node to itself are left out.
     """
     edges = materialize(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
-    nodes = edges.select(F.col("u").alias("node")).union(edges.select("v")).distinct()
+    nodes = materialize(edges.select(F.col("u").alias("node")).union(edges.select("v")).distinct())
     while True:
         both = edges.union(edges.select("v", "u"))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
@@ -31,6 +31,7 @@ def components(links: DataFrame) -> DataFrame:
         # settled when every node links to one root that links to nothing
         deep = new.select(F.col("v").alias("u")).distinct().join(new.select("u").distinct(), "u", "left_semi")
         several = new.groupBy("u").agg(F.count("*").alias("n")).where("n > 1")
+        release(edges)
         edges = new
         if deep.isEmpty() and several.isEmpty():
             break

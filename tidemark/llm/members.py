@@ -1,4 +1,4 @@
-"""A filter of fixed size that spares most rows a join."""
+"""A filter that spares most rows a join, sized by the number of its members."""
 
 from __future__ import annotations
 
@@ -8,19 +8,32 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-#: 4 MB, whatever the input. Wrong hits grow with the number of members and only cost time.
-BITS = 1 << 25
+#: Bits for each member, so that about one row in eight or fewer that is none passes, and the least and the most in all
+#: (64 MB). Beyond that wrong hits grow with the number of members; they only cost time.
+EACH, LEAST, MOST = 8, 1 << 20, 1 << 29
 
 
-def likely_members(members: DataFrame, column: str, bits: int = BITS) -> Callable[[Column], Column]:
-    """A test that is true for every value of ``column`` (long) and false for most others; NULL gives false."""
+def bits_for(n: int) -> int:
+    bits = LEAST
+    while bits < min(MOST, EACH * n):
+        bits *= 2
+    return bits
+
+
+def likely_members(members: DataFrame, column: str, bits: int | None = None) -> Callable[[Column], Column]:
+    """A test that is true for every value of ``column`` (long) and false for most others; NULL gives false.
+
+    ``members`` is read twice, the first time to count it where ``bits`` aren't given.
+    """
+    bits = bits or bits_for(members.count())
+
     def place(c: Column) -> Column:
         return F.pmod(F.xxhash64(c), F.lit(bits)) + 1  # bitmaps count from 1
 
     at = members.select(place(F.col(column)).alias("p"))
-    rows = at.groupBy(F.bitmap_bucket_number("p").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("bits")).collect()
+    rows = at.groupBy(F.bitmap_bucket_number("p").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("bits"))
     table = np.zeros((bits // 32_768, 4096), np.uint8)
-    for r in rows:
+    for r in rows.toLocalIterator():
         table[r["bucket"] - 1] = np.frombuffer(r["bits"], np.uint8)
     flags = table.ravel()
 

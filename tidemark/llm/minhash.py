@@ -27,13 +27,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.llm.graph import components
-from tidemark.llm.members import likely_members
+from tidemark.llm.katz import expand_sorted, squeeze_sorted
+from tidemark.llm.members import bits_for, likely_members
 from tidemark.llm.words import mixed, shingles, word_hashes
-from tidemark.session import materialize
+from tidemark.session import materialize, release
 
 POSITIONS, MISSED, SEED = 128, 0.0001, 7
-#: Members of a bucket that are compared at a time, and sets of partners that a task holds, about.
-BLOCK, PARTNERS = 1000, 250
+#: Members of a bucket that are compared at a time, sets of partners that a task holds, and lists that ask them, about.
+BLOCK, PARTNERS, ASKERS = 1000, 250, 500
 
 
 def most_differences(likeness: float, positions: int = POSITIONS, missed: float = MISSED) -> int:
@@ -89,25 +90,98 @@ def described(docs: DataFrame, words: int, positions: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n_shingles long, set_id binary, signature binary")
 
 
-def index_keys(nodes: DataFrame, positions: int, most: int) -> DataFrame:
-    """``key``, ``choice`` (its number), ``node``: each piece of the signature with every allowed choice of positions left out."""
+def keys_of(signatures: np.ndarray, choices: list[tuple[int, list[int], int]]) -> Iterator[np.ndarray]:
+    """For each choice the key of every signature."""
+    values = signatures.astype(np.uint64)
+    for number, (_, kept, _) in enumerate(choices):
+        h = np.full(len(values), number + 1, np.uint64)
+        for p in kept:
+            h = mixed(h * np.uint64(257) + values[:, p])
+        yield h
+
+
+def index_keys(nodes: DataFrame, positions: int, most: int, likely: np.ndarray) -> DataFrame:
+    """``key``, ``choice`` (its number), ``node``: each piece of the signature with every allowed choice of positions
+    left out, but for most of the keys that no other signature has (``likely``: see :func:`shared_keys`)."""
     choices = all_choices(positions, most)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            values = np.frombuffer(b"".join(batch.column("signature").to_pylist()), np.uint8).reshape(batch.num_rows, positions).astype(np.uint64)
-            node = batch.column("node")
-            for number, (_, kept, _) in enumerate(choices):
-                h = np.full(batch.num_rows, number + 1, np.uint64)
-                for p in kept:
-                    h = mixed(h * np.uint64(257) + values[:, p])
-                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(np.full(len(h), number, np.int32)), node], ["key", "choice", "node"])
+            node = batch.column("node").to_numpy()
+            for number, h in enumerate(keys_of(matrix(batch.column("signature"), positions), choices)):
+                at = (h >> DROPPED) & np.uint64(8 * len(likely) - 1)
+                hit = (likely[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(h[hit].view(np.int64)), pa.array(np.full(hit.sum(), number, np.int32)), pa.array(node[hit])], ["key", "choice", "node"])
 
     return nodes.select("node", "signature").mapInArrow(run, "key long, choice int, node long")
 
 
+#: The last bits of a key are not needed to see which keys occur again; keys that agree in the others are told
+#: apart afterwards. Keys gathered in a block, and keys of a bucket, about.
+DROPPED, BLOCK_KEYS, BUCKET_KEYS = np.uint64(16), 6_000_000, 3_000_000
+
+
+def shared_keys(nodes: DataFrame, positions: int, most: int) -> np.ndarray:
+    """A bitmap, by the first bits of their keys, of all keys that two signatures or more have.
+
+    Most keys occur once. A block of signatures sends its sorted keys to buckets as compressed differences,
+    some 4 bytes a key; a bucket merges them and gives out those that occur again.
+    """
+    choices = all_choices(positions, most)
+    count = nodes.count()
+    buckets = max(int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(count * len(choices) / BUCKET_KEYS))
+    step = np.uint64(2 ** 48 // buckets + 1)
+    per_block = max(1, BLOCK_KEYS // len(choices))
+
+    def packets(signatures: list[np.ndarray]) -> pa.RecordBatch:
+        keys = np.sort(np.concatenate(list(keys_of(np.concatenate(signatures), choices))) >> DROPPED)
+        starts = np.arange(buckets, dtype=np.uint64) * step
+        edges = [*np.searchsorted(keys, starts).tolist(), len(keys)]
+        rows = [{"bucket": i, "keys": squeeze_sorted(keys[a:b])} for i, (a, b) in enumerate(zip(edges[:-1], edges[1:])) if b > a]
+        return pa.RecordBatch.from_pylist(rows, pa.schema([("bucket", pa.int64()), ("keys", pa.binary())]))
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        for batch in batches:
+            for at in range(0, batch.num_rows, per_block):
+                held.append(matrix(batch.column("signature").slice(at, per_block), positions))
+                if sum(map(len, held)) >= per_block:
+                    yield packets(held)
+                    held = []
+        if held:
+            yield packets(held)
+
+    def again(keys: list[np.ndarray]) -> pa.RecordBatch:
+        every = np.sort(np.concatenate(keys))
+        return pa.RecordBatch.from_arrays([pa.array(np.unique(every[1:][every[1:] == every[:-1]]).view(np.int64))], ["key"])
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bucket, held = None, []
+        for batch in batches:
+            for row in batch.to_pylist():
+                if row["bucket"] != bucket and held:
+                    yield again(held)
+                    held = []
+                bucket = row["bucket"]
+                held.append(expand_sorted(row["keys"]))
+        if held:
+            yield again(held)
+
+    sent = nodes.select("signature").mapInArrow(send, "bucket long, keys binary")
+    found = materialize(sent.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(merge, "key long"))
+    bits = bits_for(found.count())
+    at = found.select((F.pmod("key", F.lit(bits)) + 1).alias("p"))  # bitmaps count from 1
+    parts = at.groupBy(F.bitmap_bucket_number("p").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("bits"))
+    table = np.zeros((bits // 32_768, 4096), np.uint8)
+    for r in parts.toLocalIterator():
+        table[r["bucket"] - 1] = np.frombuffer(r["bits"], np.uint8)
+    release(found)
+    return table.ravel()
+
+
 class Buckets:
     """Compares signatures inside buckets; a pair counts in the first bucket that it shares."""
 
@@ -282,8 +356,8 @@ def confirmed_lists(lists: DataFrame, places: DataFrame, sets: DataFrame, percen
         for batch in batches:
             found = []
             for row in batch.to_pylist():
-                if name != (row["family"], row["sub"]):
-                    name, held = (row["family"], row["sub"]), {}
+                if name != (row["family"], row["sub"], row["salt"]):
+                    name, held = (row["family"], row["sub"], row["salt"]), {}
                 hashes = np.frombuffer(row["hashes"], np.uint64)
                 if row["partners"] is None:  # sets of the block come first
                     held[row["node"]] = hashes
@@ -295,10 +369,16 @@ def confirmed_lists(lists: DataFrame, places: DataFrame, sets: DataFrame, percen
                     found += [{"a": min(row["node"], o), "b": max(row["node"], o)} for o, yes in zip(part, near) if yes]
             yield pa.RecordBatch.from_pylist(found, schema)
 
-    asked = lists.join(sets.withColumnRenamed("node", "o"), "o").select(F.col("o").alias("node"), "family", "sub", "partners", "hashes")
-    blocks = lists.select("family", "sub").distinct()
-    there = places.join(blocks, ["family", "sub"]).join(sets, "node").select("node", "family", "sub", F.lit(None).cast("binary").alias("partners"), "hashes")
-    laid = there.unionByName(asked).repartition("family", "sub").sortWithinPartitions("family", "sub", F.col("partners").isNotNull())
+    # askers of one block of partners go to several tasks, each with a copy of the block
+    blocks = lists.groupBy("family", "sub").agg(F.ceil(F.count("*") / ASKERS).cast("int").alias("salts"))
+    asked = lists.join(blocks, ["family", "sub"]).join(sets.withColumnRenamed("node", "o"), "o")
+    salt = F.pmod(F.xxhash64("o"), F.col("salts")).cast("int").alias("salt")
+    asked = asked.select(F.col("o").alias("node"), "family", "sub", salt, "partners", "hashes")
+    copies = F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt")
+    there = places.join(blocks, ["family", "sub"]).select("node", "family", "sub", copies).join(sets, "node")
+    there = there.select("node", "family", "sub", "salt", F.lit(None).cast("binary").alias("partners"), "hashes")
+    laid = there.unionByName(asked).repartition("family", "sub", "salt")
+    laid = laid.sortWithinPartitions("family", "sub", "salt", F.col("partners").isNotNull())
     return laid.mapInArrow(run, "a long, b long").distinct()
 
 
@@ -321,11 +401,10 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, position
     nodes = materialize(usable.groupBy("set_id").agg(F.min("doc_id").alias("node"), F.first("signature").alias("signature")))
 
     # buckets with two members or more, each with its smallest member
-    keys = index_keys(nodes, positions, most)
+    keys = materialize(index_keys(nodes, positions, most, shared_keys(nodes, positions, most)))
     shared = keys.groupBy("key").agg(F.min("node").alias("head"), F.max("node").alias("last"), F.count("*").alias("n")).where("head < last").select("key", "head", "n")
-    shared = materialize(shared)
-    likely = likely_members(shared, "key")
-    members = materialize(keys.where(likely(F.col("key"))).join(shared, "key"))
+    members = materialize(keys.join(shared, "key"))
+    release(keys)
     side = nodes.select("node", "signature")
     # one row for each pair of a node and a smallest member, however many buckets they share
     to_heads = members.where("node <> head").select("node", "head").distinct()
