@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import datetime as dt
 
+import numpy as np
+import pandas as pd
 import pytest
 
 from tests.conftest import values
@@ -142,3 +144,41 @@ def test_clean_group_and_save(frame, spark, tmp_path):
     cleaned = clean_dataframe(load_csv(str(tmp_path / "raw"), spark=spark), drop_na_cols=["Score"])
     save_csv(groupby_summary(cleaned, "Grade", {"Score": "mean"}), str(tmp_path / "out"))
     assert values(load_csv(str(tmp_path / "out"), spark=spark).orderBy("Grade"), "Grade", "Score") == [("a", 90.0), ("b", 80.0)]
+
+
+def test_box_of_many_values_takes_two_scans(spark, monkeypatch):
+    from tidemark.operators import quantiles as q
+
+    monkeypatch.setattr(q, "ACCURACY", 300)  # so that bounds are needed
+    rng = np.random.default_rng(2)
+    n = 12_000
+    pdf = pd.DataFrame({
+        "c": rng.choice(["a", "b", "d"], n), "v": np.concatenate([rng.normal(0, 1, n - 500), rng.normal(0, 9, 400), np.full(100, 40.0)]),
+    })
+    pdf.loc[pdf.c == "d", "v"] = np.round(pdf.v[pdf.c == "d"])
+    reads = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            reads.add(len(batch))
+            yield batch
+
+    df = spark.createDataFrame(pdf)
+    got = {r.c: r for r in reports.box_stats(df.mapInPandas(seen, df.schema), "v", "c").collect()}
+    assert reads.value == 2 * n
+    for c, v in pdf.groupby("c")["v"]:
+        q1, median, q3 = v.quantile([0.25, 0.5, 0.75])
+        low, high = q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)
+        inside = v[(v >= low) & (v <= high)]
+        assert (got[c].q1, got[c].median, got[c].q3) == (pytest.approx(q1), pytest.approx(median), pytest.approx(q3))
+        assert (got[c].lower_whisker, got[c].upper_whisker, got[c].outliers) == (inside.min(), inside.max(), len(v) - len(inside))
+
+
+def test_totals_by_each_group_from_one_scan(frame):
+    df = frame({"s": ["x", "x", None, "y"], "r": ["n", "m", "n", "n"], "a": [1.0, 2.0, 4.0, 8.0], "b": [10, 20, 40, 80]})
+    got = reports.totals_by_each(df, {"a by s": ("s", "a"), "b by r": ("r", "b"), "a by r": ("r", "a")})
+    assert sorted(map(tuple, got.collect())) == [
+        ("a by r", "m", 2.0), ("a by r", "n", 13.0), ("a by s", "x", 3.0), ("a by s", "y", 8.0), ("b by r", "m", 20.0), ("b by r", "n", 130.0),
+    ]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan") == 1

@@ -80,13 +80,13 @@ def group_user_aggregates(spark: SparkSession, path: str) -> DataFrame:
 
 
 @register("G6", over("sales", f"""
-    SELECT {r('sum(sales)', 0)} AS sales, {r('sum(profit)', 0)} AS profit, {r('avg(discount)')} AS discount
+    SELECT {r('sum(sales)', 2)} AS sales, {r('sum(profit)', 2)} AS profit, {r('avg(discount)')} AS discount
     FROM sales"""))
 def whole_table_kpis(spark: SparkSession, path: str) -> DataFrame:
     df = table_summary(
         sales(spark, path, ["sales", "profit", "discount"]), {"sales": "sum", "profit": "sum", "discount": "mean"}
     )
-    return round_columns(df, sales=0, profit=0, discount=6)
+    return round_columns(df, sales=2, profit=2, discount=6)
 
 
 @register("G7", over("sales", f"""

@@ -13,6 +13,8 @@ from tidemark.operators.filters import equals
 from tidemark.operators.selection import sort_values
 from tidemark.plans import jobs
 from tidemark.plans.views import loans, sales, shipments, table
+from tidemark.session import scratch_path
+from tidemark.sources import load_csv, load_parquet
 
 
 @register("V1", f"""
@@ -92,12 +94,8 @@ def sales_scatter(spark: SparkSession, path: str) -> DataFrame:
     SELECT 'sales by segment' AS panel, segment AS name, {r('sum(sales)', 2)} AS amount FROM sales GROUP BY segment
     UNION ALL SELECT 'profit by region', region, {r('sum(profit)', 2)} FROM sales GROUP BY region"""))
 def executive_overview(spark: SparkSession, path: str) -> DataFrame:
-    segment = grouped_totals(sales(spark, path, ["segment", "sales"]), "segment", ["sales"])
-    region = grouped_totals(sales(spark, path, ["region", "profit"]), "region", ["profit"])
-    both = segment.select(F.lit("sales by segment").alias("panel"), F.col("segment").alias("name"), F.col("sales").alias("amount"))
-    both = both.unionByName(
-        region.select(F.lit("profit by region").alias("panel"), F.col("region").alias("name"), F.col("profit").alias("amount"))
-    )
+    lines = sales(spark, path, ["segment", "region", "sales", "profit"])
+    both = reports.totals_by_each(lines, {"sales by segment": ("segment", "sales"), "profit by region": ("region", "profit")})
     return round_columns(both, amount=2)
 
 
@@ -145,7 +143,7 @@ def clean_conversations(spark: SparkSession, path: str) -> DataFrame:
     FROM sales GROUP BY category"""))
 def category_statistics(spark: SparkSession, path: str) -> DataFrame:
     lines = sales(spark, path)
-    tables = jobs.sales_aggregates(lines)
+    tables = jobs.sales_aggregates(lines, ["category_stats"])
     return round_columns(tables["category_stats"], sales_sum=2, discount_mean=6)
 
 
@@ -153,15 +151,125 @@ def category_statistics(spark: SparkSession, path: str) -> DataFrame:
     SELECT segment, {', '.join(f"""{r(f"sum(CASE WHEN sub_category = 'Brand#{i}' THEN sales END)", 2)} AS "Brand#{i}" """ for i in range(1, 26))}
     FROM sales GROUP BY segment"""))
 def segment_by_brand(spark: SparkSession, path: str) -> DataFrame:
-    df = jobs.sales_aggregates(sales(spark, path))["segment_by_sub_category"]
+    df = jobs.sales_aggregates(sales(spark, path), ["segment_by_sub_category"])["segment_by_sub_category"]
     return df.select("segment", *[rounded(F.col(f"`{c}`"), 2).alias(c) for c in df.columns if c != "segment"])
 
 
+REPORT = f""", s AS (SELECT {month_of('order_date')} AS month, sum(sales) AS sales, sum(profit) AS profit FROM sales GROUP BY 1),
+    c AS (SELECT {month_of('date')} AS month, sum(new_cases) AS new_cases, avg(hospitalized) AS hospitalized FROM shipments GROUP BY 1),
+    rep AS (SELECT month, sales, profit, CAST(new_cases AS BIGINT) AS new_cases, hospitalized,
+            CASE WHEN count(*) OVER w >= 3 THEN avg(profit) OVER w END AS rolling_profit,
+            sales / lag(sales) OVER (ORDER BY month) - 1 AS sales_pct_change
+            FROM s JOIN c USING (month) WINDOW w AS (ORDER BY month ROWS 2 PRECEDING))"""
+
+
+def report(spark: SparkSession, path: str) -> DataFrame:
+    return jobs.final_report(sales(spark, path, ["order_date", "sales", "profit"]), shipments(spark, path))
+
+
+@register("Q3 O1 G1", over("sales", f"""
+    SELECT region, segment, {r('sum(sales)', 2)} AS sales, {r('avg(profit)', 4)} AS profit FROM sales GROUP BY 1, 2"""))
+def region_segment_summary(spark: SparkSession, path: str) -> DataFrame:
+    df = jobs.sales_aggregates(sales(spark, path), ["region_segment"])["region_segment"]
+    return round_columns(df, sales=2, profit=4)
+
+
+@register("Q3 G7", over("sales", f"""
+    SELECT category, {r('sum(sales)', 2)} AS sales, {r('sum(profit)', 2)} AS profit, sum(quantity) AS quantity FROM sales GROUP BY 1"""))
+def category_totals(spark: SparkSession, path: str) -> DataFrame:
+    df = jobs.sales_aggregates(sales(spark, path), ["category_totals"])["category_totals"]
+    return round_columns(df, sales=2, profit=2)
+
+
+@register("Q3 G9", over("sales", f"""
+    SELECT last_day(m) AS order_date, {r('coalesce(sum(sales), 0.0)', 2)} AS sales, {r('coalesce(sum(profit), 0.0)', 2)} AS profit
+    FROM (SELECT CAST(unnest(generate_series(date_trunc('month', min(order_date)), max(order_date), INTERVAL 1 MONTH)) AS DATE) AS m FROM sales)
+    LEFT JOIN sales ON date_trunc('month', order_date) = m GROUP BY m"""))
+def monthly_sales_and_profit(spark: SparkSession, path: str) -> DataFrame:
+    df = jobs.sales_aggregates(sales(spark, path), ["monthly"])["monthly"]
+    return round_columns(df.withColumn("order_date", F.col("order_date").cast("date")), sales=2, profit=2)
+
+
+@register("Q3 G18", over("sales", """
+    SELECT region, segment, category, round(sum(sales) + 1e-5, 2) AS sales FROM sales GROUP BY 1, 2, 3"""))
+def stacked_sales(spark: SparkSession, path: str) -> DataFrame:
+    """The stacked table in long form again; it has no empty cell."""
+    wide = jobs.sales_aggregates(sales(spark, path), ["stacked"])["stacked"]
+    long = wide.unpivot(["region", "segment"], [c for c in wide.columns if c not in ("region", "segment")], "category", "sales")
+    return round_columns(long.where("sales <> 0"), sales=2)
+
+
+@register("Q3 G17", over("sales", """
+    SELECT region, category, round(sum(sales) + 1e-5, 2) AS sales FROM sales GROUP BY 1, 2"""))
+def region_by_category(spark: SparkSession, path: str) -> DataFrame:
+    wide = jobs.sales_aggregates(sales(spark, path), ["region_by_category"])["region_by_category"]
+    long = wide.unpivot(["region"], [c for c in wide.columns if c != "region"], "category", "sales")
+    return round_columns(long.where("sales <> 0"), sales=2)
+
+
+@register("Q3 G15", over("loans", f"""
+    , b AS (SELECT *, CASE WHEN income >= -1000 AND income < 0 THEN '[-1000, 0)' WHEN income >= 0 AND income < 5000 THEN '[0, 5000)'
+                           WHEN income >= 5000 AND income < 10000 THEN '[5000, 10000)' END AS age_bracket FROM loans)
+    SELECT * FROM (SELECT age_bracket, {r('avg(loan_amount)', 4)} AS avg_loan_amount, {r("avg(CASE WHEN approved = 'yes' THEN 1.0 ELSE 0.0 END)")} AS approval_rate
+    FROM b WHERE age_bracket IS NOT NULL GROUP BY 1)"""))
+def loans_by_bracket(spark: SparkSession, path: str) -> DataFrame:
+    df = jobs.loan_by_bracket(loans(spark, path), "income", [-1000, 0, 5000, 10000])
+    return round_columns(df, avg_loan_amount=4, approval_rate=6)
+
+
+@register("Q2 P3", """
+    WITH c AS (SELECT nullif(o_orderpriority, '1-URGENT') AS priority, nullif(o_orderstatus, 'P') AS status, o_totalprice AS price FROM orders)
+    SELECT 'priority' AS "column", count(*) - count(priority) AS missing, round((count(*) - count(priority)) / count(*) * 100, 6) AS missing_pct FROM c
+    UNION ALL SELECT 'status', count(*) - count(status), round((count(*) - count(status)) / count(*) * 100, 6) FROM c""")
+def clean_job_missing(spark: SparkSession, path: str) -> DataFrame:
+    """What was missing before cleaning; columns that miss nothing aren't listed."""
+    return round_columns(jobs.clean_job(_gappy_orders(spark, path), ["status"], ["price"]).missing, missing_pct=6)
+
+
+@register("Q2 F9 C1", """
+    WITH c AS (SELECT DISTINCT lower(o_orderpriority) AS priority, lower(o_orderstatus) AS status, o_totalprice AS price FROM orders WHERE o_orderstatus <> 'P'),
+         q AS (SELECT quantile_cont(price, 0.25) AS a, quantile_cont(price, 0.75) AS b FROM c)
+    SELECT 'price' AS "column", CAST(count_if(price < a - 1.5 * (b - a) OR price > b + 1.5 * (b - a)) AS BIGINT) AS outliers FROM c, q""")
+def clean_job_outliers(spark: SparkSession, path: str) -> DataFrame:
+    """Outliers of the cleaned rows."""
+    return jobs.clean_job(_gappy_orders(spark, path), ["status"], ["price"]).outliers
+
+
+def _gappy_orders(spark: SparkSession, path: str) -> DataFrame:
+    return table(spark, path, "orders").select(
+        F.nullif("o_orderpriority", F.lit("1-URGENT")).alias("priority"), F.nullif("o_orderstatus", F.lit("P")).alias("status"),
+        F.col("o_totalprice").alias("price"),
+    )
+
+
+@register("Q8 K4 K5", over("sales shipments", REPORT + f"""
+    , t AS (SELECT month, {r('sales', 2)} AS sales, {r('profit', 2)} AS profit, new_cases FROM rep)
+    SELECT 'csv' AS format, * FROM t UNION ALL SELECT 'parquet', * FROM t"""))
+def exported_monthly_report(spark: SparkSession, path: str) -> DataFrame:
+    """The files that the reporting job writes, read back."""
+    base = scratch_path(spark, "monthly-report")
+    rows = round_columns(report(spark, path), sales=2, profit=2).select("month", "sales", "profit", "new_cases")
+    jobs.formatted_report(rows, base)
+    back = load_csv(f"{base}.csv", rows.schema, spark).withColumn("format", F.lit("csv"))
+    return back.unionByName(load_parquet(f"{base}.parquet", spark).withColumn("format", F.lit("parquet")))
+
+
+@register("Q10 K4", over("loans", f"""
+    SELECT loan_purpose, count(*) AS loans, {r('sum(loan_amount) / count(*)', 2)} AS mean_amount FROM loans GROUP BY 1"""))
+def exported_optimized_loans(spark: SparkSession, path: str) -> DataFrame:
+    """The narrowed loans that the job writes, read back."""
+    base = scratch_path(spark, "optimized")
+    jobs.optimize_job(sales(spark, path, ["region", "profit", "sales"]), loans(spark, path), output_path=base)
+    back = load_csv(f"{base}/loan_optimized", spark=spark)
+    df = back.groupBy("loan_purpose").agg(F.count(F.lit(1)).alias("loans"), F.avg("loan_amount").alias("mean_amount"))
+    return round_columns(df, mean_amount=2)
+
+
 @register("Q4", over("sales shipments", f"""
     , s AS (SELECT {first_of_month('order_date')} AS m, sum(sales) AS sales, sum(profit) AS profit FROM sales GROUP BY 1),
       c AS (SELECT {first_of_month('date')} AS m, sum(new_cases) AS new_cases, sum(new_deaths) AS new_deaths FROM shipments GROUP BY 1)
     SELECT s.m AS order_month, {r('sales', 2)} AS sales, {r('profit', 2)} AS profit, CAST(new_cases AS BIGINT) AS new_cases,
-           CAST(new_deaths AS BIGINT) AS new_deaths, {r('sum(sales) OVER (ORDER BY s.m)', 1)} AS cum_sales,
+           CAST(new_deaths AS BIGINT) AS new_deaths, {r('sum(sales) OVER (ORDER BY s.m)', 2)} AS cum_sales,
            CASE WHEN count(*) OVER w >= 3 THEN {r('avg(profit) OVER w', 2)} END AS rolling_profit
     FROM s JOIN c ON s.m = c.m WINDOW w AS (ORDER BY s.m ROWS 2 PRECEDING)"""))
 def sales_beside_shipments(spark: SparkSession, path: str) -> DataFrame:
@@ -169,7 +277,7 @@ def sales_beside_shipments(spark: SparkSession, path: str) -> DataFrame:
         sales(spark, path, ["order_date", "sales", "profit"]), shipments(spark, path)
     )
     df = df.withColumn("order_month", F.col("order_month").cast("date"))
-    return round_columns(df, sales=2, profit=2, cum_sales=1, rolling_profit=2)
+    return round_columns(df, sales=2, profit=2, cum_sales=2, rolling_profit=2)
 
 
 # Which region each supplier site serves; other sites serve none.
@@ -200,18 +308,6 @@ def customers_ranked_since(spark: SparkSession, path: str) -> DataFrame:
     return round_columns(df, total_sales=2, avg_profit=4)
 
 
-REPORT = f""", s AS (SELECT {month_of('order_date')} AS month, sum(sales) AS sales, sum(profit) AS profit FROM sales GROUP BY 1),
-    c AS (SELECT {month_of('date')} AS month, sum(new_cases) AS new_cases, avg(hospitalized) AS hospitalized FROM shipments GROUP BY 1),
-    rep AS (SELECT month, sales, profit, CAST(new_cases AS BIGINT) AS new_cases, hospitalized,
-            CASE WHEN count(*) OVER w >= 3 THEN avg(profit) OVER w END AS rolling_profit,
-            sales / lag(sales) OVER (ORDER BY month) - 1 AS sales_pct_change
-            FROM s JOIN c USING (month) WINDOW w AS (ORDER BY month ROWS 2 PRECEDING))"""
-
-
-def report(spark: SparkSession, path: str) -> DataFrame:
-    return jobs.final_report(sales(spark, path, ["order_date", "sales", "profit"]), shipments(spark, path))
-
-
 @register("Q7 J1 W1 W8 G12 C2 C3", over("sales shipments", REPORT + f"""
     SELECT month, {r('sales', 2)} AS sales, {r('profit', 2)} AS profit, new_cases, {r('hospitalized')} AS hospitalized,
            {r('rolling_profit', 2)} AS rolling_profit, {r('sales_pct_change')} AS sales_pct_change FROM rep"""))
@@ -231,12 +327,12 @@ def formatted_monthly_report(spark: SparkSession, path: str) -> DataFrame:
 
 
 @register("Q9 G6", over("sales shipments", REPORT + f"""
-    SELECT {r('sum(sales)', 0)} AS sales, {r('sum(profit)', 0)} AS profit, CAST(sum(new_cases) AS BIGINT) AS new_cases,
+    SELECT {r('sum(sales)', 2)} AS sales, {r('sum(profit)', 2)} AS profit, CAST(sum(new_cases) AS BIGINT) AS new_cases,
            {r('avg(hospitalized)')} AS avg_hospitalized
     FROM rep"""))
 def dashboard_kpis(spark: SparkSession, path: str) -> DataFrame:
     df = jobs.dashboard(report(spark, path), "2000-03", "1999").kpis
-    return round_columns(df, sales=0, profit=0, avg_hospitalized=6)
+    return round_columns(df, sales=2, profit=2, avg_hospitalized=6)
 
 
 @register("Q9 V5 X12", over("sales shipments", REPORT + f"""

@@ -83,10 +83,10 @@ def seven_day_mean(spark: SparkSession, path: str) -> DataFrame:
 
 
 @register("W4", over("sales", MONTHLY + f"""
-    SELECT month, {r('sum(sales) OVER (ORDER BY month)', 1)} AS cumulative_sales FROM m"""))
+    SELECT month, {r('sum(sales) OVER (ORDER BY month)', 2)} AS cumulative_sales FROM m"""))
 def cumulative_monthly_sales(spark: SparkSession, path: str) -> DataFrame:
     df = cumulative_sum(_monthly(spark, path), "sales", "month", new_col="cumulative_sales", small_groups=True)
-    return round_columns(df.select("month", "cumulative_sales"), cumulative_sales=1)
+    return round_columns(df.select("month", "cumulative_sales"), cumulative_sales=2)
 
 
 @register("W4", """

@@ -85,11 +85,39 @@ def quantiles_and_measures(
     return bounds.select(label, *measures), _named(_narrowed(cells, bounds, [COLUMN], wanted), names, [])
 
 
-def sketch(cells: DataFrame, keys: Sequence[str], wanted: Sequence[float], measures: dict[str, Column] | None = None) -> DataFrame:
+def box(df: DataFrame, column: str, groups: Sequence[str], reach: float) -> DataFrame:
+    """Per group: quartiles, the last values within ``reach`` interquartile ranges of them, and the number beyond.
+
+    Two scans: the bounds of the quartiles bound the fences too, so values near a fence are counted by themselves in
+    the same scan, and every gap lies on one side of it.
+    """
+    keys = [*groups, COLUMN]
+    cells = _long(df, [column], groups)
+    bounds = sketch(cells, keys, QUARTILES, fences=reach)
+    counts = _counted(cells, bounds, keys, len(QUARTILES) + 2)
+    found = _positioned(counts, bounds, keys, QUARTILES)
+    picks = [F.max(F.when(F.col("probability") == p, F.col("value"))).alias(n) for n, p in zip(("q1", "median", "q3"), QUARTILES)]
+    boxes = found.groupBy(*keys).agg(*picks)
+    far = (F.col("q3") - F.col("q1")) * reach
+    low, high = F.col("q1") - far, F.col("q3") + far
+    return (
+        counts.join(boxes, keys).groupBy(*groups, "q1", "median", "q3")
+        .agg(
+            F.min(F.when((F.col("__from") >= low) & (F.col("__from") <= high), F.col("__from"))).alias("lower"),
+            F.max(F.when((F.col("__to") <= high) & (F.col("__to") >= low), F.col("__to"))).alias("upper"),
+            F.coalesce(F.sum(F.when((F.col("__to") < low) | (F.col("__from") > high), F.col("__n"))), F.lit(0)).alias("beyond"),
+        )
+    )
+
+
+def sketch(
+    cells: DataFrame, keys: Sequence[str], wanted: Sequence[float], measures: dict[str, Column] | None = None, fences: float | None = None
+) -> DataFrame:
     """One row per group, stored: ``measures``, number of values, and bounds around each wanted position.
 
     The bounds are values whose ranks are four times the sketch's rank error away from the position, or the
-    ends of the group.
+    ends of the group. ``fences``: with ``wanted`` quartiles, bounds also around the two values that lie so many
+    interquartile ranges outside them.
     """
     reach = 4 / ACCURACY
     asked = sorted({min(1.0, max(0.0, p + side)) for p in wanted for side in (-reach, reach)})
@@ -107,24 +135,42 @@ def sketch(cells: DataFrame, keys: Sequence[str], wanted: Sequence[float], measu
             return end
         return F.when(few, end).otherwise(F.col("__asked")[asked.index(at)])
 
-    lows, highs = (F.array(*[bound(p, side) for p in sorted(wanted)]) for side in (-reach, reach))
-    return materialize(found.select(*keys, ALL, lows.alias("__lows"), highs.alias("__highs"), *(measures or {})))
+    lows, highs = ([bound(p, side) for p in sorted(wanted)] for side in (-reach, reach))
+    if fences is not None:
+        least, most = F.greatest(F.lit(0.0), lows[2] - highs[0]) * fences, (highs[2] - lows[0]) * fences
+        # a little wider than the arithmetic says, which rounds
+        slack = (F.abs(lows[0]) + F.abs(highs[2]) + most) * 1e-9
+        lows += [lows[0] - most - slack, lows[2] + least - slack]
+        highs += [highs[0] - least + slack, highs[2] + most + slack]
+    return materialize(found.select(*keys, ALL, F.array(*lows).alias("__lows"), F.array(*highs).alias("__highs"), *(measures or {})))
 
 
-def _narrowed(cells: DataFrame, bounds: DataFrame, keys: Sequence[str], wanted: Sequence[float]) -> DataFrame:
-    """Rows (keys, probability, value) from the values between the bounds and the sizes of the gaps."""
-    value, places = F.col("value"), range(len(wanted))
+def _counted(cells: DataFrame, bounds: DataFrame, keys: Sequence[str], intervals: int) -> DataFrame:
+    """Stored rows (keys, value, __gap, __n, __from, __to): values inside an interval, and gaps behind a bound."""
+    value = F.col("value")
     low, high = F.col("__lows"), F.col("__highs")
     between = F.lit(False)
-    below = F.lit(None).cast("double")  # the highest upper bound below the value, or NULL
-    for i in places:
+    passed = []
+    for i in range(intervals):
         between = between | value.between(low[i], high[i])
-        below = F.when(value > high[i], high[i]).otherwise(below)
+        passed.append(F.when(value > high[i], high[i]))
+    below = F.greatest(*passed, F.lit(None).cast("double"))  # the highest upper bound below the value, or NULL
     # a gap comes behind the values equal to the bound below it
     narrowed = cells.join(bounds.select(*keys, "__lows", "__highs"), list(keys)).select(
-        *keys, F.when(between, value).otherwise(below).alias("value"), (~between).alias("__gap")
+        *keys, F.when(between, value).otherwise(below).alias("value"), (~between).alias("__gap"), value.alias("__value")
     )
-    counts = materialize(narrowed.groupBy(*keys, "value", "__gap").agg(F.count(F.lit(1)).alias("__n")))
+    return materialize(narrowed.groupBy(*keys, "value", "__gap").agg(
+        F.count(F.lit(1)).alias("__n"), F.min("__value").alias("__from"), F.max("__value").alias("__to"),
+    ))
+
+
+def _narrowed(cells: DataFrame, bounds: DataFrame, keys: Sequence[str], wanted: Sequence[float]) -> DataFrame:
+    """Rows (keys, probability, value)."""
+    return _positioned(_counted(cells, bounds, keys, len(wanted)), bounds, keys, wanted)
+
+
+def _positioned(counts: DataFrame, bounds: DataFrame, keys: Sequence[str], wanted: Sequence[float]) -> DataFrame:
+    """Rows (keys, probability, value) from the values between the bounds and the sizes of the gaps."""
     largest = counts.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows")).agg(F.max("__rows")).first()[0]
     if (largest or 0) > MOST_ROWS:  # one task would hold too many: spread them
         return _from_blocks(range_blocks(counts, keys, ORDER), keys, wanted)

@@ -11,7 +11,7 @@ from tidemark.operators.aggregation import nan_as_null, require_columns
 from tidemark.operators.filters import FENCE
 from tidemark.operators.ordering import as_list
 from tidemark.operators.profile import numeric_columns, value_counts
-from tidemark.operators.quantiles import quantile_columns, with_keys
+from tidemark.operators.quantiles import box
 from tidemark.session import materialize
 
 
@@ -36,22 +36,26 @@ def histogram(df: DataFrame, column: str, bins: int = 20) -> DataFrame:
 
 
 def box_stats(df: DataFrame, value: str, by: str | Sequence[str]) -> DataFrame:
-    """Per group: quartiles, whiskers (last values inside the fences) and outlier count."""
-    groups = as_list(by)
-    boxes = quantile_columns(df, value, {"q1": 0.25, "median": 0.5, "q3": 0.75}, groups).drop("column")
-    reach = (F.col("q3") - F.col("q1")) * FENCE
-    v = F.col(value)
-    inside = (v >= F.col("q1") - reach) & (v <= F.col("q3") + reach)
-    return (
-        with_keys(df, groups).select(*groups, value).dropna()
-        .join(boxes, groups)
-        .groupBy(*groups, "q1", "median", "q3")
-        .agg(
-            F.min(F.when(inside, v)).alias("lower_whisker"),
-            F.max(F.when(inside, v)).alias("upper_whisker"),
-            F.count_if(~inside).alias("outliers"),
-        )
-    )
+    """Per group: quartiles, whiskers (last values inside the fences) and outlier count; NULL and NaN are left out."""
+    found = box(df, value, as_list(by), FENCE)
+    return found.withColumnsRenamed({"lower": "lower_whisker", "upper": "upper_whisker", "beyond": "outliers"})
+
+
+def totals_by_each(df: DataFrame, totals: dict[str, tuple[str, str]]) -> DataFrame:
+    """Sums of several panels from one scan, as rows (panel, name, amount).
+
+    ``totals``: panel → (group column, summed column). Rows are grouped by each of the group columns at a time;
+    NULL groups are left out.
+    """
+    groups = list(dict.fromkeys(group for group, _ in totals.values()))
+    sums = {c: F.coalesce(F.sum(c), F.lit(0)).alias(f"__{c}") for _, c in totals.values()}
+    by_each = df.groupingSets([[g] for g in groups], *groups).agg(F.grouping_id().alias("__id"), *sums.values())
+    alone = {g: (1 << len(groups)) - 1 - (1 << (len(groups) - 1 - i)) for i, g in enumerate(groups)}
+    panels = F.array(*[
+        F.when(F.col("__id") == alone[g], F.struct(F.lit(panel).alias("panel"), F.col(g).cast("string").alias("name"), F.col(f"__{c}").alias("amount")))
+        for panel, (g, c) in totals.items()
+    ])
+    return by_each.select(F.explode(F.array_compact(panels)).alias("__row")).select("__row.*").where(F.col("name").isNotNull())
 
 
 def value_share(df: DataFrame, column: str) -> DataFrame:

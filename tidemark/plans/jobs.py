@@ -101,33 +101,37 @@ def _mean(cube_column: str):
     return F.try_divide(F.sum(cube_column), F.sum(f"{cube_column}_n"))
 
 
-def sales_aggregates(sales: DataFrame) -> dict[str, DataFrame]:
-    """The sales summaries: by region and segment, by category, by month, pivots."""
+def sales_aggregates(sales: DataFrame, names: Sequence[str] | None = None) -> dict[str, DataFrame]:
+    """The sales summaries: by region and segment, by category, by month, pivots; all, or those in ``names``."""
     cube = sales_cube(sales)
-    by_category = cube.dropna(subset=["category"]).groupBy("category")
-    return {
-        "region_segment": sort_values(
-            cube.dropna(subset=["region", "segment"]).groupBy("region", "segment").agg(
-                F.coalesce(F.sum("sales"), F.lit(0.0)).alias("sales"), _mean("profit").alias("profit")
-            ),
-            "sales", False,
-        ),
-        "category_stats": sort_values(
-            by_category.agg(
-                F.sum("sales_n").alias("sales_count"),
-                F.coalesce(F.sum("sales"), F.lit(0.0)).alias("sales_sum"),
-                _mean("discount").alias("discount_mean"),
-            ),
-            "sales_sum", False,
-        ),
-        "category_totals": grouped_totals(cube, "category", ["sales", "profit", "quantity"]),
-        "monthly": resample_monthly(cube, "month", {"sales": "sum", "profit": "sum"}).withColumnRenamed(
-            "month", "order_date"
-        ),
-        "region_by_category": pivot_table_summary(cube, "region", "category", "sales", "sum").fillna(0),
-        "segment_by_sub_category": pivot_table_summary(cube, "segment", "sub_category", "sales", "sum"),
-        "stacked": stacked_groupby_unstack(cube, ["region", "segment", "category"], "sales", "category"),
+
+    def region_segment() -> DataFrame:
+        totals = cube.dropna(subset=["region", "segment"]).groupBy("region", "segment").agg(
+            F.coalesce(F.sum("sales"), F.lit(0.0)).alias("sales"), _mean("profit").alias("profit")
+        )
+        return sort_values(totals, "sales", False)
+
+    def category_stats() -> DataFrame:
+        totals = cube.dropna(subset=["category"]).groupBy("category").agg(
+            F.sum("sales_n").alias("sales_count"),
+            F.coalesce(F.sum("sales"), F.lit(0.0)).alias("sales_sum"),
+            _mean("discount").alias("discount_mean"),
+        )
+        return sort_values(totals, "sales_sum", False)
+
+    def monthly() -> DataFrame:
+        return resample_monthly(cube, "month", {"sales": "sum", "profit": "sum"}).withColumnRenamed("month", "order_date")
+
+    builders = {
+        "region_segment": region_segment,
+        "category_stats": category_stats,
+        "category_totals": lambda: grouped_totals(cube, "category", ["sales", "profit", "quantity"]),
+        "monthly": monthly,
+        "region_by_category": lambda: pivot_table_summary(cube, "region", "category", "sales", "sum").fillna(0),
+        "segment_by_sub_category": lambda: pivot_table_summary(cube, "segment", "sub_category", "sales", "sum"),
+        "stacked": lambda: stacked_groupby_unstack(cube, ["region", "segment", "category"], "sales", "category"),
     }
+    return {name: builders[name]() for name in (builders if names is None else names)}
 
 
 def loan_summary(loans: DataFrame) -> DataFrame:
