@@ -246,3 +246,34 @@ def test_columns_of_any_name(spark):
         1: (f"{line}\nown", 2, 0, 0, 3, 12), 2: ("other one", 2, 1, 100, 103, 112), 3: ("", 1, 1, None, None, None),
     }
     assert lines.remove_repeated_lines(docs.limit(0)).collect() == []
+
+
+def test_lattice_counts_thousands_of_linked_vectors(spark):
+    """Dense clouds, in which every vector has hundreds of links that meet in many cells."""
+    rng = np.random.default_rng(8)
+    rows = []
+    for cloud in range(4):
+        base = rng.standard_normal(64)
+        for _ in range(350):
+            noisy = base + rng.standard_normal(64) * rng.choice([0.15, 0.25, 0.3])
+            rows.append((len(rows), [float(x) for x in noisy.astype(np.float32)], cloud % 2, "n", 1))
+    for i in range(0, 300, 3):
+        rows.append((len(rows), rows[i][1], rows[i][2], "n", 1))
+    found = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in lattice.near_duplicates(vectors(spark, rows), 0.93).collect()}
+    want = brute(rows)
+    assert sum(n for n, *_ in want.values()) > 50_000
+    # the method may lose a few links right at the threshold
+    assert all(found[k][0] <= want[k][0] for k in want)
+    assert sum(n for n, *_ in found.values()) >= 0.999 * sum(n for n, *_ in want.values())
+    assert sum(found[k][1:] == want[k][1:] for k in want) >= 0.99 * len(want)
+
+
+def test_smallest_reachable():
+    draw = random.Random(3)
+    for n in (1, 2, 50):
+        links = [(draw.randrange(n), draw.randrange(n)) for _ in range(n // 2)]
+        want = roots(range(n), links)
+        a, b = (np.array([p[i] for p in links], np.int64) for i in (0, 1))
+        assert lattice.smallest_reachable(n, a, b).tolist() == [want[i] for i in range(n)]
+    chain = np.arange(999)
+    assert (lattice.smallest_reachable(1000, chain, chain + 1) == 0).all()

@@ -7,7 +7,9 @@ even if a cell border parts them. All vectors that meet are compared by cosine i
 precision, in blocks, inside the cell.
 
 Equal vectors are one class first, so copies cost nothing. A cell with many members is cut
-into chunks and its pairs of chunks are separate groups: no task holds a whole hot cell.
+into chunks and its pairs of chunks are separate groups: no task holds a whole hot cell. Linked
+pairs are counted where they are found, each in the first cell that both share; what is given out is
+a row for each vector of a group, with its number of links and the least vector it is connected to.
 """
 
 from __future__ import annotations
@@ -26,7 +28,7 @@ from tidemark.session import materialize
 #: Two unit vectors with cosine 0.93 meet in one table with probability 0.76, in six with 0.9998;
 #: two orthogonal ones in one table with less than 0.03.
 TABLES, VISITS, SCALE, SEED = 6, 4, 0.5, 20_251
-CHUNK = 1000
+CHUNK, PAIRS = 1000, 20_000
 
 
 def nearest_d8(x: np.ndarray) -> np.ndarray:
@@ -103,30 +105,60 @@ def vector_classes(vectors: DataFrame, key: str, column: str, label: str) -> Dat
     return vectors.where(good).select(F.col(key).alias("key"), F.col(label).alias("label"), no_negative_zero(column).alias("v"))
 
 
-def found_pairs(nodes: DataFrame, least: float, tables: int = TABLES, visits: int = VISITS, scale: float = SCALE) -> DataFrame:
-    """Distinct pairs ``a`` < ``b`` with equal labels and cosine ``least`` or more.
-
-    ``nodes``: ``node`` (long), ``label`` and ``v`` (array<double>, finite, not zero), all different.
-    Only vectors of the same number of dimensions are compared.
+def all_names(unit: np.ndarray, group: np.ndarray, tables: int, visits: int, scale: float) -> np.ndarray:
+    """Names of all cells of each vector, its own cell of every table first: rows of tables * (visits + 1)."""
+    parts = [cells(unit, t, scale, visits) * 31 + group[:, None] * 1_000_003 + t for t in range(tables)]
+    return np.concatenate(parts, axis=1)
+
+
+def first_meeting(x: np.ndarray, y: np.ndarray, tables: int) -> np.ndarray:
+    """For each pair of rows of names, which meet somewhere: the cell that counts, in the first table where they meet."""
+    x, y = (names.reshape(len(names), tables, -1) for names in (x, y))
+    none = np.iinfo(np.int64).max
+    in_y = np.where((x[:, :, :1] == y).any(axis=2), x[:, :, 0], none)  # the one lives where the other is
+    in_x = np.where((y[:, :, :1] == x).any(axis=2), y[:, :, 0], none)
+    table = ((in_x < none) | (in_y < none)).argmax(axis=1)
+    rows = np.arange(len(x))
+    return np.minimum(in_x[rows, table], in_y[rows, table])
+
+
+def smallest_reachable(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Smallest number reachable from each of 0 to ``n`` - 1 over links ``a``, ``b``."""
+    root = np.arange(n)
+    while True:
+        least = np.minimum(root[a], root[b])
+        new = root.copy()
+        np.minimum.at(new, root[a], least)
+        np.minimum.at(new, root[b], least)
+        new = new[new]
+        if (new == root).all():
+            return root
+        root = new
+
+
+def found_links(nodes: DataFrame, least: float, tables: int = TABLES, visits: int = VISITS, scale: float = SCALE) -> DataFrame:
+    """Rows ``node``, ``linked``, ``root``; together they hold all pairs with equal labels and cosine ``least`` or more.
+
+    ``nodes``: ``node`` (long), ``label``, ``copies`` and ``v`` (array<double>, finite, not zero), all different.
+    Only vectors of the same number of dimensions are compared. A pair counts in one cell only, so the ``linked`` of a
+    node sum up to the copies of its partners, and links to the ``root`` of each row connect what pairs connect. Pairs
+    themselves don't leave the task that finds them.
     """
     spark = nodes.sparkSession
-    schema = pa.schema([("node", pa.int64()), ("cell", pa.int64()), ("lives", pa.bool_())])
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for same in by_length(whole, "v"):
                 for at in range(0, same.num_rows, 1000):
                     batch = same.slice(at, 1000)
-                    unit = unit_rows(matrix(batch.column("v")))
-                    node, group = (batch.column(c).to_numpy() for c in ("node", "group"))
-                    for t in range(tables):
-                        names = cells(unit, t, scale, visits) * 31 + group[:, None] * 1_000_003 + t
-                        lives = np.zeros(names.shape, bool)
-                        lives[:, 0] = True
-                        yield pa.RecordBatch.from_arrays([pa.array(np.repeat(node, names.shape[1])), pa.array(names.ravel()), pa.array(lives.ravel())], schema=schema)
-
-    grouped = nodes.select("node", F.xxhash64("label", F.size("v")).alias("group"), "v")
-    members = materialize(grouped.mapInArrow(deal, "node long, cell long, lives boolean"))
+                    names = all_names(unit_rows(matrix(batch.column("v"))), batch.column("group").to_numpy(), tables, visits, scale)
+                    lists = pa.ListArray.from_arrays(pa.array(np.arange(len(names) + 1) * names.shape[1], pa.int32()), pa.array(names.ravel()))
+                    yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("node", "copies", "v")), lists], ["node", "copies", "v", "names"])
+
+    grouped = nodes.select("node", F.col("copies").cast("long"), "v", F.xxhash64("label", F.size("v")).alias("group"))
+    named = materialize(grouped.mapInArrow(deal, f"node long, copies long, v {dict(grouped.dtypes)['v']}, names array<long>"))
+    members = named.select("node", F.posexplode("names").alias("place", "cell"))
+    members = materialize(members.select("node", "cell", (F.col("place") % (visits + 1) == 0).alias("lives")))
     sizes = members.groupBy("cell").agg(F.count("*").alias("n"), F.max("lives").alias("any")).where("n > 1 and any")
     sizes = sizes.select("cell", F.ceil(F.col("n") / CHUNK).cast("int").alias("chunks"))
     # lone members meet nobody; a chunk of a large cell meets every chunk of it
@@ -134,27 +166,42 @@ def found_pairs(nodes: DataFrame, least: float, tables: int = TABLES, visits: in
         members.join(sizes, "cell").withColumn("own", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
         .select("node", "lives", "cell", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
-        .join(nodes.select("node", "v"), "node")
+        .join(named, "node")
     )
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows come sorted by cell and chunk pair; a group is compared when it is complete."""
-        out = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+        out = ["node", "linked", "root"]
         parts: list[pa.RecordBatch] = []
         name = None
 
-        def pairs() -> Iterator[pa.RecordBatch]:
+        def links() -> Iterator[pa.RecordBatch]:
             held = pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
             for same in by_length(held, "v"):
-                node, lives, own = (same.column(c).to_numpy(zero_copy_only=False) for c in ("node", "lives", "own"))
+                node, lives, own, copies = (same.column(c).to_numpy(zero_copy_only=False) for c in ("node", "lives", "own", "copies"))
                 unit = unit_rows(matrix(same.column("v")))
+                names = same.column("names").flatten().to_numpy(zero_copy_only=False).reshape(same.num_rows, -1)
                 first, second = np.flatnonzero(own == name[1]), np.flatnonzero(own == name[2])
                 meet = lives[first][:, None] | lives[second][None, :]
                 x, y = np.nonzero((unit[first] @ unit[second].T >= least) & meet)
-                a, b = node[first][x], node[second][y]
-                both = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)])[:, a != b], axis=1)
-                if both.size:
-                    yield pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], schema=out)
+                a, b = first[x], second[y]
+                once = node[a] < node[b] if name[1] == name[2] else node[a] != node[b]
+                a, b = a[once], b[once]
+                counts = [first_meeting(names[a[at:at + PAIRS]], names[b[at:at + PAIRS]], tables) == name[0] for at in range(0, len(a), PAIRS)]
+                if not counts:
+                    continue
+                counts = np.concatenate(counts)
+                a, b = a[counts], b[counts]
+                linked = np.zeros(len(node), np.int64)
+                np.add.at(linked, a, copies[b])
+                np.add.at(linked, b, copies[a])
+                place = np.argsort(node, kind="stable")  # roots by the order of nodes
+                rank = np.empty(len(node), np.int64)
+                rank[place] = np.arange(len(node))
+                root = node[place][smallest_reachable(len(node), rank[a], rank[b])][rank]
+                there = linked > 0
+                if there.any():
+                    yield pa.RecordBatch.from_arrays([pa.array(node[there]), pa.array(linked[there]), pa.array(root[there])], out)
 
         for batch in batches:
             keys = np.stack([batch.column(c).to_numpy() for c in ("cell", "i", "j")], axis=1)
@@ -164,15 +211,15 @@ def found_pairs(nodes: DataFrame, least: float, tables: int = TABLES, visits: in
                     continue
                 if (key := tuple(keys[low].tolist())) != name:
                     if sum(p.num_rows for p in parts) > 1:
-                        yield from pairs()
+                        yield from links()
                     parts, name = [], key
                 parts.append(batch.slice(low, high - low))
         if sum(p.num_rows for p in parts) > 1:
-            yield from pairs()
+            yield from links()
 
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     laid = spread.repartition(buckets, "cell", "i", "j").sortWithinPartitions("cell", "i", "j")
-    return laid.mapInArrow(compare, "a long, b long").distinct()
+    return laid.mapInArrow(compare, "node long, linked long, root long")
 
 
 def near_duplicates(vectors: DataFrame, least: float, key: str = "vec_id", column: str = "embedding", label: str = "label", tables: int = TABLES, visits: int = VISITS, scale: float = SCALE) -> DataFrame:
@@ -185,13 +232,11 @@ def near_duplicates(vectors: DataFrame, least: float, key: str = "vec_id", colum
     """
     usable = vector_classes(vectors.where(F.col(key).isNotNull()), key, column, label)
     classes = materialize(usable.groupBy("label", "v").agg(F.min("key").cast("long").alias("node"), F.count("*").alias("copies")))
-    links = materialize(found_pairs(classes, least, tables, visits, scale))
-    both = links.union(links.select("b", "a"))
-    copies = classes.select("node", "copies")
-    linked = both.join(copies.withColumnRenamed("node", "b"), "b").groupBy("a").agg(F.sum("copies").alias("linked"))
-    roots = components(links)
+    links = materialize(found_links(classes, least, tables, visits, scale))
+    linked = links.groupBy("node").agg(F.sum("linked").alias("linked"))
+    roots = components(links.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b")))
     per_class = (
-        classes.join(linked.withColumnRenamed("a", "node"), "node", "left").join(roots, "node", "left")
+        classes.join(linked, "node", "left").join(roots, "node", "left")
         .select("label", "v", (F.col("copies") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links"), F.coalesce("component", "node").alias("component_id"))
     )
     # a class id for each row: by its vector, unless that cannot be compared
