@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import html as entities
+import math
 import re
 
 import pytest
@@ -167,3 +168,46 @@ def test_the_threshold_decides(monkeypatch):
     monkeypatch.setattr(html, "LINKED", -1.0)
     changed = [main_text(page, share=-1e9) != text for page, text in zip([*pages, marked], before)]
     assert sum(changed) >= 4 and changed[-1]
+
+
+def stream_by_hand(text):
+    return " " + " ".join("".join(c if c.isalpha() else " " for c in text.lower()).split()) + " "
+
+
+def vector_by_hand(text, weights):
+    """Damped, weighted, scaled counts of letter n-grams by bucket, as a dictionary."""
+    stream = [ord(c) for c in stream_by_hand(text)]
+    counts = {}
+    for order in range(3):
+        for at in range(len(stream) - order):
+            code = stream[at]
+            for point in stream[at + 1:at + order + 1]:
+                code = (code * 40503 + point) % 2**32
+            bucket = ((code * 2654435761 + order * 97) % 2**32 * 2654435761 % 2**32) >> 20
+            counts[bucket] = counts.get(bucket, 0) + 1
+    vector = {b: math.log(1 + n) * float(weights[b]) for b, n in counts.items()}
+    norm = math.sqrt(sum(x * x for x in vector.values()))
+    return {b: x / norm for b, x in vector.items()} if norm else {}
+
+
+def test_prediction_is_that_of_the_nearest_centroid(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = language.learn(docs.where("doc_id % 3 > 0"), sample=100)
+    assert len(model.languages) == len(model.centroids) == 4 * 4
+    assert all(abs(sum(x * x for x in row) - 1) < 1e-4 for row in model.centroids.tolist())
+    odd = ["Das ist the house", "a", "ß", "É à", "x" * 500, "12 34", "", None, "the\u2028cat's 3rd", "ÇÇÇ ññ"]
+    rows = [(r.doc_id, r.text) for r in docs.where("doc_id % 30 = 0").collect()] + [(10**6 + i, t) for i, t in enumerate(odd)]
+    found = {r.doc_id: r for r in language.predict(spark.createDataFrame(rows, "doc_id long, text string"), model, "doc_id").collect()}
+    centroids = model.centroids.tolist()
+    for i, text in rows:
+        if not any(c.isalpha() for c in text or ""):
+            assert (found[i].lang_pred, found[i].score, found[i].rejected) == ("und", 0.0, True)
+            continue
+        vector = vector_by_hand(text, model.weights)
+        cosines = [sum(x * row[b] for b, x in vector.items()) for row in centroids]
+        best = max(range(len(cosines)), key=cosines.__getitem__)
+        assert cosines[best] - max(c for c, name in zip(cosines, model.languages) if name == found[i].lang_pred) < 1e-5
+        assert abs(found[i].score - min(1, max(0, cosines[best]))) < 1e-4
+        kind = max(k for k, n in enumerate(language.CLASSES) if n <= max(3, len(stream_by_hand(text))))
+        if abs(1 - cosines[best] - model.reach[best, kind]) > 1e-4:
+            assert found[i].rejected == (1 - cosines[best] > model.reach[best, kind])

@@ -11,6 +11,29 @@ import pytest
 from tidemark.llm import katz, lz
 
 
+def discounts_by_hand(counts):
+    """Good-Turing discounts of counts 1 to 5; one half off where n-grams are too few to estimate from."""
+    seen = Counter(counts)
+    first = seen[1]
+    common = 6 * seen[6] / first if first else 1
+    out = {0: 1.0, 6: 1.0}
+    for r in range(1, 6):
+        out[r] = (r - 0.5) / r
+        if seen[r] and common < 1:
+            turing = ((r + 1) * seen[r + 1] / (r * seen[r]) - common) / (1 - common)
+            if 0 < turing < 1:
+                out[r] = turing
+    return out
+
+
+def shortest_by_hand(words):
+    """Probability of a word by its count; one place for all unknown words takes what the discounts leave."""
+    n, off = sum(words.values()), discounts_by_hand(words.values())
+    lost = sum(c * (1 - off[c]) for c in words.values() if c < 6)
+    total = n if lost > 0 else n + 1
+    return lambda c: off[min(c, 6)] * c / total if c else (lost if lost > 0 else 1) / total
+
+
 def by_hand(rows):
     """Scores by plain dictionaries; rows: (id, text, held out)."""
     tokens = [[*re.findall("[^\x20\x09-\x0D]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or "")), 0] for _, t, _ in rows]
@@ -20,14 +43,13 @@ def by_hand(rows):
             words.update(row)
             pairs.update(zip([1, *row[:-1]], row))
     n, v = sum(words.values()), len(words)
-    model = katz.Words(n, v, [sum(c == r for c in words.values()) for r in range(1, 7)])
-    d = katz.discounts([sum(c == r for c in pairs.values()) for r in range(1, 7)])
+    shortest, d = shortest_by_hand(words), discounts_by_hand(pairs.values())
     after = defaultdict(dict)
     for (h, w), c in pairs.items():
         after[h][w] = c
 
     def p1(w):
-        return float(model.p(np.array([words[w]]))[0])
+        return shortest(words[w])
 
     def p(h, w):
         if h not in after:
