@@ -22,6 +22,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tidemark.llm.memory import let_go
+
 BITS = 12
 #: Labelled texts a language is learned from, about; all, if it has fewer. Bounds what reaches the driver.
 SAMPLE = 1000
@@ -190,14 +192,15 @@ def learn(docs: DataFrame, sample: int = SAMPLE, centroids: int = CENTROIDS) ->
     return Model(languages, weights, centers, reach)
 
 
-def predict(docs: DataFrame, model: Model | None, *keep: str | Column) -> DataFrame:
-    """``keep`` columns of every row and ``lang_pred``, ``score`` (0 to 1), ``rejected``.
+def predict(docs: DataFrame, model: Model | None, *keep: str | Column, with_text: bool = False) -> DataFrame:
+    """``keep`` columns of every row, its text as ``_text`` if asked for, and ``lang_pred``, ``score`` (0 to 1), ``rejected``.
 
     NULL texts and texts without a letter are ``und``, score 0, rejected. Without a model all texts
-    are ``und``, and those with a letter are not rejected. Only the whole text is looked at.
+    are ``und``, and those with a letter are not rejected. Only the whole text is looked at. Of centroids equally near
+    the first counts; rows are neither merged nor dropped, so repeated rows give repeated rows.
     """
     source = docs.select(*keep, F.col("text").alias("_text"))
-    kept = source.columns[:-1]
+    kept = source.columns if with_text else source.columns[:-1]
 
     def judge(texts: list[str | None]) -> list[tuple[str, float, bool]]:
         rows = [None if t is None else gram_counts(t) for t in texts]
@@ -211,6 +214,7 @@ def predict(docs: DataFrame, model: Model | None, *keep: str | Column) -> DataFr
         return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go("language")
         for whole in batches:
             for at in range(0, whole.num_rows, 512):
                 batch = whole.slice(at, 512)
@@ -220,12 +224,13 @@ def predict(docs: DataFrame, model: Model | None, *keep: str | Column) -> DataFr
                     pa.array([x[1] for x in found], pa.float64()), pa.array([bool(x[2]) for x in found], pa.bool_()),
                 ], [*kept, "lang_pred", "score", "rejected"])
 
-    schema = ", ".join(f"`{c}` {kind}" for c, kind in source.dtypes[:-1])
+    schema = ", ".join(f"`{c}` {kind}" for c, kind in source.dtypes[:len(kept)])
     return source.mapInArrow(run, f"{schema}, lang_pred string, score double, rejected boolean")
 
 
 def keep_known_languages(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """Rows of ``docs``, all columns, without those that are rejected; learns from their labels."""
-    numbered = [F.col(c).alias(f"_{i}") for i, c in enumerate(docs.columns)]  # whatever their names
-    judged = predict(docs, learn(docs, sample), *numbered).where("not rejected")
-    return judged.select(*(F.col(f"_{i}").alias(c) for i, c in enumerate(docs.columns)))
+    numbered = {c: "_text" if c == "text" else f"_{i}" for i, c in enumerate(docs.columns)}  # whatever their names
+    others = [F.col(c).alias(n) for c, n in numbered.items() if c != "text"]
+    judged = predict(docs, learn(docs, sample), *others, with_text=True).where("not rejected")
+    return judged.select(*(F.col(n).alias(c) for c, n in numbered.items()))

@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.llm.members import likely_members
+from tidemark.llm.memory import let_go
 from tidemark.session import materialize
 
 #: Characters of a line, blanks around it aside. Only blank lines have fewer and are no repeats.
@@ -69,6 +70,7 @@ def variants(lines: DataFrame) -> DataFrame:
     schema = pa.schema([("key", pa.int64()), ("cut", pa.int32()), ("h", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go("lines")
         powers = np.ones(1, np.uint64)
         for batch in batches:
             for line, h in zip(*(batch.column(c).to_pylist() for c in ("line", "h"))):

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import itertools
 from collections.abc import Callable, Hashable
 from typing import Any
 
+import pyarrow as pa
+
 #: Bytes and entries of one memory, about. Most of a corpus repeats few words, so these fit soon.
 BYTES, ENTRIES = 96 << 20, 1_000_000
-#: Bytes of an entry besides its key and value: objects' heads, and its share of the table.
-ENTRY = 150
+#: Bytes of an entry besides its key and value: objects' heads, and its share of the table, which grows by doubling.
+ENTRY = 250
 DOORS = 1 << 21
 
 
@@ -60,5 +64,14 @@ def only(name: Hashable, build: Callable[[], Any]) -> Any:
     """
     if name not in _only:
         _only.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # freed memory goes back to the system, where it can
+            trim(0)
         _only[name] = build()
     return _only[name]
+
+
+def let_go(name: Hashable) -> None:
+    """For tasks of a stage that remembers nothing itself."""
+    only(name, dict)
