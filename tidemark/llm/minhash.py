@@ -72,6 +72,13 @@ def signature(hashes: np.ndarray, positions: int = POSITIONS) -> bytes:
     return mixed(least).astype(np.uint8).tobytes()
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """Smaller batches, so that what is made from texts is handed on soon."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def described(docs: DataFrame, words: int, positions: int) -> DataFrame:
     """``doc_id``, ``n_shingles``, ``set_id`` (128-bit hash of the set), ``signature`` of every row."""
     schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_id", pa.binary()), ("signature", pa.binary())])
@@ -79,7 +86,7 @@ def described(docs: DataFrame, words: int, positions: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
-        for batch in batches:
+        for batch in slices(batches):
             sets = [shingles(word_hashes().of(t), words) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([
                 batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
@@ -121,7 +128,7 @@ def index_keys(nodes: DataFrame, positions: int, most: int, likely: np.ndarray)
 
 #: The last bits of a key are not needed to see which keys occur again; keys that agree in the others are told
 #: apart afterwards. Keys gathered in a block, and keys of a bucket, about.
-DROPPED, BLOCK_KEYS, BUCKET_KEYS = np.uint64(16), 6_000_000, 3_000_000
+DROPPED, BLOCK_KEYS, BUCKET_KEYS = np.uint64(16), 3_000_000, 3_000_000
 
 
 def shared_keys(nodes: DataFrame, positions: int, most: int) -> np.ndarray:
@@ -314,7 +321,7 @@ def sets_of(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
     likely = likely_members(ids, "node")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             sets = [shingles(word_hashes().of(t), words).tobytes() for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sets, pa.binary())], ["node", "hashes"])
 
@@ -340,8 +347,8 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs with 100 * intersection >= percent * union of their full sets."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            both = zip(batch.column("x").to_pylist(), batch.column("y").to_pylist())
-            near = pa.array([similar(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent) for x, y in both], pa.bool_())
+            both = zip(batch.column("x"), batch.column("y"))  # read in place
+            near = pa.array([similar(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), percent) for x, y in both], pa.bool_())
             yield pa.RecordBatch.from_arrays([pc.filter(batch.column(c), near) for c in ("a", "b")], ["a", "b"])
 
     both = pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b")

@@ -11,8 +11,8 @@ from tidemark.llm.memory import Remembered, only
 class WordHashes(Remembered):
     """Remembers the hash of each word that comes again."""
 
-    def __init__(self, limit: int = 400_000):
-        super().__init__(xxhash.xxh64_intdigest, limit, 64 << 20)
+    def __init__(self, limit: int = 150_000):
+        super().__init__(xxhash.xxh64_intdigest, limit, 40 << 20)
 
     def of(self, text: str | None) -> np.ndarray:
         # bytes.lower() and bytes.split() know ASCII letters and ASCII white space only
