@@ -166,7 +166,7 @@ def trimmed_mean_in_window(spark: SparkSession, path: str) -> DataFrame:
     FROM events""")
 def user_transform_in_large_groups(spark: SparkSession, path: str) -> DataFrame:
     """Transforms made of group aggregates and a row part: all events as one group, then few large groups."""
-    events = table(spark, path, "events").select("event_id", "event_type", "value", F.lit("all").alias("everything"))
+    events = table(spark, path, "events").select("event_id", "event_type", "value", F.when(F.col("event_id").isNotNull(), "all").alias("everything"))
     state = {"mean": F.avg("value"), "std": F.stddev_samp("value")}
     df = grouped_transform(events, "everything", "score", state, lambda g: (F.col("value") - g["mean"]) / g["std"])
     df = grouped_transform(df, "event_type", "share_of_best", {"best": F.max("value")}, lambda g: F.try_divide(F.col("value"), g["best"]))
