@@ -32,15 +32,17 @@ from tidemark.operators.narrowing import optimize_dataframe
 from tidemark.operators.profile import describe, load_dataset_summary, missing_values, value_counts
 from tidemark.operators.quantiles import quantiles
 from tidemark.operators.ranking import rank_values
-from tidemark.operators.reports import box_stats, gradient, highlight_max, histogram
-from tidemark.operators.reshape import melt_summary, pivot_table_summary, stacked_groupby_unstack
+from tidemark.operators.reports import box_stats, gradient, highlight_max, histogram, totals_by_each
+from tidemark.operators.reshape import melt_summary, pivot_cells, pivot_table_summary, stacked_groupby_unstack
 from tidemark.operators.selection import head, nlargest, slice_rows, sort_values, tail, top_groups_detail
 from tidemark.operators.stacking import concat_all, safe_concat
 from tidemark.operators.windows import (
     cumulative_sum,
     forward_fill,
     grouped_eval,
+    grouped_transform,
     pct_change,
+    rolling_apply,
     rolling_mean,
     rolling_rank,
 )
@@ -56,4 +58,6 @@ from tidemark.sources import (
     save_by_region,
     save_csv,
     save_parquet,
+    store_bucketed,
 )
+from tidemark.streaming import summarize_new_files
