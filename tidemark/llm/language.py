@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.memory import let_go
+from tidemark.llm.memory import let_go, tidy
 
 BITS = 12
 #: Labelled texts a language is learned from, about; all, if it has fewer. Bounds what reaches the driver.
@@ -159,7 +159,7 @@ def learn(docs: DataFrame, sample: int = SAMPLE, centroids: int = CENTROIDS) ->
                 ("lang", pa.string()), ("at", pa.binary()), ("value", pa.binary()), ("whole", pa.bool_()), ("kind", pa.int32()),
             ]))
 
-    drawn_rows = known.where(drawn).select("text", "lang").mapInArrow(run, "lang string, at binary, value binary, whole boolean, kind int").collect()
+    drawn_rows = known.where(drawn).select("text", "lang").mapInArrow(tidy(run), "lang string, at binary, value binary, whole boolean, kind int").collect()
     rows, cuts = (sorted(r for r in drawn_rows if r["whole"] == whole) for whole in (True, False))
     if not rows:
         return None
@@ -225,7 +225,7 @@ def predict(docs: DataFrame, model: Model | None, *keep: str | Column, with_text
                 ], [*kept, "lang_pred", "score", "rejected"])
 
     schema = ", ".join(f"`{c}` {kind}" for c, kind in source.dtypes[:len(kept)])
-    return source.mapInArrow(run, f"{schema}, lang_pred string, score double, rejected boolean")
+    return source.mapInArrow(tidy(run), f"{schema}, lang_pred string, score double, rejected boolean")
 
 
 def keep_known_languages(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:

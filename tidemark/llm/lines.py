@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.llm.members import likely_members
-from tidemark.llm.memory import let_go
+from tidemark.llm.memory import let_go, tidy
 from tidemark.session import materialize
 
 #: Characters of a line, blanks around it aside. Only blank lines have fewer and are no repeats.
@@ -100,7 +100,7 @@ def variants(lines: DataFrame) -> DataFrame:
         if held:
             yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
-    return lines.select("line", "h").mapInArrow(joined, "key long, cut int, h long")
+    return lines.select("line", "h").mapInArrow(tidy(joined), "key long, cut int, h long")
 
 
 def near_repeats(docs: DataFrame) -> DataFrame:

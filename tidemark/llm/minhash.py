@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame, functions as F
 from tidemark.llm.graph import components
 from tidemark.llm.katz import expand_sorted, squeeze_sorted
 from tidemark.llm.members import bits_for, likely_members
+from tidemark.llm.memory import tidy
 from tidemark.llm.words import mixed, shingles, word_hashes
 from tidemark.session import materialize, release
 
@@ -94,7 +95,7 @@ def described(docs: DataFrame, words: int, positions: int) -> DataFrame:
                 pa.array([signature(s, positions) if len(s) else None for s in sets], pa.binary()),
             ], schema=schema)
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n_shingles long, set_id binary, signature binary")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(tidy(run), "doc_id long, n_shingles long, set_id binary, signature binary")
 
 
 def keys_of(signatures: np.ndarray, choices: list[tuple[int, list[int], int]]) -> Iterator[np.ndarray]:
@@ -123,7 +124,7 @@ def index_keys(nodes: DataFrame, positions: int, most: int, likely: np.ndarray)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(h[hit].view(np.int64)), pa.array(np.full(hit.sum(), number, np.int32)), pa.array(node[hit])], ["key", "choice", "node"])
 
-    return nodes.select("node", "signature").mapInArrow(run, "key long, choice int, node long")
+    return nodes.select("node", "signature").mapInArrow(tidy(run), "key long, choice int, node long")
 
 
 #: The last bits of a key are not needed to see which keys occur again; keys that agree in the others are told
@@ -177,8 +178,8 @@ def shared_keys(nodes: DataFrame, positions: int, most: int) -> np.ndarray:
         if held:
             yield again(held)
 
-    sent = nodes.select("signature").mapInArrow(send, "bucket long, keys binary")
-    found = materialize(sent.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(merge, "key long"))
+    sent = nodes.select("signature").mapInArrow(tidy(send), "bucket long, keys binary")
+    found = materialize(sent.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(tidy(merge), "key long"))
     bits = bits_for(found.count())
     at = found.select((F.pmod("key", F.lit(bits)) + 1).alias("p"))  # bitmaps count from 1
     parts = at.groupBy(F.bitmap_bucket_number("p").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("bits"))
@@ -263,7 +264,7 @@ def with_heads(pairs: DataFrame, positions: int, most: int) -> DataFrame:
             keep = np.concatenate(near)
             yield pa.RecordBatch.from_arrays([pa.array(head[keep]), pa.array(own[keep])], ["a", "b"])
 
-    return pairs.mapInArrow(run, "a long, b long")
+    return pairs.mapInArrow(tidy(run), "a long, b long")
 
 
 def across_components(members: DataFrame, positions: int, most: int) -> DataFrame:
@@ -298,7 +299,7 @@ def across_components(members: DataFrame, positions: int, most: int) -> DataFram
             if rows:
                 yield pa.RecordBatch.from_pylist(rows, schema)
 
-    return members.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(run, "o long, family long, sub int, partners binary")
+    return members.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(tidy(run), "o long, family long, sub int, partners binary")
 
 
 def listed_nodes(lists: DataFrame) -> DataFrame:
@@ -313,7 +314,7 @@ def listed_nodes(lists: DataFrame) -> DataFrame:
                 found = found[:0]
         yield pa.RecordBatch.from_arrays([pa.array(found)], ["node"])
 
-    return lists.select("o", "partners").mapInArrow(run, "node long").distinct()
+    return lists.select("o", "partners").mapInArrow(tidy(run), "node long").distinct()
 
 
 def sets_of(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
@@ -326,7 +327,7 @@ def sets_of(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sets, pa.binary())], ["node", "hashes"])
 
     some = docs.select(F.col("doc_id").cast("long").alias("node"), "text").where(likely(F.col("node")))
-    return some.join(ids, "node", "left_semi").mapInArrow(run, "node long, hashes binary").dropDuplicates(["node"])
+    return some.join(ids, "node", "left_semi").mapInArrow(tidy(run), "node long, hashes binary").dropDuplicates(["node"])
 
 
 def similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
@@ -352,7 +353,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pc.filter(batch.column(c), near) for c in ("a", "b")], ["a", "b"])
 
     both = pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b")
-    return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+    return both.select("a", "b", "x", "y").mapInArrow(tidy(run), "a long, b long")
 
 
 def confirmed_lists(lists: DataFrame, places: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -386,7 +387,7 @@ def confirmed_lists(lists: DataFrame, places: DataFrame, sets: DataFrame, percen
     there = there.select("node", "family", "sub", "salt", F.lit(None).cast("binary").alias("partners"), "hashes")
     laid = there.unionByName(asked).repartition("family", "sub", "salt")
     laid = laid.sortWithinPartitions("family", "sub", "salt", F.col("partners").isNotNull())
-    return laid.mapInArrow(run, "a long, b long").distinct()
+    return laid.mapInArrow(tidy(run), "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, positions: int = POSITIONS) -> DataFrame:

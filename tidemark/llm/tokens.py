@@ -17,7 +17,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from tidemark.llm.memory import BYTES, ENTRIES, Remembered, only
+from tidemark.llm.memory import BYTES, ENTRIES, Remembered, only, tidy
 
 if TYPE_CHECKING:
     from tokenizers import Tokenizer
@@ -160,7 +160,7 @@ def encode_batches(
 
     source = docs.select(*keep, "text")
     kinds = dict(source.dtypes)
-    return source.mapInArrow(run, schema or ", ".join([*(f"`{c}` {kinds[c]}" for c in keep), "ids binary"]))
+    return source.mapInArrow(tidy(run), schema or ", ".join([*(f"`{c}` {kinds[c]}" for c in keep), "ids binary"]))
 
 
 def encode_documents(
