@@ -8,9 +8,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import values
+from tidemark.operators import joins
 from tidemark.operators.joins import check_merge_key_overlap, join_on_index, safe_merge
 from tidemark.operators.selection import head, nlargest, slice_rows, sort_values, tail, top_groups_detail
 from tidemark.operators.stacking import concat_all, safe_concat
+from tidemark.session import materialize
 from tidemark.sources import store_bucketed
 
 
@@ -184,6 +186,16 @@ def test_frequent_keys_do_not_meet_in_one_task(many_partitions):
         assert (sizes[-1] <= 3 * sizes[len(sizes) // 2]) == fair
 
 
+def test_rows_are_copied_no_more_often_than_they_match(many_partitions, monkeypatch):
+    spark, stored = many_partitions, []
+    monkeypatch.setattr(joins, "materialize", lambda df: stored.append(materialize(df)) or stored[-1])
+    lines = spark.range(2_000).select((F.col("id") % 2).alias("k"), F.col("id").alias("v"))
+    names = spark.createDataFrame([(0, "a"), (1, "b"), (1, "c")], "k long, w string")
+    assert safe_merge(lines, names, "k", spread=True).count() == 3_000
+    assert {r["k"]: r["__right"] for t in stored if "__right" in t.columns and "__left" in t.columns
+            for r in t.withColumnRenamed("__k0", "k").collect()} == {0: 1, 1: 2}
+
+
 def test_tables_stored_in_buckets_join_where_they_lie(spark):
     a = store_bucketed(spark.range(1000).select("id", (F.col("id") * 3).alias("x")), "id", 4)
     b = store_bucketed(spark.range(500).select((F.col("id") * 2).alias("id"), F.lit(1).alias("y")), "id", 4)

@@ -147,7 +147,9 @@ def spread_join(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, st
         found = keys_of(side).toDF(*seen).join(F.broadcast(frequent), equal(seen, names), "inner").groupBy(*names).agg(F.count(F.lit(1)).alias(f"__n_{side}"))
         again = [f"__{n}" for n in names]
         counts = counts.join(found.toDF(*again, f"__n_{side}"), equal(names, again), "left").drop(*again)
-    pieces = {s: F.ceil(PIECES * F.coalesce(f"__n_{s}", F.lit(0)) / fair[s]).cast("int") for s in sides}
+    rows = {s: F.coalesce(f"__n_{s}", F.lit(0)) for s in sides}
+    # no more pieces than rows: the other side is copied once for each, and its rows meet as many anyway
+    pieces = {s: F.least(rows[s], F.ceil(PIECES * rows[s] / fair[s])).cast("int") for s in sides}
     keyed = materialize(counts.select(*names, F.xxhash64(*names).alias("__id"), pieces["left"].alias("__left"), pieces["right"].alias("__right")))
 
     marked = {s: sides[s].join(F.broadcast(keyed), equal(own[s], names), "left").drop(*names) for s in sides}

@@ -13,10 +13,10 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
-from tidemark.operators.joins import spread_join
 from tidemark.operators.ordering import (
     TILE_ROWS, as_list, carry_forward, filled_and_previous, nulls_last, over_tiles, own_rows, running_total,
 )
+from tidemark.session import materialize
 
 
 def _add(df, order_by, partition_by, reach, build, small_groups, tile_rows=TILE_ROWS):
@@ -151,14 +151,28 @@ def grouped_transform(
     """Add a column that depends on a row and on aggregates of its group, for groups of any size.
 
     A user transform split in two: ``state`` names aggregates of the group (``{"mean": F.avg("x")}``), which combine
-    before their shuffle, and ``row`` gets them as columns and returns the new column of a row. States are joined
-    back with the rows of large groups dealt over many tasks, so no task holds a whole group. NULL groups are groups.
+    before their shuffle, and ``row`` gets them as columns and returns the new column of a row. NULL groups are groups.
+    States are stored, as every row of a group must see the same. Rows of groups beyond a task's fair share stay
+    where they are and meet the states of these groups, fewer than shuffle partitions, as a broadcast; only the rows
+    of other groups may be shuffled.
     """
     groups = as_list(group_cols)
     names = {name: f"__state_{name}" for name in state}
     keys = [f"__r_{i}" for i in range(len(groups))]
-    states = df.groupBy(*groups).agg(*[c.alias(names[n]) for n, c in state.items()]).withColumnsRenamed(dict(zip(groups, keys)))
-    joined = spread_join(df, states, list(zip(groups, keys)), "left")
+    counted = df.groupBy(*groups).agg(*[c.alias(names[n]) for n, c in state.items()], F.count(F.lit(1)).alias("__rows"))
+    states = materialize(counted.withColumnsRenamed(dict(zip(groups, keys))))
+    fair = F.lit((states.agg(F.sum("__rows")).first()[0] or 0) / int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    large, small = (states.where(c).drop("__rows") for c in (F.col("__rows") > fair, F.col("__rows") <= fair))
+    same = F.lit(True)
+    for group, key in zip(groups, keys):
+        same = same & F.col(group).eqNullSafe(F.col(key))
+    if large.isEmpty():
+        joined = df.join(small, same, "left")
+    elif small.isEmpty():
+        joined = df.join(F.broadcast(large), same, "left")
+    else:
+        rest = df.join(F.broadcast(large.select(*keys)), same, "left_anti").join(small, same, "left")
+        joined = df.join(F.broadcast(large), same).unionByName(rest)
     return joined.withColumn(new_col, row({n: F.col(c) for n, c in names.items()})).drop(*keys, *names.values())
 
 
