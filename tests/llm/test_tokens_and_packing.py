@@ -100,6 +100,23 @@ def test_merger_on_random_bytes():
     assert b"".join(map({v: k for k, v in ranks.items()}.get, merger.ids(b"ab" * 20_000))) == b"ab" * 20_000
 
 
+def test_short_pieces_need_no_tree(monkeypatch):
+    merger = bpe.Merger(bpe.read_ranks(RANKS))
+    draw = random.Random(2)
+    pieces = [bytes(draw.choices(b"aehnt \xc3\xa4", k=n % bpe.SHORT + 1)) for n in range(300)]
+    by_tree = [merger.many([merger.single[b] for b in p]) for p in pieces]
+    monkeypatch.setattr(bpe.Merger, "many", None)
+    assert [merger.few(p) for p in pieces] == by_tree
+    assert merger.ids(b"qxqxqzzq" * 6) and merger.ids(b"") == []
+
+
+def test_queries_say_how_much_workers_remember():
+    small, large = (vocabulary_encoder(VOCABULARY, PATTERN, size=size) for size in (1 << 14, 8 << 20))
+    text = " ".join(f"word{i} number{i}" for _ in range(3) for i in range(2_000))
+    assert small.encode(text) == large.encode(text)
+    assert len(small) < 100 < len(large) and small.held < 2 * small.size
+
+
 @pytest.mark.parametrize("bits", [False, True])
 def test_plane_file_round_trip(bits):
     ids = np.random.default_rng(0).integers(0, 2**32, 5000).astype("<u4")

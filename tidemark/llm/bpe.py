@@ -4,23 +4,27 @@ A leaf of the tree belongs to a byte position where a token starts and holds the
 of the pair of that token and its right neighbour; inner nodes hold the minimum, ties
 going to the left, so the root is the next merge. A merge touches three leaves: the
 merged token, the neighbour it swallowed and the token before it. A match of n bytes
-takes O(n log n) steps, however long it is.
+takes O(n log n) steps, however long it is. Short matches, nearly all of them, do without
+the tree: the ranks of their pairs are a list, and its minimum is found by looking through it.
 """
 
 from __future__ import annotations
 
 import base64
+import itertools
 from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tidemark.llm.memory import only
+from tidemark.llm.memory import BYTES, only
 from tidemark.llm.tokens import Batches, Memory, encode_batches
 
 NOTHING = 1 << 96
 SHIFT, MASK = 32, (1 << 32) - 1
+#: Bytes of the longest match that is merged without a tree.
+SHORT = 48
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -43,8 +47,27 @@ class Merger:
     def ids(self, piece: bytes) -> list[int]:
         if (whole := self.ranks.get(piece)) is not None:
             return [whole]
-        n, pairs = len(piece), self.pairs
-        ids = [self.single[b] for b in piece]
+        if len(piece) <= SHORT:
+            return self.few(piece)
+        return self.many([self.single[b] for b in piece])
+
+    def few(self, piece: bytes) -> list[int]:
+        """Merges a short match: the least rank first, the leftmost of equal ones; bytes at ``starts`` begin tokens."""
+        known = self.ranks
+        rank = known.get
+        starts = list(range(len(piece) + 1))
+        ranks = [rank(piece[i:i + 2], NOTHING) for i in range(len(piece) - 1)]
+        while ranks and (least := min(ranks)) < NOTHING:
+            at = ranks.index(least)
+            del starts[at + 1], ranks[at]
+            if at:
+                ranks[at - 1] = rank(piece[starts[at - 1]:starts[at + 1]], NOTHING)
+            if at < len(ranks):
+                ranks[at] = rank(piece[starts[at]:starts[at + 2]], NOTHING)
+        return [known[piece[a:b]] for a, b in itertools.pairwise(starts)]
+
+    def many(self, ids: list[int]) -> list[int]:
+        n, pairs = len(ids), self.pairs
         if n < 2:
             return ids
         size = 1 << (n - 2).bit_length()
@@ -96,13 +119,13 @@ class Merger:
         return out
 
 
-def rank_encoder(path: str, pattern: str) -> Memory:
-    """A worker's encoder for a rank file."""
+def rank_encoder(path: str, pattern: str, size: int = BYTES) -> Memory:
+    """A worker's encoder for a rank file, with ``size`` bytes of remembered words."""
     def build() -> Memory:
         ids = Merger(read_ranks(path)).ids
-        return Memory(lambda match: np.array(ids(match.encode()), "<u4").tobytes(), pattern)
+        return Memory(lambda match: np.array(ids(match.encode()), "<u4").tobytes(), pattern, size=size)
 
-    return only(("ranks", path, pattern), build)
+    return only(("ranks", path, pattern, size), build)
 
 
 def encode(docs: DataFrame, path: str, pattern: str, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -135,8 +158,8 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     return source.mapInArrow(decoder(path), ", ".join([*(f"`{c}` {kind}" for c, kind in source.dtypes), "decoded binary"]))
 
 
-def encode_and_decode(docs: DataFrame, path: str, pattern: str, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def encode_and_decode(docs: DataFrame, path: str, pattern: str, keep: tuple[str, ...] = ("doc_id",), size: int = BYTES) -> DataFrame:
     """:func:`encode` and :func:`decode` in one pass: ``keep`` columns, ``ids`` and ``decoded``."""
     kinds = dict(docs.dtypes)
     schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in keep), "ids binary", "decoded binary"])
-    return encode_batches(docs, lambda: rank_encoder(path, pattern), None, keep, decoder(path), schema)
+    return encode_batches(docs, lambda: rank_encoder(path, pattern, size), None, keep, decoder(path), schema)

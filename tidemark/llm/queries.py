@@ -19,6 +19,8 @@ VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 PATTERN = public_tokenizers.PATTERN
+#: Bytes of remembered words for queries whose workers have little else to hold.
+ROOMY = 128 << 20
 
 
 def query(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -39,7 +41,7 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op3_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    both = bpe.encode_and_decode(table(spark, sf_dir, "documents"), RANKS, PATTERN)
+    both = bpe.encode_and_decode(table(spark, sf_dir, "documents"), RANKS, PATTERN, size=ROOMY)
     return both.select(
         "doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),

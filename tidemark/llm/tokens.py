@@ -42,8 +42,8 @@ def odd_space(text: str) -> bool:
 class Memory(Remembered):
     """Ids of the space and the chunk behind it; chunks that come again are remembered."""
 
-    def __init__(self, encode_match: Callable[[str], bytes], pattern: str, limit: int = ENTRIES):
-        super().__init__(self.ids_of, limit)
+    def __init__(self, encode_match: Callable[[str], bytes], pattern: str, limit: int = ENTRIES, size: int = BYTES):
+        super().__init__(self.ids_of, limit, size)
         self.encode_match = encode_match
         self.kept = Remembered(encode_match, limit, BYTES // 2)  # by match
         self.matches = regex.compile(pattern).findall
@@ -108,16 +108,16 @@ class AddedTokens:
         return struct.pack(f"<{len(ids)}I", *ids)
 
 
-def vocabulary_encoder(path: str, pattern: str, added: bool = False) -> Memory | AddedTokens:
-    """Encoder by a ``tokenizers`` file.
+def vocabulary_encoder(path: str, pattern: str, added: bool = False, size: int = BYTES) -> Memory | AddedTokens:
+    """Encoder by a ``tokenizers`` file, with ``size`` bytes of remembered words.
 
     ``added``: the file's added tokens get their ids where they stand in a text, as the library does it;
     if not, they are ordinary text.
     """
-    return only(("tokenizers", path, pattern, added), lambda: new_encoder(path, pattern, added))
+    return only(("tokenizers", path, pattern, added, size), lambda: new_encoder(path, pattern, added, size))
 
 
-def new_encoder(path: str, pattern: str, added: bool = False) -> Memory | AddedTokens:
+def new_encoder(path: str, pattern: str, added: bool = False, size: int = BYTES) -> Memory | AddedTokens:
     from tokenizers import Tokenizer
 
     tokenizer, letters = Tokenizer.from_file(path), byte_letters()
@@ -129,7 +129,7 @@ def new_encoder(path: str, pattern: str, added: bool = False) -> Memory | AddedT
         ids = [t.id for t in tokenize(word)]
         return pack_into[len(ids)](*ids) if len(ids) < 16 else struct.pack(f"<{len(ids)}I", *ids)
 
-    memory = Memory(encode_match, pattern)
+    memory = Memory(encode_match, pattern, size=size)
     return AddedTokens(memory, tokenizer) if added else memory
 
 
