@@ -51,7 +51,7 @@ def op3_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_bit_plane_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "planes")
-    planes.write_texts(table(spark, sf_dir, "documents"), path, lambda: vocabulary_encoder(VOCABULARY, PATTERN, added=True), end=0)
+    planes.write_texts(table(spark, sf_dir, "documents"), path, lambda: vocabulary_encoder(VOCABULARY, PATTERN, added=True, size=ROOMY), end=0)
     delete_at_exit(spark, path)
     return planes.read_files(spark, path, (F.length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
 
