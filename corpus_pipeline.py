@@ -25,6 +25,8 @@ from tidemark.llm.tokens import encode_documents
 from tidemark.session import delete_at_exit, shared_folder
 
 CAPACITY, END = 1024, 2
+#: Bytes of remembered words: workers of this stage stand beside idle ones of the stages before.
+REMEMBERED = 12 << 20
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,7 +43,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id``, ``piece``, ``start``, ``length``, ``ids``, ``ids_crc32``, ``sequence_id``, ``offset``."""
-    encoded = encode_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN, end=END, added=True)
+    vocabulary = public_tokenizers.path("byte_bpe_50k.json")
+    encoded = encode_documents(docs, vocabulary, public_tokenizers.PATTERN, end=END, added=True, size=REMEMBERED)
     return pack(cut_documents(encoded, CAPACITY).withColumn("ids_crc32", F.crc32("ids")), CAPACITY)
 
 

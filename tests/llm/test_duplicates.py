@@ -9,8 +9,9 @@ from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 
-from tidemark.llm import lattice, lines, minhash
+from tidemark.llm import lattice, lines, memory, minhash, words
 from tidemark.llm.graph import components
 from tidemark.llm.members import likely_members
 
@@ -277,3 +278,10 @@ def test_smallest_reachable():
         assert lattice.smallest_reachable(n, a, b).tolist() == [want[i] for i in range(n)]
     chain = np.arange(999)
     assert (lattice.smallest_reachable(1000, chain, chain + 1) == 0).all()
+
+
+def test_workers_remember_no_words():
+    memory._only.clear()
+    text = " ".join(f"Word{i % 50}" for i in range(500)) + " \u00c4b"
+    assert words.word_hashes(text).tolist() == [xxhash.xxh64_intdigest(w) for w in text.encode().lower().split()]
+    assert not len(words.word_hashes(None)) and not memory._only

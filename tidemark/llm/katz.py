@@ -139,7 +139,6 @@ def text_blocks(docs: DataFrame, block_chars: int) -> DataFrame:
         ids: list[int | None] = []
         held: list[bool] = []
         parts: list[np.ndarray] = []
-        hashes = word_hashes()
 
         def block() -> pa.RecordBatch:
             lengths = np.array([len(p) for p in parts], np.uint64)
@@ -159,7 +158,7 @@ def text_blocks(docs: DataFrame, block_chars: int) -> DataFrame:
             for doc_id, text, out in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "held_out"))):
                 ids.append(doc_id)
                 held.append(out)
-                parts.append(np.append(hashes.of(text), END))
+                parts.append(np.append(word_hashes(text), END))
                 chars += len(text or "") + 1
                 if chars >= block_chars:
                     yield block()

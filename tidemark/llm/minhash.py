@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, functions as F
 from tidemark.llm.graph import components
 from tidemark.llm.katz import expand_sorted, squeeze_sorted
 from tidemark.llm.members import bits_for, likely_members
-from tidemark.llm.memory import tidy
+from tidemark.llm.memory import let_go, tidy
 from tidemark.llm.words import mixed, shingles, word_hashes
 from tidemark.session import materialize, release
 
@@ -87,8 +87,9 @@ def described(docs: DataFrame, words: int, positions: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
+        let_go("words")
         for batch in slices(batches):
-            sets = [shingles(word_hashes().of(t), words) for t in batch.column("text").to_pylist()]
+            sets = [shingles(word_hashes(t), words) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([
                 batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
@@ -323,7 +324,7 @@ def sets_of(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            sets = [shingles(word_hashes().of(t), words).tobytes() for t in batch.column("text").to_pylist()]
+            sets = [shingles(word_hashes(t), words).tobytes() for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sets, pa.binary())], ["node", "hashes"])
 
     some = docs.select(F.col("doc_id").cast("long").alias("node"), "text").where(likely(F.col("node")))

@@ -165,10 +165,11 @@ def encode_batches(
 
 def encode_documents(
     docs: DataFrame, path: str, pattern: str, end: int | None = None, keep: tuple[str, ...] = ("doc_id",), added: bool = False,
+    size: int = BYTES,
 ) -> DataFrame:
     """Ids of every whole ``text`` by the tokenizer file at ``path`` (readable on every executor).
 
-    NULL and empty texts have no ids but ``end``; rows are neither merged nor dropped. ``added`` as in
+    NULL and empty texts have no ids but ``end``; rows are neither merged nor dropped. ``added`` and ``size`` as in
     :func:`vocabulary_encoder`.
     """
-    return encode_batches(docs, lambda: vocabulary_encoder(path, pattern, added), end, keep)
+    return encode_batches(docs, lambda: vocabulary_encoder(path, pattern, added, size), end, keep)

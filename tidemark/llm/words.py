@@ -5,24 +5,12 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
-from tidemark.llm.memory import Remembered, only
 
-
-class WordHashes(Remembered):
-    """Remembers the hash of each word that comes again."""
-
-    def __init__(self, limit: int = 150_000):
-        super().__init__(xxhash.xxh64_intdigest, limit, 40 << 20)
-
-    def of(self, text: str | None) -> np.ndarray:
-        # bytes.lower() and bytes.split() know ASCII letters and ASCII white space only
-        words = text.encode().lower().split() if text else []
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
-
-
-def word_hashes() -> WordHashes:
-    """The memory a worker keeps from task to task of a stage."""
-    return only("words", WordHashes)
+def word_hashes(text: str | None) -> np.ndarray:
+    """The hash of each word. Hashing one costs less than looking it up in a memory of words."""
+    # bytes.lower() and bytes.split() know ASCII letters and ASCII white space only
+    words = text.encode().lower().split() if text else []
+    return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
