@@ -10,6 +10,7 @@ from collections import Counter
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from tidemark.llm import lattice, lines, memory, minhash, words
 from tidemark.llm.graph import components
@@ -280,6 +281,20 @@ def test_smallest_reachable():
     assert (lattice.smallest_reachable(1000, chain, chain + 1) == 0).all()
 
 
+def test_visible_text_is_what_the_pattern_says(spark):
+    odd = ["", " ", "\t", "\r", "\u00a0", "\u2003", "a", "!", "~", "\x7f", " a", "\ta", "\x1f", "\x85", "\u00e4", "\u3000b", "\U0001f600", " \u2028 "]
+    rows = spark.createDataFrame([(x,) for x in odd], "line string").select(lines.visible("line").alias("quick"), F.col("line").rlike(lines.VISIBLE).alias("slow"))
+    assert [r["quick"] for r in rows.collect()] == [r["slow"] for r in rows.collect()]
+
+
+def test_lines_are_counted_without_splitting_the_text_again(spark):
+    texts = [None, "", "\n", "a", "a\n", "\n\nb\r\nc\n"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = lines.remove_repeated_lines(docs)
+    assert {r["doc_id"]: r["n_lines"] for r in got.collect()} == {i: 0 if t is None else t.count("\n") + 1 for i, t in enumerate(texts)}
+    assert "size(split" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_workers_remember_no_words():
     memory._only.clear()
     text = " ".join(f"Word{i % 50}" for i in range(500)) + " \u00c4b"

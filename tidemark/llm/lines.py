@@ -26,8 +26,6 @@ from tidemark.llm.members import likely_members
 from tidemark.llm.memory import let_go, tidy
 from tidemark.session import materialize
 
-#: Characters of a line, blanks around it aside. Only blank lines have fewer and are no repeats.
-MIN_CHARS = 1
 #: White space of any kind is no text, so a lone tab or carriage return makes no line either.
 VISIBLE = r"(?U)\S"
 BASE = 0x9E3779B97F4A7C15
@@ -39,8 +37,12 @@ def all_lines(docs: DataFrame) -> DataFrame:
     # what is made from the text first, or every line would carry the whole text along
     named = docs.select("doc_id", "text", F.xxhash64("text").alias("tie"))
     split = named.select("doc_id", "tie", F.posexplode(F.split("text", "\n")).alias("number", "raw"))
-    trimmed = split.select("doc_id", "tie", "number", F.trim("raw").alias("line"))
-    return trimmed.where((F.length("line") >= MIN_CHARS) & F.col("line").rlike(VISIBLE))
+    return split.where(visible("raw")).select("doc_id", "tie", "number", F.trim("raw").alias("line"))
+
+
+def visible(column: str) -> Column:
+    """Whether a string has visible text. Nearly all begin with a visible ASCII character, which compares bytes only."""
+    return ((F.col(column) >= "!") & (F.col(column) < "\x7f")) | F.col(column).rlike(VISIBLE)
 
 
 def line_id() -> list[Column]:
@@ -151,8 +153,8 @@ def _judged(docs: DataFrame) -> DataFrame:
     gone = materialize(repeats(plain)).select(F.col("doc_id").alias("at_doc"), F.col("tie").alias("at_tie"), "removed")
     likely = likely_members(gone.select(F.xxhash64(F.coalesce(F.col("at_doc"), F.lit(-1)), "at_tie").alias("name")), "name")
     flagged = keyed.withColumn("likely", likely(F.xxhash64(F.coalesce(id_, F.lit(-1)), "tie")))
-    lines = F.coalesce(F.size(F.split(text_, "\n")), F.lit(0))
-    counted = flagged.withColumn("n_lines", F.when(text_.isNull(), 0).otherwise(lines))
+    ends = F.octet_length(text_) - F.octet_length(F.replace(text_, F.lit("\n"), F.lit("")))
+    counted = flagged.withColumn("n_lines", F.coalesce(ends + 1, F.lit(0)))
     untouched = counted.where("not likely").withColumn("n_removed", F.lit(0)).withColumn("text", text_)
     rest = counted.where("likely").join(gone, id_.eqNullSafe(F.col("at_doc")) & (F.col("tie") == F.col("at_tie")), "left").drop("at_doc", "at_tie")
     numbers = F.array_except(F.sequence(F.lit(0), F.col("n_lines") - 1), F.col("removed"))
@@ -188,7 +190,7 @@ def without_repeated_lines(docs: DataFrame) -> DataFrame:
 
     Other columns, whatever their names, keep their values; else as :func:`remove_repeated_lines`.
     """
-    done = _judged(docs).where(F.col("text").isNull() | (F.col("n_removed") == 0) | F.col("text").rlike(VISIBLE))
+    done = _judged(docs).where(F.col("text").isNull() | (F.col("n_removed") == 0) | visible("text"))
     columns = {c: F.col(f"_{i}") for i, c in enumerate(docs.columns)} | {"text": F.col("text")}
     if "n_chars" in columns:
         counted = F.length("text").cast(dict(docs.dtypes)["n_chars"])
