@@ -21,8 +21,8 @@ from tidemark.llm.language import keep_known_languages
 from tidemark.llm.lines import without_repeated_lines
 from tidemark.llm.minhash import keep_one_of_each
 from tidemark.llm.packing import cut_documents, pack
-from tidemark.llm.tokens import encode_documents
-from tidemark.session import delete_at_exit, shared_folder
+from tidemark.llm.tokens import ROWS, encode_documents
+from tidemark.session import arrow_batches, delete_at_exit, shared_folder
 
 CAPACITY, END = 1024, 2
 #: Bytes of remembered words: workers of this stage stand beside idle ones of the stages before.
@@ -45,7 +45,8 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id``, ``piece``, ``start``, ``length``, ``ids``, ``ids_crc32``, ``sequence_id``, ``offset``."""
     vocabulary = public_tokenizers.path("byte_bpe_50k.json")
     encoded = encode_documents(docs, vocabulary, public_tokenizers.PATTERN, end=END, added=True, size=REMEMBERED)
-    return pack(cut_documents(encoded, CAPACITY).withColumn("ids_crc32", F.crc32("ids")), CAPACITY)
+    with arrow_batches(spark, ROWS):  # pack computes the ids before it returns
+        return pack(cut_documents(encoded, CAPACITY).withColumn("ids_crc32", F.crc32("ids")), CAPACITY)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

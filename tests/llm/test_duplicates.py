@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tidemark.llm import lattice, lines, memory, minhash, words
 from tidemark.llm.graph import components
 from tidemark.llm.members import likely_members
+from tidemark.session import materialize
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -300,3 +301,31 @@ def test_workers_remember_no_words():
     text = " ".join(f"Word{i % 50}" for i in range(500)) + " \u00c4b"
     assert words.word_hashes(text).tolist() == [xxhash.xxh64_intdigest(w) for w in text.encode().lower().split()]
     assert not len(words.word_hashes(None)) and not memory._only
+
+
+def test_no_task_needs_two_workers_for_sets(spark, monkeypatch):
+    plans = []
+
+    def noted(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return materialize(df)
+
+    monkeypatch.setattr(minhash, "materialize", noted)
+    docs = spark.createDataFrame([(i, f"a b c d e {i}") for i in range(30)], "doc_id long, text string")
+    got = minhash.sets_of(docs, spark.range(0, 30, 3).toDF("node"), 5)
+    assert {r["node"]: r["hashes"] for r in got.collect()} == {i: words.shingles(words.word_hashes(f"a b c d e {i}"), 5).tobytes() for i in range(0, 30, 3)}
+    assert ["ArrowEvalPython" in p for p in plans] == [True, False] and ["MapInArrow" in p for p in plans] == [False, True]
+
+
+def test_no_stored_table_filters_and_computes_in_workers_at_once(spark, monkeypatch):
+    plans = []
+
+    def noted(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return materialize(df)
+
+    monkeypatch.setattr(minhash, "materialize", noted)
+    docs = spark.createDataFrame([(i, f"a b c d e f g {i // 2}") for i in range(20)], "doc_id long, text string")
+    got = minhash.near_duplicates(docs, 2, 80)
+    assert {r["doc_id"]: r["component_id"] for r in got.collect()} == {i: i // 2 * 2 for i in range(20)}
+    assert len(plans) > 10 and not any("ArrowEvalPython" in p and "MapInArrow" in p for p in plans)

@@ -211,3 +211,21 @@ def test_cut_gives_the_first_piece_the_remainder(spark):
     encoded = spark.createDataFrame([(1, bytearray(4 * 25)), (2, bytearray(4 * 10)), (3, bytearray(0)), (4, bytearray(4 * 20))], "doc_id long, ids binary")
     found = {(r.doc_id, r.piece): (r.start, r.length, len(r.ids)) for r in cut_documents(encoded, 10).collect()}
     assert found == {(1, 0): (0, 5, 20), (1, 1): (5, 10, 40), (1, 2): (15, 10, 40), (2, 0): (0, 10, 40), (4, 0): (0, 10, 40), (4, 1): (10, 10, 40)}
+
+
+def test_plan_needs_no_python_workers(spark):
+    pieces = spark.createDataFrame([(1, 60), (2, 40), (3, 7)], "doc_id long, length long")
+    plan = pack(pieces, 100)._jdf.queryExecution().executedPlan().toString()
+    assert "LocalTableScan" in plan and "ExistingRDD" not in plan
+
+
+def test_memory_of_matches_follows_the_size():
+    small, usual = (vocabulary_encoder(VOCABULARY, PATTERN, size=size) for size in (12 << 20, 40 << 20))
+    assert small.kept.size == 6 << 20 and usual.kept.size == 20 << 20
+
+
+def test_packing_stage_sends_small_batches(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(corpus_pipeline, "pack", lambda pieces, capacity: seen.append(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) or pieces)
+    corpus_pipeline.packing(spark, documents(spark, ["a b"]), "")
+    assert seen == ["500"]

@@ -3,10 +3,11 @@ from __future__ import annotations
 import os
 from types import SimpleNamespace
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.session import materialize, release, scratch_path, shared_folder
+from tidemark.session import arrow_batches, materialize, release, scratch_path, shared_folder
 
 
 def test_shared_folder_is_the_configured_one(spark):
@@ -43,3 +44,16 @@ def test_stored_tables_can_be_released(spark):
     release(table)
     assert not os.path.exists(path)
     release(spark.range(1))  # nothing stored, nothing to do
+
+
+def test_batches_for_workers_are_small_inside(spark):
+    def sizes():
+        counted = spark.range(1000, numPartitions=1).mapInArrow(lambda batches: (pa.record_batch([[b.num_rows]], ["id"]) for b in batches), "id long")
+        return [r["id"] for r in materialize(counted).collect()]
+
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    usual = spark.conf.get(name)
+    with pytest.raises(ValueError), arrow_batches(spark, 100):
+        assert max(sizes()) == 100
+        raise ValueError
+    assert spark.conf.get(name) == usual and sizes() == [1000]

@@ -31,9 +31,11 @@ from tidemark.llm.katz import expand_sorted, squeeze_sorted
 from tidemark.llm.members import bits_for, likely_members
 from tidemark.llm.memory import let_go, tidy
 from tidemark.llm.words import mixed, shingles, word_hashes
-from tidemark.session import materialize, release
+from tidemark.session import arrow_batches, materialize, release
 
 POSITIONS, MISSED, SEED = 128, 0.0001, 7
+#: Texts that a worker gets at a time.
+ROWS = 500
 #: Members of a bucket that are compared at a time, sets of partners that a task holds, and lists that ask them, about.
 BLOCK, PARTNERS, ASKERS = 1000, 250, 500
 
@@ -73,7 +75,7 @@ def signature(hashes: np.ndarray, positions: int = POSITIONS) -> bytes:
     return mixed(least).astype(np.uint8).tobytes()
 
 
-def slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], rows: int = ROWS) -> Iterator[pa.RecordBatch]:
     """Smaller batches, so that what is made from texts is handed on soon."""
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
@@ -319,7 +321,10 @@ def listed_nodes(lists: DataFrame) -> DataFrame:
 
 
 def sets_of(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
-    """``node`` and its ``hashes`` (binary) for the documents in ``ids`` (``node``)."""
+    """``node`` and its ``hashes`` (binary) for the documents in ``ids`` (``node``), stored.
+
+    Their texts are stored first, so no task holds a worker for the filter and another for the sets.
+    """
     likely = likely_members(ids, "node")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -328,7 +333,11 @@ def sets_of(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sets, pa.binary())], ["node", "hashes"])
 
     some = docs.select(F.col("doc_id").cast("long").alias("node"), "text").where(likely(F.col("node")))
-    return some.join(ids, "node", "left_semi").mapInArrow(tidy(run), "node long, hashes binary").dropDuplicates(["node"])
+    texts = materialize(some.join(ids, "node", "left_semi"))
+    with arrow_batches(docs.sparkSession, ROWS):
+        sets = materialize(texts.mapInArrow(tidy(run), "node long, hashes binary").dropDuplicates(["node"]))
+    release(texts)
+    return sets
 
 
 def similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
@@ -405,7 +414,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, position
     0.80, 26 at 0.81, 6 at 0.82 and 0.04 at 0.85; a lost link matters only if no other path joins the two.
     """
     most = most_differences(percent / 100, positions)
-    rows = materialize(described(docs, words, positions))
+    with arrow_batches(docs.sparkSession, ROWS):
+        rows = materialize(described(docs, words, positions))
     usable = rows.where("n_shingles > 0 and doc_id is not null")
     nodes = materialize(usable.groupBy("set_id").agg(F.min("doc_id").alias("node"), F.first("signature").alias("signature")))
 
@@ -420,7 +430,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, position
     to_heads = to_heads.join(side, "node").join(side.toDF("head", "head_signature"), "head").select("node", "head", "signature", "head_signature")
     tried = materialize(with_heads(to_heads, positions, most))
     ends = tried.select(F.col("a").alias("node")).union(tried.select("b")).distinct()
-    sets = materialize(sets_of(docs, ends, words))
+    sets = sets_of(docs, ends, words)
     links = materialize(confirmed(tried, sets, percent))
 
     # what is left: pairs of a bucket across components
@@ -440,8 +450,9 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, position
         .withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other")).drop("other", "head", "n")
     )
     lists = materialize(across_components(spread, positions, most))
-    missing = listed_nodes(lists).join(sets.select("node"), "node", "left_anti")
-    sets = sets.union(materialize(sets_of(docs, missing, words)))
+    # stored, or Spark would put the filter of sets_of behind listed_nodes, two workers for a task
+    missing = materialize(listed_nodes(lists).join(sets.select("node"), "node", "left_anti"))
+    sets = sets.union(sets_of(docs, missing, words))
     whole = components(links.union(confirmed_lists(lists, places, sets, percent)))
 
     classes = nodes.select("set_id", "node").join(whole, "node", "left").select("set_id", F.coalesce("component", "node").alias("component"))

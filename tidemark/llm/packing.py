@@ -19,6 +19,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tidemark.session import materialize
@@ -235,7 +236,10 @@ def pack(pieces: DataFrame, capacity: int, small: int | None = None, groups: int
     if any(not x or x < 1 or x > capacity for x in counts):
         raise ValueError(f"lengths must lie between 1 and {capacity}")
     rows, _ = make_plan(counts, capacity, small, groups) if small else best_plan(counts, capacity, groups)
-    plan = spark.createDataFrame(rows, "length long, _low long, _high long, _sequence long, _each long, _offset long")
+    # an Arrow table needs no Python workers, which would stand idle beside those that hold the vocabulary
+    names = ["length", "_low", "_high", "_sequence", "_each", "_offset"]
+    columns = [pa.array([r[i] for r in rows], pa.int64()) for i in range(len(names))]
+    plan = spark.createDataFrame(pa.Table.from_arrays(columns, names))
     step = F.col("rank") - F.col("_low")
     # the plan is made from at most `capacity` counts, so it may be sent to every task
     placed = ranked(kept, sum(counts.values())).join(F.broadcast(plan), "length").where("rank >= _low and rank < _high")

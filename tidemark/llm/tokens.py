@@ -45,7 +45,7 @@ class Memory(Remembered):
     def __init__(self, encode_match: Callable[[str], bytes], pattern: str, limit: int = ENTRIES, size: int = BYTES):
         super().__init__(self.ids_of, limit, size)
         self.encode_match = encode_match
-        self.kept = Remembered(encode_match, limit, BYTES // 2)  # by match
+        self.kept = Remembered(encode_match, limit, min(size, BYTES) // 2)  # by match
         self.matches = regex.compile(pattern).findall
 
     def ids_of(self, chunk: str) -> bytes:

@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -65,6 +67,21 @@ def materialize(df: DataFrame) -> DataFrame:
     return table
 
 
+@contextmanager
+def arrow_batches(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Inside, workers get at most ``rows`` rows at a time: for whole texts, of which the usual batches hold tens of MB.
+
+    This counts when a table is computed, not when it is declared, so :func:`materialize` belongs inside too.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def release(table: DataFrame) -> None:
     """Delete what :func:`materialize` stored, before the session ends; nothing may read it any more."""
     if path := getattr(table, "_stored_at", None):
