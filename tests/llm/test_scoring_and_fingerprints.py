@@ -6,6 +6,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tidemark.llm import katz, lz
@@ -159,3 +160,49 @@ def test_scoring_leaves_no_table_behind(spark):
     before = {t.name for t in spark.catalog.listTables()}
     assert katz.score(docs).count() == 2
     assert {t.name for t in spark.catalog.listTables()} == before
+
+
+def test_pairs_are_placed_by_their_one_sort(monkeypatch):
+    draw = np.random.default_rng(4)
+    block = katz.Block.__new__(katz.Block)
+    block.before = draw.choice(np.array([katz.START, katz.UNKNOWN, 3, 5, 2**31], np.uint64), 500)
+    block.after = draw.choice(np.array([katz.UNKNOWN, 3, 7, 2**32 - 9], np.uint64), 500)
+    # words of training texts are known
+    block.training = (draw.random(500) < 0.7) & (block.before != katz.UNKNOWN) & (block.after != katz.UNKNOWN)
+    want = [int(a) << 32 | int(b) for a, b in zip(block.before, block.after)]
+    unseen = int(katz.UNKNOWN) << 32 | int(katz.UNKNOWN)
+    want = [unseen if k >> 32 == int(katz.UNKNOWN) else k for k in want]
+    learned = Counter(k for k, t in zip(want, block.training) if t)
+
+    def refuse(*_, **__):
+        raise AssertionError("keys are looked up again")
+
+    monkeypatch.setattr(np, "searchsorted", refuse)
+    keys, at, counts = block.pairs()
+    assert keys.tolist() == sorted({*want, *(int(a) << 32 | int(katz.UNKNOWN) for a in block.before)})
+    assert keys[at].tolist() == want and dict(zip(keys.tolist(), counts.tolist())) == {k: learned[k] for k in keys.tolist()}
+
+
+def test_distinct_is_unique():
+    for values in ([], [4], [4, 4], [9, 1, 9, 2**63, 1]):
+        values = np.array(values, np.uint64)
+        assert katz.distinct(values).tolist() == np.unique(values).tolist()
+
+
+def test_blocks_are_copied_one_by_one():
+    class Batch:
+        num_rows = 3
+
+        def slice(self, at, length):
+            assert length == 1
+            return pa.table({"x": [at]})
+
+    assert list(katz.one_by_one([Batch()])) == [{"x": 0}, {"x": 1}, {"x": 2}]
+
+
+def test_texts_reach_blocks_in_small_batches(spark, monkeypatch):
+    seen = []
+    store = katz.store_bucketed
+    monkeypatch.setattr(katz, "store_bucketed", lambda *a: seen.append(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) or store(*a))
+    docs = spark.createDataFrame([(1, "a b", False), (2, "a c", True)], "doc_id long, text string, held_out boolean")
+    assert katz.score(docs).count() == 2 and seen == [str(katz.ROWS)]

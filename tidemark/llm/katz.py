@@ -27,12 +27,15 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tidemark.llm.memory import tidy
 from tidemark.llm.words import mixed, word_hashes
-from tidemark.session import delete_at_exit, scratch_path
+from tidemark.session import arrow_batches, delete_at_exit, scratch_path
 from tidemark.sources import store_bucketed
 
 RARE = 5
 BLOCK_CHARS = 8_000_000
+#: Texts that a worker gets at a time.
+ROWS = 500
 END = np.uint64(xxhash.xxh64_intdigest(b" end"))  # no word holds a blank
 START, UNKNOWN = np.uint64(2**32 - 1), np.uint64(2**32 - 2)
 LOW = np.uint64(2**32 - 1)
@@ -61,6 +64,12 @@ def expand_sorted(data: bytes) -> np.ndarray:
     return np.cumsum(expand(data, "<u8"), dtype=np.uint64)
 
 
+def distinct(values: np.ndarray) -> np.ndarray:
+    """``np.unique`` by sorting: of many different values, or sorted ones, faster than by its hash table."""
+    ordered = np.sort(values)
+    return ordered[np.append(True, ordered[1:] != ordered[:-1])[:len(ordered)]]
+
+
 def groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[int, list[dict]]]:
     """Rows by ``key`` of batches sorted by it."""
     held: list[dict] = []
@@ -74,6 +83,13 @@ def groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[int, l
         yield held[0][key], held
 
 
+def one_by_one(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """Rows that hold a whole block each; a batch of them is not copied at once."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield batch.slice(i, 1).to_pylist()[0]
+
+
 def records(rows: list[dict], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_pylist(rows, schema)
 
@@ -166,7 +182,7 @@ def text_blocks(docs: DataFrame, block_chars: int) -> DataFrame:
         if ids:
             yield block()
 
-    return docs.select(F.col("doc_id").cast("long"), "text", "held_out").mapInArrow(run, "block long, docs binary, tokens binary, words binary, counts binary, starts long")
+    return docs.select(F.col("doc_id").cast("long"), "text", "held_out").mapInArrow(tidy(run), "block long, docs binary, tokens binary, words binary, counts binary, starts long")
 
 
 def bucket_edges(buckets: int) -> np.ndarray:
@@ -199,8 +215,15 @@ class Block:
         Every known history also has a pair with the unknown word, so that it is asked for."""
         key = self.before << SHIFT | self.after
         key[self.before == UNKNOWN] = UNKNOWN << SHIFT | UNKNOWN
-        keys = np.unique(np.concatenate([key, np.unique(self.before) << SHIFT | UNKNOWN]))
-        at = np.searchsorted(keys, key)
+        every = np.concatenate([key, distinct(self.before) << SHIFT | UNKNOWN])
+        # positions come from the one sort; looking a million keys up afterwards costs several times as much
+        order = np.argsort(every)
+        every = every[order]
+        first = np.append(True, every[1:] != every[:-1])
+        places = np.empty(len(every), np.int32)
+        places[order] = np.cumsum(first, dtype=np.int32) - np.int32(1)
+        keys, at = every[first], places[:len(key)]
+        del every, order, first, key
         counts = np.bincount(at[self.training & (self.after != UNKNOWN)], minlength=len(keys))
         return keys, at, counts.astype(np.uint32)
 
@@ -220,14 +243,13 @@ def word_table(blocks: DataFrame, path: str, buckets: int) -> None:
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("bucket", pa.int32()), ("block", pa.int64()), ("words", pa.binary()), ("counts", pa.binary())])
-        for batch in batches:
-            for row in batch.to_pylist():
-                words, counts = expand_sorted(row["words"]), expand(row["counts"], "<u4")
-                cuts = [0, *np.searchsorted(words, edges).tolist(), len(words)]
-                yield records([
-                    {"bucket": i, "block": row["block"], "words": squeeze_sorted(words[a:b]), "counts": squeeze(counts[a:b])}
-                    for i, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])) if b > a
-                ], schema)
+        for row in one_by_one(batches):
+            words, counts = expand_sorted(row["words"]), expand(row["counts"], "<u4")
+            cuts = [0, *np.searchsorted(words, edges).tolist(), len(words)]
+            yield records([
+                {"bucket": i, "block": row["block"], "words": squeeze_sorted(words[a:b]), "counts": squeeze(counts[a:b])}
+                for i, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])) if b > a
+            ], schema)
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("block", pa.int64()), ("bucket", pa.int32()), ("ids", pa.binary()), ("totals", pa.binary()), ("seen", pa.list_(pa.int64()))])
@@ -248,8 +270,8 @@ def word_table(blocks: DataFrame, path: str, buckets: int) -> None:
                 at += len(words_of)
                 yield records([{"block": p["block"], "bucket": bucket, "ids": squeeze(ids[mine]), "totals": squeeze(totals[mine]), "seen": None}], schema)
 
-    packets = blocks.select("block", "words", "counts").mapInArrow(send, "bucket int, block long, words binary, counts binary")
-    merged = packets.repartition(buckets, "bucket").sortWithinPartitions("bucket", "block").mapInArrow(merge, "block long, bucket int, ids binary, totals binary, seen array<long>")
+    packets = blocks.select("block", "words", "counts").mapInArrow(tidy(send), "bucket int, block long, words binary, counts binary")
+    merged = packets.repartition(buckets, "bucket").sortWithinPartitions("bucket", "block").mapInArrow(tidy(merge), "block long, bucket int, ids binary, totals binary, seen array<long>")
     merged.write.parquet(path)
 
 
@@ -257,23 +279,26 @@ def pair_table(known: DataFrame, path: str, buckets: int, words: Words, starts:
     """Count pairs over all blocks, as :func:`word_table` does words; history sums go with the answers."""
     share = max((words.n + starts) / (4 * buckets), 1.0)
 
+    schema = pa.schema([("bucket", pa.int32()), ("block", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary()), ("next", pa.binary()), ("split", pa.binary())])
+
+    def sent(row: dict) -> Iterator[pa.RecordBatch]:
+        block = Block(row)
+        keys, _, counts = block.pairs()
+        tokens, following = key_counts(block, keys, starts)
+        bucket = pair_buckets(keys, tokens, share, buckets)
+        order = np.argsort(bucket, kind="stable")
+        cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
+        for i in range(buckets):
+            mine = order[cuts[i]:cuts[i + 1]]
+            if len(mine):
+                yield records([{
+                    "bucket": i, "block": row["block"], "keys": squeeze_sorted(keys[mine]), "counts": squeeze(counts[mine]),
+                    "next": squeeze(following[mine].astype(np.uint32)), "split": np.packbits(tokens[mine] > share).tobytes(),
+                }], schema)
+
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("bucket", pa.int32()), ("block", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary()), ("next", pa.binary()), ("split", pa.binary())])
-        for batch in batches:
-            for row in batch.to_pylist():
-                block = Block(row)
-                keys, _, counts = block.pairs()
-                tokens, following = key_counts(block, keys, starts)
-                bucket = pair_buckets(keys, tokens, share, buckets)
-                order = np.argsort(bucket, kind="stable")
-                cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
-                for i in range(buckets):
-                    mine = order[cuts[i]:cuts[i + 1]]
-                    if len(mine):
-                        yield records([{
-                            "bucket": i, "block": row["block"], "keys": squeeze_sorted(keys[mine]), "counts": squeeze(counts[mine]),
-                            "next": squeeze(following[mine].astype(np.uint32)), "split": np.packbits(tokens[mine] > share).tobytes(),
-                        }], schema)
+        for row in one_by_one(batches):
+            yield from sent(row)
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("block", pa.int64()), ("bucket", pa.int32()), ("keys", pa.binary()), ("totals", pa.binary()), ("sums", pa.binary()), ("lower", pa.binary()), ("seen", pa.list_(pa.int64()))])
@@ -285,7 +310,7 @@ def pair_table(known: DataFrame, path: str, buckets: int, words: Words, starts:
             split = np.concatenate([np.unpackbits(np.frombuffer(p["split"], np.uint8), count=len(k)) for p, k in zip(packets, lists)])[first].astype(bool)
             names, sums = history_sums(keys >> SHIFT, totals, words.p(following))
             seen = np.bincount(np.minimum(totals, RARE + 2), minlength=RARE + 3)[1:RARE + 2].tolist()
-            parted = np.isin(names, np.unique(keys[split] >> SHIFT))
+            parted = np.isin(names, distinct(keys[split] >> SHIFT))
             some = totals > 0
             yield records([{
                 "block": -1, "bucket": bucket, "keys": squeeze_sorted(keys[some]), "totals": squeeze(totals[some].astype(np.uint32)),
@@ -293,15 +318,15 @@ def pair_table(known: DataFrame, path: str, buckets: int, words: Words, starts:
             }], schema)
             at = 0
             for p, mine in zip(packets, lists):
-                asked = np.searchsorted(names, np.unique(mine >> SHIFT))
+                asked = np.searchsorted(names, distinct(mine >> SHIFT))
                 yield records([{
                     "block": p["block"], "bucket": bucket, "keys": None, "totals": squeeze(totals[local[at:at + len(mine)]].astype(np.uint32)),
                     "sums": squeeze(sums[asked, :RARE + 1].astype(np.uint32).ravel()), "lower": squeeze(sums[asked, RARE + 1]), "seen": None,
                 }], schema)
                 at += len(mine)
 
-    packets = known.mapInArrow(send, "bucket int, block long, keys binary, counts binary, next binary, split binary")
-    merged = packets.repartition(buckets, "bucket").sortWithinPartitions("bucket", "block").mapInArrow(merge, "block long, bucket int, keys binary, totals binary, sums binary, lower binary, seen array<long>")
+    packets = known.mapInArrow(tidy(send), "bucket int, block long, keys binary, counts binary, next binary, split binary")
+    merged = packets.repartition(buckets, "bucket").sortWithinPartitions("bucket", "block").mapInArrow(tidy(merge), "block long, bucket int, keys binary, totals binary, sums binary, lower binary, seen array<long>")
     merged.write.parquet(path)
 
 
@@ -324,44 +349,45 @@ def scores(known: DataFrame, buckets: int, words: Words, starts: int, d: np.ndar
         ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
         ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
 
+    def scored(row: dict) -> pa.RecordBatch:
+        block = Block(row)
+        keys, at, _ = block.pairs()
+        tokens, _ = key_counts(block, keys, starts)
+        bucket = pair_buckets(keys, tokens, share, buckets)
+        order = np.argsort(bucket, kind="stable")
+        answers = sorted(row["pairs_known"], key=lambda a: a["bucket"])
+        totals = np.empty(len(keys), np.int64)
+        totals[order] = np.concatenate([expand(a["totals"], "<u4") for a in answers])
+        divisor, weight = np.ones(len(keys)), np.ones(len(keys))
+        low = 0
+        for a in answers:
+            lower = expand(a["lower"], "<f8")
+            sums = np.concatenate([expand(a["sums"], "<u4").reshape(len(lower), RARE + 1), lower[:, None]], axis=1)
+            n = len(expand(a["totals"], "<u4"))
+            mine = order[low:low + n]
+            low += n
+            names, which = np.unique(keys[mine] >> SHIFT, return_inverse=True)
+            for i, name in enumerate(names.tolist()):
+                if name in frequent:
+                    sums[i] = frequent[name]
+            parts = weights(sums, d)
+            divisor[mine], weight[mine] = parts[0][which], parts[1][which]
+        count = block.counts[block.next]
+        shorter = np.log10(words.p(count)) + np.log10(weight[at])
+        pair = totals[at]
+        direct = np.log10(np.maximum(d[np.minimum(pair, RARE + 1)] * pair, 1e-300) / divisor[at])
+        found = np.where(pair > 0, direct, shorter)
+        lengths = block.ends - block.starts
+        return pa.RecordBatch.from_arrays([
+            pa.array(block.doc_ids, pa.int64()), pa.array(block.held_out), pa.array(lengths.astype(np.int64)),
+            pa.array(np.add.reduceat((count > 0).astype(np.int64), block.starts)), pa.array(np.full(len(lengths), words.n, np.int64)),
+            pa.array(np.add.reduceat(words.base(count), block.starts)), pa.array(np.add.reduceat(found, block.starts)),
+        ], schema=schema)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                block = Block(row)
-                keys, at, _ = block.pairs()
-                tokens, _ = key_counts(block, keys, starts)
-                bucket = pair_buckets(keys, tokens, share, buckets)
-                order = np.argsort(bucket, kind="stable")
-                answers = sorted(row["pairs_known"], key=lambda a: a["bucket"])
-                totals = np.empty(len(keys), np.int64)
-                totals[order] = np.concatenate([expand(a["totals"], "<u4") for a in answers])
-                divisor, weight = np.ones(len(keys)), np.ones(len(keys))
-                low = 0
-                for a in answers:
-                    lower = expand(a["lower"], "<f8")
-                    sums = np.concatenate([expand(a["sums"], "<u4").reshape(len(lower), RARE + 1), lower[:, None]], axis=1)
-                    n = len(expand(a["totals"], "<u4"))
-                    mine = order[low:low + n]
-                    low += n
-                    names, which = np.unique(keys[mine] >> SHIFT, return_inverse=True)
-                    for i, name in enumerate(names.tolist()):
-                        if name in frequent:
-                            sums[i] = frequent[name]
-                    parts = weights(sums, d)
-                    divisor[mine], weight[mine] = parts[0][which], parts[1][which]
-                count = block.counts[block.next]
-                shorter = np.log10(words.p(count)) + np.log10(weight[at])
-                pair = totals[at]
-                direct = np.log10(np.maximum(d[np.minimum(pair, RARE + 1)] * pair, 1e-300) / divisor[at])
-                found = np.where(pair > 0, direct, shorter)
-                lengths = block.ends - block.starts
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(block.doc_ids, pa.int64()), pa.array(block.held_out), pa.array(lengths.astype(np.int64)),
-                    pa.array(np.add.reduceat((count > 0).astype(np.int64), block.starts)), pa.array(np.full(len(lengths), words.n, np.int64)),
-                    pa.array(np.add.reduceat(words.base(count), block.starts)), pa.array(np.add.reduceat(found, block.starts)),
-                ], schema=schema)
-
-    return known.mapInArrow(run, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+        yield from map(scored, one_by_one(batches))
+
+    return known.mapInArrow(tidy(run), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
 def totals_of(spark: SparkSession, path: str) -> list[int]:
@@ -382,7 +408,8 @@ def score(docs: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     folder = scratch_path(spark, "katz")
     delete_at_exit(spark, folder)
-    blocks = store_bucketed(text_blocks(docs, block_chars), "block", buckets, f"{folder}/blocks")
+    with arrow_batches(spark, ROWS):
+        blocks = store_bucketed(text_blocks(docs, block_chars), "block", buckets, f"{folder}/blocks")
     word_table(blocks, f"{folder}/words", buckets)
     n, distinct, *seen = totals_of(spark, f"{folder}/words")
     words = Words(n, distinct, seen)
