@@ -229,3 +229,22 @@ def test_packing_stage_sends_small_batches(spark, monkeypatch):
     monkeypatch.setattr(corpus_pipeline, "pack", lambda pieces, capacity: seen.append(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) or pieces)
     corpus_pipeline.packing(spark, documents(spark, ["a b"]), "")
     assert seen == ["500"]
+
+
+def test_texts_encoded_together_have_the_ids_of_the_library():
+    texts = [
+        None, "", "one", " ", "a  b \n c", " a", "a ", "x<|endoftext|>y z", "it's a 12ab'll \x00é　ß ok", "a\tb c\nd.e\n€f,", "nine, nine\nnine nine,",
+        *(f"w{i} wörd{i % 7}, word{'s' * (i % 5)}... (x{i})\nnext 'tis" for i in range(300)),
+    ]
+    library = Tokenizer.from_file(VOCABULARY)
+    expected = [np.array([*library.encode(t or "", add_special_tokens=False).ids, 7], "<u4").tobytes() for t in texts]
+    calls = []
+    made = vocabulary_encoder(VOCABULARY, PATTERN, added=True, size=1 << 16)
+    many = made.memory.encode_many
+    made.memory.encode_many = lambda matches: calls.append(len(matches)) or many(matches)
+    tail = (7).to_bytes(4, "little")
+    for _ in range(3):  # unknown, met and remembered
+        assert made.encode_all(texts, tail).to_pylist() == expected
+    assert len(calls) == 3 and calls[0] > calls[2]
+    assert [x for t in texts for x in made.encode_all([t], tail).to_pylist()] == expected
+    assert made.encode_all([], tail).to_pylist() == []

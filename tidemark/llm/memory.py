@@ -5,7 +5,7 @@ from __future__ import annotations
 import ctypes
 import gc
 import itertools
-from collections.abc import Callable, Hashable, Iterator
+from collections.abc import Callable, Hashable, Iterable, Iterator
 from typing import Any
 
 import pyarrow as pa
@@ -30,16 +30,23 @@ class Remembered(dict):
 
     def __missing__(self, key):
         found = self.compute(key)
-        door = hash(key) % DOORS
-        if self.doors[door]:
-            self.keep(key, found)
-        else:
-            self.doors[door] = 1
-            self.seen += 1
-            if self.seen > DOORS // 2:
-                self.seen, self.doors = 0, bytearray(DOORS)
+        self.meet((key,), (found,))
         return found
 
+    def meet(self, keys: Iterable, results: Iterable) -> None:
+        """Keep results that were computed, where their keys were met before."""
+        doors = self.doors
+        for key, found in zip(keys, results):
+            door = hash(key) % DOORS
+            if doors[door]:
+                self.keep(key, found)
+            else:
+                doors[door] = 1
+                self.seen += 1
+                if self.seen > DOORS // 2:
+                    self.seen, self.doors = 0, bytearray(DOORS)
+                    doors = self.doors
+
     def keep(self, key, found) -> None:
         if len(self) >= self.limit or self.held >= self.size:
             for newest in list(itertools.islice(reversed(self), len(self) // 2 + 1)):

@@ -146,7 +146,7 @@ def write_files(encoded: DataFrame, path: str, block: int = BLOCK_IDS, file_ids:
 def write_texts(docs: DataFrame, path: str, encoder: Callable[[], Memory | AddedTokens], end: int | None) -> None:
     """Encode every whole ``text`` and write the ids in ascending ``doc_id``, in one pass."""
     ordered = sorted_documents(docs.select(F.col("doc_id").cast("long"), "text"))
-    store(encode_batches(ordered, encoder, end, ("doc_id",), file_writer(), FILES), path)
+    store(encode_batches(ordered, encoder, end, ("doc_id",), file_writer(), FILES, together=True), path)
 
 
 def read_files(spark: SparkSession, path: str, *derive: Column) -> DataFrame:
