@@ -118,6 +118,38 @@ def test_parse_is_that_of_the_phrase_dictionary(text):
     assert (lz.from_text(lz.to_text(parser.signature())) == parser.signature()).all()
 
 
+@pytest.mark.parametrize("text", ["", "a" * 3000, "ab" * 900 + "x" * 700 + "ab" * 900, "h\U0001F600é" * 300, "the cat sat on the mat " * 40])
+def test_phrases_are_hashed_as_by_the_tree_and_found_in_few_looks(text):
+    root, factor, plain, known, start = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, [], set(), 0
+    for end in range(1, len(text) + 1):
+        if text[start:end] not in known:
+            known.add(text[start:end])
+            h = root
+            for c in text[start:end]:
+                h = (h * factor + ord(c) + 1) % 2**64
+            plain.append(h)
+            start = end
+    assert lz.Parser().feed(text).hashes == [root, *plain]
+    for at in (1, len(text) // 3, len(text) - 1):
+        assert lz.Parser().feed(text[:at]).feed(text[at:]).hashes == [root, *plain]
+
+    class Counted(dict):
+        looks = 0
+
+        def __contains__(self, phrase):
+            Counted.looks += 1
+            return super().__contains__(phrase)
+
+        def get(self, phrase):
+            Counted.looks += 1
+            return super().get(phrase)
+
+    parser = lz.Parser()
+    parser.children = Counted()
+    parser.feed(text)
+    assert Counted.looks <= 0.9 * len(text)  # one by one: as many as characters
+
+
 def test_likeness_estimates_shared_phrases():
     draw = random.Random(1)
     words = ["".join(draw.choices("abcdefghij", k=5)) for _ in range(3000)]

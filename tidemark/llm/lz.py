@@ -9,6 +9,7 @@ common phrases.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,43 +17,117 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from tidemark.llm.katz import distinct
+
 #: Hashes in a fingerprint; the likeness has a standard error of at most 0.5 / sqrt(SIZE).
 SIZE = 128
-WORD = (1 << 64) - 1
+#: The hash of no phrase. Each further character: times FACTOR, and its code point and 1 more, modulo 2^64.
+ROOT, FACTOR = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
+INVERSE = pow(FACTOR, -1, 1 << 64)
+#: Steps to a phrase's end one by one; beyond, the interval is halved.
+NEAR = 12
+#: Powers kept.
+KEPT = 1 << 17
+
+
+_powers: dict[int, np.ndarray] = {}
+
+
+def powers(of: int, n: int) -> np.ndarray:
+    """Of 0 to n - 1, modulo 2^64; as many as most texts need are kept."""
+    if n <= KEPT and of in _powers:
+        return _powers[of][:n]
+    factors = np.full(max(n, KEPT), of, np.uint64)
+    factors[0] = 1
+    made = np.cumprod(factors, dtype=np.uint64)
+    _powers.setdefault(of, made[:KEPT].copy())
+    return made[:n]
+
+
+def phrase_hashes(text: str, ends: list[int]) -> np.ndarray:
+    """Hashes of phrases that lie one behind the other; ``ends`` begins with 0."""
+    n = ends[-1]
+    if not n:
+        return np.zeros(0, np.uint64)
+    at = np.array(ends)
+    points = np.frombuffer(text[:n].encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64) + np.uint64(1)
+    # the odd factor has an inverse, so sums from the start of the text serve every phrase
+    sums = np.append(np.uint64(0), np.cumsum(points * powers(INVERSE, n), dtype=np.uint64))
+    raised = powers(FACTOR, n + 1)
+    return np.uint64(ROOT) * raised[np.diff(at)] + raised[at[1:] - 1] * np.diff(sums[at])
 
 
 class Parser:
-    """The dictionary of one parse as a tree: ``children`` by (phrase, character), a hash for each phrase."""
+    """The phrases of one parse with their ends, in order. With a phrase all its beginnings are phrases too, so the longest
+    one is found from a likely length on."""
 
     def __init__(self) -> None:
-        self.children: dict[int, int] = {}
-        self.hashes = [0x9E3779B97F4A7C15]
-        self.node = 0
+        self.children: dict[str, int] = {}
+        self.open = ""  # a phrase seen before, at the end of what was parsed
+        self.parts = [np.zeros(0, np.uint64)]
 
     def copy(self) -> Parser:
         other = Parser.__new__(Parser)
-        other.children, other.hashes, other.node = self.children.copy(), self.hashes.copy(), self.node
+        other.children, other.open, other.parts = self.children.copy(), self.open, self.parts.copy()
         return other
 
+    @property
+    def hashes(self) -> list[int]:
+        """The hash of no phrase, and those of the phrases in order."""
+        return [ROOT, *np.concatenate(self.parts).tolist()]
+
     def feed(self, text: str) -> Parser:
-        children, hashes, node = self.children, self.hashes, self.node
-        get = children.get
-        for point in map(ord, text):
-            key = node << 21 | point
-            node = get(key)
-            if node is None:
-                children[key] = len(hashes)
-                hashes.append((hashes[key >> 21] * 0xD6E8FEB86659FD93 + point + 1) & WORD)
-                node = 0
-        self.node = node
+        text, children = self.open + text, self.children
+        before, last, at, end, size = len(children), len(text), 0, 0, 3
+        while at < last >= end:
+            first = at
+            for _ in range(64):
+                end = at + size
+                phrase = text[at:end]
+                if phrase in children:
+                    end += 1
+                    phrase = text[at:end]
+                    while phrase in children and end <= last:
+                        end = end + 1 if end < at + size + NEAR else self.cut(text, at, end)
+                        phrase = text[at:end]
+                    if end > last:
+                        break
+                else:
+                    end -= 1
+                    known = text[at:end]
+                    while known and known not in children:
+                        end -= 1
+                        phrase, known = known, text[at:end]
+                    end += 1
+                children[phrase] = at = end
+                if at >= last:
+                    break
+            size = max(1, min((at - first) // 64, NEAR))
+        self.open = text[at:]
+        self.parts.append(phrase_hashes(text, [0, *itertools.islice(children.values(), before, None)]))
         return self
 
+    def cut(self, text: str, at: int, low: int) -> int:
+        """End of the shortest new phrase from ``at`` on, which is beyond ``low``; behind the text if there is none."""
+        last = len(text)
+        high = low + 1
+        while high <= last and text[at:high] in self.children:
+            low, high = high, at + 2 * (high - at)
+        high = min(high, last + 1)
+        while high - low > 1:
+            middle = (low + high) // 2
+            if text[at:middle] in self.children:
+                low = middle
+            else:
+                high = middle
+        return high
+
     def signature(self, size: int = SIZE) -> np.ndarray:
         """Sorted smallest 32-bit hashes of the phrase set."""
-        h = np.array(self.hashes[1:], np.uint64)
+        h = np.concatenate(self.parts)
         for shift, factor in ((32, 0xFF51AFD7ED558CCD), (29, 0xC4CEB9FE1A85EC53)):
             h = (h ^ (h >> np.uint64(shift))) * np.uint64(factor)
-        return np.unique((h >> np.uint64(32)).astype(np.uint32))[:size]
+        return distinct((h >> np.uint64(32)).astype(np.uint32))[:size]
 
 
 def to_text(signature: np.ndarray) -> str:
@@ -67,8 +142,10 @@ def likeness(a: np.ndarray, b: np.ndarray, size: int = SIZE) -> float:
     """Estimated share of common phrases: among the smallest of both together, those in both."""
     if not len(a) and not len(b):
         return 1.0
-    both = np.union1d(a, b)[:size]
-    return float(np.isin(both, np.intersect1d(a, b, assume_unique=True), assume_unique=True).sum() / len(both))
+    both = np.sort(np.concatenate([a, b]))
+    twice = both[1:] == both[:-1]
+    smallest = both[np.append(True, ~twice)][:size]
+    return float(np.count_nonzero(both[1:][twice] <= smallest[-1]) / len(smallest))
 
 
 def fingerprints(docs: DataFrame, size: int = SIZE, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
