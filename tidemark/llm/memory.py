@@ -30,11 +30,18 @@ class Remembered(dict):
 
     def __missing__(self, key):
         found = self.compute(key)
-        self.meet((key,), (found,))
+        door = hash(key) % DOORS
+        if self.doors[door]:
+            self.keep(key, found)
+        else:
+            self.doors[door] = 1
+            self.seen += 1
+            if self.seen > DOORS // 2:
+                self.seen, self.doors = 0, bytearray(DOORS)
         return found
 
     def meet(self, keys: Iterable, results: Iterable) -> None:
-        """Keep results that were computed, where their keys were met before."""
+        """As for a missing key, for many whose results were computed elsewhere."""
         doors = self.doors
         for key, found in zip(keys, results):
             door = hash(key) % DOORS
