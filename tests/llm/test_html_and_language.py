@@ -85,6 +85,20 @@ def test_nothing_to_learn_from(spark):
     assert language.predict(docs.limit(0), None, "doc_id").collect() == []
 
 
+def test_stage_sends_small_batches_and_gets_no_text_back(spark, monkeypatch):
+    size, store, rows = "spark.sql.execution.arrow.maxRecordsPerBatch", language.materialize, []
+    monkeypatch.setattr(language, "materialize", lambda df: rows.append(int(spark.conf.get(size))) or store(df))
+    before = spark.conf.get(size)
+    known = [(i, f"{text} {i}", lang, "x") for i, (lang, text) in enumerate(list(TEXTS.items()) * 8)]
+    # equal ids, equal texts, no id, no text
+    odd = [(1, "ЭТО НЕ ТО", None, "x"), (1, "les chats", None, "y"), (None, "ЭТО НЕ ТО", None, "x"), (None, "les chats", None, "x"), (None, "les chats", None, "x"), (2, "12", "en", "x"), (None, None, "en", "x"), (2, None, None, "x"), (3, "", None, "x")]
+    docs = labelled(spark, known + odd)
+    kept = language.keep_known_languages(docs)
+    assert sorted(map(str, kept.collect())) == sorted(str(r) for r in docs.collect() if r.text and ("les chats" in r.text or r.lang and r.text != "12"))
+    assert rows and max(rows) <= 500 and spark.conf.get(size) == before
+    assert "MapInArrow" not in kept._jdf.queryExecution().toString()  # else whole texts come back from workers
+
+
 def test_held_out_accuracy(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     model = language.learn(docs.where("doc_id % 2 = 0"), sample=50)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from tidemark.llm import bpe, planes, queries
+from tidemark.llm import bpe, memory, planes, queries
 from tidemark.llm.packing import cut_documents, group_lengths, make_plan, optimise, pack
 from tidemark.llm.tokens import Memory, encode_documents, vocabulary_encoder
 
@@ -224,6 +224,15 @@ def test_memory_of_matches_follows_the_size():
     assert small.kept.size == 6 << 20 and usual.kept.size == 20 << 20
 
 
+def test_what_building_took_is_given_back(monkeypatch):
+    done = []
+    monkeypatch.setattr(memory, "_only", {"before": 1})
+    monkeypatch.setattr(memory, "give_back", lambda: done.append("back"))
+    for _ in range(2):
+        assert memory.only("now", lambda: done.append("built") or 2) == 2
+    assert done == ["back", "built", "back"] and memory._only == {"now": 2}
+
+
 def test_packing_stage_sends_small_batches(spark, monkeypatch):
     seen = []
     monkeypatch.setattr(corpus_pipeline, "pack", lambda pieces, capacity: seen.append(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) or pieces)

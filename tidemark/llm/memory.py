@@ -74,12 +74,13 @@ def only(name: Hashable, build: Callable[[], Any]) -> Any:
     """What this worker remembers under ``name``, built when first asked for.
 
     One thing at a time: a task of another stage lets go of what the stages before remembered, so workers that
-    are used again don't pile it up.
+    are used again don't pile it up. What building took beyond the result, as a parsed file does, is given back as well.
     """
     if name not in _only:
         _only.clear()
         give_back()
         _only[name] = build()
+        give_back()
     return _only[name]
 
 
